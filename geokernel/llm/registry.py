@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup
+import public_tokenizers
+
+from . import exact_dedup, near_dedup, packing
 from .shared import read_table
 
 
@@ -24,8 +26,18 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op9_packing": op9_packing,
 }
 ORACLES = {
     "op3_exact_dedup": OP3_SQL,
