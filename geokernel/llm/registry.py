@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import exact_dedup, near_dedup, packing
+from . import exact_dedup, language_id, near_dedup, packing, toxicity
 from .shared import read_table
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.fit_from_documents(docs))
+    return found.select("doc_id", language_id.in_fold("doc_id", 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.dedup_documents(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -26,6 +32,11 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit_from_labels(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -35,7 +46,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op9_packing": op9_packing,
 }
