@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import exact_dedup, language_id, near_dedup, packing, toxicity
+from . import exact_dedup, language_id, near_dedup, ngram_lm, packing, toxicity
 from .shared import read_table
 
 
@@ -41,6 +41,11 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return ngram_lm.score_documents(docs, F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_lm_scoring": op6_lm_scoring,
     "op9_packing": op9_packing,
 }
 ORACLES = {
