@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import exact_dedup, language_id, near_dedup, ngram_lm, packing, toxicity
+from . import byte_bpe, exact_dedup, language_id, near_dedup, ngram_lm, packing, toxicity
 from .shared import read_table
 
 
@@ -46,6 +46,11 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score_documents(docs, F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1)
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode_digests(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
@@ -56,6 +61,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_lm_scoring": op6_lm_scoring,
+    "op7_byte_bpe": op7_byte_bpe,
     "op9_packing": op9_packing,
 }
 ORACLES = {

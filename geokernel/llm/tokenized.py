@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
 
 #: Chunks that a Python worker remembers.
 CHUNKS_HELD = 400_000
+#: Characters of text that are worked on at a time.
+SLICE_CHARS = 1_000_000
 
 
 class ChunkTokenizer:
@@ -36,8 +39,18 @@ class ChunkTokenizer:
             cuts = np.searchsorted(starts, ends[:-1])
             self.known.update(zip(some, (x.tobytes() for x in np.split(ids, cuts)), strict=True))
 
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null counts as empty."""
+        start = 0
+        while start < len(texts):
+            end, chars = start, 0
+            while end < len(texts) and chars < SLICE_CHARS:
+                chars += len(texts[end] or "")
+                end += 1
+            yield from self._encode(texts[start:end])
+            start = end
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         split = [t.encode("utf-8").split() if t else [] for t in texts]
         if len(self.known) > self.held:
             self.known.clear()
