@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import byte_bpe, exact_dedup, language_id, near_dedup, ngram_lm, packing, toxicity
-from .shared import read_table
+from . import byte_bpe, embedding_dedup, exact_dedup, language_id, licenses, near_dedup, ngram_lm, packing, token_counts, toxicity
+from .license_texts import KNOWN
+from .shared import as_table, read_table, shared_path
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +27,54 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches over all documents: every document arrives with its words and an estimate
+    of its BPE tokens; the estimates are revised; blank documents are deleted. Each batch is
+    committed twice, as by a driver that was restarted."""
+    counted = as_table(token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN), "token-counts")
+    estimate = F.floor(F.coalesce("n_chars", F.lit(0)) / 4).cast("long")
+    words = counted.select("source", "lang", F.lit("words@1").alias("tokenizer"), F.col("n_words").alias("n_tokens"), F.lit(0).cast("long").alias("old_tokens"))
+    bpe = counted.select("source", "lang", F.lit("byte_bpe_50k@1").alias("tokenizer"), F.col("n_bpe").alias("n_tokens"), estimate.alias("old_tokens"))
+    arrived = words.union(bpe.withColumn("n_tokens", F.col("old_tokens"))).withColumn("op", F.lit(token_counts.INSERT))
+    revised = bpe.withColumn("op", F.lit(token_counts.REVISE))
+    blank = counted.filter("n_words = 0").select("source", "lang", F.explode(F.array(F.struct(F.lit("words@1").alias("tokenizer"), F.col("n_words").alias("n_tokens")), F.struct(F.lit("byte_bpe_50k@1").alias("tokenizer"), F.col("n_bpe").alias("n_tokens")))).alias("t"))
+    deleted = blank.select("source", "lang", "t.*", F.lit(0).cast("long").alias("old_tokens"), F.lit(token_counts.DELETE).alias("op"))
+    rollup = token_counts.TokenRollup(spark, shared_path(spark, "token-rollup"))
+    for batch_id, changes in (("arrivals", arrived), ("recount", revised), ("blank", deleted)):
+        rollup.commit(batch_id, changes)
+        rollup.commit(batch_id, changes)
+    return rollup.totals()
+
+
+def _op1_sql() -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+
+    def canonical(x: str) -> str:
+        x = f"lower(coalesce({x}, ''))"
+        x = f"regexp_replace({x}, {quote(licenses.COPYRIGHT_LINE)}, chr(10), 'g')"
+        x = f"regexp_replace({x}, {quote(licenses.RIGHTS)}, ' ', 'g')"
+        x = f"regexp_replace({x}, {quote(licenses.OTHER)}, ' ', 'g')"
+        for variant, kept in licenses.SPELLINGS:
+            x = f"replace({x}, {quote(variant)}, {quote(kept)})"
+        return f"sha256(trim({x}))"
+
+    known = ", ".join(f"({quote(k)}, {quote(t)})" for k, t in KNOWN.items())
+    return f"""
+WITH known AS (SELECT id, {canonical("t")} AS digest FROM (VALUES {known}) AS k(id, t)),
+lines AS (
+  SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+  WHERE regexp_matches(lower(line), 'licen[cs]|public domain')
+),
+notices AS (
+  SELECT doc_id, count(*) AS n, string_agg(DISTINCT id, ',' ORDER BY id) AS ids
+  FROM lines JOIN known ON digest = {canonical("line")} GROUP BY doc_id
+),
+whole AS (SELECT doc_id, {canonical("text")} AS text_digest FROM documents)
+SELECT doc_id, text_digest, known.id AS license_id, coalesce(n, 0) AS n_notices, coalesce(ids, '') AS notice_ids
+FROM whole LEFT JOIN known ON text_digest = digest LEFT JOIN notices USING (doc_id)
+"""
+
+
 OP3_SQL = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -51,19 +104,27 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_packing": op9_packing,
+    "op10_token_counts": op10_token_counts,
 }
 ORACLES = {
+    "op1_license_scan": _op1_sql(),
     "op3_exact_dedup": OP3_SQL,
 }
