@@ -5,10 +5,12 @@ hash evaluations give a signature of the same length (Ji et al., 2013). A band i
 permutations, that is four signature values. Documents that share a band are candidates; a link
 is confirmed on the full shingle sets.
 
-Documents of one shingle set are collapsed before anything is compared. Inside a bucket the
-comparison is a star around the member whose buckets are fullest, never all pairs; what the
-stars leave unconnected inside a bucket is compared across the pieces found so far, so no
-candidate that could join two components is skipped.
+Documents of one shingle set are collapsed before anything is compared. A set with too many
+shingles of its own can be linked to no other, whatever its buckets say, and goes. Inside a
+bucket the comparison is a star around the member with the fewest shingles of its own, not all
+pairs. Two members that the stars leave in different components are compared only where the
+number of shingles that they share with anyone allows a link, so no link is missed among
+candidates and no group of copies is multiplied out.
 """
 
 from __future__ import annotations
@@ -30,8 +32,6 @@ NUM, DEN = 75, 100
 BANDS = 32
 #: Two permutations a band, each with its minimum and its maximum.
 PERMUTATIONS = 2 * BANDS
-#: Rounds of stars before the pieces of a bucket are compared with each other.
-STAR_ROUNDS = 3
 
 _rng = np.random.default_rng(20240117)
 _WORD_FACTORS = _rng.integers(0, 2**63, SHINGLE_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -99,16 +99,44 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The candidate pairs (a, b) whose full sets are similar enough."""
     joined = (
-        pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+        pairs.join(sets.select(F.col("num").alias("a"), F.col("shingles").alias("sa")), "a")
+        .join(sets.select(F.col("num").alias("b"), F.col("shingles").alias("sb")), "b")
         .withColumn("both", F.size(F.array_intersect("sa", "sb")))
     )
     return joined.filter(DEN * F.col("both") >= NUM * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
 
 
-def _fits(a, b):
-    """Whether two set sizes allow a link at all."""
-    return DEN * F.least(a, b) >= NUM * F.greatest(a, b)
+def _may_link(n, shared, other_n, other_shared):
+    """Whether two sets can be linked, given how many of their shingles any other set holds:
+    DEN * both >= NUM * union is (DEN + NUM) * both >= NUM * (n + other_n)."""
+    return (DEN + NUM) * F.least(shared, other_shared) >= NUM * (n + other_n)
+
+
+def _private(sets: DataFrame) -> DataFrame:
+    """(num, private): for each set how many of its shingles no other set holds."""
+    held = sets.select("num", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("holders"), F.min("num").alias("num"))
+    return held.filter("holders = 1").groupBy("num").agg(F.count("*").alias("private"))
+
+
+def _star_pairs(buckets: DataFrame) -> DataFrame:
+    """Each member of a bucket with its hub: the one of the fewest private shingles, and among
+    those the one whose buckets are fullest."""
+    degree = buckets.groupBy("num").agg(F.sum("members").alias("degree"))
+    ranked = buckets.join(degree, "num")
+    hubs = ranked.groupBy("band").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("share"), "degree", "num", "n", "shared")).alias("hub"))
+    pairs = ranked.join(hubs, "band").filter((F.col("num") != F.col("hub.num")) & _may_link(F.col("n"), F.col("shared"), F.col("hub.n"), F.col("hub.shared")))
+    return pairs.select(F.least("num", "hub.num").alias("a"), F.greatest("num", "hub.num").alias("b")).distinct()
+
+
+def _cross_pairs(buckets: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
+    """Pairs of a bucket that could be linked, are not compared yet and lie in two components."""
+    left = buckets.join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("root", F.coalesce("root", "num"))
+    mixed = left.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least")).filter("lo != hi").select("band", "least")
+    left = left.join(mixed, "band").filter(_may_link(F.col("n"), F.col("shared"), F.col("least"), F.col("shared"))).drop("least", "members")
+    right = left.select("band", *(F.col(c).alias(f"other_{c}") for c in ("num", "n", "shared", "root")))
+    apart = (F.col("num") < F.col("other_num")) & (F.col("root") != F.col("other_root")) & _may_link(F.col("n"), F.col("shared"), F.col("other_n"), F.col("other_shared"))
+    pairs = left.join(right, (left["band"] == right["band"]) & apart).select(F.col("num").alias("a"), F.col("other_num").alias("b"))
+    return pairs.distinct().join(done, ["a", "b"], "left_anti")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -121,46 +149,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
     signed = as_table(docs.mapInArrow(_signatures, "doc_id long, text_key long, n_shingles long, node binary, bands array<long>"), "signatures")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "n_shingles", "bands")).alias("first")
-    classes = as_table(signed.filter("node IS NOT NULL").groupBy("node").agg(first).select("node", "first.doc_id", "first.text_key", "first.n_shingles", "first.bands"), "classes")
-
-    rows = classes.select("node", "n_shingles", F.explode("bands").alias("band"))
-    shared = rows.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
-    buckets = as_table(rows.join(shared, "band"), "buckets")
-
-    chosen = buckets.select("node").distinct().join(classes, "node").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
-    texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left_semi").select("text")
-    sets = as_table(texts.mapInArrow(_sets, "node binary, shingles array<long>").dropDuplicates(["node"]), "sets", "lz4")
-
-    links = done = None
-    roots = classes.select("node", F.col("node").alias("root"))
-    left = buckets.withColumn("root", F.col("node"))
-    for round_no in range(STAR_ROUNDS + 1):
-        if round_no < STAR_ROUNDS:
-            degree = left.groupBy("node").agg(F.sum("members").alias("degree"))
-            ranked = left.join(degree, "node")
-            hubs = ranked.groupBy("band").agg(F.max(F.struct("degree", "node", "n_shingles", "root")).alias("hub"))
-            pairs = ranked.join(hubs, "band").filter((F.col("node") != F.col("hub.node")) & (F.col("root") != F.col("hub.root")) & _fits(F.col("n_shingles"), F.col("hub.n_shingles")))
-            pairs = pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
-        else:
-            other = left.select("band", F.col("node").alias("b"), F.col("root").alias("other_root"), F.col("n_shingles").alias("other_n"))
-            pairs = left.withColumnRenamed("node", "a").join(other, (left["band"] == other["band"]) & (F.col("a") < F.col("b")) & (F.col("root") != F.col("other_root")) & _fits(F.col("n_shingles"), F.col("other_n"))).select("a", "b")
-        pairs = pairs.distinct() if done is None else pairs.distinct().join(done, ["a", "b"], "left_anti")
-        pairs = as_table(pairs, "pairs")
-        found = as_table(_confirmed(pairs, sets), "links")
-        done = pairs if done is None else done.union(pairs)
-        links = found if links is None else links.union(found)
-        roots = as_table(connected_components(links), "roots")
-        if round_no == STAR_ROUNDS:
-            break
-        left = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = left.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("band")
-        left = as_table(left.join(mixed, "band"), "buckets")
-        if left.isEmpty():
-            break
-
-    named = classes.select("node", F.col("doc_id").alias("rep")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(lowest, "root").select("node", "component_id")
+    classes = signed.filter("node IS NOT NULL").groupBy("node").agg(first).select("node", "first.doc_id", "first.text_key", F.col("first.n_shingles").alias("n"), "first.bands")
+    # Numbers are drawn once, as the table is written.
+    classes = as_table(classes.withColumn("num", F.monotonically_increasing_id()), "classes")
+
+    rows = classes.select("num", "n", F.explode("bands").alias("band"))
+    full = rows.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
+    buckets = as_table(rows.join(full, "band"), "buckets")
+
+    # Only texts that share a bucket are read again, for their full sets.
+    chosen = as_table(buckets.select("num").distinct().join(classes.drop("bands"), "num"), "candidates")
+    wanted = chosen.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left_semi").select("text")
+    sets = texts.mapInArrow(_sets, "node binary, shingles array<long>").join(chosen.select("node", "num"), "node").select("num", "shingles")
+    sets = as_table(sets.dropDuplicates(["num"]), "sets", "lz4")
+
+    shared = chosen.select("num", "n").join(_private(sets), "num", "left").select("num", (F.col("n") - F.coalesce("private", F.lit(0))).alias("shared"))
+    buckets = as_table(buckets.join(shared, "num").filter(DEN * F.col("shared") >= NUM * F.col("n")), "open-buckets")
+    stars = as_table(_star_pairs(buckets), "star-pairs")
+    links = as_table(_confirmed(stars, sets), "links")
+    roots = as_table(connected_components(links), "roots")
+    cross = as_table(_confirmed(_cross_pairs(buckets, roots, stars), sets), "links")
+    if not cross.isEmpty():
+        roots = as_table(connected_components(links.union(cross)), "roots")
+
+    named = classes.select("node", "num", "doc_id").join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("root", F.coalesce("root", "num"))
+    named = named.join(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("node", "component_id")
     placed = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
