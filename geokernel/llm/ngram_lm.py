@@ -63,6 +63,18 @@ def _wide(blob: bytes) -> np.ndarray:
     return np.frombuffer(pa.decompress(blob[9:], width * n, "zstd", asbytes=True), f"<u{width}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as their steps, byte plane by byte plane: the upper planes are zeros."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    return len(keys).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+
+
+def _unpack_keys(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    planes = np.frombuffer(pa.decompress(blob[8:], 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def _pair_keys(words: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix64(mix64(words[left] + _U) + words[right])
 
@@ -96,7 +108,7 @@ def _chunk_rows(docs: list, number: int) -> pa.RecordBatch:
     n_pairs = len(stream.pairs(len(words))[0])
     row = {
         "chunk": number, "doc_ids": list(ids), "held_out": list(held), "roles": _small(roles), "lengths": _small(lengths),
-        "words": words.tobytes(), "tokens": _small(tokens),
+        "words": _pack_keys(words), "tokens": _small(tokens),
         "n_main": int((stream.role == MAIN).sum()), "n_deleted": int((stream.role == DELETED).sum()), "n_pairs": n_pairs,
     }
     schema = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("roles", pa.binary()), ("lengths", pa.binary()), ("words", pa.binary()), ("tokens", pa.binary()), ("n_main", pa.int64()), ("n_deleted", pa.int64()), ("n_pairs", pa.int64())])
@@ -121,7 +133,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _opened(row: dict) -> tuple[np.ndarray, _Stream, int]:
-    words = np.frombuffer(row["words"], np.uint64)
+    words = _unpack_keys(row["words"])
     begin = int(np.searchsorted(words, np.uint64(BEGIN)))
     return words, _Stream.of(_wide(row["tokens"]), _wide(row["lengths"]), _wide(row["roles"]), begin), begin
 
@@ -144,7 +156,7 @@ def _requests(row: dict, kind: int, bits: int) -> Iterator[dict]:
     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     cuts = np.flatnonzero(np.diff(bucket)) + 1
     for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
-        yield {"bucket": int(bucket[lo]) * 2 + kind, "chunk": row["chunk"], "kind": kind, "keys": keys[lo:hi].tobytes(), "main": _small(main[lo:hi]), "deleted": _small(deleted[lo:hi])}
+        yield {"bucket": int(bucket[lo]) * 2 + kind, "chunk": row["chunk"], "kind": kind, "keys": _pack_keys(keys[lo:hi]), "main": _small(main[lo:hi]), "deleted": _small(deleted[lo:hi])}
 
 
 _REQUEST = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("main", pa.binary()), ("deleted", pa.binary())])
@@ -163,7 +175,7 @@ def _ask(kind: int, bits: int):
 
 def _answer(rows: pa.Table) -> pa.Table:
     """Adds up a bucket's counts over all chunks and answers each chunk in its order."""
-    keys = [np.frombuffer(k, np.uint64) for k in rows["keys"].to_pylist()]
+    keys = [_unpack_keys(k) for k in rows["keys"].to_pylist()]
     names, place = np.unique(np.concatenate(keys), return_inverse=True)
     totals = []
     for column in ("main", "deleted"):
