@@ -196,7 +196,7 @@ def tile_divisions(area: Column) -> Column:
 def resolve_gsd(width: Column, height: Column, cm: Column | None = None) -> Column:
     """Metres a cell: from centimetres, or diagonal / 4096 within 0.01 and 1, 0.05 unbounded."""
     diagonal = F.sqrt(width * width + height * height)
-    auto = F.coalesce(F.greatest(lit(0.01), F.least(lit(1), diagonal / 4096.0)), lit(0.05))
+    auto = F.when(diagonal.isNull(), 0.05).otherwise(F.greatest(lit(0.01), F.least(lit(1), diagonal / 4096.0)))
     return auto if cm is None else F.coalesce(cm / 100.0, auto)
 
 

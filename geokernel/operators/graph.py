@@ -2,23 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def written(df: DataFrame, name: str = "step") -> DataFrame:
-    """df written once into the session's checkpoint folder and read back."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="geokernel-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from geokernel.operators.tables import written
 
 
 def components(nodes: DataFrame, edges: DataFrame, node: str = "id") -> DataFrame:

@@ -11,6 +11,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from geokernel.operators.tables import written
+
 AXES = ("x", "y", "z")
 
 
@@ -50,13 +52,16 @@ def nearest(queries: DataFrame, points: DataFrame, width: float, k: int = 1, axe
             found = found.filter(F.col("other") != F.col("id"))
         ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("id", "other", "d2", "rank", *payload)
         last = width > span
+        if last and out is None:
+            return ranked
+        ranked = written(ranked, "near")
         if not last:
             settled = ranked.groupBy("id").agg(F.max("rank").alias("n"), F.max("d2").alias("worst")).filter((F.col("n") == k) & (F.col("worst") <= width * width)).select("id")
             ranked = ranked.join(settled, "id", "left_semi")
         out = ranked if out is None else out.union(ranked)
         if last:
             return out
-        queries = queries.join(settled, "id", "left_anti")
+        queries = written(queries.join(settled, "id", "left_anti"), "queries")
         if queries.isEmpty():
             return out
         width *= 2

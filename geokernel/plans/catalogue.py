@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geokernel.functions import scalar as S
 from geokernel.operators import graph, grid, mesh, neighbours, stats, tiling, topk
 from geokernel.operators import fit as fits
+from geokernel.operators.tables import written
 from geokernel.sources import adapters as A
 from geokernel.sources.adapters import with_views
 
@@ -451,7 +452,7 @@ def nn_distance(spark: SparkSession, d: str) -> DataFrame:
 
 @query(with_views(f"{_NN} SELECT count(*) AS n, round(avg(sqrt(d2)), 6) AS mean, round(stddev_pop(sqrt(d2)), 6) AS std, round(sqrt(avg(d2)), 6) AS rms, round(quantile_cont(sqrt(d2), 0.95), 6) AS p95, round(max(sqrt(d2)), 6) AS max, round(avg(CASE WHEN sqrt(d2) <= 0.125 THEN 1.0::DOUBLE ELSE 0 END), 9) AS completeness FROM near", "cloud_a", "cloud_b"))
 def completeness(spark: SparkSession, d: str) -> DataFrame:
-    near = graph.written(nn_distance(spark, d), "near")
+    near = written(nn_distance(spark, d), "near")
     out = neighbours.distance_summary(near).join(F.broadcast(near.agg(F.avg(F.when(F.sqrt("d2") <= 0.125, 1.0).otherwise(0.0)).alias("completeness"))))
     return out.select("n", *[F.round(c, 6).alias(c) for c in ("mean", "std", "rms", "p95", "max")], F.round("completeness", 9).alias("completeness"))
 
