@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .shared import WordHashes, ascii_words, as_table, mix64
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_500_000
 #: Keys that a bucket is asked for on average.
 KEYS_PER_BUCKET = 1_500_000
 #: The end of a text is a token; its begin is a context only. Neither can be a word.
@@ -45,22 +46,25 @@ _U = np.uint64(0x9E3779B97F4A7C15)
 CHUNK_SCHEMA = "chunk long, doc_ids array<long>, held_out array<boolean>, roles binary, lengths binary, words binary, tokens binary, n_main long, n_deleted long, n_pairs long"
 REQUEST_SCHEMA = "bucket long, chunk long, kind int, keys binary, main binary, deleted binary"
 ANSWER_SCHEMA = "bucket long, chunk long, kind int, main binary, deleted binary, distinct_main long, distinct_all long"
-COUNTED_SCHEMA = "doc_ids array<long>, held_out array<boolean>, roles binary, lengths binary, tokens binary, word_main binary, word_deleted binary, pair_main binary, pair_deleted binary"
 SCORE_SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 WORD, PAIR = 0, 1
 
 
 def _small(x: np.ndarray) -> bytes:
-    """Packed unsigned integers: the width in bytes, the number, the compressed values."""
+    """Packed unsigned integers: the width in bytes, the number, and the values byte plane by
+    byte plane, compressed."""
     top = int(x.max()) if len(x) else 0
-    kind = next(k for k in ("<u1", "<u2", "<u4", "<u8") if top <= np.iinfo(k).max)
-    raw = x.astype(kind).tobytes()
-    return bytes([int(kind[2])]) + len(x).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+    width = next(w for w in (1, 2, 4, 8) if top < 256**w)
+    planes = np.ascontiguousarray(x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + len(x).to_bytes(8, "little") + (pa.compress(planes.tobytes(), "zstd", asbytes=True) if len(x) else b"")
 
 
 def _wide(blob: bytes) -> np.ndarray:
     width, n = blob[0], int.from_bytes(blob[1:9], "little")
-    return np.frombuffer(pa.decompress(blob[9:], width * n, "zstd", asbytes=True), f"<u{width}").astype(np.int64) if n else np.zeros(0, np.int64)
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.decompress(blob[9:], width * n, "zstd", asbytes=True), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
@@ -116,20 +120,25 @@ def _chunk_rows(docs: list, number: int) -> pa.RecordBatch:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number, held, size, hashes = TaskContext.get().partitionId() << 32, [], 0, WordHashes()
+    """Deleted documents have chunks of their own, whose numbers are odd."""
+    first = TaskContext.get().partitionId() << 32
+    numbers, held, sizes, hashes = [first, first + 1], ([], []), [0, 0], WordHashes()
     for batch in batches:
         for doc_id, is_held, role, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "held_out", "role", "text")), strict=True):
             words = ascii_words(text)
             h = np.empty(len(words) + 1, np.uint64)
             h[:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
             h[-1] = END
-            held.append((doc_id, is_held, role, h))
-            size += len(h)
-            if size >= CHUNK_TOKENS:
-                yield _chunk_rows(held, number)
-                number, held, size = number + 1, [], 0
-    if held:
-        yield _chunk_rows(held, number)
+            k = int(role == DELETED)
+            held[k].append((doc_id, is_held, role, h))
+            sizes[k] += len(h)
+            if sizes[k] >= CHUNK_TOKENS:
+                yield _chunk_rows(held[k], numbers[k])
+                numbers[k], sizes[k] = numbers[k] + 2, 0
+                held[k].clear()
+    for k in (0, 1):
+        if held[k]:
+            yield _chunk_rows(held[k], numbers[k])
 
 
 def _opened(row: dict) -> tuple[np.ndarray, _Stream, int]:
@@ -194,35 +203,34 @@ def _answer(rows: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, _ANSWER)
 
 
-_COUNTED = pa.schema([("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_()))] + [(c, pa.binary()) for c in ("roles", "lengths", "tokens", "word_main", "word_deleted", "pair_main", "pair_deleted")])
-
-
-def _counted(key: tuple, chunk: pa.Table, answers: pa.Table) -> pa.Table:
+@dataclass
+class _Counted:
     """A chunk beside the corpus counts of its words and pairs, in the chunk's own order."""
-    row = chunk.to_pylist()[0]
-    words, stream, begin = _opened(row)
-    codes, _ = stream.pairs(len(words))
-    order = np.argsort(_pair_keys(words, codes // len(words), codes % len(words)), kind="stable")
-    answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
-    out = {c: row[c] for c in ("doc_ids", "held_out", "roles", "lengths", "tokens")}
-    for column in ("main", "deleted"):
-        values = [_wide(x) for x in answers[column].to_pylist()]
-        kinds = np.array(answers["kind"].to_pylist())
-        out[f"word_{column}"] = _small(np.append(np.concatenate([v for v, k in zip(values, kinds, strict=True) if k == WORD]), begin))
-        pairs = np.empty(len(codes), np.int64)
-        pairs[order] = np.concatenate([v for v, k in zip(values, kinds, strict=True) if k == PAIR])
-        out[f"pair_{column}"] = _small(pairs)
-    return pa.Table.from_pylist([out], _COUNTED)
 
+    stream: _Stream
+    lengths: np.ndarray
+    place: np.ndarray
+    word_main: np.ndarray
+    word_deleted: np.ndarray
+    pair_main: np.ndarray
+    pair_deleted: np.ndarray
 
-def _read_counted(row: dict) -> tuple[_Stream, np.ndarray, np.ndarray, dict[str, np.ndarray]]:
-    counts = {c: _wide(row[c]) for c in ("word_main", "word_deleted", "pair_main", "pair_deleted")}
-    begin = int(counts["word_main"][-1])  # the begin's local number travels as the last value
-    counts["word_main"], counts["word_deleted"] = counts["word_main"][:-1], counts["word_deleted"][:-1]
-    lengths = _wide(row["lengths"])
-    stream = _Stream.of(_wide(row["tokens"]), lengths, _wide(row["roles"]), begin)
-    codes, place = stream.pairs(len(counts["word_main"]))
-    return stream, lengths, place, counts
+    @staticmethod
+    def of(row: dict, answers: pa.Table) -> _Counted:
+        words, stream, _ = _opened(row)
+        codes, place = stream.pairs(len(words))
+        order = np.argsort(_pair_keys(words, codes // len(words), codes % len(words)), kind="stable")
+        counts = []
+        for kind in (WORD, PAIR):
+            mine = answers.filter(pc.field("kind") == kind).sort_by("bucket")
+            for column in ("main", "deleted"):
+                values = np.concatenate([_wide(x) for x in mine[column].to_pylist()])
+                if kind == PAIR:
+                    back = np.empty(len(codes), np.int64)
+                    back[order] = values
+                    values = back
+                counts.append(values)
+        return _Counted(stream, _wide(row["lengths"]), place, *counts)
 
 
 def context_bucket(c: np.ndarray) -> np.ndarray:
@@ -238,17 +246,14 @@ def _grid(p: np.ndarray) -> np.ndarray:
 
 
 def _held_out_counts(n_main: int):
-    """How often each (bucket, bigram estimate, word estimate) meets a deleted token."""
+    """How often each (bucket, bigram estimate, word estimate) meets a token of a deleted chunk."""
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                stream, _, place, counts = _read_counted(batch.slice(i, 1).to_pylist()[0])
-                at = stream.role == DELETED
-                c = counts["word_main"][stream.context[at]]
-                cells = np.column_stack([context_bucket(c), _grid(_ratio(counts["pair_main"][place[at]], c)), _grid(_ratio(counts["word_main"][stream.word[at]], n_main))])
-                cells, n = np.unique(cells, axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*cells.T, n)], ["b", "q2", "q1", "n"])
+    def gather(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        x = _Counted.of(chunk.to_pylist()[0], answers)
+        c = x.word_main[x.stream.context]
+        cells = np.column_stack([context_bucket(c), _grid(_ratio(x.pair_main[x.place], c)), _grid(_ratio(x.word_main[x.stream.word], n_main))])
+        cells, n = np.unique(cells, axis=0, return_counts=True)
+        return pa.Table.from_arrays([pa.array(v, pa.int64()) for v in (*cells.T, n)], ["b", "q2", "q1", "n"])
 
     return gather
 
@@ -279,24 +284,22 @@ def learn_weights(cells: np.ndarray, floor: float, rounds: int = EM_ROUNDS) -> n
 
 
 def _scores(weights: np.ndarray, n_all: int, v_all: int):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                stream, lengths, place, counts = _read_counted(row)
-                word = counts["word_main"] + counts["word_deleted"]
-                pair = counts["pair_main"] + counts["pair_deleted"]
-                c, v = word[stream.context], word[stream.word]
-                w = weights[context_bucket(c)]
-                p = w[:, 0] * _ratio(pair[place], c) + w[:, 1] * _ratio(v, n_all) + w[:, 2] / (v_all + 1)
-                base = np.log10((v + 0.5) / (n_all + 0.5 * (v_all + 1)))
-                starts = np.cumsum(lengths) - lengths
-                columns = [
-                    pa.array(row["doc_ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(lengths, pa.int64()),
-                    pa.array(np.add.reduceat((v > 0).astype(np.int64), starts)), pa.array(np.full(len(lengths), n_all, np.int64)),
-                    pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(np.log10(p), starts)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        row = chunk.to_pylist()[0]
+        x = _Counted.of(row, answers)
+        word, pair = x.word_main + x.word_deleted, x.pair_main + x.pair_deleted
+        c, v = word[x.stream.context], word[x.stream.word]
+        w = weights[context_bucket(c)]
+        p = w[:, 0] * _ratio(pair[x.place], c) + w[:, 1] * _ratio(v, n_all) + w[:, 2] / (v_all + 1)
+        base = np.log10((v + 0.5) / (n_all + 0.5 * (v_all + 1)))
+        lengths = x.lengths
+        starts = np.cumsum(lengths) - lengths
+        columns = [
+            pa.array(row["doc_ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(lengths, pa.int64()),
+            pa.array(np.add.reduceat((v > 0).astype(np.int64), starts)), pa.array(np.full(len(lengths), n_all, np.int64)),
+            pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(np.log10(p), starts)),
+        ]
+        return pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return score
 
@@ -321,9 +324,10 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
 
     words = as_table(answered(WORD), "word-counts")
     v_main, v_all = (x or 0 for x in words.agg(F.sum("distinct_main"), F.sum("distinct_all")).first())
-    answers = words.union(answered(PAIR))
-    counted = as_table(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_counted, COUNTED_SCHEMA), "counted")
-    cells = counted.mapInArrow(_held_out_counts(n_main), "b long, q2 long, q1 long, n long").groupBy("b", "q2", "q1").agg(F.sum("n").alias("n"))
-    cells = np.array([tuple(r) for r in cells.orderBy("b", "q2", "q1").collect()], np.int64).reshape(-1, 4)
+    answers = words.union(as_table(answered(PAIR), "pair-counts"))
+    deleted = F.col("chunk") % 2 == 1
+    cells = chunks.filter(deleted).groupBy("chunk").cogroup(answers.filter(deleted).groupBy("chunk")).applyInArrow(_held_out_counts(n_main), "b long, q2 long, q1 long, n long")
+    cells = cells.groupBy("b", "q2", "q1").agg(F.sum("n").alias("n")).orderBy("b", "q2", "q1")
+    cells = np.array([tuple(r) for r in cells.collect()], np.int64).reshape(-1, 4)
     weights = learn_weights(cells, 1 / (v_main + 1))
-    return counted.mapInArrow(_scores(weights, n_main + n_deleted, v_all), SCORE_SCHEMA)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scores(weights, n_main + n_deleted, v_all), SCORE_SCHEMA)
