@@ -28,14 +28,17 @@ from .grams import hashed_grams
 GRAMS = (4, 5)
 BITS = 18
 #: Bounds on the labelled rows of the fit.
-TOXIC_ROWS, CLEAN_ROWS = 4000, 5000
-FOLDS = 3
+TOXIC_ROWS, CLEAN_ROWS = 3500, 4500
+FOLDS = 2
 EPOCHS = 6
+BATCH = 128
+#: Small samples are gone through more often, for about so many steps.
+LEAST_STEPS = 300
 #: Keeps the features of a short text from being blown up to the norm of a long one's.
 DAMPING = 2000.0
 SCALE = 8.0
 #: Share of clean rows that the rejection threshold may cost, by out-of-fold scores.
-CLEAN_LOST = 0.002
+CLEAN_LOST, LEAST_SCORE = 0.002, 0.2
 CATEGORIES = ("explicit", "dense", "toxic")
 #: Weak labels: stems occur in this many toxic sample rows at least and in clean ones this
 #: share of that at most; `explicit` rows hold this many.
@@ -78,16 +81,16 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_linear(bags: list, vectors: list, y: np.ndarray, weight: np.ndarray, earlier: np.ndarray, epochs: int = EPOCHS, rate: float = 0.3, seed: int = 5) -> Linear:
+def fit_linear(bags: list, vectors: list, y: np.ndarray, weight: np.ndarray, earlier: np.ndarray, epochs: int = EPOCHS, rate: float = 0.08, seed: int = 5) -> Linear:
     """Logistic regression by mini-batches with per-feature step sizes."""
     size = 1 << BITS
     w, g2 = np.zeros(size), np.full(size, 1e-6)
     extra, e2 = np.zeros(earlier.shape[1]), np.full(earlier.shape[1], 1e-6)
     bias, rng = -2.0, np.random.default_rng(seed)
-    for _ in range(epochs):
+    for _ in range(max(epochs, min(50, LEAST_STEPS * BATCH // max(1, len(bags))))):
         order = rng.permutation(len(bags))
-        for at in range(0, len(order), 64):
-            some = order[at : at + 64]
+        for at in range(0, len(order), BATCH):
+            some = order[at : at + BATCH]
             u = np.concatenate([bags[i] for i in some])
             v = np.concatenate([vectors[i] for i in some])
             row = np.repeat(np.arange(len(some)), [len(bags[i]) for i in some])
@@ -130,9 +133,9 @@ def train_chain(bags: list[np.ndarray], counts: list[np.ndarray], labels: np.nda
 
 
 def _threshold(y: np.ndarray, p: np.ndarray) -> float:
-    """0.5, or higher where out-of-fold scores of clean rows ask for it."""
+    """The score that only so many clean rows reach out of fold, and at least LEAST_SCORE."""
     clean = p[y == 0]
-    return float(max(0.5, np.quantile(clean, 1 - CLEAN_LOST))) if len(clean) and y.any() else 2.0
+    return float(max(LEAST_SCORE, np.quantile(clean, 1 - CLEAN_LOST))) if len(clean) and y.any() else 2.0
 
 
 def weak_categories(stems: list[Counter], toxic: np.ndarray) -> np.ndarray:
@@ -174,7 +177,8 @@ def fit_from_labels(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_
             stems = [zlib.compress("\n".join(f"{s} {n}" for s, n in stems_of(t).items()).encode("utf-8", "replace"), 1) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["label_id"], batch["toxic"].cast(pa.int32()), pa.array(packed, pa.binary()), pa.array(stems, pa.binary())], ["doc_id", "toxic", "bag", "stems"])
 
-    rows = chosen.join(texts, "label_id").select("label_id", "toxic", "text").mapInArrow(featured, "doc_id long, toxic int, bag binary, stems binary").collect()
+    # The sample is small by its bounds, so the texts stay where they are.
+    rows = F.broadcast(chosen).join(texts, "label_id").select("label_id", "toxic", "text").mapInArrow(featured, "doc_id long, toxic int, bag binary, stems binary").collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["bag"]))
     taken, bags, counts, stems, toxic = Counter(), [], [], [], []
     for r in rows:
