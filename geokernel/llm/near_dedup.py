@@ -8,9 +8,9 @@ is confirmed on the full shingle sets.
 Documents of one shingle set are collapsed before anything is compared. A set with too many
 shingles of its own can be linked to no other, whatever its buckets say, and goes. Inside a
 bucket the comparison is a star around the member with the fewest shingles of its own, not all
-pairs. Two members that the stars leave in different components are compared only where the
-number of shingles that they share with anyone allows a link, so no link is missed among
-candidates and no group of copies is multiplied out.
+pairs. Members that the stars leave in different components are compared block by block inside
+tasks, by products of 0/1 matrices, where the number of shingles that they share with anyone
+allows a link. Pairs are never rows of a table there, and no candidate is skipped.
 """
 
 from __future__ import annotations
@@ -32,6 +32,10 @@ NUM, DEN = 75, 100
 BANDS = 32
 #: Two permutations a band, each with its minimum and its maximum.
 PERMUTATIONS = 2 * BANDS
+#: Members of a bucket that are compared with each other at a time.
+BLOCK = 512
+#: Shingles that one call compares, on average.
+SHINGLES_PER_GROUP = 2_000_000
 
 _rng = np.random.default_rng(20240117)
 _WORD_FACTORS = _rng.integers(0, 2**63, SHINGLE_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -128,15 +132,66 @@ def _star_pairs(buckets: DataFrame) -> DataFrame:
     return pairs.select(F.least("num", "hub.num").alias("a"), F.greatest("num", "hub.num").alias("b")).distinct()
 
 
-def _cross_pairs(buckets: DataFrame, roots: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of a bucket that could be linked, are not compared yet and lie in two components."""
-    left = buckets.join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("root", F.coalesce("root", "num"))
-    mixed = left.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least")).filter("lo != hi").select("band", "least")
-    left = left.join(mixed, "band").filter(_may_link(F.col("n"), F.col("shared"), F.col("least"), F.col("shared"))).drop("least", "members")
-    right = left.select("band", *(F.col(c).alias(f"other_{c}") for c in ("num", "n", "shared", "root")))
-    apart = (F.col("num") < F.col("other_num")) & (F.col("root") != F.col("other_root")) & _may_link(F.col("n"), F.col("shared"), F.col("other_n"), F.col("other_shared"))
-    pairs = left.join(right, (left["band"] == right["band"]) & apart).select(F.col("num").alias("a"), F.col("other_num").alias("b"))
-    return pairs.distinct().join(done, ["a", "b"], "left_anti")
+def _open_units(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Work units (band, lo, hi) with their members, for buckets that still hold members of
+    several components: a bucket is cut into blocks and each pair of blocks is one unit."""
+    left = buckets.drop("members").join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("root", F.coalesce("root", "num"))
+    least = left.groupBy("band").agg(F.min("n").alias("least"))
+    left = left.join(least, "band").filter(_may_link(F.col("n"), F.col("shared"), F.col("least"), F.col("shared")))
+    mixed = left.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).filter("low != high")
+    left = left.join(mixed.select("band", F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks")), "band")
+    left = left.withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return left.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "num", "root", "n")
+
+
+def _intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections within a block, from 0/1 rows over the shingles two sets share."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    names, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    both = count[place] > 1
+    column = (np.cumsum(count > 1) - 1)[place[both]]
+    owner = owner[both]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, (at, at + 4096))
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[owner[a:b], column[a:b] - at] = 1
+        out += part @ part.T
+    return out
+
+
+def _linked_units(rows: pa.Table) -> pa.Table:
+    """(a, b): each member of a unit that links to others, and the smallest of those."""
+    rows = rows.sort_by([(c, "ascending") for c in ("band", "lo", "hi", "num")])
+    keys = np.array([rows[c].to_numpy() for c in ("band", "lo", "hi")])
+    cuts = np.flatnonzero((np.diff(keys, axis=1) != 0).any(axis=0)) + 1
+    a, b = [], []
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), rows.num_rows], strict=True):
+        part = rows.slice(start, end - start)
+        num, root, n = (part[c].to_numpy() for c in ("num", "root", "n"))
+        if len(num) < 2 or (root == root[0]).all():
+            continue
+        both = _intersections([x.values.to_numpy() for x in part["shingles"]])
+        linked = (DEN * both >= NUM * (n[:, None] + n[None, :] - both)) & (root[:, None] != root[None, :])
+        some = linked.any(axis=1)
+        a.append(num[some])
+        b.append(num[linked.argmax(axis=1)[some]])
+    return pa.Table.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (a, b)], ["a", "b"])
+
+
+def _cross_links(buckets: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of a bucket that lie in different components.
+
+    Compared inside the work units, on full sets; a member names only one of its links, and
+    repeating the step with the components then known names the rest."""
+    units = as_table(_open_units(buckets, roots), "open-units")
+    load = units.agg(F.sum("n")).first()[0] or 0
+    groups = max(1, -(-load // SHINGLES_PER_GROUP))
+    work = units.withColumn("g", F.pmod(F.xxhash64("band", "lo", "hi"), F.lit(groups))).join(sets, "num")
+    return as_table(work.groupBy("g").applyInArrow(_linked_units, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -169,9 +224,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = as_table(_star_pairs(buckets), "star-pairs")
     links = as_table(_confirmed(stars, sets), "links")
     roots = as_table(connected_components(links), "roots")
-    cross = as_table(_confirmed(_cross_pairs(buckets, roots, stars), sets), "links")
-    if not cross.isEmpty():
-        roots = as_table(connected_components(links.union(cross)), "roots")
+    while not (cross := _cross_links(buckets, roots, sets)).isEmpty():
+        links = links.union(cross)
+        roots = as_table(connected_components(links), "roots")
 
     named = classes.select("node", "num", "doc_id").join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("root", F.coalesce("root", "num"))
     named = named.join(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("node", "component_id")
