@@ -29,6 +29,9 @@ LOCKSTEP = 64
 SLICE_CHARS = 1_000_000
 _BITS = 20
 _NONE = 1 << 60
+#: Long pieces: plain integers, so positions may be as large as any text asks for.
+_LONG_BITS = 40
+_LONG_NONE = 1 << 80
 #: White space of the Unicode property; no piece goes on past a change from other characters
 #: to white space, so texts can be cut there.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -76,9 +79,9 @@ def encode_long(piece: bytes, merges: Merges) -> list[int]:
     def leaf(i: int) -> int:
         j = after[i]
         rank = pairs.get(token[i] << _BITS | token[j]) if j < n else None
-        return _NONE if rank is None else rank << _BITS | i
+        return _LONG_NONE if rank is None else rank << _LONG_BITS | i
 
-    tree = [_NONE] * (2 * leaves)
+    tree = [_LONG_NONE] * (2 * leaves)
     tree[leaves : leaves + n] = map(leaf, range(n))
     for node in range(leaves - 1, 0, -1):
         tree[node] = min(tree[2 * node], tree[2 * node + 1])
@@ -90,13 +93,13 @@ def encode_long(piece: bytes, merges: Merges) -> list[int]:
             node //= 2
             tree[node] = min(tree[2 * node], tree[2 * node + 1])
 
-    while tree[1] < _NONE:
-        rank, i = tree[1] >> _BITS, tree[1] & ((1 << _BITS) - 1)
+    while tree[1] < _LONG_NONE:
+        rank, i = tree[1] >> _LONG_BITS, tree[1] & ((1 << _LONG_BITS) - 1)
         gone = after[i]
         token[i], token[gone], after[i] = rank, -1, after[gone]
         if after[i] < n:
             before[after[i]] = i
-        put(gone, _NONE)
+        put(gone, _LONG_NONE)
         put(i, leaf(i))
         if before[i] >= 0:
             put(before[i], leaf(before[i]))

@@ -45,6 +45,12 @@ def test_long_pieces():
         assert ENCODER.encode(text) == TIKTOKEN.encode_ordinary(text)
 
 
+def test_a_piece_of_more_than_a_mebibyte():
+    n = (1 << 20) + 5
+    merges = byte_bpe.Merges({bytes([i]): i for i in range(256)} | {b"ab": 256})
+    assert byte_bpe.encode_long(b"ab" + b"x" * n + b"ab", merges) == [256, *[ord("x")] * n, 256]
+
+
 def test_both_trees_agree():
     rng = random.Random(2)
     pieces = [bytes(rng.choice(b"abcdeth ") for _ in range(rng.randrange(1, 17))) for _ in range(300)]
