@@ -130,3 +130,28 @@ KNOWN = {
     "CC-BY-NC-4.0 (notice)": "Licensed under CC BY-NC 4.0.",
     "CC0-1.0 (notice)": "This work is dedicated to the public domain under CC0 1.0.",
 }
+
+#: SHA-256 of the canonical form of full standard texts; "(terms)" is without what follows END OF
+#: TERMS AND CONDITIONS.
+STANDARD = {
+    "Apache-2.0": "ef36af97727268b60fb709836c24580bed9887f649dba6f0fd9ef4b18232fd25",
+    "Apache-2.0 (terms)": "119e2da0e9ec849d113a40405b338c1bbbd2ef9194c22bf2740fa4e195411c40",
+    "Artistic-1.0-Perl": "e963bc30f4d3c45f45030c34409ee37315564625649c1394e32bb5ddd99e01b2",
+    "BSD-3-Clause-UC": "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651",
+    "CC0-1.0": "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e",
+    "GFDL-1.2": "974d4803f32bc52585c91f1d63d572d8e11bf3d14744649accc62ae987441597",
+    "GFDL-1.3": "34c73c47241aa82a5db0ec292e9a2c127d3bc8b07456d806aad74bbebcfc1f5d",
+    "GPL-1.0": "df6be0ef8450813e8086ffa782c39595bbed54061f3073efbe78160084f5f2f3",
+    "GPL-1.0 (terms)": "9679cb8f8a7c25e849b925136d793d1bec010b8b9270e6ba898e2cefcb3e1f6d",
+    "GPL-2.0": "ada43b21b16dd64b4b8f1d9c2ab43ff16f75a8f0f835fc2f37a0c7e65f28d243",
+    "GPL-2.0 (terms)": "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34",
+    "GPL-3.0": "1c5db3a9706da330620b6cba254c3d98d654fc625c04908e63e64d0ade6861e3",
+    "GPL-3.0 (terms)": "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636",
+    "LGPL-2.0": "4401e0261a8caf4fd55eeb0e816fda06bbc9e4b2605767f5ffdf843a5c70e07e",
+    "LGPL-2.0 (terms)": "96c47047421b3be5cae9a68c75f37fdcf07945fba0a1d6db6a3b57f9c70f75a0",
+    "LGPL-2.1": "599d9303049b507aa89582ee08dd4ddaba298764648558e7bf8e78309807bfaa",
+    "LGPL-2.1 (terms)": "a6742add8db4ff9ba6917da0bd1f95927436acfd65ae81933f1e9a859d38d9fa",
+    "LGPL-3.0": "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    "MPL-1.1": "d35837e2a25aa463ef610d84a745dd508a3e9c1424ea611c4c5939307e738d63",
+    "MPL-2.0": "12274540925f246f7614a52b7ebddfbe0463ff1ab194088c554c73552c45582d",
+}

@@ -1,6 +1,6 @@
 """Licence scan: canonical digests of whole texts, hash-joined to those of known licences.
 
-A text is brought to a canonical form (lower case, no copyright lines, equivalent spellings made
+A text is brought to a canonical form (lower case, no notices of holders, equivalent spellings made
 one, punctuation and white space folded) and its SHA-256 is looked up among the digests of the
 known licences in the same form. All of it is DataFrame functions. Besides the entire text, each
 line that speaks of a licence is looked up by itself, for notices inside longer documents.
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .license_texts import KNOWN
+from .license_texts import KNOWN, STANDARD
 
 #: Equivalent spellings, applied in this order to lower-case words separated by one space.
 SPELLINGS = (
@@ -30,15 +30,31 @@ SPELLINGS = (
     ("copyright owner", "copyright holder"),
     ("https", "http"),
 )
-#: Lines that name a copyright holder; "all rights reserved" wherever it stands.
+#: Every line that starts with the word; the SQL of the registry still drops these.
 COPYRIGHT_LINE = r"(^|\n)[ \t#*/;-]*(copyright|\(c\)|©)[^\n]*"
+#: Notices of holders, dropped in this order. By themselves, however the text is wrapped: that of
+#: the Free Software Foundation, the blanks of its appendices, and what stands between "copyright"
+#: and the opening of a licence.
+_YEAR = "(?:1[89]|20)[0-9]{2}"
+HOLDERS = (
+    r"copyright\s+\(c\)\s+[0-9,\s-]+free\s+software\s+foundation,\s+inc\.(?:\s+51\s+franklin\s+st(?:reet)?,\s+fifth\s+floor,\s+boston,\s+ma\s+02110-1301,?\s+usa)?(?:\s+<https?://(?:www\.)?fsf\.org/>)?",
+    r"copyright\s+\(c\)\s+(?:<year>|19[xy]{2}|year|_+)(?:\s+(?:<?name\s+of\s+author>?|your\s+name))?",
+    rf"(?<![\p{{L}}\p{{N}}])copyright[\s:]+(?:\(c\)|©|{_YEAR})(?:(?!copyright)[^\x00]){{1,200}}?(?=permission\s+is\s+hereby\s+granted|permission\s+to\s+use,|redistribution\s+and\s+use\s+in|this\s+software\s+is\s+provided\s+'as-is')",
+)
+#: Lines that name a holder: a year or a sign, and not a word of the licences' own sentences.
+HOLDER_LINE = rf"(^|\n)[ \t#*/;-]*(?:(?:copyright|\(c\))(?![^\n]*(?:notice|holder|owner|treaty))(?:(?<=copyright)[^\n]*(?:{_YEAR}|\(c\)|©)|(?<=\))[^\n]*{_YEAR})|©(?![^\n]*(?:notice|holder|owner)))[^\n]*"
+#: The same without a year, by the capital letter of the name.
+NAMED_LINE = r"(^|\n)[ \t#*/;-]*Copyright[ \t]+(?!(?i:[^\n]*(?:notice|holder|owner|treaty|law|licen[cs])))(?:by[ \t]+)?\p{Lu}[^\n]*"
+#: Wherever it stands.
 RIGHTS = r"all rights reserved\.?"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
-    x = F.lower(F.coalesce(text, F.lit("")))
-    x = F.regexp_replace(F.regexp_replace(x, COPYRIGHT_LINE, "\n"), RIGHTS, " ")
+    x = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), NAMED_LINE, "\n"))
+    for notice in HOLDERS:
+        x = F.regexp_replace(x, notice, " ")
+    x = F.regexp_replace(F.regexp_replace(x, HOLDER_LINE, "\n"), RIGHTS, " ")
     x = F.regexp_replace(x, OTHER, " ")
     for variant, kept in SPELLINGS:
         x = F.replace(x, F.lit(variant), F.lit(kept))
@@ -50,9 +66,14 @@ def digest(text: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known: dict[str, str] | None = None) -> DataFrame:
-    """(license_id, known_digest): as many rows as texts are given, so safe to broadcast."""
+    """(license_id, known_digest): as many rows as texts are given, so safe to broadcast. By
+    default the texts of KNOWN and the digests of STANDARD."""
     rows = [F.struct(F.lit(k).alias("license_id"), F.lit(t).alias("text")) for k, t in (KNOWN if known is None else known).items()]
-    return spark.range(1).select(F.inline(F.array(*rows))).select("license_id", digest(F.col("text")).alias("known_digest"))
+    found = spark.range(1).select(F.inline(F.array(*rows))).select("license_id", digest(F.col("text")).alias("known_digest"))
+    if known is not None:
+        return found
+    rows = [F.struct(F.lit(k).alias("license_id"), F.lit(d).alias("known_digest")) for k, d in STANDARD.items()]
+    return found.union(spark.range(1).select(F.inline(F.array(*rows))))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, str] | None = None) -> DataFrame:

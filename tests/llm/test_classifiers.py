@@ -1,4 +1,7 @@
 import random
+import re
+import textwrap
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -112,3 +115,26 @@ def test_licences_in_other_spellings(spark):
     assert all(by_id[i][0] is None for i in (4, 5, 6, 7, 8))
     assert len({r.text_digest for r in licenses.scan(docs).filter("doc_id IN (4, 5, 6)").collect()}) == 1
     assert licenses.scan(docs.limit(0)).collect() == []
+
+
+def test_licences_however_they_are_wrapped(spark):
+    rows = []
+    for name, text in KNOWN.items():
+        rows += [(name, textwrap.fill(text, width, break_long_words=False, break_on_hyphens=False)) for width in (20, 33, 47, 60, 79, 10**6)]
+        rows.append((name, re.sub(r"\s+(?=copyright)", "\n", text, flags=re.I)))
+    for name in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Zlib"):
+        held = "Copyright (c) 2020-2021 Some Body, Inc. and others\n\n" + KNOWN[name]
+        rows += [(name, textwrap.fill(held, width, break_long_words=False, break_on_hyphens=False)) for width in (20, 60, 10**6)]
+        rows += [(name, f"{line}\n{KNOWN[name]}") for line in ("Copyright The Some Authors. All rights reserved.", "(C) Some Body 2020", "© Some Body")]
+    ids = {k: i for i, k in enumerate(KNOWN)}
+    docs = spark.createDataFrame([(ids[k], t) for k, t in rows], "doc_id long, text string")
+    assert [list(KNOWN)[r.doc_id] for r in licenses.scan(docs).collect() if r.license_id != list(KNOWN)[r.doc_id]] == []
+
+
+def test_full_standard_texts(spark):
+    files = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0"}
+    found = {k: Path("/usr/share/common-licenses", f) for k, f in files.items()}
+    texts = {k: p.read_text(encoding="utf-8") for k, p in found.items() if p.exists()}
+    ids = list(texts)
+    docs = spark.createDataFrame([(ids.index(k), t) for k, x in texts.items() for t in (x, textwrap.fill(x, 50, break_long_words=False, break_on_hyphens=False), textwrap.fill(x, 10**6, break_long_words=False, break_on_hyphens=False))], "doc_id long, text string")
+    assert all(r.license_id == ids[r.doc_id] for r in licenses.scan(docs).collect())
