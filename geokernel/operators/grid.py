@@ -86,6 +86,13 @@ def transition_areas(codes: DataFrame, cell_area: float) -> DataFrame:
     return codes.filter("code > 0").groupBy("code").agg((F.count("*") * cell_area).alias("area"))
 
 
+def whole_target(cells: DataFrame, source_gsd: float = 1.0, gsd: float = 1.0) -> DataFrame:
+    """Target cells (r, c) that cover the bounds of cells, from one aggregate over them."""
+    ends = cells.agg(*[f(a).alias(f"{n}_{a}") for a in ("r", "c") for n, f in (("lo", F.min), ("hi", F.max))])
+    steps = lambda a: F.explode(F.sequence(F.floor(F.col(f"lo_{a}") * source_gsd / gsd).cast("long"), F.ceil((F.col(f"hi_{a}") + 1) * source_gsd / gsd).cast("long") - 1))
+    return ends.filter("lo_r IS NOT NULL").withColumn("r", steps("r")).withColumn("c", steps("c")).select("r", "c")
+
+
 def nearest_resample(cells: DataFrame, source_gsd: float, gsd: float, target: DataFrame) -> DataFrame:
     """The value of the source cell below the centre of each target cell (r, c)."""
     at = target.select("r", "c", F.floor((F.col("r") + 0.5) * gsd / source_gsd).cast("long").alias("sr"), F.floor((F.col("c") + 0.5) * gsd / source_gsd).cast("long").alias("sc"))

@@ -511,8 +511,8 @@ def focal_minimum(spark: SparkSession, d: str) -> DataFrame:
 
 @query(with_views("t AS (SELECT unnest(range(0, 30)) AS r), u AS (SELECT unnest(range(0, 24)) AS c), grid AS (SELECT r, c FROM t, u), gap AS (SELECT * FROM grid ANTI JOIN rast_b USING (r, c)), near AS (SELECT gap.r, gap.c, sum(v / ((gap.r - b.r) ** 2 + (gap.c - b.c) ** 2)) / sum(1 / ((gap.r - b.r) ** 2 + (gap.c - b.c) ** 2)) AS v FROM gap JOIN rast_b b ON abs(gap.r - b.r) <= 3 AND abs(gap.c - b.c) <= 3 GROUP BY 1, 2) SELECT r, c, round(v, 6) AS v FROM (SELECT grid.r, grid.c, v FROM grid JOIN rast_b USING (r, c) UNION ALL SELECT * FROM near)", "rast_b"))
 def inverse_distance_fill(spark: SparkSession, d: str) -> DataFrame:
-    target = spark.range(30 * 24).select(F.floor(F.col("id") / 24).cast("long").alias("r"), (F.col("id") % 24).alias("c"))
-    return grid.inverse_distance_fill(A.raster(spark, d, 1), target).withColumn("v", F.round("v", 6))
+    cells = A.raster(spark, d, 1)
+    return grid.inverse_distance_fill(cells, grid.whole_target(cells)).withColumn("v", F.round("v", 6))
 
 
 @query(with_views("t AS (SELECT unnest(range(1, 28)) AS r), u AS (SELECT unnest(range(1, 22)) AS c), g AS (SELECT r, c, CAST(floor((r + 0.5) * 0.75) AS BIGINT) AS sr, CAST(floor((c + 0.5) * 0.75) AS BIGINT) AS sc FROM t, u) SELECT g.r, g.c, v FROM g JOIN rast_a s ON s.r = sr AND s.c = sc", "rast_a"))
@@ -533,6 +533,30 @@ def bilinear_resample(spark: SparkSession, d: str) -> DataFrame:
     return grid.bilinear_resample(A.raster(spark, d, 0), 1.0, 0.75, target).withColumn("v", F.round("v", 6))
 
 
+_WHOLE = """e AS (SELECT min(r) AS r0, max(r) AS r1, min(c) AS c0, max(c) AS c1 FROM rast_a),
+t AS (SELECT unnest(range(CAST(floor(r0 / 0.75) AS BIGINT), CAST(ceil((r1 + 1) / 0.75) AS BIGINT))) AS r FROM e), u AS (SELECT unnest(range(CAST(floor(c0 / 0.75) AS BIGINT), CAST(ceil((c1 + 1) / 0.75) AS BIGINT))) AS c FROM e)"""
+
+
+@query(with_views(f"{_WHOLE}, g AS (SELECT r, c, CAST(floor((r + 0.5) * 0.75) AS BIGINT) AS sr, CAST(floor((c + 0.5) * 0.75) AS BIGINT) AS sc FROM t, u) SELECT g.r, g.c, v FROM g JOIN rast_a s ON s.r = sr AND s.c = sc", "rast_a"))
+def nearest_resample_whole(spark: SparkSession, d: str) -> DataFrame:
+    """As nearest_resample, over the raster's own bounds instead of a fixed window."""
+    cells = A.raster(spark, d, 0)
+    return grid.nearest_resample(cells, 1.0, 0.75, grid.whole_target(cells, 1.0, 0.75))
+
+
+@query(
+    with_views(
+        f"""{_WHOLE}, g AS (SELECT r, c, (r + 0.5::DOUBLE) * 0.75 - 0.5 AS y, (c + 0.5::DOUBLE) * 0.75 - 0.5 AS x FROM t, u),
+s AS (SELECT g.r, g.c, v * (1 - abs(y - a.r)) * (1 - abs(x - a.c)) AS part FROM g JOIN rast_a a ON a.r - floor(y) IN (0, 1) AND a.c - floor(x) IN (0, 1)) SELECT r, c, round(sum(part), 6) AS v FROM s GROUP BY r, c HAVING count(*) = 4""",
+        "rast_a",
+    )
+)
+def bilinear_resample_whole(spark: SparkSession, d: str) -> DataFrame:
+    """As bilinear_resample, over the raster's own bounds instead of a fixed window."""
+    cells = A.raster(spark, d, 0)
+    return grid.bilinear_resample(cells, 1.0, 0.75, grid.whole_target(cells, 1.0, 0.75)).withColumn("v", F.round("v", 6))
+
+
 @query()
 def raster_lowpass(spark: SparkSession, d: str) -> DataFrame:
     return grid.lowpass(A.raster(spark, d, 0), 1.5).select("r", "c", F.round("low", 6).alias("low"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geokernel.functions import scalar as S
 from geokernel.operators import fit, graph, grid, mesh, neighbours, stats, tiling
+from geokernel.plans import catalogue
 
 CELLS = "r long, c long, v double"
 
@@ -288,3 +289,20 @@ def test_check_points_are_interior_and_leave_control(spark):
     got = {r.rid for r in stats.choose_check(points, 0.3, "rid").filter("is_check").collect()}
     assert len(got) == 3 and not got & {0, 9}
     assert stats.choose_check(points.limit(4), 0.3, "rid").filter("is_check").count() == 0
+
+
+def test_resampling_reads_the_whole_raster(spark):
+    cells = spark.createDataFrame([(r, c, float(100 * r + c)) for r in range(31) for c in range(24)], "r long, c long, v double")
+    target = grid.whole_target(cells, 1.0, 0.75)
+    assert target.count() == 42 * 32
+    assert {x.v for x in grid.nearest_resample(cells, 1.0, 0.75, target).collect()} == {x.v for x in cells.collect()}
+    filled = grid.inverse_distance_fill(cells.filter("NOT (r = 30 AND c = 5)"), grid.whole_target(cells)).collect()
+    assert len(filled) == 31 * 24 and all(x.v is not None for x in filled)
+
+
+def test_registered_fill_keeps_a_31st_day(spark, tmp_path):
+    rows = [(2, f"2024-01-{day:02d} {hour:02d}:00:00", 1.0 + day) for day in (1, 30, 31) for hour in (0, 23)]
+    events = spark.createDataFrame([(u + 1, ts, v) for u, ts, v in rows], "user_id long, ts string, value double").withColumn("ts", F.to_timestamp("ts"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    got = {(x.r, x.c) for x in catalogue.inverse_distance_fill(spark, str(tmp_path)).collect()}
+    assert {(30, 0), (30, 23)} <= got
