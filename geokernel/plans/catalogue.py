@@ -579,6 +579,19 @@ def raster_component_cells(spark: SparkSession, d: str) -> DataFrame:
     return graph.raster_components(A.raster(spark, d, 0).filter("v > 120")).agg(F.count("*").alias("cells"))
 
 
+@query(
+    "WITH RECURSIVE " + A.SQL["rast_a"] + """, s AS (SELECT r, c, r * 2147483648 + c AS id FROM rast_a WHERE v > 120),
+links AS (SELECT a.id AS a, b.id AS b FROM s a JOIN s b ON abs(a.r - b.r) + abs(a.c - b.c) = 1),
+reach(root, id) AS (SELECT id, id FROM s UNION SELECT root, b FROM reach JOIN links ON id = a),
+low AS (SELECT id, min(root) AS component FROM reach GROUP BY id)
+SELECT r, c, component, count(*) OVER (PARTITION BY component) AS cells FROM s JOIN low USING (id)"""
+)
+def raster_component_labels(spark: SparkSession, d: str) -> DataFrame:
+    """The component of each cell and how many cells it has."""
+    found = written(graph.raster_components(A.raster(spark, d, 0).filter("v > 120")).select("r", "c", "component"), "components")
+    return found.join(found.groupBy("component").agg(F.count("*").alias("cells")), "component").select("r", "c", "component", "cells")
+
+
 # -- graphs -------------------------------------------------------------------------------
 
 _LINKS = "links AS (SELECT a.name AS a, b.name AS b FROM centres a JOIN centres b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 2.25)"

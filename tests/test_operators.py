@@ -306,3 +306,15 @@ def test_registered_fill_keeps_a_31st_day(spark, tmp_path):
     events.write.parquet(f"{tmp_path}/events.parquet")
     got = {(x.r, x.c) for x in catalogue.inverse_distance_fill(spark, str(tmp_path)).collect()}
     assert {(30, 0), (30, 23)} <= got
+
+
+def test_registered_raster_components_are_labelled(spark, tmp_path):
+    cells = [(1, 0), (1, 1), (2, 1), (2, 3), (3, 0)]
+    rows = [(2, f"2024-01-{day:02d} {hour:02d}:00:00", 150.0) for day, hour in cells] + [(2, "2024-01-01 02:00:00", 3.0)]
+    spark.createDataFrame(rows, "user_id long, ts string, value double").withColumn("ts", F.to_timestamp("ts")).write.parquet(f"{tmp_path}/events.parquet")
+    got = catalogue.QUERIES["raster_component_labels"](spark, str(tmp_path)).collect()
+    groups = {}
+    for x in got:
+        groups.setdefault(x.component, set()).add((x.r + 1, x.c))
+        assert x.cells == sum(y.component == x.component for y in got)
+    assert sorted(map(sorted, groups.values())) == [[(1, 0), (1, 1), (2, 1)], [(2, 3)], [(3, 0)]]
