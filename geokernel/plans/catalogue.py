@@ -633,4 +633,5 @@ def icp_report(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def m3c2_vertical(spark: SparkSession, d: str) -> DataFrame:
     a, b = _points(A.cloud_a(spark, d)), _points(A.cloud_b(spark, d))
-    return fits.m3c2(b, a, b, 2.0, 3.0)
+    radius = 2.0
+    return fits.m3c2(b, a, b, radius, max(30 * radius, 3.0))

@@ -318,3 +318,12 @@ def test_registered_raster_components_are_labelled(spark, tmp_path):
         groups.setdefault(x.component, set()).add((x.r + 1, x.c))
         assert x.cells == sum(y.component == x.component for y in got)
     assert sorted(map(sorted, groups.values())) == [[(1, 0), (1, 1), (2, 1)], [(2, 3)], [(3, 0)]]
+
+
+def test_core_points_without_an_epoch_are_kept(spark):
+    cloud = lambda rows: spark.createDataFrame(rows, "id long, x double, y double, z double")
+    core = cloud([(1, 0.0, 0.0, 0.0), (2, 50.0, 0.0, 0.0), (3, 90.0, 0.0, 0.0)])
+    before = cloud([(1, 0.0, 0.0, 0.0), (2, 0.5, 0.0, 0.0), (3, 90.0, 0.0, 40.0)])
+    after = cloud([(1, 0.0, 0.0, 2.0), (2, 0.5, 0.0, 2.0), (3, 50.0, 0.0, 0.0)])
+    got = {x.id: (x.distance, x.significant) for x in fit.m3c2(core, before, after, 2.0, 3.0).collect()}
+    assert got == {1: (2.0, True), 2: (None, False), 3: (None, False)}
