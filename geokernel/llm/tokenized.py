@@ -25,6 +25,13 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+def _chunks(text: str | None) -> list[bytes]:
+    """ascii_words, but for the case of chunks that may hold a special token."""
+    if not text or "<|" not in text:
+        return ascii_words(text)
+    return [c if b"<|" in c else c.lower() for c in text.encode("utf-8", "surrogatepass").split()]
+
+
 class ChunkTokenizer:
     """Encodes texts with a tokenizers model that lower-cases and drops white space.
 
@@ -33,14 +40,15 @@ class ChunkTokenizer:
     remembered until the memory is full. A chunk of lower-case Latin letters alone is one word
     to the tokenizer and goes to its model directly. A full stop or comma behind a letter is a token by
     itself, so a chunk that ends so is put together from the two. New chunks go in together,
-    joined by a space; the offsets tell which ids belong to which chunk."""
+    joined by a space; the offsets tell which ids belong to which chunk. Special tokens such as
+    <|endoftext|> get their own ids, as by the library's default; they are matched in their own case,
+    so a chunk that contains <| keeps its own."""
 
     def __init__(self, model_json: str, held: int = CHUNKS_HELD):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model_json)
-        self.tokenizer.encode_special_tokens = True
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.held, self.known = held, {}
 
@@ -85,7 +93,7 @@ class ChunkTokenizer:
             start = end
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [ascii_words(t) for t in texts]
+        split = [_chunks(t) for t in texts]
         if len(self.known) > self.held:
             self.known.clear()
         if new := set(chain.from_iterable(split)).difference(self.known):

@@ -39,6 +39,13 @@ def test_chunks_encode_as_the_whole_text(text):
     assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_special_tokens_are_the_librarys():
+    library = Tokenizer.from_file(WORD_JSON)
+    for text in ("a <|endoftext|> b", "A<|endoftext|>B. C", "a <|ENDOFTEXT|> b", "<|startoftext|>The end.<|endoftext|>", "x <| Y", "<|End<|endoftext|>., z"):
+        got = np.frombuffer(next(CHUNKS.encode_all([text])), "<u4").tolist()
+        assert got == library.encode(text, add_special_tokens=False).ids
+
+
 def test_long_pieces():
     rng = random.Random(1)
     for text in ("a" * 3000, "".join(rng.choice("etaoins") for _ in range(4000)), "!" * 700 + " " * 500 + "x", "the" * 300):
