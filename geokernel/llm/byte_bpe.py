@@ -13,7 +13,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Chunks that a Python worker remembers.
-CHUNKS_HELD = 300_000
+#: Pieces, and chunks, that a generation of a Python worker's memory holds.
+CHUNKS_HELD = 250_000
 #: Pieces up to this many bytes are merged in lockstep.
 LOCKSTEP = 64
 #: Characters of text that are worked on at a time.
@@ -108,6 +110,12 @@ def encode_long(piece: bytes, merges: Merges) -> list[int]:
 
 def encode_lockstep(pieces: list[bytes], width: int, merges: Merges) -> list[np.ndarray]:
     """The ids of pieces of at most width bytes (a power of two): a tree in each row."""
+    ids, ends = _lockstep(pieces, width, merges)
+    return np.split(ids, ends[:-1])
+
+
+def _lockstep(pieces: list[bytes], width: int, merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all pieces one after the other, and where each piece's end."""
     m = len(pieces)
     data = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(m, width)
     size = np.array([len(p) for p in pieces])
@@ -144,37 +152,60 @@ def encode_lockstep(pieces: list[bytes], width: int, merges: Merges) -> list[np.
                 tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
         rows = rows[tree[rows, 1] < _NONE]
     live = token[:, :-1] >= 0
-    return np.split(token[:, :-1][live], np.cumsum(live.sum(axis=1))[:-1])
+    return token[:, :-1][live], np.cumsum(live.sum(axis=1))
+
+
+class Held:
+    """What is known of strings, in two generations: when the young one is full it becomes the
+    old one, and what is asked for again moves on. Holds twice `bound` entries at most, plus
+    those of one slice of text."""
+
+    def __init__(self, bound: int):
+        self.bound, self.young, self.old = bound, {}, {}
+
+    def missing(self, wanted: set) -> set:
+        """Makes room, moves what is known to the young generation and returns the rest."""
+        if len(self.young) > self.bound:
+            self.young, self.old = {}, self.young
+        wanted.difference_update(self.young)
+        again = wanted.intersection(self.old)
+        self.young.update((x, self.old[x]) for x in again)
+        return wanted.difference(again)
 
 
 class Encoder:
-    """Encodes and decodes texts; remembers chunks up to a bound."""
+    """Encodes and decodes texts; remembers pieces and chunks up to a bound."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, held: int = CHUNKS_HELD):
-        self.merges, self.pattern, self.held = Merges(ranks), regex.compile(pattern), held
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.merges, self.pattern = Merges(ranks), regex.compile(pattern)
+        self.decimal = [str(i).encode() for i in range(len(self.merges.tokens))]
+        #: Ids as decimal numbers joined by commas, and packed, of pieces and of chunks.
+        self.pieces, self.chunks = Held(held), Held(held)
 
-    def encode_pieces(self, pieces: list[bytes]) -> dict[bytes, np.ndarray]:
+    def encode_pieces(self, pieces: set[bytes]) -> dict[bytes, list[int]]:
         """Ids of distinct pieces; a piece that is a token is that token."""
         found, groups = {}, {}
         for piece in pieces:
             rank = self.merges.ranks.get(piece)
             if rank is not None:
-                found[piece] = np.array([rank], np.int64)
+                found[piece] = [rank]
             elif len(piece) > LOCKSTEP:
-                found[piece] = np.array(encode_long(piece, self.merges), np.int64)
+                found[piece] = encode_long(piece, self.merges)
             else:
                 groups.setdefault(1 << (len(piece) - 1).bit_length(), []).append(piece)
         for width, some in groups.items():
-            found.update(zip(some, encode_lockstep(some, width, self.merges), strict=True))
+            ids, ends = (x.tolist() for x in _lockstep(some, width, self.merges))
+            found.update((p, ids[a:b]) for p, a, b in zip(some, [0, *ends], ends, strict=False))
         return found
 
     def _learn(self, chunks: set[str]) -> None:
         cut = {c: [p.encode("utf-8", "surrogatepass") for p in self.pattern.findall(c)] for c in chunks}
-        ids = self.encode_pieces(list({p for pieces in cut.values() for p in pieces}))
-        for chunk, pieces in cut.items():
-            x = np.concatenate([ids[p] for p in pieces])
-            self.known[chunk] = (",".join(map(str, x.tolist())).encode(), x.astype("<u4").tobytes())
+        pieces, decimal = self.pieces, self.decimal
+        new = self.encode_pieces(pieces.missing(set(chain.from_iterable(cut.values()))))
+        pieces.young.update((p, (b",".join([decimal[i] for i in ids]), struct.pack(f"<{len(ids)}I", *ids))) for p, ids in new.items())
+        known, of = self.chunks.young, pieces.young
+        for chunk, some in cut.items():
+            known[chunk] = of[some[0]] if len(some) == 1 else (b",".join([of[p][0] for p in some]), b"".join([of[p][1] for p in some]))
 
     def encode_all(self, texts: list[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """For each text its ids as decimal numbers joined by commas, and as packed integers."""
@@ -185,14 +216,11 @@ class Encoder:
                 chars += len(texts[end] or "")
                 end += 1
             split = [_CHUNKS.findall(t) if t else [] for t in texts[start:end]]
-            if len(self.known) > self.held:
-                self.known.clear()
-            known = self.known
-            new = {c for chunks in split for c in chunks if c not in known}
-            if new:
+            if new := self.chunks.missing(set(chain.from_iterable(split))):
                 self._learn(new)
+            known = self.chunks.young.__getitem__
             for chunks in split:
-                parts = [known[c] for c in chunks]
+                parts = list(map(known, chunks))
                 yield b",".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
             start = end
 
