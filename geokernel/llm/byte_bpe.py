@@ -15,6 +15,7 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -231,12 +232,18 @@ class Encoder:
         return b"".join(map(self.merges.tokens.__getitem__, ids))
 
 
+@lru_cache(1)
+def _encoder(ranks: bytes, pattern: str) -> Encoder:
+    """One for all tasks of a Python worker, so what it remembers serves the next task too."""
+    return Encoder({base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}, pattern)
+
+
 def _encoded(docs: DataFrame, rank_path: str, pattern: str, row_of, schema: str) -> DataFrame:
     with open(rank_path, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder({base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.value.splitlines())}, pattern)
+        encoder = _encoder(ranks.value, pattern)
         for batch in batches:
             rows = [row_of(encoder, i, *found) for i, found in zip(batch["doc_id"].to_pylist(), encoder.encode_all(batch["text"].to_pylist()), strict=True)]
             yield pa.RecordBatch.from_pylist(rows, run_schema)
