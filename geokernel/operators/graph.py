@@ -5,29 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geokernel.operators.tables import written
+from geokernel.operators.tables import Rounds
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """One large-star and one small-star step over edges (child > parent)."""
+    both = edges.select("child", "parent").union(edges.select(F.col("parent"), F.col("child"))).toDF("node", "other")
+    lowest = both.groupBy("node").agg(F.min("other").alias("low"))
+    lowest = lowest.select("node", F.least("node", "low").alias("low"))
+    large = both.filter(F.col("other") > F.col("node")).join(lowest, "node").select(F.col("other").alias("node"), F.col("low").alias("other")).distinct()
+    lowest = large.groupBy("node").agg(F.min("other").alias("low"))
+    ends = F.array(F.struct(F.col("node").alias("child"), F.col("low").alias("parent")), F.struct(F.col("other").alias("child"), F.col("low").alias("parent")))
+    return large.join(lowest, "node").select(F.inline(ends)).filter("child > parent").distinct()
+
+
+def _print_of(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("child", "parent").cast("decimal(38,0)"))).first())
+
+
+def linked_roots(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root) for every node of the links; root is the smallest node reachable.
+
+    Alternating large-star and small-star steps (Kiveris et al., 2014). Links with a null end
+    and self-links are ignored. A hot node is only ever on the wide side of an equi-join whose
+    other side has one row a node, so adaptive execution can split it. Every round is written to
+    the shared folder; only a count and a checksum reach the driver."""
+    edges = links.select(F.greatest(a, b).alias("child"), F.least(a, b).alias("parent")).filter("child > parent").distinct()
+    rounds = Rounds(links.sparkSession, "edges")
+    edges = rounds.write(edges)
+    seen = _print_of(edges)
+    while seen[0]:
+        edges = rounds.write(_stars(edges))
+        now = _print_of(edges)
+        if now == seen:
+            break
+        seen = now
+    roots = edges.select(F.col("child").alias("node"), F.col("parent").alias("root"))
+    return roots.union(edges.select("parent").distinct().select(F.col("parent").alias("node"), F.col("parent").alias("root")))
 
 
 def components(nodes: DataFrame, edges: DataFrame, node: str = "id") -> DataFrame:
-    """(id, component) for every node; component is the smallest id reachable over (a, b).
-
-    Hook and jump: each round a component takes the smallest label among its neighbours and then
-    its label's label, so long chains need a logarithmic number of rounds. Each round is written
-    to the checkpoint folder; the driver sees a count."""
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).toDF("a", "b").distinct(), "edges")
-    labels = written(nodes.select(F.col(node).alias("id"), F.col(node).alias("component")), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("component").alias("low"))
-        hooked = labels.join(near.withColumnRenamed("a", "id"), "id", "left").select("id", "component", F.least("component", F.coalesce("low", "component")).alias("low"))
-        # A component's own representative also takes what any of its members has found.
-        best = hooked.groupBy("component").agg(F.min("low").alias("best"))
-        hooked = hooked.join(best, "component").select("id", F.col("component").alias("old"), F.least("low", "best").alias("component"))
-        hooked = written(hooked, "labels")
-        jump = hooked.select(F.col("id").alias("component"), F.col("component").alias("further"))
-        after = written(hooked.join(jump, "component").select("id", "old", F.col("further").alias("component")), "labels")
-        if after.filter("old <> component").isEmpty():
-            return after.select("id", "component")
-        labels = after.select("id", "component")
+    """(id, component) for every node; component is the smallest id reachable over (a, b)."""
+    roots = linked_roots(edges).withColumnRenamed("node", "id")
+    return nodes.select(F.col(node).alias("id")).join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("component"))
 
 
 def raster_components(cells: DataFrame) -> DataFrame:
@@ -57,7 +77,7 @@ def fill_holes(filled: DataFrame, rows: int, cols: int, max_cells: int) -> DataF
 
     at = lambda df: df.select((F.col("r") * cols + F.col("c")).alias("id"), F.col("c").cast("double").alias("x"), F.col("r").cast("double").alias("y"))
     holes = interior_holes(filled, rows, cols, max_cells)
-    near = nearest(at(holes), at(filled), 2.0, axes=("x", "y"))
+    near = nearest(at(holes), at(filled), axes=("x", "y"))
     source = filled.select((F.col("r") * cols + F.col("c")).alias("other"), "v")
     new = near.join(source, "other").select(F.floor(F.col("id") / cols).cast("long").alias("r"), (F.col("id") % cols).alias("c"), "v")
     return filled.select("r", "c", "v").union(new)

@@ -1,8 +1,9 @@
 """Nearest-neighbour and radius joins over a grid of cells.
 
-A query looks into its own cell and those around it. What it finds there within one cell width is
-settled; the others look again with cells twice as wide, until a cell width spans both sets. The
-result is that of comparing all with all, from equi-joins on cell indices alone."""
+A nearest join looks at the two cells of each axis that lie next to a query. What it finds there
+within half a cell width is settled; the others look again with cells twice as wide, until a cell
+spans both sets. The first width comes from how full cells are where the points are. The result
+is that of comparing all with all, from equi-joins on cell indices alone."""
 
 from __future__ import annotations
 
@@ -14,6 +15,12 @@ from pyspark.sql import functions as F
 from geokernel.operators.tables import written
 
 AXES = ("x", "y", "z")
+#: Points that the cell of an average point may hold, besides the k asked for.
+OCCUPANCY = 4.0
+#: Points of a cell that travel together.
+PIECE = 64
+#: Bound on the sample that the first width is read from, and the widths that are tried.
+WIDTH_ROWS, WIDTH_LEVELS = 50_000, 24
 
 
 def _cells(axes: tuple[str, ...], width: float, shift: tuple[int, ...] | None = None) -> list[Column]:
@@ -35,33 +42,91 @@ def _pairs(queries: DataFrame, points: DataFrame, axes: tuple[str, ...], cell_ax
     return _probes(queries.select("id", *axes), cell_axes, width).join(held, keys).withColumn("d2", _distance2(axes))
 
 
-def nearest(queries: DataFrame, points: DataFrame, width: float, k: int = 1, axes: tuple[str, ...] = AXES, cell_axes: tuple[str, ...] | None = None, exclude_self: bool = False, payload: tuple[str, ...] = ()) -> DataFrame:
+def _distinct_places(points: DataFrame, axes: tuple[str, ...], most: int) -> DataFrame:
+    """Of points in exactly one place those with the lowest ids, as many as an answer can name."""
+    order = Window.partitionBy(*axes).orderBy("id")
+    return points.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).drop("place")
+
+
+def cell_width(points: DataFrame, axes: tuple[str, ...], span: float, n: int, occupancy: float) -> float:
+    """The largest width, of those that halve the span, at which the cell of an average point
+    holds at most so many points.
+
+    Read off a bounded sample of WIDTH_ROWS points; the width decides how much is looked at, not
+    what is found."""
+    if span <= 0 or n == 0:
+        return 1.0
+    share = min(1.0, WIDTH_ROWS / n)
+    sample = points.select(*axes).sample(share, 7) if share < 1 else points.select(*axes)
+    levels = sample.withColumn("width", F.explode(F.array(*[F.lit(span / 2**j) for j in range(1, WIDTH_LEVELS)])))
+    cells = levels.groupBy("width", *[F.floor(F.col(a) / F.col("width")).alias(f"cell_{a}") for a in axes]).agg(F.count("*").cast("double").alias("n"))
+    full = cells.groupBy("width").agg((1 + (F.sum(F.col("n") * F.col("n")) / F.sum("n") - 1) / share).alias("full")).collect()
+    fit = [r["width"] for r in full if r["full"] <= occupancy]
+    return max(fit) if fit else span / 2 ** (WIDTH_LEVELS - 1)
+
+
+def _beside(axes: tuple[str, ...], width: float) -> Column:
+    """The two cells along each axis between whose centres a query lies."""
+    low = {a: F.floor(F.col(a) / width - 0.5).cast("long") for a in axes}
+    return F.array(*[F.struct(*[(low[a] + d).alias(f"cell_{a}") for a, d in zip(axes, shift, strict=True)]) for shift in product((0, 1), repeat=len(axes))])
+
+
+def _candidates(queries: DataFrame, points: DataFrame, axes: tuple[str, ...], cell_axes: tuple[str, ...], width: float, k: int, exclude_self: bool, payload: tuple[str, ...], few: bool) -> DataFrame:
+    """(id, near): the up to k nearest points of each query in each piece of a cell beside it.
+
+    The points of a cell go along as arrays of at most PIECE points. few: the queries are what
+    an earlier round left, so points that none of them can see are dropped before the shuffle."""
+    keys = [f"cell_{a}" for a in cell_axes]
+    held = points.select(F.col("id").alias("other"), *axes, *payload, *_cells(cell_axes, width))
+    if few:
+        held = held.join(queries.select(F.inline(_beside(cell_axes, width))).distinct(), keys, "left_semi")
+    piece = F.floor((F.row_number().over(Window.partitionBy(*keys).orderBy("other")) - 1) / PIECE)
+    pieces = held.withColumn("piece", piece).groupBy(*keys, "piece").agg(F.collect_list(F.struct("other", *axes, *payload)).alias("points"))
+    asked = queries.select("id", *axes, F.inline(_beside(cell_axes, width))).join(pieces.drop("piece"), keys)
+
+    def measured(p: Column) -> Column:
+        d2 = sum(((F.col(a) - p[a]) * (F.col(a) - p[a]) for a in axes), F.lit(0.0))
+        return F.struct(d2.alias("d2"), p["other"].alias("other"), *[p[c].alias(c) for c in payload])
+
+    seen = F.filter("points", lambda p: p["other"] != F.col("id")) if exclude_self else F.col("points")
+    seen = F.transform(seen, measured)
+    if k == 1:
+        return asked.select("id", F.array_min(seen).alias("near")).filter("near IS NOT NULL")
+    return asked.select("id", F.explode(F.slice(F.array_sort(seen), 1, k)).alias("near"))
+
+
+def nearest(queries: DataFrame, points: DataFrame, width: float | None = None, k: int = 1, axes: tuple[str, ...] = AXES, cell_axes: tuple[str, ...] | None = None, exclude_self: bool = False, payload: tuple[str, ...] = ()) -> DataFrame:
     """(id, other, d2, rank) for the k nearest points of each query; ties go to the lower id.
 
     queries and points have id and the axes; cells may use fewer axes than the distance does.
-    With exclude_self a point is not its own neighbour. Queries with fewer than k points at all
-    get what there is."""
+    width: of the first cells, by default found from the points. With exclude_self a point is
+    not its own neighbour. Queries with fewer than k points at all get what there is."""
     cell_axes = cell_axes or axes
-    box = points.select(*axes).union(queries.select(*axes)).agg(*[(F.max(a) - F.min(a)).alias(a) for a in cell_axes]).first()
-    span = max((box[a] or 0.0) for a in cell_axes)
-    order = Window.partitionBy("id").orderBy("d2", "other")
+    queries, points = queries.select("id", *axes), points.select("id", *axes, *payload)
+    box = points.select(*axes).withColumn("point", F.lit(1)).union(queries.select(*axes, F.lit(0))).agg(F.sum("point").alias("n"), *[(F.max(a) - F.min(a)).alias(a) for a in cell_axes]).first()
+    span = float(max((box[a] or 0.0) for a in cell_axes))
+    points = written(_distinct_places(points, axes, k + exclude_self), "places")
+    width = width or cell_width(points, cell_axes, span, box["n"] or 0, OCCUPANCY + k)
     out = None
     while True:
-        found = _pairs(queries, points, axes, cell_axes, width)
-        if exclude_self:
-            found = found.filter(F.col("other") != F.col("id"))
-        ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("id", "other", "d2", "rank", *payload)
-        last = width > span
+        found = _candidates(queries, points, axes, cell_axes, width, k, exclude_self, payload, out is not None)
+        if k == 1:
+            ranked = found.groupBy("id").agg(F.min("near").alias("near")).select("id", "near.*").withColumn("rank", F.lit(1))
+        else:
+            order = Window.partitionBy("id").orderBy("d2", "other")
+            ranked = found.select("id", "near.*").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        ranked = ranked.select("id", "other", "d2", "rank", *payload)
+        last = width > 2 * span
         if last and out is None:
             return ranked
         ranked = written(ranked, "near")
         if not last:
-            settled = ranked.groupBy("id").agg(F.max("rank").alias("n"), F.max("d2").alias("worst")).filter((F.col("n") == k) & (F.col("worst") <= width * width)).select("id")
-            ranked = ranked.join(settled, "id", "left_semi")
+            sure = ranked.groupBy("id").agg(F.max("rank").alias("n"), F.max("d2").alias("worst")).filter((F.col("n") == k) & (F.col("worst") <= width * width / 4)).select("id")
+            ranked = ranked.join(sure, "id", "left_semi")
         out = ranked if out is None else out.union(ranked)
         if last:
             return out
-        queries = written(queries.join(settled, "id", "left_anti"), "queries")
+        queries = written(queries.join(sure, "id", "left_anti"), "queries")
         if queries.isEmpty():
             return out
         width *= 2
@@ -78,13 +143,13 @@ def distance_summary(neighbours: DataFrame) -> DataFrame:
     return neighbours.agg(F.count("*").alias("n"), F.avg(d).alias("mean"), F.stddev_pop(d).alias("std"), F.sqrt(F.avg("d2")).alias("rms"), F.percentile(d, F.lit(0.95)).alias("p95"), F.max(d).alias("max"))
 
 
-def spacing(points: DataFrame, width: float, axes: tuple[str, ...] = AXES) -> DataFrame:
+def spacing(points: DataFrame, width: float | None = None, axes: tuple[str, ...] = AXES) -> DataFrame:
     """One row (spacing): median distance to the nearest other point, zeros left out."""
     d2 = nearest(points, points, width, axes=axes, exclude_self=True)
     return d2.filter("d2 > 0").agg(F.median(F.sqrt("d2")).alias("spacing"))
 
 
-def roughness(points: DataFrame, width: float, k: int = 16) -> DataFrame:
+def roughness(points: DataFrame, width: float | None = None, k: int = 16) -> DataFrame:
     """(id, residual): distance of each point to the plane through it and its k neighbours."""
     import numpy as np
     import pandas as pd

@@ -447,7 +447,7 @@ _NN = "near AS (SELECT b.pid AS id, min((a.x - b.x) * (a.x - b.x) + (a.y - b.y)
 
 @query(with_views(f"{_NN} SELECT id, d2 FROM near", "cloud_a", "cloud_b"))
 def nn_distance(spark: SparkSession, d: str) -> DataFrame:
-    return neighbours.nearest(_points(A.cloud_b(spark, d)), _points(A.cloud_a(spark, d)), 2.0, cell_axes=("x", "y")).select("id", "d2")
+    return neighbours.nearest(_points(A.cloud_b(spark, d)), _points(A.cloud_a(spark, d))).select("id", "d2")
 
 
 @query(with_views(f"{_NN} SELECT count(*) AS n, round(avg(sqrt(d2)), 6) AS mean, round(stddev_pop(sqrt(d2)), 6) AS std, round(sqrt(avg(d2)), 6) AS rms, round(quantile_cont(sqrt(d2), 0.95), 6) AS p95, round(max(sqrt(d2)), 6) AS max, round(avg(CASE WHEN sqrt(d2) <= 0.125 THEN 1.0::DOUBLE ELSE 0 END), 9) AS completeness FROM near", "cloud_a", "cloud_b"))
@@ -460,20 +460,20 @@ def completeness(spark: SparkSession, d: str) -> DataFrame:
 @query(with_views("near AS (SELECT b.pid AS id, arg_min(a.cls, {'d': (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z), 'p': a.pid}) AS cls FROM cloud_b b, cloud_a a WHERE abs(a.x - b.x) <= 4 AND abs(a.y - b.y) <= 4 GROUP BY b.pid) SELECT id, cls FROM near", "cloud_a", "cloud_b"))
 def nn_class_transfer(spark: SparkSession, d: str) -> DataFrame:
     fixed = A.cloud_a(spark, d).select(F.col("pid").alias("id"), "x", "y", "z", "cls")
-    return neighbours.nearest(_points(A.cloud_b(spark, d)), fixed, 2.0, cell_axes=("x", "y"), payload=("cls",)).select("id", "cls")
+    return neighbours.nearest(_points(A.cloud_b(spark, d)), fixed, payload=("cls",)).select("id", "cls")
 
 
 @query(with_views("near AS (SELECT b.name, min((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d2 FROM centres a, centres b WHERE a.name <> b.name GROUP BY b.name) SELECT round(2 * median(sqrt(d2)), 9) AS eps FROM near WHERE d2 > 0", "centres"))
 def auto_eps(spark: SparkSession, d: str) -> DataFrame:
     points = A.centres(spark, d).select(F.col("name").alias("id"), "x", "y")
-    return neighbours.spacing(points, 2.0, axes=("x", "y")).select(F.round(2.0 * F.col("spacing"), 9).alias("eps"))
+    return neighbours.spacing(points, axes=("x", "y")).select(F.round(2.0 * F.col("spacing"), 9).alias("eps"))
 
 
 @query()
 def surface_roughness(spark: SparkSession, d: str) -> DataFrame:
     """Distance of lattice vertices to the plane of their neighbourhood."""
     v = A.vertices(spark, d).select(F.col("vid").alias("id"), "x", "y", "z")
-    return neighbours.roughness(v, 3.0, 8).select("id", F.round("residual", 6).alias("residual"))
+    return neighbours.roughness(v, k=8).select("id", F.round("residual", 6).alias("residual"))
 
 
 # -- meshes and rasters -------------------------------------------------------------------
@@ -624,7 +624,7 @@ def exposure_half_steps(spark: SparkSession, d: str) -> DataFrame:
 def icp_report(spark: SparkSession, d: str) -> DataFrame:
     """Registration of the later epoch on the earlier one over the area that did not change."""
     a, b = _points(A.cloud_a(spark, d)), _points(A.cloud_b(spark, d))
-    found = fits.stable_registration(b, a, 1.0)
+    found = fits.stable_registration(b, a)
     t = [float(x) for x in found["t"]]
     row = (found["stable_fraction"], found["registration_error"], *t)
     return spark.createDataFrame([row], "stable_fraction double, registration_error double, tx double, ty double, tz double")
