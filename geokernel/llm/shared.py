@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from geokernel.operators.tables import shared_path as shared_path
+from geokernel.operators.tables import written as as_table
 
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -15,21 +17,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def as_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write df once into the shared folder and read it back: later stages survive lost
-    executors without recomputing what came before."""
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """docs with row_key, which tells every row from every other, equal ones included: its file
+    and its place there. Rows that come from no file are written to the shared folder first."""
+    place = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    try:
+        return docs.select(*docs.columns, F.concat_ws(":", *place).alias("row_key"))
+    except AnalysisException:
+        docs = as_table(docs, "rows")
+        return docs.select(*docs.columns, F.concat_ws(":", *place).alias("row_key"))
 
 
 def ascii_words(text: str | None) -> list[bytes]:

@@ -5,44 +5,52 @@ text and the probabilities of all categories before it (Read et al., 2011). Whil
 is trained, those earlier probabilities come from models that did not see the row (out of fold),
 so training and scoring feed it the same kind of input.
 
-labels has one toxic flag. Two weak categories are derived from it on the training sample and
-stand before it in the chain: `explicit` (holds several of the words that the sample's toxic rows
-use and its clean rows do not) and `dense` (such words are a larger share of the text than in
-the median toxic row). `toxic`, the given label, is last and decides.
+labels has one toxic flag. Two weak categories stand before it in the chain: `explicit` (several
+words of the text have marked stems) and `dense` (such words are a larger share of the text than
+in the median text that holds any). Marked are the stems that toxic rows of the fit use and its
+clean rows hardly do; the two categories ask only for the words, so clean rows may have them.
+`toxic`, the given label, is last and decides. Stems, features and their weights are drawn anew
+in each fold from the rows that the fold's models are fitted on.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .grams import hashed_grams
+from .grams import gram_counts
+from .samples import lowest_draws
+from .shared import as_table
 
 GRAMS = (4, 5)
 BITS = 18
 #: Bounds on the labelled rows of the fit.
-TOXIC_ROWS, CLEAN_ROWS = 3500, 4500
-FOLDS = 2
-EPOCHS = 6
-BATCH = 128
-#: Small samples are gone through more often, for about so many steps.
-LEAST_STEPS = 300
-#: Keeps the features of a short text from being blown up to the norm of a long one's.
-DAMPING = 2000.0
+TOXIC_ROWS, CLEAN_ROWS = 4000, 5000
+FOLDS = 3
+#: Every model takes this many steps over so many rows each, whatever the size of the sample.
+STEPS, BATCH = 800, 64
+#: Hashed n-grams that a model uses: those that tell toxic rows from clean ones best.
+FEATURES = 4096
+#: Keeps the features of a text with few of them from being blown up.
+DAMPING = 200.0
 SCALE = 8.0
 #: Share of clean rows that the rejection threshold may cost, by out-of-fold scores.
-CLEAN_LOST, LEAST_SCORE = 0.002, 0.2
+CLEAN_LOST, LEAST_SCORE = 0.002, 0.5
 CATEGORIES = ("explicit", "dense", "toxic")
-#: Weak labels: stems occur in this many toxic sample rows at least and in clean ones this
-#: share of that at most; `explicit` rows hold this many.
-STEM, STEM_ROWS, STEM_CLEAN, EXPLICIT_WORDS = 5, 8, 0.05, 3
+#: Marked stems occur in this many toxic rows at least and in clean ones this share of that at
+#: most; `explicit` texts hold so many words with one.
+STEM, STEM_ROWS, STEM_CLEAN, EXPLICIT_WORDS = 5, 8, 0.05, 2
+_WORD = re.compile(r"[^\W\d_]+")
+
+Bags = list[tuple[np.ndarray, np.ndarray]]
 
 
 @dataclass
@@ -57,23 +65,37 @@ class Linear:
 
 @dataclass
 class Chain:
+    #: The column of each hashed n-gram, -1 for those that no model uses.
+    place: np.ndarray
+    #: Of each column, how rare its n-gram is.
     idf: np.ndarray
     models: list[Linear] = field(default_factory=list)
     categories: tuple[str, ...] = CATEGORIES
     threshold: float = 2.0
 
-    def vector(self, u: np.ndarray, c: np.ndarray) -> np.ndarray:
-        v = np.log1p(c) * self.idf[u]
+    def vector(self, columns: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        v = np.log1p(counts) * self.idf[columns]
         return (SCALE * v / np.sqrt(v @ v + DAMPING)).astype(np.float32)
 
+    def vectors(self, bags: Bags) -> Bags:
+        """Rows of (hashed n-grams, counts) as rows of (columns, values)."""
+        out = []
+        for u, c in bags:
+            at = self.place[u]
+            used = at >= 0
+            out.append((at[used], self.vector(at[used], c[used])))
+        return out
+
     def predict(self, text: str | None) -> list[float]:
         """The probability of each category, in the chain's order."""
         if not text or not self.models:
             return [0.0] * len(self.categories)
-        u, c = np.unique(hashed_grams(text, GRAMS, BITS), return_counts=True)
-        v, found = self.vector(u, c), np.zeros(0)
+        columns, counts = gram_counts(text, GRAMS, BITS, self.place, len(self.idf))
+        if not len(columns):
+            return [0.0] * len(self.categories)
+        v, found = self.vector(columns, counts), np.zeros(0)
         for model in self.models:
-            found = np.append(found, _sigmoid(model.score(u, v, found)))
+            found = np.append(found, _sigmoid(model.score(columns, v, found)))
         return found.tolist()
 
 
@@ -81,54 +103,79 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_linear(bags: list, vectors: list, y: np.ndarray, weight: np.ndarray, earlier: np.ndarray, epochs: int = EPOCHS, rate: float = 0.08, seed: int = 5) -> Linear:
-    """Logistic regression by mini-batches with per-feature step sizes."""
-    size = 1 << BITS
-    w, g2 = np.zeros(size), np.full(size, 1e-6)
+def fit_linear(rows: Bags, y: np.ndarray, earlier: np.ndarray, width: int, steps: int = STEPS, rate: float = 0.08, seed: int = 5) -> Linear:
+    """Logistic regression by mini-batches with a step size for each feature."""
+    w, g2 = np.zeros(width), np.full(width, 1e-6)
     extra, e2 = np.zeros(earlier.shape[1]), np.full(earlier.shape[1], 1e-6)
-    bias, rng = -2.0, np.random.default_rng(seed)
-    for _ in range(max(epochs, min(50, LEAST_STEPS * BATCH // max(1, len(bags))))):
-        order = rng.permutation(len(bags))
-        for at in range(0, len(order), BATCH):
-            some = order[at : at + BATCH]
-            u = np.concatenate([bags[i] for i in some])
-            v = np.concatenate([vectors[i] for i in some])
-            row = np.repeat(np.arange(len(some)), [len(bags[i]) for i in some])
-            z = np.bincount(row, w[u] * v, len(some)) + bias + earlier[some] @ extra
-            d = (_sigmoid(z) - y[some]) * weight[some]
-            g = np.bincount(u, d[row] * v, size) + 1e-4 * w
-            g2 += g * g
-            w -= rate * g / np.sqrt(g2)
-            if len(extra):
-                ge = d @ earlier[some]
-                e2 += ge * ge
-                extra -= rate * ge / np.sqrt(e2)
-            bias -= 0.05 * d.mean()
+    bias, rng, n = -2.0, np.random.default_rng(seed), len(rows)
+    order = np.concatenate([rng.permutation(n) for _ in range(-(-steps * BATCH // n))]) if n else np.zeros(0, int)
+    for at in range(0, min(len(order), steps * BATCH), BATCH):
+        some = order[at : at + BATCH]
+        u = np.concatenate([rows[i][0] for i in some])
+        v = np.concatenate([rows[i][1] for i in some])
+        row = np.repeat(np.arange(len(some)), [len(rows[i][0]) for i in some])
+        z = np.bincount(row, w[u] * v, len(some)) + bias + earlier[some] @ extra
+        d = _sigmoid(z) - y[some]
+        g = np.bincount(u, d[row] * v, width) + 1e-4 * w
+        g2 += g * g
+        w -= rate * g / np.sqrt(g2)
+        if len(extra):
+            ge = d @ earlier[some]
+            e2 += ge * ge
+            extra -= rate * ge / np.sqrt(e2)
+        bias -= 0.05 * d.mean()
     return Linear(w.astype(np.float32), bias, extra)
 
 
-def train_chain(bags: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, weight: np.ndarray | None = None, categories: tuple[str, ...] = CATEGORIES, folds: int = FOLDS) -> Chain:
-    """Fit the chain on sparse rows (feature ids, counts) and a column of labels a category.
-
-    weight: how much a row counts, for samples that are richer in one class than the data."""
-    n = len(bags)
-    frequency = np.zeros(1 << BITS)
-    for u in bags:
-        frequency[u] += 1
-    chain = Chain(np.log((n + 1) / (frequency + 1)).astype(np.float32), categories=tuple(categories))
-    weight = np.ones(n) if weight is None else weight
-    vectors = [chain.vector(u, c) for u, c in zip(bags, counts, strict=True)]
-    fold = np.random.default_rng(9).permutation(n) % folds
-    earlier, last = np.zeros((n, 0)), None
+def telling(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, features: int = FEATURES) -> np.ndarray:
+    """The n-grams whose share of toxic rows differs most from that of clean ones, by the
+    two-proportion z score; toxic and clean: how many rows of either kind hold each n-gram."""
+    p = (toxic + clean) / max(1, n_toxic + n_clean)
+    spread = np.sqrt(p * (1 - p) * (1 / max(1, n_toxic) + 1 / max(1, n_clean)))
+    z = np.abs(toxic / max(1, n_toxic) - clean / max(1, n_clean)) / np.maximum(spread, 1e-9)
+    z[p == 0] = -1
+    best = np.argsort(-z, kind="stable")[:features]
+    return best[z[best] >= 0]
+
+
+def _opened(bags: Bags, y: np.ndarray, categories: tuple[str, ...]) -> Chain:
+    """A chain without models: the features of these rows and their rarity."""
+    held = np.zeros((2, 1 << BITS))
+    for (u, _), t in zip(bags, y, strict=True):
+        held[int(t)][u] += 1
+    best = np.sort(telling(held[1], held[0], int(y.sum()), int((1 - y).sum())))
+    place = np.full(1 << BITS, -1, np.int32)
+    place[best] = np.arange(len(best))
+    idf = np.log((len(bags) + 1) / (held[:, best].sum(axis=0) + 1)).astype(np.float32)
+    return Chain(place, idf, categories=tuple(categories))
+
+
+def train_chain(bags: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray | Callable[[np.ndarray], np.ndarray], categories: tuple[str, ...] = CATEGORIES, folds: int = FOLDS, fold: np.ndarray | None = None) -> Chain:
+    """Fit the chain on sparse rows (feature ids, counts).
+
+    labels: a column a category, or a function that gives those columns for all rows as the
+    rows it is given, those of a fit, define them. The last category decides and is the same
+    for all fits. fold: the fold of each row, drawn where it is not given."""
+    n, rows = len(bags), list(zip(bags, counts, strict=True))
+    label_of = labels if callable(labels) else lambda fit: labels
+    everything = np.arange(n)
+    fold = np.random.default_rng(9).permutation(n) % folds if fold is None else fold
+    y = label_of(everything)
+    fits = []
+    for f in range(folds):
+        fit, rest = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+        part = _opened([rows[i] for i in fit], y[fit, -1], categories)
+        fits.append((fit, rest, part, part.vectors(rows), label_of(fit)))
+    chain = _opened(rows, y[:, -1], categories)
+    vectors, earlier, out = chain.vectors(rows), np.zeros((n, 0)), np.zeros(n)
     for k in range(len(categories)):
-        y, out = labels[:, k].astype(float), np.zeros(n)
-        for f in range(folds):
-            fit, rest = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            model = fit_linear([bags[i] for i in fit], [vectors[i] for i in fit], y[fit], weight[fit], earlier[fit])
-            out[rest] = [_sigmoid(model.score(bags[i], vectors[i], earlier[i])) for i in rest]
-        chain.models.append(fit_linear(bags, vectors, y, weight, earlier))
-        earlier, last = np.column_stack([earlier, out]), (y, out)
-    chain.threshold = _threshold(*last) if last else 2.0
+        out = np.zeros(n)
+        for fit, rest, part, seen, own in fits:
+            model = fit_linear([seen[i] for i in fit], own[fit, k].astype(float), earlier[fit], len(part.idf))
+            out[rest] = [_sigmoid(model.score(*seen[i], earlier[i])) for i in rest]
+        chain.models.append(fit_linear(vectors, y[:, k].astype(float), earlier, len(chain.idf)))
+        earlier = np.column_stack([earlier, out])
+    chain.threshold = _threshold(y[:, -1], out)
     return chain
 
 
@@ -138,73 +185,109 @@ def _threshold(y: np.ndarray, p: np.ndarray) -> float:
     return float(max(LEAST_SCORE, np.quantile(clean, 1 - CLEAN_LOST))) if len(clean) and y.any() else 2.0
 
 
-def weak_categories(stems: list[Counter], toxic: np.ndarray) -> np.ndarray:
-    """Columns explicit and dense beside toxic, for sample rows given by their stem counts."""
-    bad, good = Counter(), Counter()
-    for row, t in zip(stems, toxic, strict=True):
-        (bad if t else good).update(row.keys())
-    scale = max(1, int(toxic.sum())) / max(1, int((toxic == 0).sum()))
-    marked = {s for s, n in bad.items() if n >= STEM_ROWS and good[s] * scale <= STEM_CLEAN * n}
-    hits = np.array([sum(n for s, n in row.items() if s in marked) for row in stems], float)
-    share = hits / np.maximum(1, np.array([sum(row.values()) for row in stems]))
-    flagged = share[(toxic == 1) & (hits > 0)]
-    dense = (toxic == 1) & (share > (np.median(flagged) if len(flagged) else 1))
-    return np.column_stack([(toxic == 1) & (hits >= EXPLICIT_WORDS), dense, toxic]).astype(np.int8)
+class Stems:
+    """Hashed stems of the sample's words, in one array over all rows."""
 
+    def __init__(self, stems: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray):
+        self.row = np.repeat(np.arange(len(stems)), [len(x) for x in stems])
+        self.names, self.stem = np.unique(np.concatenate([*stems, np.zeros(0, np.uint32)]), return_inverse=True)
+        self.count = np.concatenate([*counts, np.zeros(0, np.uint32)]).astype(float)
+        self.toxic, self.words = toxic, np.bincount(self.row, self.count, len(stems))
 
-def stems_of(text: str) -> Counter:
-    return Counter(w[:STEM] for w in "".join(c if c.isalpha() else " " for c in text.lower()).split())
+    def marked(self, fit: np.ndarray) -> np.ndarray:
+        """Which stems these rows mark."""
+        used = np.zeros(len(self.toxic), bool)
+        used[fit] = True
+        used = used[self.row]
+        bad = np.bincount(self.stem[used & (self.toxic[self.row] == 1)], minlength=len(self.names))
+        good = np.bincount(self.stem[used & (self.toxic[self.row] == 0)], minlength=len(self.names))
+        scale = max(1, int((self.toxic[fit] == 1).sum())) / max(1, int((self.toxic[fit] == 0).sum()))
+        return (bad >= STEM_ROWS) & (good * scale <= STEM_CLEAN * bad)
 
+    def categories(self, fit: np.ndarray) -> np.ndarray:
+        """Columns explicit, dense and toxic of all rows, by the stems that the given ones mark."""
+        marked = self.marked(fit)[self.stem]
+        hits = np.bincount(self.row[marked], self.count[marked], len(self.toxic))
+        share = hits / np.maximum(1, self.words)
+        some = share[fit][hits[fit] > 0]
+        dense = share > (np.median(some) if len(some) else 1)
+        return np.column_stack([hits >= EXPLICIT_WORDS, dense, self.toxic]).astype(np.int8)
 
-def fit_from_labels(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Chain:
-    """Fit on a bounded sample of the labelled documents, chosen by a hash of the id.
 
-    A document whose label rows disagree is left out; null ids, flags and texts are too."""
+def stems_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    hashed = [xxhash.xxh32_intdigest(w[:STEM].encode("utf-8", "surrogatepass")) for w in _WORD.findall(text.lower())]
+    return np.unique(np.array(hashed, np.uint32), return_counts=True)
+
+
+def _packed(values: np.ndarray, counts: np.ndarray) -> bytes:
+    return zlib.compress(values.astype("<u4").tobytes() + counts.astype("<u8").tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(data)
+    n = len(raw) // 12
+    return np.frombuffer(raw, "<u4", n), np.frombuffer(raw, "<u8", n, 4 * n)
+
+
+def _features(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: int) -> DataFrame:
+    """(doc_id, toxic, bag, stems) of the sample, written to the shared folder."""
     flags = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("hi")).filter("toxic = hi").select(F.col("doc_id").alias("label_id"), "toxic")
-    sizes = {r["toxic"]: r["count"] for r in flags.groupBy("toxic").count().collect()}
-    bound = {1: toxic_rows, 0: clean_rows}
-    draw = F.pmod(F.xxhash64("label_id", F.lit(23)), F.lit(1 << 20)) / float(1 << 20)
-    share = F.when(F.col("toxic") == 1, min(1.0, toxic_rows / max(1, sizes.get(1, 0)))).otherwise(min(1.0, clean_rows / max(1, sizes.get(0, 0))))
-    chosen = flags.filter(F.col("toxic").isin(0, 1)).filter(draw < share)
-    texts = docs.filter("text IS NOT NULL").select(F.col("doc_id").alias("label_id"), "text")
+    draw = F.xxhash64("label_id", F.lit(23))
+    chosen = lowest_draws(flags.filter("toxic = 1"), "toxic", toxic_rows, draw).union(lowest_draws(flags.filter("toxic = 0"), "toxic", clean_rows, draw))
+    texts = docs.filter("text IS NOT NULL").select(F.col("doc_id").alias("label_id"), "text", F.xxhash64("text").alias("text_key"))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = []
-            for text in batch["text"].to_pylist():
-                u, c = np.unique(hashed_grams(text, GRAMS, BITS), return_counts=True)
-                packed.append(zlib.compress(u.astype("<u4").tobytes() + np.minimum(c, 65535).astype("<u2").tobytes(), 1))
-            stems = [zlib.compress("\n".join(f"{s} {n}" for s, n in stems_of(t).items()).encode("utf-8", "replace"), 1) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["label_id"], batch["toxic"].cast(pa.int32()), pa.array(packed, pa.binary()), pa.array(stems, pa.binary())], ["doc_id", "toxic", "bag", "stems"])
-
-    # The sample is small by its bounds, so the texts stay where they are.
-    rows = F.broadcast(chosen).join(texts, "label_id").select("label_id", "toxic", "text").mapInArrow(featured, "doc_id long, toxic int, bag binary, stems binary").collect()
-    rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["bag"]))
-    taken, bags, counts, stems, toxic = Counter(), [], [], [], []
-    for r in rows:
-        taken[r["toxic"]] += 1
-        if taken[r["toxic"]] > 1.1 * bound[r["toxic"]]:
-            continue
-        raw = zlib.decompress(r["bag"])
-        n = len(raw) // 6
-        bags.append(np.frombuffer(raw, "<u4", n))
-        counts.append(np.frombuffer(raw, "<u2", n, 4 * n))
-        lines = (x.rsplit(" ", 1) for x in zlib.decompress(r["stems"]).decode().split("\n") if x)
-        stems.append(Counter({s: int(n) for s, n in lines}))
+            texts = batch["text"].to_pylist()
+            bags = pa.array([_packed(*gram_counts(t, GRAMS, BITS)) for t in texts], pa.binary())
+            stems = pa.array([_packed(*stems_of(t)) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["label_id"], batch["toxic"].cast(pa.int32()), bags, stems], ["doc_id", "toxic", "bag", "stems"])
+
+    # Both tables are bounded by the parameters, so they go to the texts and the texts stay
+    # where they are. Of several texts with one doc_id, one is taken.
+    ids = as_table(F.broadcast(chosen).join(texts.drop("text"), "label_id").groupBy("label_id", "toxic").agg(F.min("text_key").alias("text_key")), "toxic-ids")
+    rows = F.broadcast(ids).join(texts, ["label_id", "text_key"]).select("label_id", "toxic", "text")
+    return as_table(rows.mapInArrow(featured, "doc_id long, toxic int, bag binary, stems binary").dropDuplicates(["doc_id"]), "toxic-sample")
+
+
+def fit_from_labels(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Chain:
+    """Fit on a bounded sample of the labelled documents, chosen by a hash of the id.
+
+    A document whose label rows disagree is left out; null ids, flags and texts are too. The
+    sample is gone through twice, row by row: once for how many rows hold each n-gram, once for
+    the n-grams that some fit uses. Only the latter are held on the driver."""
+    sample = _features(docs, labels, toxic_rows, clean_rows)
+    seen = np.zeros((FOLDS, 2, 1 << BITS), np.int32)
+    order, toxic, stems = [], [], []
+    for r in sample.toLocalIterator():
+        fold = zlib.crc32(str(r["doc_id"]).encode()) % FOLDS
+        seen[fold, r["toxic"]][_unpacked(r["bag"])[0]] += 1
+        order.append(r["doc_id"])
         toxic.append(r["toxic"])
-    toxic = np.array(toxic, int)
-    categories = weak_categories(stems, toxic) if len(toxic) else np.zeros((0, len(CATEGORIES)), np.int8)
-    del stems, rows
-    if not len(toxic) or not toxic.any():
-        return Chain(np.zeros(1 << BITS, np.float32))
-    return train_chain(bags, counts, categories)
+        stems.append(_unpacked(r["stems"]))
+    order, toxic = np.array(order, np.int64), np.array(toxic, int)
+    if not toxic.any():
+        return Chain(np.full(1 << BITS, -1, np.int32), np.zeros(0, np.float32))
+    fold = np.array([zlib.crc32(str(i).encode()) % FOLDS for i in order.tolist()])
+    wanted = np.zeros(1 << BITS, bool)
+    for f in range(-1, FOLDS):
+        held = seen.sum(axis=0) - (seen[f] if f >= 0 else 0)
+        wanted[telling(held[1], held[0], int((toxic[fold != f] == 1).sum()), int((toxic[fold != f] == 0).sum()))] = True
+    bags = {}
+    for r in sample.select("doc_id", "bag").toLocalIterator():
+        u, c = _unpacked(r["bag"])
+        bags[r["doc_id"]] = (u[wanted[u]], c[wanted[u]].astype(np.uint32))
+    by_id = np.argsort(order)
+    rows = [bags[i] for i in order[by_id].tolist()]
+    known = Stems(*([x[k] for x in (stems[i] for i in by_id)] for k in (0, 1)), toxic[by_id])
+    return train_chain([u for u, _ in rows], [c for _, c in rows], known.categories, fold=fold[by_id])
 
 
 def score_documents(docs: DataFrame, chain: Chain, keep_columns: bool = False) -> DataFrame:
     """docs with a probability p_<category> for each category and rejected.
 
-    A null, empty or letterless text has probability 0 everywhere and is not rejected; without
-    labelled toxic rows none is. Columns of docs with the names of the results are replaced.
+    A text without any of the model's n-grams, so a null, empty or letterless one, has
+    probability 0 everywhere and is not rejected; without labelled toxic rows none is. Columns of docs with the names of the results are replaced.
     An empty table gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     names = [f"p_{c}" for c in chain.categories] + ["rejected"]
