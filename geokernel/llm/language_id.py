@@ -3,8 +3,9 @@
 The model is the one of fastText-style classifiers (Joulin et al., 2016): a text is the mean of
 the embeddings of its hashed character n-grams, and a linear softmax turns the mean into
 languages. It is trained on the driver in numpy by stochastic gradient descent over a bounded
-sample of labelled rows. A temperature fitted on rows held back from training calibrates the
-score, and the score below which a prediction is rejected is set on the same rows.
+sample of labelled rows. A temperature calibrates the score; it is fitted on the logits that
+each row has from a model that was trained without it, and so is the score below which a
+prediction is rejected.
 """
 
 from __future__ import annotations
@@ -18,14 +19,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .grams import has_letter, hashed_grams
+from .grams import gram_counts, has_letter
+from .samples import lowest_draws
+from .shared import as_table
 
 GRAMS = (2, 3, 4)
 BITS = 16
 DIMENSIONS = 16
-#: Bound on the labelled rows that a language brings to the fit.
-ROWS_PER_LANGUAGE = 1500
+#: Bounds on the labelled rows that a language brings to the fit, and on those of all.
+ROWS_PER_LANGUAGE, FIT_ROWS = 1500, 8000
+#: Bound on the languages that are learned: those with the most labelled rows.
+LANGUAGES = 256
 EPOCHS = 4
+#: Parts of the sample; each is scored by a model of the others for the calibration.
+FOLDS = 2
 #: Share of correct calibration rows that the rejection score may cost at most.
 CORRECT_LOST = 0.0005
 #: A prediction with at least this score is never rejected.
@@ -42,8 +49,8 @@ class LanguageModel:
     reject_below: float
 
     def logits(self, text: str) -> np.ndarray:
-        grams = hashed_grams(text, GRAMS, BITS)
-        return self.bias + (self.table[grams].mean(axis=0) if len(grams) else 0)
+        grams, counts = gram_counts(text, GRAMS, BITS)
+        return self.bias + (counts @ self.table[grams] / counts.sum() if len(grams) else 0)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, calibrated score, rejected); und, 0 and rejected without a letter."""
@@ -59,34 +66,41 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(rows: list[tuple[np.ndarray, str]], epochs: int = EPOCHS, rate: float = 8.0, seed: int = 3) -> LanguageModel:
-    """Fit on (hashed n-grams, language) rows; every fifth row calibrates instead."""
-    languages = sorted({lang for _, lang in rows})
-    if not languages:
-        return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0), 1.0, 0.0)
+Bag = tuple[np.ndarray, np.ndarray, int]
+
+
+def descend(bags: list[Bag], fit: np.ndarray, languages: int, epochs: int = EPOCHS, rate: float = 8.0, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """The logits of each hashed n-gram and the bias, from the rows `fit` of the bags."""
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 1 / DIMENSIONS, (1 << BITS, DIMENSIONS)).astype(np.float32)
-    weights, bias = np.zeros((len(languages), DIMENSIONS), np.float32), np.zeros(len(languages), np.float32)
-    bags = [(*np.unique(g, return_counts=True), languages.index(lang)) for g, lang in rows if len(g)]
-    bags = [(u, (c / c.sum()).astype(np.float32)[:, None], k) for u, c, k in bags]
-    order = rng.permutation(len(bags))
-    held = order[::5] if len(order) >= 50 else order
-    fit = np.setdiff1d(order, held) if len(order) >= 50 else order
+    weights, bias = np.zeros((languages, DIMENSIONS), np.float32), np.zeros(languages, np.float32)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for i in rng.permutation(fit):
             u, share, k = bags[i]
-            mean = (embed[u] * share).sum(axis=0)
+            mean = share @ embed[u]
             error = _softmax(weights @ mean + bias)
             error[k] -= 1
             down = error @ weights
             weights -= step * 0.1 * np.outer(error, mean)
             bias -= step * 0.001 * error
-            embed[u] -= step * share * down
-    table = (embed @ weights.T).astype(np.float32)
-    z = np.array([bias + (table[bags[i][0]] * bags[i][1]).sum(axis=0) for i in held]).reshape(-1, len(languages))
-    truth = np.array([bags[i][2] for i in held], int)
-    temperature, reject_below = _calibrate(z, truth)
+            embed[u] -= step * share[:, None] * down
+    return (embed @ weights.T).astype(np.float32), bias
+
+
+def train(rows: list[tuple[np.ndarray, np.ndarray, str]]) -> LanguageModel:
+    """Fit on rows (distinct hashed n-grams, counts, language)."""
+    languages = sorted({lang for _, _, lang in rows})
+    if not languages:
+        return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0), 1.0, 0.0)
+    bags = [(u, (c / c.sum()).astype(np.float32), languages.index(lang)) for u, c, lang in rows if len(u)]
+    fold, z = np.random.default_rng(4).permutation(len(bags)) % FOLDS, np.zeros((len(bags), len(languages)))
+    for f in range(FOLDS):
+        table, bias = descend(bags, np.flatnonzero(fold != f), len(languages))
+        for i in np.flatnonzero(fold == f):
+            z[i] = bias + bags[i][1] @ table[bags[i][0]]
+    temperature, reject_below = _calibrate(z, np.array([k for _, _, k in bags], int))
+    table, bias = descend(bags, np.arange(len(bags)), len(languages))
     return LanguageModel(languages, table, bias, temperature, reject_below)
 
 
@@ -110,31 +124,35 @@ def in_fold(id_col: str, fold: int):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(5)) == fold, F.lit(False))
 
 
-def fit_from_documents(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel:
-    """Fit on at most rows_per_language labelled rows a language, chosen by a hash of the id,
-    outside fold 0. What reaches the driver is bounded by that and by the number of languages."""
+def _features(docs: DataFrame, rows_per_language: int) -> DataFrame:
+    """(lang, grams, counts) of the sample, written to the shared folder."""
     labelled = docs.filter(~in_fold("doc_id", 0) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1.0, 1.2 * rows_per_language / n)).otherwise(share)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) / float(1 << 20)
-    chosen = labelled.filter(draw < share).select("doc_id", "lang", "text")
+    labelled = labelled.select("lang", "text", F.xxhash64("doc_id", "text", F.lit(11)).alias("key"))
+    learned = as_table(labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang"), "languages")
+    most = min(rows_per_language, FIT_ROWS // max(1, learned.count()))
+    keys = labelled.select("lang", "key").join(F.broadcast(learned), "lang")
+    # Bounded by the parameters, so the sample goes to the texts; repeated rows count once.
+    keys = as_table(lowest_draws(keys, "lang", most, F.col("key")).distinct(), "language-keys")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = [hashed_grams(t, GRAMS, BITS).astype("<u2").tobytes() for t in batch["text"].to_pylist()]
-            packed = pa.array([zlib.compress(g, 1) for g in grams], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["lang"], packed], ["doc_id", "lang", "grams"])
-
-    rows = chosen.mapInArrow(featured, "doc_id long, lang string, grams binary").collect()
-    taken: dict[str, int] = {}
-    bags = []
-    for r in sorted(rows, key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["lang"])):
-        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-        if taken[r["lang"]] <= rows_per_language:
-            bags.append((np.frombuffer(zlib.decompress(r["grams"]), "<u2"), r["lang"]))
-    return train(bags)
+            found = [gram_counts(t, GRAMS, BITS) for t in batch["text"].to_pylist()]
+            packed = [pa.array([zlib.compress(f[k].astype(kind).tobytes(), 1) for f in found], pa.binary()) for k, kind in ((0, "<u2"), (1, "<u8"))]
+            yield pa.RecordBatch.from_arrays([batch["key"], batch["lang"], *packed], ["key", "lang", "grams", "counts"])
+
+    rows = F.broadcast(keys).join(labelled, ["lang", "key"]).mapInArrow(featured, "key long, lang string, grams binary, counts binary")
+    return as_table(rows.dropDuplicates(["lang", "key"]), "language-sample")
+
+
+def fit_from_documents(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel:
+    """Fit on at most about rows_per_language labelled rows a language and FIT_ROWS rows in all,
+    chosen by a hash of the row, outside fold 0. The LANGUAGES most frequent values of lang are
+    learned, so neither rows nor tags that grow in number reach the driver."""
+    rows = []
+    for r in _features(docs, rows_per_language).toLocalIterator():
+        grams, counts = (np.frombuffer(zlib.decompress(r[c]), kind) for c, kind in (("grams", "<u2"), ("counts", "<u8")))
+        rows.append((r["key"], r["lang"], grams, counts.astype(np.uint32)))
+    return train([(grams, counts, lang) for _, lang, grams, counts in sorted(rows, key=lambda r: r[:2])])
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep_columns: bool = False) -> DataFrame:
