@@ -10,7 +10,11 @@ shingles of its own can be linked to no other, whatever its buckets say, and goe
 bucket the comparison is a star around the member with the fewest shingles of its own, not all
 pairs. Members that the stars leave in different components are compared block by block inside
 tasks, by products of 0/1 matrices, where the number of shingles that they share with anyone
-allows a link. Pairs are never rows of a table there, and no candidate is skipped.
+allows a link: those outside a bucket's largest component with one another and with it, never
+that component with itself. Pairs are no rows of a table there, and no candidate is skipped.
+
+Texts are not shuffled: a bitmap of bounded size tells which rows may be candidates when the
+texts are read again, and what the shuffle carries are the shingle sets of those.
 """
 
 from __future__ import annotations
@@ -20,10 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import connected_components
+from geokernel.operators.graph import linked_roots
+
 from .shared import WordHashes, ascii_words, as_table, mix64
 
 SHINGLE_WORDS = 5
@@ -32,10 +37,15 @@ NUM, DEN = 75, 100
 BANDS = 32
 #: Two permutations a band, each with its minimum and its maximum.
 PERMUTATIONS = 2 * BANDS
-#: Members of a bucket that are compared with each other at a time.
-BLOCK = 512
+#: A block of a bucket has about so many members and shingles at most; a pair of blocks is
+#: compared at a time.
+BLOCK, BLOCK_SHINGLES = 512, 400_000
 #: Shingles that one call compares, on average.
 SHINGLES_PER_GROUP = 2_000_000
+#: Rows of a bucket that go to one task where buckets meet what is known of them.
+BAND_ROWS = 2048
+#: Bits of the candidate bitmap for each candidate, and bound on its size (16 MB of bits).
+BITS_PER_ROW, BITMAP_BITS = 16, 1 << 27
 
 _rng = np.random.default_rng(20240117)
 _WORD_FACTORS = _rng.integers(0, 2**63, SHINGLE_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,24 +90,41 @@ def _node(values: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for batch in batches:
-        nodes, sizes, bands = [], [], []
-        for text in batch["text"].to_pylist():
-            values = shingles(text, hashes)
-            sizes.append(len(values))
-            nodes.append(_node(values))
-            bands.append(band_keys(values) if len(values) else None)
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "text_key", "n_shingles", "node", "bands"])
+def _signatures(kept: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            nodes, sizes, bands = [], [], []
+            for text in batch["text"].to_pylist():
+                values = shingles(text, hashes)
+                sizes.append(len(values))
+                nodes.append(_node(values))
+                bands.append(band_keys(values) if len(values) else None)
+            found = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), *found], [*kept, "n_shingles", "node", "bands"])
+
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        found = [shingles(text, hashes) for text in batch["text"].to_pylist()]
-        nodes = pa.array([_node(x) for x in found], pa.binary())
-        yield pa.RecordBatch.from_arrays([nodes, pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["node", "shingles"])
+        found = [shingles(text, hashes).view(np.int64) for text in batch["text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(found, pa.list_(pa.int64()))], ["doc_id", "text_key", "shingles"])
+
+
+def _maybe_in(rows: DataFrame, chosen: DataFrame, *key: str) -> DataFrame:
+    """The rows whose key may be among the chosen ones, by a bitmap over hashed keys.
+
+    All chosen rows pass, and a few others. The bitmap is a table of 64-bit words whose size is
+    bounded, so it is broadcast at any size of the input and the rows stay where they are."""
+    bits = min(BITMAP_BITS, max(64, 1 << (BITS_PER_ROW * chosen.count()).bit_length()))
+    place = F.pmod(F.xxhash64(*key, F.lit(5)), F.lit(bits))
+    word, bit = F.shiftright(place, 6), F.expr("shiftleft(1L, CAST(place % 64 AS INT))")
+    words = chosen.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("set"))
+    words = as_table(words, "candidate-bits")
+    seen = rows.withColumn("place", place).withColumn("word", word).join(F.broadcast(words), "word")
+    return seen.filter(F.col("set").bitwiseAND(bit) != 0).drop("place", "word", "set")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -122,26 +149,52 @@ def _private(sets: DataFrame) -> DataFrame:
     return held.filter("holders = 1").groupBy("num").agg(F.count("*").alias("private"))
 
 
+def _salt(num: str, members: Column) -> Column:
+    """Deals the rows of a bucket out to as many tasks as it needs."""
+    return F.pmod(F.xxhash64(num), F.ceil(members / BAND_ROWS).cast("long"))
+
+
+def _told(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """rows (band, salt, ...) with the facts of their band (band, members, ...); a band with many
+    members is in as many tasks as it has salts."""
+    salts = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("members") / BAND_ROWS).cast("long") - 1)
+    return rows.join(facts.withColumn("salt", F.explode(salts)).drop("members"), ["band", "salt"])
+
+
 def _star_pairs(buckets: DataFrame) -> DataFrame:
     """Each member of a bucket with its hub: the one of the fewest private shingles, and among
     those the one whose buckets are fullest."""
     degree = buckets.groupBy("num").agg(F.sum("members").alias("degree"))
-    ranked = buckets.join(degree, "num")
-    hubs = ranked.groupBy("band").agg(F.max(F.struct((F.col("shared") / F.col("n")).alias("share"), "degree", "num", "n", "shared")).alias("hub"))
-    pairs = ranked.join(hubs, "band").filter((F.col("num") != F.col("hub.num")) & _may_link(F.col("n"), F.col("shared"), F.col("hub.n"), F.col("hub.shared")))
+    ranked = as_table(buckets.join(degree, "num"), "ranked-buckets")
+    hubs = ranked.groupBy("band").agg(F.max("members").alias("members"), F.max(F.struct((F.col("shared") / F.col("n")).alias("share"), "degree", "num", "n", "shared")).alias("hub"))
+    pairs = _told(ranked, hubs).filter((F.col("num") != F.col("hub.num")) & _may_link(F.col("n"), F.col("shared"), F.col("hub.n"), F.col("hub.shared")))
     return pairs.select(F.least("num", "hub.num").alias("a"), F.greatest("num", "hub.num").alias("b")).distinct()
 
 
 def _open_units(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """Work units (band, lo, hi) with their members, for buckets that still hold members of
-    several components: a bucket is cut into blocks and each pair of blocks is one unit."""
-    left = buckets.drop("members").join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("root", F.coalesce("root", "num"))
-    least = left.groupBy("band").agg(F.min("n").alias("least"))
-    left = left.join(least, "band").filter(_may_link(F.col("n"), F.col("shared"), F.col("least"), F.col("shared")))
-    mixed = left.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).filter("low != high")
-    left = left.join(mixed.select("band", F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks")), "band")
-    left = left.withColumn("block", F.pmod(F.xxhash64("num"), F.col("blocks")))
-    left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    several components.
+
+    The members of the bucket's largest component are one side, all others the other side; each
+    side is cut into blocks. A unit is two blocks of the other side, or one of either side."""
+    left = buckets.join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("root", F.coalesce("root", "num"))
+    left = as_table(left, "open-members")
+    least = left.groupBy("band").agg(F.max("members").alias("members"), F.min("n").alias("least"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
+    left = _told(left, least.drop("low", "high")).filter(_may_link(F.col("n"), F.col("shared"), F.col("least"), F.col("shared"))).drop("least")
+    left = as_table(left, "open-members")
+    held = left.groupBy("band", "root").agg(F.max("members").alias("members"), F.count("*").alias("rows"), F.sum("n").alias("load"))
+    blocks = lambda rows, load: F.greatest(F.ceil(rows / BLOCK), F.ceil(load / BLOCK_SHINGLES)).cast("long")
+    sides = held.groupBy("band").agg(
+        F.max("members").alias("members"), F.max(F.struct("rows", "root", "load")).alias("main"),
+        F.sum("rows").alias("rows"), F.sum("load").alias("load"), F.count("*").alias("roots"),
+    ).filter("roots > 1")
+    sides = sides.select("band", "members", F.col("main.root").alias("main"), blocks(F.col("main.rows"), F.col("main.load")).alias("mains"), blocks(F.col("rows") - F.col("main.rows"), F.col("load") - F.col("main.load")).alias("others"))
+    left = _told(left, sides)
+    # Blocks of the other side are numbered from 0, those of the main side from there on.
+    is_main, h = F.col("root") == F.col("main"), F.xxhash64("num", F.lit(3))
+    left = left.withColumn("block", F.when(is_main, F.col("others") + F.pmod(h, F.col("mains"))).otherwise(F.pmod(h, F.col("others"))))
+    meets = F.when(is_main, F.col("others")).otherwise(F.col("others") + F.col("mains"))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), meets - 1)))
     return left.select("band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "num", "root", "n")
 
 
@@ -194,15 +247,20 @@ def _cross_links(buckets: DataFrame, roots: DataFrame, sets: DataFrame) -> DataF
     return as_table(work.groupBy("g").applyInArrow(_linked_units, "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept.
 
     Null, empty or blank texts have no shingles and are linked with nothing. A row without a
     doc_id is linked like any other but names no component; it is kept only where no row of its
     component has a doc_id. Rows that repeat the component's doc_id are all kept. An empty
-    table gives an empty result; other columns are not read."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
-    signed = as_table(docs.mapInArrow(_signatures, "doc_id long, text_key long, n_shingles long, node binary, bands array<long>"), "signatures")
+    table gives an empty result; other columns are not read. With row_col, a column that tells
+    rows apart, the result also has that column as row_key, and group, which rows of one
+    component share and rows without shingles lack."""
+    key = [F.col(row_col).alias("row_key")] if row_col else []
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"), *key)
+    extra = [f"row_key {docs.schema['row_key'].dataType.simpleString()}"] if row_col else []
+    schema = ", ".join(["doc_id long, text_key long", *extra, "n_shingles long, node binary, bands array<long>"])
+    signed = as_table(docs.mapInArrow(_signatures(["doc_id", "text_key", *(["row_key"] if row_col else [])]), schema), "signatures")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "n_shingles", "bands")).alias("first")
     classes = signed.filter("node IS NOT NULL").groupBy("node").agg(first).select("node", "first.doc_id", "first.text_key", F.col("first.n_shingles").alias("n"), "first.bands")
     # Numbers are drawn once, as the table is written.
@@ -210,26 +268,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rows = classes.select("num", "n", F.explode("bands").alias("band"))
     full = rows.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
-    buckets = as_table(rows.join(full, "band"), "buckets")
+    buckets = as_table(rows.join(full, "band").withColumn("salt", _salt("num", F.col("members"))), "buckets")
 
     # Only texts that share a bucket are read again, for their full sets.
     chosen = as_table(buckets.select("num").distinct().join(classes.drop("bands"), "num"), "candidates")
-    wanted = chosen.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left_semi").select("text")
-    sets = texts.mapInArrow(_sets, "node binary, shingles array<long>").join(chosen.select("node", "num"), "node").select("num", "shingles")
+    texts = _maybe_in(docs.select("doc_id", "text_key", "text"), chosen, "doc_id", "text_key")
+    named = chosen.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "num")
+    sets = texts.mapInArrow(_sets, "doc_id long, text_key long, shingles array<long>")
+    sets = sets.join(named, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))).select("num", "shingles")
     sets = as_table(sets.dropDuplicates(["num"]), "sets", "lz4")
 
     shared = chosen.select("num", "n").join(_private(sets), "num", "left").select("num", (F.col("n") - F.coalesce("private", F.lit(0))).alias("shared"))
     buckets = as_table(buckets.join(shared, "num").filter(DEN * F.col("shared") >= NUM * F.col("n")), "open-buckets")
     stars = as_table(_star_pairs(buckets), "star-pairs")
     links = as_table(_confirmed(stars, sets), "links")
-    roots = as_table(connected_components(links), "roots")
+    roots = as_table(linked_roots(links), "roots")
     while not (cross := _cross_links(buckets, roots, sets)).isEmpty():
         links = links.union(cross)
-        roots = as_table(connected_components(links), "roots")
+        roots = as_table(linked_roots(links), "roots")
 
     named = classes.select("node", "num", "doc_id").join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("root", F.coalesce("root", "num"))
-    named = named.join(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("node", "component_id")
-    placed = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    named = named.join(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("node", "root", "component_id")
+    placed = signed.drop("bands", "text_key").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    more = ["row_key", F.col("root").alias("group")] if row_col else []
+    return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), *more)
