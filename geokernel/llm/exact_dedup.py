@@ -32,8 +32,9 @@ def normalised(text):
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def with_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias("digest"))
+def with_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    key = [F.col(row_col).alias("row_key")] if row_col else []
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.sha2(normalised(F.col(text_col)), 256)).alias("digest"), *key)
 
 
 def _words(digests: np.ndarray) -> np.ndarray:
@@ -144,17 +145,18 @@ def exact_dedup(digests: DataFrame, is_history, keys_per_bucket: int = KEYS_PER_
     winner is the smallest doc_id on either side, so the result does not depend on the split.
     Rows without a doc_id never win over rows with one; where no row of a text has a doc_id,
     keep_id is null and all of them are kept, since none can be told from another. Rows that
-    repeat the winning doc_id are all kept. An empty table gives an empty result. Other columns
-    of the input are not read."""
+    repeat the winning doc_id are all kept. An empty table gives an empty result. Of other
+    columns of the input, row_key alone is read and passed on."""
     history = digests.filter(F.coalesce(is_history, F.lit(False)))
     incoming = digests.filter(~F.coalesce(is_history, F.lit(False)))
     buckets = max(1, -(-digests.select("digest").count() // keys_per_bucket))
     winners = as_table(resolve(build_index(history, buckets), incoming, buckets), "digest-winners")
-    return digests.join(winners, "digest").select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), "digest")
+    return digests.join(winners, "digest").select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), "digest", *(c for c in digests.columns if c == "row_key"))
 
 
-def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """Digest every whole text once and deduplicate; even halves by hashed id act as the
-    history that is indexed and as the rows that arrive afterwards."""
-    digests = as_table(with_digest(docs, id_col, text_col), "digests")
+    history that is indexed and as the rows that arrive afterwards. With row_col, a column that
+    tells rows apart, the result has that column too, as row_key."""
+    digests = as_table(with_digest(docs, id_col, text_col, row_col), "digests")
     return exact_dedup(digests, F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 0)

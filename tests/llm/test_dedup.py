@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from geokernel.llm import exact_dedup, near_dedup
-from geokernel.llm.components import connected_components
 from geokernel.llm.shared import WordHashes
+from geokernel.operators.graph import linked_roots
 
 DOCS = "doc_id long, text string"
 
@@ -57,7 +57,7 @@ def test_all_history_or_none(spark, history):
 
 def test_components(spark):
     edges = [(1, 2), (2, 3), (5, 4), (7, 7), (9, 8), (3, 10), (8, 11), (4, 5), (None, 3)] + [(100 + i, 101 + i) for i in range(60)]
-    got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
+    got = dict(linked_roots(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {1: 1, 2: 1, 3: 1, 10: 1, 4: 4, 5: 4, 8: 8, 9: 8, 11: 8} | {100 + i: 100 for i in range(61)}
 
 
