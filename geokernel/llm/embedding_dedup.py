@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import connected_components
-from .shared import as_table
+from geokernel.operators.graph import linked_roots
+
+from .shared import as_table, mix64
 
 THRESHOLD = 0.98
 TABLES = 10
@@ -69,14 +70,15 @@ def bucket_codes(vectors: np.ndarray, hashes: int, tables: int = TABLES, seed: i
             second = size.argmax(axis=1)
             other.append(2 * second + (y[rows, second] < 0))
         for probe in range(-1, hashes):
-            code = np.full(n, table, np.int64)
+            code = np.full(n, table, np.uint64)
             for k in range(hashes):
-                code = code * (2 * width) + (other[k] if k == probe else best[k])
-            out.append(code)
+                code = mix64(code * np.uint64(2 * width) + (other[k] if k == probe else best[k]).astype(np.uint64))
+            # Below _BIG, however wide the vectors and however many the hashes.
+            out.append((code >> np.uint64(2)).astype(np.int64))
     return np.stack(out, axis=1)
 
 
-def _codes(hashes: int):
+def _codes(count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             by_size: dict[int, list[int]] = {}
@@ -85,7 +87,7 @@ def _codes(hashes: int):
                 by_size.setdefault(len(v), []).append(i)
             found: list = [None] * len(vectors)
             for rows in by_size.values():
-                for i, codes in zip(rows, bucket_codes(np.array([vectors[i] for i in rows], float), hashes), strict=True):
+                for i, codes in zip(rows, bucket_codes(np.array([vectors[i] for i in rows], float), hashes_for(count, len(vectors[rows[0]]))), strict=True):
                     found[i] = codes
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], [*batch.schema.names, "codes"])
 
@@ -165,9 +167,8 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     classes = rows.filter("sound").groupBy("label", F.col("v").alias("vector")).agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
     classes = classes.withColumn("dims", F.size("vector").cast("long")).withColumn("id", F.monotonically_increasing_id())
     classes = as_table(classes, "vector-classes")  # numbers are drawn once, as the table is written
-    hashes = hashes_for(classes.count())
     schema = f"label long, vector {classes.schema['vector'].dataType.simpleString()}, id long, copies long, dims long, codes array<long>"
-    coded = as_table(classes.select("label", "vector", "id", "copies", "dims").mapInArrow(_codes(hashes), schema), "vector-codes")
+    coded = as_table(classes.select("label", "vector", "id", "copies", "dims").mapInArrow(_codes(classes.count()), schema), "vector-codes")
 
     placed = coded.select("label", "dims", "id", F.explode(F.array_distinct("codes")).alias("code"))
     sizes = placed.groupBy("label", "dims", "code").agg(F.count("*").alias("members")).filter("members > 1")
@@ -183,7 +184,7 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     found = as_table(work.groupBy("g").applyInArrow(_compare(threshold), "id long, links long, near long"), "vector-links")
 
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    roots = connected_components(found.select(F.col("id").alias("a"), F.col("near").alias("b")))
+    roots = linked_roots(found.select(F.col("id").alias("a"), F.col("near").alias("b")))
     named = classes.select("label", "vector", "id", "first_id", "copies").join(links, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
     named = named.withColumn("root", F.coalesce("root", "id"))
     named = named.join(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "root")
