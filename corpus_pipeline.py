@@ -11,35 +11,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geokernel.llm import exact_dedup, language_id, near_dedup, packing, toxicity
-from geokernel.llm.shared import as_table, read_table
+from geokernel.llm.shared import as_table, read_table, with_row_key
 
 
-def _kept(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The documents, with all their columns, whose decision is to keep them."""
-    verdict = decisions.filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(verdict, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+def _only(keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of keyed whose row_key is among rows, without the key."""
+    return keyed.join(rows.select("row_key"), "row_key", "left_semi").drop("row_key")
+
+
+def _bare(docs: DataFrame) -> tuple[DataFrame, list]:
+    """doc_id, text and the other columns in one struct, where no result's name can clash with
+    theirs; and what selects the columns as they were."""
+    other = [c for c in docs.columns if c not in ("doc_id", "text")]
+    packed = F.struct(*other) if other else F.struct(F.lit(0).alias("none"))
+    back = [F.col(c) if c in ("doc_id", "text") else F.col("row")[c].alias(c) for c in docs.columns]
+    return docs.select("doc_id", "text", packed.alias("row")), back
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the toxicity chain, fitted on `labels`, does not reject.
+
+    Each row is judged by its own text, so rows that repeat a doc_id, or have none, are judged
+    apart. Null, empty and letterless texts stay; without labelled toxic rows all stay. All
+    columns stay; the operator's own columns do not clash with them, since they are left out."""
     labels = read_table(spark, sf_dir, "labels")
-    scored = toxicity.score_documents(docs, toxicity.fit_from_labels(docs, labels), keep_columns=True)
-    return scored.filter(~F.col("rejected")).select(*docs.columns)
+    chain = toxicity.fit_from_labels(docs, labels)
+    bare, back = _bare(docs)
+    return toxicity.score_documents(bare, chain, keep_columns=True).filter(~F.col("rejected")).select(*back)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = language_id.identify(docs, language_id.fit_from_documents(docs), keep_columns=True)
-    return scored.filter(~F.col("rejected")).select(*docs.columns)
+    """The documents whose language the model is sure enough of.
+
+    Null, empty and letterless texts go; without any labelled row there is no model and all
+    texts go. Every row is judged by its own text; all columns stay, as in drop_toxic."""
+    model = language_id.fit_from_documents(docs)
+    bare, back = _bare(docs)
+    return language_id.identify(bare, model, keep_columns=True).filter(~F.col("rejected")).select(*back)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _kept(docs, exact_dedup.dedup_documents(docs))
+    """One row of each text that is equal up to white space: the one with the smallest doc_id.
+
+    Of rows that repeat that doc_id, and where no row has one, a single row stays. Null texts
+    count as empty ones. Decisions go by row, not by doc_id, so another text under the same
+    doc_id is not touched."""
+    keyed = with_row_key(docs)
+    kept = exact_dedup.dedup_documents(keyed, row_col="row_key").filter("kept")
+    return _only(keyed, kept.groupBy("digest").agg(F.min("row_key").alias("row_key")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _kept(docs, near_dedup.near_duplicates(docs))
+    """One row of each component of near copies: the one with the smallest doc_id.
+
+    Of rows that repeat that doc_id within the component, and where no row has one, a single row
+    stays. Texts without words are near to nothing and stay. Decisions go by row."""
+    keyed = with_row_key(docs)
+    kept = near_dedup.near_duplicates(keyed, row_col="row_key").filter("kept")
+    one = kept.filter("group IS NOT NULL").groupBy("group").agg(F.min("row_key").alias("row_key")).select("row_key")
+    return _only(keyed, one.union(kept.filter("group IS NULL").select("row_key")))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as pieces of sequences of 4096 tokens; a row for each piece.
+
+    Null and empty texts are their end id alone; rows that repeat a doc_id, or have none, are
+    packed as documents of their own; an empty table packs to nothing."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
