@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,3 +18,41 @@ def lowest_draws(rows: DataFrame, by: str, per_value: int, draw: Column) -> Data
     rows = rows.withColumn("draw", draw)
     order = Window.partitionBy(by, F.pmod("draw", F.lit(SHARDS))).orderBy("draw")
     return rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max(1, -(-per_value // SHARDS))).drop("place", "draw")
+
+
+class Bags:
+    """Sparse rows in two flat arrays: ids and a number for each. They grow in place, so a
+    sample takes what it holds and gives it back at once."""
+
+    def __init__(self, id_type: str, number_type: str):
+        self._ids, self._numbers, self.types = bytearray(), bytearray(), (np.dtype(id_type), np.dtype(number_type))
+        self._ends = [0]
+
+    @staticmethod
+    def of(rows: Iterable[tuple[np.ndarray, np.ndarray]], id_type: str, number_type: str) -> Bags:
+        out = Bags(id_type, number_type)
+        for ids, numbers in rows:
+            out.append(ids, numbers)
+        return out
+
+    def append(self, ids: np.ndarray, numbers: np.ndarray) -> None:
+        self._ids += ids.astype(self.types[0]).tobytes()
+        self._numbers += numbers.astype(self.types[1]).tobytes()
+        self._ends.append(self._ends[-1] + len(ids))
+
+    def __len__(self) -> int:
+        return len(self._ends) - 1
+
+    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts of the rows and the end of the last, ids, numbers); nothing may be appended
+        while the arrays are in use."""
+        return np.array(self._ends, np.int64), np.frombuffer(self._ids, self.types[0]), np.frombuffer(self._numbers, self.types[1])
+
+
+def gathered(starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the flat arrays of these rows, one row after the other, and the row's place
+    among them for each."""
+    lengths = starts[rows + 1] - starts[rows]
+    row = np.repeat(np.arange(len(rows)), lengths)
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(rows) else 0) + np.repeat(starts[rows] - ends + lengths, lengths), row

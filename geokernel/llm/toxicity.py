@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .grams import gram_counts
-from .samples import lowest_draws
+from .samples import Bags, gathered, lowest_draws
 from .shared import as_table
 
 GRAMS = (4, 5)
@@ -38,7 +38,9 @@ FOLDS = 3
 #: Every model takes this many steps over so many rows each, whatever the size of the sample.
 STEPS, BATCH = 800, 64
 #: Hashed n-grams that a model uses: those that tell toxic rows from clean ones best.
-FEATURES = 4096
+FEATURES = 2048
+#: Rows that are turned into features at a time.
+BLOCK = 512
 #: Keeps the features of a text with few of them from being blown up.
 DAMPING = 200.0
 SCALE = 8.0
@@ -50,9 +52,6 @@ CATEGORIES = ("explicit", "dense", "toxic")
 STEM, STEM_ROWS, STEM_CLEAN, EXPLICIT_WORDS = 5, 8, 0.05, 2
 _WORD = re.compile(r"[^\W\d_]+")
 
-Bags = list[tuple[np.ndarray, np.ndarray]]
-
-
 @dataclass
 class Linear:
     weights: np.ndarray
@@ -63,6 +62,19 @@ class Linear:
         return float(self.weights[u] @ v + self.bias + self.extra @ earlier)
 
 
+@dataclass
+class Vectors:
+    """Sparse rows: where each begins, and the columns and values of all, one after the other."""
+
+    starts: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+
+    def scores(self, model: Linear, rows: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        at, row = gathered(self.starts, rows)
+        return np.bincount(row, model.weights[self.column[at]] * self.value[at], len(rows)) + model.bias + earlier[rows] @ model.extra
+
+
 @dataclass
 class Chain:
     #: The column of each hashed n-gram, -1 for those that no model uses.
@@ -77,14 +89,22 @@ class Chain:
         v = np.log1p(counts) * self.idf[columns]
         return (SCALE * v / np.sqrt(v @ v + DAMPING)).astype(np.float32)
 
-    def vectors(self, bags: Bags) -> Bags:
-        """Rows of (hashed n-grams, counts) as rows of (columns, values)."""
-        out = []
-        for u, c in bags:
-            at = self.place[u]
-            used = at >= 0
-            out.append((at[used], self.vector(at[used], c[used])))
-        return out
+    def vectors(self, bags: Bags) -> Vectors:
+        """Rows of hashed n-grams and counts as rows of columns and values."""
+        starts, ids, counts = bags.flat()
+        lengths, columns, values = [np.zeros(1, np.int64)], [], []
+        for low in range(0, len(bags), BLOCK):
+            high = min(len(bags), low + BLOCK)
+            part = slice(starts[low], starts[high])
+            at = self.place[ids[part]]
+            used = np.flatnonzero(at >= 0)
+            row = np.searchsorted(starts[low : high + 1] - starts[low], used, "right") - 1
+            value = np.log1p(counts[part][used]) * self.idf[at[used]]
+            value *= SCALE / np.sqrt(np.bincount(row, value * value, high - low) + DAMPING)[row]
+            lengths.append(np.bincount(row, minlength=high - low))
+            columns.append(at[used])
+            values.append(value.astype(np.float32))
+        return Vectors(np.cumsum(np.concatenate(lengths)), np.concatenate([*columns, np.zeros(0, np.int32)]), np.concatenate([*values, np.zeros(0, np.float32)]))
 
     def predict(self, text: str | None) -> list[float]:
         """The probability of each category, in the chain's order."""
@@ -103,17 +123,16 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_linear(rows: Bags, y: np.ndarray, earlier: np.ndarray, width: int, steps: int = STEPS, rate: float = 0.08, seed: int = 5) -> Linear:
-    """Logistic regression by mini-batches with a step size for each feature."""
+def fit_linear(vectors: Vectors, fit: np.ndarray, y: np.ndarray, earlier: np.ndarray, width: int, steps: int = STEPS, rate: float = 0.08, seed: int = 5) -> Linear:
+    """Logistic regression on the rows `fit` by mini-batches with a step size for each feature."""
     w, g2 = np.zeros(width), np.full(width, 1e-6)
     extra, e2 = np.zeros(earlier.shape[1]), np.full(earlier.shape[1], 1e-6)
-    bias, rng, n = -2.0, np.random.default_rng(seed), len(rows)
-    order = np.concatenate([rng.permutation(n) for _ in range(-(-steps * BATCH // n))]) if n else np.zeros(0, int)
+    bias, rng, n = -2.0, np.random.default_rng(seed), len(fit)
+    order = np.concatenate([rng.permutation(fit) for _ in range(-(-steps * BATCH // n))]) if n else fit
     for at in range(0, min(len(order), steps * BATCH), BATCH):
         some = order[at : at + BATCH]
-        u = np.concatenate([rows[i][0] for i in some])
-        v = np.concatenate([rows[i][1] for i in some])
-        row = np.repeat(np.arange(len(some)), [len(rows[i][0]) for i in some])
+        place, row = gathered(vectors.starts, some)
+        u, v = vectors.column[place], vectors.value[place]
         z = np.bincount(row, w[u] * v, len(some)) + bias + earlier[some] @ extra
         d = _sigmoid(z) - y[some]
         g = np.bincount(u, d[row] * v, width) + 1e-4 * w
@@ -138,42 +157,46 @@ def telling(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, fe
     return best[z[best] >= 0]
 
 
-def _opened(bags: Bags, y: np.ndarray, categories: tuple[str, ...]) -> Chain:
-    """A chain without models: the features of these rows and their rarity."""
-    held = np.zeros((2, 1 << BITS))
-    for (u, _), t in zip(bags, y, strict=True):
-        held[int(t)][u] += 1
-    best = np.sort(telling(held[1], held[0], int(y.sum()), int((1 - y).sum())))
+def _opened(bags: Bags, fit: np.ndarray, y: np.ndarray, categories: tuple[str, ...]) -> Chain:
+    """A chain without models: the features of the rows `fit` and their rarity."""
+    starts, ids, _ = bags.flat()
+    lengths, kind = np.diff(starts), np.full(len(bags), -1, np.int8)
+    kind[fit] = y[fit]
+    kind = np.repeat(kind, lengths)
+    held = [np.bincount(ids[kind == t], minlength=1 << BITS) for t in (0, 1)]
+    best = np.sort(telling(held[1], held[0], int(y[fit].sum()), int((1 - y[fit]).sum())))
     place = np.full(1 << BITS, -1, np.int32)
     place[best] = np.arange(len(best))
-    idf = np.log((len(bags) + 1) / (held[:, best].sum(axis=0) + 1)).astype(np.float32)
+    idf = np.log((len(fit) + 1) / (held[0][best] + held[1][best] + 1)).astype(np.float32)
     return Chain(place, idf, categories=tuple(categories))
 
 
-def train_chain(bags: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray | Callable[[np.ndarray], np.ndarray], categories: tuple[str, ...] = CATEGORIES, folds: int = FOLDS, fold: np.ndarray | None = None) -> Chain:
-    """Fit the chain on sparse rows (feature ids, counts).
+def train_chain(bags: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, categories: tuple[str, ...] = CATEGORIES, folds: int = FOLDS) -> Chain:
+    """Fit the chain on sparse rows (feature ids, counts) and a column of labels a category."""
+    fold = np.random.default_rng(9).permutation(len(bags)) % folds
+    return train_rows(Bags.of(zip(bags, counts, strict=True), "<u4", "<u4"), lambda fit: labels, categories, fold)
+
+
+def train_rows(bags: Bags, label_of: Callable[[np.ndarray], np.ndarray], categories: tuple[str, ...], fold: np.ndarray) -> Chain:
+    """Fit the chain on sparse rows whose fold is given.
 
-    labels: a column a category, or a function that gives those columns for all rows as the
-    rows it is given, those of a fit, define them. The last category decides and is the same
-    for all fits. fold: the fold of each row, drawn where it is not given."""
-    n, rows = len(bags), list(zip(bags, counts, strict=True))
-    label_of = labels if callable(labels) else lambda fit: labels
-    everything = np.arange(n)
-    fold = np.random.default_rng(9).permutation(n) % folds if fold is None else fold
+    label_of: gives a column a category for all rows, as the rows of a fit define them. The last
+    category decides and is the same for all fits."""
+    everything = np.arange(len(bags))
     y = label_of(everything)
     fits = []
-    for f in range(folds):
-        fit, rest = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-        part = _opened([rows[i] for i in fit], y[fit, -1], categories)
-        fits.append((fit, rest, part, part.vectors(rows), label_of(fit)))
-    chain = _opened(rows, y[:, -1], categories)
-    vectors, earlier, out = chain.vectors(rows), np.zeros((n, 0)), np.zeros(n)
+    for f in np.unique(fold):
+        fit = np.flatnonzero(fold != f)
+        fits.append((fit, np.flatnonzero(fold == f), _opened(bags, fit, y[:, -1], categories), label_of(fit)))
+    chain = _opened(bags, everything, y[:, -1], categories)
+    earlier, out = np.zeros((len(bags), 0)), np.zeros(len(bags))
     for k in range(len(categories)):
-        out = np.zeros(n)
-        for fit, rest, part, seen, own in fits:
-            model = fit_linear([seen[i] for i in fit], own[fit, k].astype(float), earlier[fit], len(part.idf))
-            out[rest] = [_sigmoid(model.score(*seen[i], earlier[i])) for i in rest]
-        chain.models.append(fit_linear(vectors, y[:, k].astype(float), earlier, len(chain.idf)))
+        out = np.zeros(len(bags))
+        for fit, rest, part, own in fits:
+            vectors = part.vectors(bags)
+            model = fit_linear(vectors, fit, own[:, k].astype(float), earlier, len(part.idf))
+            out[rest] = _sigmoid(vectors.scores(model, rest, earlier))
+        chain.models.append(fit_linear(chain.vectors(bags), everything, y[:, k].astype(float), earlier, len(chain.idf)))
         earlier = np.column_stack([earlier, out])
     chain.threshold = _threshold(y[:, -1], out)
     return chain
@@ -186,13 +209,13 @@ def _threshold(y: np.ndarray, p: np.ndarray) -> float:
 
 
 class Stems:
-    """Hashed stems of the sample's words, in one array over all rows."""
+    """Hashed stems of the sample's words, over all rows."""
 
-    def __init__(self, stems: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray):
-        self.row = np.repeat(np.arange(len(stems)), [len(x) for x in stems])
-        self.names, self.stem = np.unique(np.concatenate([*stems, np.zeros(0, np.uint32)]), return_inverse=True)
-        self.count = np.concatenate([*counts, np.zeros(0, np.uint32)]).astype(float)
-        self.toxic, self.words = toxic, np.bincount(self.row, self.count, len(stems))
+    def __init__(self, bags: Bags, toxic: np.ndarray):
+        starts, ids, counts = bags.flat()
+        self.row = np.repeat(np.arange(len(bags), dtype=np.int32), np.diff(starts))
+        self.names, self.stem = np.unique(ids, return_inverse=True)
+        self.count, self.toxic, self.words = counts, toxic, np.bincount(self.row, counts, len(bags))
 
     def marked(self, fit: np.ndarray) -> np.ndarray:
         """Which stems these rows mark."""
@@ -256,31 +279,26 @@ def fit_from_labels(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_
     A document whose label rows disagree is left out; null ids, flags and texts are too. The
     sample is gone through twice, row by row: once for how many rows hold each n-gram, once for
     the n-grams that some fit uses. Only the latter are held on the driver."""
-    sample = _features(docs, labels, toxic_rows, clean_rows)
+    # Steps are taken in the order of the ids, so the fit does not depend on files or tasks.
+    sample = _features(docs, labels, toxic_rows, clean_rows).orderBy("doc_id")
     seen = np.zeros((FOLDS, 2, 1 << BITS), np.int32)
-    order, toxic, stems = [], [], []
+    rows, stems, bags = [], Bags("<u4", "<u4"), Bags("<u4", "<u4")
     for r in sample.toLocalIterator():
         fold = zlib.crc32(str(r["doc_id"]).encode()) % FOLDS
         seen[fold, r["toxic"]][_unpacked(r["bag"])[0]] += 1
-        order.append(r["doc_id"])
-        toxic.append(r["toxic"])
-        stems.append(_unpacked(r["stems"]))
-    order, toxic = np.array(order, np.int64), np.array(toxic, int)
+        stems.append(*_unpacked(r["stems"]))
+        rows.append((fold, r["toxic"]))
+    fold, toxic = (np.array([x[k] for x in rows], int) for k in (0, 1))
     if not toxic.any():
         return Chain(np.full(1 << BITS, -1, np.int32), np.zeros(0, np.float32))
-    fold = np.array([zlib.crc32(str(i).encode()) % FOLDS for i in order.tolist()])
     wanted = np.zeros(1 << BITS, bool)
     for f in range(-1, FOLDS):
         held = seen.sum(axis=0) - (seen[f] if f >= 0 else 0)
         wanted[telling(held[1], held[0], int((toxic[fold != f] == 1).sum()), int((toxic[fold != f] == 0).sum()))] = True
-    bags = {}
-    for r in sample.select("doc_id", "bag").toLocalIterator():
+    for r in sample.select("bag").toLocalIterator():
         u, c = _unpacked(r["bag"])
-        bags[r["doc_id"]] = (u[wanted[u]], c[wanted[u]].astype(np.uint32))
-    by_id = np.argsort(order)
-    rows = [bags[i] for i in order[by_id].tolist()]
-    known = Stems(*([x[k] for x in (stems[i] for i in by_id)] for k in (0, 1)), toxic[by_id])
-    return train_chain([u for u, _ in rows], [c for _, c in rows], known.categories, fold=fold[by_id])
+        bags.append(u[wanted[u]], c[wanted[u]])
+    return train_rows(bags, Stems(stems, toxic).categories, CATEGORIES, fold)
 
 
 def score_documents(docs: DataFrame, chain: Chain, keep_columns: bool = False) -> DataFrame:
