@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .grams import gram_counts, has_letter
-from .samples import lowest_draws
+from .samples import Bags, lowest_draws
 from .shared import as_table
 
 GRAMS = (2, 3, 4)
@@ -66,21 +66,19 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-Bag = tuple[np.ndarray, np.ndarray, int]
-
-
-def descend(bags: list[Bag], fit: np.ndarray, languages: int, epochs: int = EPOCHS, rate: float = 8.0, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def descend(bags: Bags, language: np.ndarray, fit: np.ndarray, languages: int, epochs: int = EPOCHS, rate: float = 8.0, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """The logits of each hashed n-gram and the bias, from the rows `fit` of the bags."""
+    starts, ids, shares = bags.flat()
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 1 / DIMENSIONS, (1 << BITS, DIMENSIONS)).astype(np.float32)
     weights, bias = np.zeros((languages, DIMENSIONS), np.float32), np.zeros(languages, np.float32)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for i in rng.permutation(fit):
-            u, share, k = bags[i]
+            u, share = ids[starts[i] : starts[i + 1]], shares[starts[i] : starts[i + 1]]
             mean = share @ embed[u]
             error = _softmax(weights @ mean + bias)
-            error[k] -= 1
+            error[language[i]] -= 1
             down = error @ weights
             weights -= step * 0.1 * np.outer(error, mean)
             bias -= step * 0.001 * error
@@ -88,19 +86,20 @@ def descend(bags: list[Bag], fit: np.ndarray, languages: int, epochs: int = EPOC
     return (embed @ weights.T).astype(np.float32), bias
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, str]]) -> LanguageModel:
-    """Fit on rows (distinct hashed n-grams, counts, language)."""
-    languages = sorted({lang for _, _, lang in rows})
+def train(bags: Bags, tags: list[str]) -> LanguageModel:
+    """Fit on rows of distinct hashed n-grams with their shares of the text, and a language each."""
+    languages = sorted(set(tags))
     if not languages:
         return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0), 1.0, 0.0)
-    bags = [(u, (c / c.sum()).astype(np.float32), languages.index(lang)) for u, c, lang in rows if len(u)]
-    fold, z = np.random.default_rng(4).permutation(len(bags)) % FOLDS, np.zeros((len(bags), len(languages)))
+    language = np.array([languages.index(tag) for tag in tags], int)
+    starts, ids, shares = bags.flat()
+    fold, z = np.random.default_rng(4).permutation(len(tags)) % FOLDS, np.zeros((len(tags), len(languages)))
     for f in range(FOLDS):
-        table, bias = descend(bags, np.flatnonzero(fold != f), len(languages))
+        table, bias = descend(bags, language, np.flatnonzero(fold != f), len(languages))
         for i in np.flatnonzero(fold == f):
-            z[i] = bias + bags[i][1] @ table[bags[i][0]]
-    temperature, reject_below = _calibrate(z, np.array([k for _, _, k in bags], int))
-    table, bias = descend(bags, np.arange(len(bags)), len(languages))
+            z[i] = bias + shares[starts[i] : starts[i + 1]] @ table[ids[starts[i] : starts[i + 1]]]
+    temperature, reject_below = _calibrate(z, language)
+    table, bias = descend(bags, language, np.arange(len(tags)), len(languages))
     return LanguageModel(languages, table, bias, temperature, reject_below)
 
 
@@ -148,11 +147,14 @@ def fit_from_documents(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUA
     """Fit on at most about rows_per_language labelled rows a language and FIT_ROWS rows in all,
     chosen by a hash of the row, outside fold 0. The LANGUAGES most frequent values of lang are
     learned, so neither rows nor tags that grow in number reach the driver."""
-    rows = []
-    for r in _features(docs, rows_per_language).toLocalIterator():
+    bags, tags = Bags("<u2", "<f4"), []
+    # The order of steps matters to the last digits: rows go by their keys.
+    for r in _features(docs, rows_per_language).orderBy("key", "lang").toLocalIterator():
         grams, counts = (np.frombuffer(zlib.decompress(r[c]), kind) for c, kind in (("grams", "<u2"), ("counts", "<u8")))
-        rows.append((r["key"], r["lang"], grams, counts.astype(np.uint32)))
-    return train([(grams, counts, lang) for _, lang, grams, counts in sorted(rows, key=lambda r: r[:2])])
+        if len(grams):
+            bags.append(grams, counts / counts.sum())
+            tags.append(r["lang"])
+    return train(bags, tags)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep_columns: bool = False) -> DataFrame:
