@@ -30,7 +30,8 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches over all documents: every document arrives with its words and an estimate
     of its BPE tokens; the estimates are revised; blank documents are deleted. Each batch is
-    committed twice, as by a driver that was restarted."""
+    committed twice, as by a driver that was restarted; the first two are folded before the
+    third arrives."""
     counted = as_table(token_counts.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN), "token-counts")
     estimate = F.floor(F.coalesce("n_chars", F.lit(0)) / 4).cast("long")
     words = counted.select("source", "lang", F.lit("words@1").alias("tokenizer"), F.col("n_words").alias("n_tokens"), F.lit(0).cast("long").alias("old_tokens"))
@@ -41,6 +42,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     deleted = blank.select("source", "lang", "t.*", F.lit(0).cast("long").alias("old_tokens"), F.lit(token_counts.DELETE).alias("op"))
     rollup = token_counts.TokenRollup(spark, shared_path(spark, "token-rollup"))
     for batch_id, changes in (("arrivals", arrived), ("recount", revised), ("blank", deleted)):
+        if batch_id == "blank":
+            rollup.fold()
         rollup.commit(batch_id, changes)
         rollup.commit(batch_id, changes)
     return rollup.totals()

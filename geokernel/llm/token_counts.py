@@ -3,20 +3,30 @@
 Totals of documents and tokens by source, language and tokenizer version are never recounted:
 each batch of inserts, deletes and revised counts becomes signed amounts, is added up by key and
 committed once under its batch id. Committing a batch again changes nothing, whether the first
-attempt ended or not: rows of an attempt count only if the commit log names that attempt, and
-the log's first entry for a batch id wins.
+attempt ended or not: rows of an attempt count only if the commit log names that attempt.
+
+The log is a folder of numbered files. A driver takes the next number by creating its file where
+none may be yet, and looks for its batch again whenever another driver was faster, so a batch id
+has one entry and entries never change. fold() adds the amounts of all entries so far to stored
+totals; later reads take those and the amounts of newer entries only.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import time
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geokernel.operators.tables import remove
+
 KEYS = ("source", "lang", "tokenizer")
 INSERT, DELETE, REVISE = "insert", "delete", "revise"
 
@@ -38,19 +48,49 @@ def signed(changes: DataFrame) -> DataFrame:
 class TokenRollup:
     """A rollup in a folder that driver and executors share."""
 
-    DELTAS = "source string, lang string, tokenizer string, docs long, tokens long, attempt string"
-    COMMITS = "batch_id string, attempt string, at timestamp"
+    AMOUNTS = "source string, lang string, tokenizer string, docs long, tokens long"
+    LOG = "n long, batch_id string, attempt string"
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.deltas, self.commits = spark, f"{path}/deltas", f"{path}/commits"
-        spark.createDataFrame([], self.COMMITS).write.mode("append").parquet(self.commits)
+        self.spark, self.deltas, self.commits, self.folds = spark, f"{path}/deltas", f"{path}/commits", f"{path}/folds"
+        for folder in (self.commits, self.folds):
+            place, fs = self._at(folder)
+            fs.mkdirs(place)
+
+    def _at(self, path: str) -> tuple:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _created(self, path: str, content: str) -> bool:
+        """Whether the file was not there and has been written."""
+        place, fs = self._at(path)
+        try:
+            out = fs.create(place, False)
+        except Py4JJavaError:
+            if fs.exists(place):
+                return False
+            raise
+        out.write(bytearray(content.encode()))
+        out.close()
+        return True
 
-    def _log(self) -> DataFrame:
-        """The winning attempt of each committed batch."""
-        return self.spark.read.schema(self.COMMITS).parquet(self.commits).groupBy("batch_id").agg(F.min_by("attempt", F.struct("at", "attempt")).alias("attempt"))
+    def _folded(self) -> list[tuple[int, str]]:
+        """(last entry, folder) of every finished fold, newest first."""
+        place, fs = self._at(self.folds)
+        names = [s.getPath().getName() for s in fs.listStatus(place)]
+        done = [n for n in names if fs.exists(self._at(f"{self.folds}/{n}/batches/_SUCCESS")[0])]
+        return sorted(((int(n.split("-")[0]), f"{self.folds}/{n}") for n in done), reverse=True)
+
+    def _entries(self, after: int) -> list:
+        """Log entries above a number: as many as there were commits since the last fold."""
+        log = self.spark.read.schema(self.LOG).json(self.commits)
+        return log.filter((F.col("n") > after) & F.col("attempt").isNotNull()).orderBy("n").collect()
 
     def committed(self, batch_id: str) -> bool:
-        return not self._log().filter(F.col("batch_id") == batch_id).isEmpty()
+        folded = self._folded()
+        if any(e["batch_id"] == batch_id for e in self._entries(folded[0][0] if folded else 0)):
+            return True
+        return bool(folded) and not self.spark.read.schema("batch_id string").parquet(f"{folded[0][1]}/batches").filter(F.col("batch_id") == batch_id).isEmpty()
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Add a batch unless its id is known; whether it was added."""
@@ -58,18 +98,61 @@ class TokenRollup:
             return False
         attempt = uuid.uuid4().hex
         signed(changes).write.parquet(f"{self.deltas}/attempt={attempt}")
-        entry = self.spark.range(1).select(F.lit(batch_id).alias("batch_id"), F.lit(attempt).alias("attempt"), F.current_timestamp().alias("at"))
-        entry.coalesce(1).write.mode("append").parquet(self.commits)
-        return True
+        for wait in range(200):
+            folded = self._folded()
+            last = folded[0][0] if folded else 0
+            n = max([last, *(e["n"] for e in self._entries(last))]) + 1
+            if self._created(f"{self.commits}/{n:012d}.json", json.dumps({"n": n, "batch_id": batch_id, "attempt": attempt})):
+                return True
+            # Another driver took the number; its entry may still be on its way.
+            time.sleep(0.01 * wait)
+            if self.committed(batch_id):
+                remove(self.spark, f"{self.deltas}/attempt={attempt}")
+                return False
+        raise RuntimeError(f"the log of {self.commits} has an unfinished entry after {n - 1}")
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, docs, tokens; keys whose amounts are all used up are gone."""
-        log = self._log()
-        if log.isEmpty():
-            return self.spark.createDataFrame([], self.DELTAS).drop("attempt")
-        deltas = self.spark.read.schema(self.DELTAS).option("basePath", self.deltas).parquet(self.deltas)
-        rolled = deltas.join(log, "attempt", "left_semi").groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        return rolled.filter("docs <> 0 OR tokens <> 0")
+        return self._sums(*self._state()).filter("docs <> 0 OR tokens <> 0")
+
+    def _state(self) -> tuple[str | None, list]:
+        folded = self._folded()
+        return folded[0][1] if folded else None, self._entries(folded[0][0] if folded else 0)
+
+    def _sums(self, fold: str | None, entries: list) -> DataFrame:
+        parts = ([f"{fold}/totals"] if fold else []) + [f"{self.deltas}/attempt={e['attempt']}" for e in entries]
+        if not parts:
+            return self.spark.createDataFrame([], self.AMOUNTS)
+        return self.spark.read.schema(self.AMOUNTS).parquet(*parts).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+
+    def fold(self) -> None:
+        """Store the totals of all entries so far. What the fold before this one had taken in
+        already is removed; readers of that fold can still finish."""
+        before, (fold, entries) = self._folded(), self._state()
+        if not entries:
+            return
+        path = f"{self.folds}/{entries[-1]['n']}-{uuid.uuid4().hex}"
+        self._sums(fold, entries).filter("docs <> 0 OR tokens <> 0").write.parquet(f"{path}/totals")
+        batches = self.spark.createDataFrame([(e["batch_id"],) for e in entries], "batch_id string")
+        if fold:
+            batches = batches.union(self.spark.read.schema("batch_id string").parquet(f"{fold}/batches"))
+        batches.write.parquet(f"{path}/batches")
+        if before:
+            log = self.spark.read.schema(self.LOG).json(self.commits)
+            for e in log.filter(F.col("n") <= before[0][0]).collect():
+                remove(self.spark, f"{self.deltas}/attempt={e['attempt']}")
+                remove(self.spark, f"{self.commits}/{e['n']:012d}.json")
+            for _, older in before[1:]:
+                remove(self.spark, older)
+
+
+@lru_cache(1)
+def _encoding(ranks: bytes, pattern: str):
+    """One for all tasks of a Python worker."""
+    import tiktoken
+
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
 def count_tokens(docs: DataFrame, rank_path: str, pattern: str, columns: tuple[str, ...] = ("doc_id", "source", "lang", "n_chars")) -> DataFrame:
@@ -78,10 +161,7 @@ def count_tokens(docs: DataFrame, rank_path: str, pattern: str, columns: tuple[s
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.value.splitlines())}
-        encode = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
+        encode = _encoding(ranks.value, pattern).encode_ordinary
         for batch in batches:
             texts = batch["text"].to_pylist()
             extra = [pa.array([len(t.encode("utf-8").split()) if t else 0 for t in texts], pa.int64()), pa.array([len(encode(t)) if t else 0 for t in texts], pa.int64())]
