@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import as_table
-from .tokenized import ChunkTokenizer
+from .tokenized import shared_tokenizer
 
 SEQUENCE_TOKENS = 4096
 #: Pieces that a randomised group holds on average: a group is one task's work.
@@ -69,7 +69,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int)
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = ChunkTokenizer(model.value)
+        tokenizer = shared_tokenizer(model.value)
         for batch in batches:
             rows = []
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), tokenizer.encode_all(batch["text"].to_pylist()), strict=True):
@@ -86,19 +86,26 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int)
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", capacity: int = SEQUENCE_TOKENS, pieces_per_group: int = PIECES_PER_GROUP, seed: int = 17) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
+    Full pieces are sequences of their own; the others fill sequences to within a piece of the
+    smallest kind in each group, so padding is a matter of the last sequences of a group.
     A null or empty text is the end id alone. Rows that repeat a doc_id, or have none, are
     packed as documents of their own. An empty table gives an empty result; other columns of
     the input are not read."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = as_table(pieces_of(docs, tokenizer_path, end_id, capacity), "pieces")
-    groups = max(1, -(-pieces.count() // pieces_per_group))
-    grouped = pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "doc_tokens", "ids_crc32", F.lit(seed)), F.lit(groups)))
+    # Numbers are drawn once, as the pieces are written; groups are dealt by them alone, so equal
+    # documents, repeated ids and the pieces of one long text spread over all groups.
+    pieces = as_table(pieces_of(docs, tokenizer_path, end_id, capacity).withColumn("piece", F.monotonically_increasing_id()), "pieces")
+    part = pieces.filter(F.col("length") < capacity)
+    groups = max(1, -(-part.count() // pieces_per_group))
+    grouped = part.withColumn("g", F.pmod(F.xxhash64("piece", F.lit(seed)), F.lit(groups)))
 
     def pack_group(key: tuple, rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([(c, "ascending") for c in PIECE_COLUMNS])
+        rows = rows.sort_by("piece")
         placed = first_fit_decreasing(rows["length"].to_pylist(), capacity)
         base = key[0].as_py() * GROUP_STRIDE
         rows = rows.append_column("sequence_id", pa.array([base + slot for slot, _ in placed], pa.int64()))
-        return rows.append_column("offset", pa.array([offset for _, offset in placed], pa.int64())).drop_columns("g")
+        return rows.append_column("offset", pa.array([offset for _, offset in placed], pa.int64())).drop_columns(["g", "piece"])
 
-    return grouped.groupBy("g").applyInArrow(pack_group, PACKED_SCHEMA)
+    packed = grouped.groupBy("g").applyInArrow(pack_group, PACKED_SCHEMA)
+    whole = pieces.filter(F.col("length") == capacity).select(*PIECE_COLUMNS, (F.col("piece") + groups * GROUP_STRIDE).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return packed.union(whole)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -32,6 +33,12 @@ def _chunks(text: str | None) -> list[bytes]:
     return [c if b"<|" in c else c.lower() for c in text.encode("utf-8", "surrogatepass").split()]
 
 
+@lru_cache(1)
+def shared_tokenizer(model_json: str) -> ChunkTokenizer:
+    """One for all tasks of a Python worker, so what it remembers serves the next task too."""
+    return ChunkTokenizer(model_json)
+
+
 class ChunkTokenizer:
     """Encodes texts with a tokenizers model that lower-cases and drops white space.
 
