@@ -180,6 +180,30 @@ def utm_epsg(lon: Column, lat: Column) -> Column:
     return zone + F.when(lat >= 0, 32600).otherwise(32700)
 
 
+#: The WGS84 ellipsoid and the scale and false origin of UTM.
+WGS84_A, WGS84_F, UTM_SCALE, UTM_EAST, UTM_NORTH = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0, 10000000.0
+
+
+def utm_forward(lon: Column, lat: Column, zone: int, north: bool = True) -> tuple[Column, Column]:
+    """(easting, northing) in a zone, by the Krueger series to the fourth order of n."""
+    n = WGS84_F / (2 - WGS84_F)
+    radius = WGS84_A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    alpha = (
+        n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180,
+        13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440,
+        61 * n**3 / 240 - 103 * n**4 / 140,
+        49561 * n**4 / 161280,
+    )
+    e = 2 * n**0.5 / (1 + n)
+    away = F.radians(lon - float(6 * zone - 183))
+    sine = F.sin(F.radians(lat))
+    t = F.sinh(F.atanh(sine) - e * F.atanh(e * sine))
+    xi, eta = F.atan2(t, F.cos(away)), F.atanh(F.sin(away) / F.sqrt(1.0 + t * t))
+    north_part = xi + sum((a * F.sin(2.0 * j * xi) * F.cosh(2.0 * j * eta) for j, a in enumerate(alpha, 1)), lit(0))
+    east_part = eta + sum((a * F.cos(2.0 * j * xi) * F.sinh(2.0 * j * eta) for j, a in enumerate(alpha, 1)), lit(0))
+    return UTM_EAST + UTM_SCALE * radius * east_part, (0.0 if north else UTM_NORTH) + UTM_SCALE * radius * north_part
+
+
 def utm_text(epsg: Column) -> Column:
     """`WGS84 UTM 37N` for a UTM code, else `EPSG:<code>`."""
     code = epsg.cast("string")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geokernel.operators.quantiles import median_and_deviation, one_row, values_of
+
 #: Robust sigma of a normal distribution by its median absolute deviation; 95 % of it.
 MAD_SIGMA, Z95 = 1.4826, 1.96
 
@@ -40,6 +42,11 @@ def shared_bounds(a: DataFrame, b: DataFrame, gsd: float) -> DataFrame:
     return box.withColumns({"width": F.greatest(F.lit(1), F.rint((F.col("xmax") - F.col("xmin")) / gsd)).cast("long"), "height": F.greatest(F.lit(1), F.rint((F.col("ymax") - F.col("ymin")) / gsd)).cast("long")})
 
 
+def valid_cells(cells: DataFrame) -> DataFrame:
+    """One row (valid): the number of cells whose value is a number."""
+    return cells.agg(F.count_if(F.col("v").isNotNull() & ~F.isnan(F.col("v").cast("double"))).alias("valid"))
+
+
 def difference(reference: DataFrame, later: DataFrame) -> DataFrame:
     """later - reference where both have data."""
     return reference.select("r", "c", F.col("v").alias("before")).join(later.select("r", "c", F.col("v").alias("after")), ["r", "c"]).withColumn("dz", F.col("after") - F.col("before"))
@@ -47,9 +54,8 @@ def difference(reference: DataFrame, later: DataFrame) -> DataFrame:
 
 def level_of_detection(dz: DataFrame, registration_error: float = 0.0, z: float = Z95) -> DataFrame:
     """One row (lod): z times the larger of the robust sigma and the registration error."""
-    centred = dz.select(F.median("dz").alias("mid"))
-    spread = dz.join(F.broadcast(centred)).select(F.median(F.abs(F.col("dz") - F.col("mid"))).alias("mad"))
-    return spread.select(F.coalesce(z * F.greatest(MAD_SIGMA * F.col("mad"), F.abs(F.lit(registration_error))), F.lit(0.0)).alias("lod"))
+    _, mad = median_and_deviation(values_of(dz, F.col("dz")))
+    return one_row(dz, lod=0.0 if mad is None else z * max(MAD_SIGMA * mad, abs(registration_error)))
 
 
 def change_report(dz: DataFrame, lod: DataFrame, cell_area: float) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from geokernel.functions import scalar as S
 
 CORNERS = (0, 1, 2)
+#: Pixels along the side of a block of a triangle's bounding box.
+BLOCK_PIXELS = 512
 
 
 def triangles(vertices: DataFrame, faces: DataFrame) -> DataFrame:
@@ -62,7 +64,14 @@ def fragments(tri: DataFrame, gsd: float, xmin: float, ymax: float) -> DataFrame
     cols = (centre(F.least(*px), F.ceil), centre(F.greatest(*px), F.floor))
     rows = (centre(F.least(*py), F.ceil), centre(F.greatest(*py), F.floor))
     named = tri.select("fid", *[p.alias(f"px{k}") for k, p in enumerate(px)], *[p.alias(f"py{k}") for k, p in enumerate(py)], "z0", "z1", "z2", cols[0].alias("cl"), cols[1].alias("ch"), rows[0].alias("rl"), rows[1].alias("rh"))
-    spread = named.filter("cl <= ch AND rl <= rh").withColumn("r", F.explode(F.sequence("rl", "rh"))).withColumn("c", F.explode(F.sequence("cl", "ch")))
+    named = named.filter("cl <= ch AND rl <= rh")
+    # A large triangle is cut into blocks that are dealt out before their pixels are listed.
+    large = (F.col("ch") - F.col("cl") >= BLOCK_PIXELS) | (F.col("rh") - F.col("rl") >= BLOCK_PIXELS)
+    blocks = named.filter(large)
+    for lo, hi in (("rl", "rh"), ("cl", "ch")):
+        blocks = blocks.withColumn("at", F.explode(F.sequence(F.col(lo), F.col(hi), F.lit(BLOCK_PIXELS).cast("long")))).withColumns({lo: F.col("at"), hi: F.least(F.col(hi), F.col("at") + (BLOCK_PIXELS - 1))}).drop("at")
+    spread = named.filter(~large).unionByName(blocks.repartition("fid", "rl", "cl"))
+    spread = spread.withColumn("r", F.explode(F.sequence("rl", "rh"))).withColumn("c", F.explode(F.sequence("cl", "ch")))
     w = S.barycentric(F.col("c") + 0.5, F.col("r") + 0.5, *[(F.col(f"px{k}"), F.col(f"py{k}")) for k in CORNERS])
     inside = spread.withColumns({f"w{k}": w[k] for k in CORNERS}).filter("w0 >= 0 AND w1 >= 0 AND w2 >= 0")
     return inside.select("fid", "r", "c", "w0", "w1", "w2", (F.col("w0") * F.col("z0") + F.col("w1") * F.col("z1") + F.col("w2") * F.col("z2")).alias("z"))
@@ -112,8 +121,8 @@ def merged(tiles: DataFrame, tile_faces: DataFrame) -> tuple[DataFrame, DataFram
 
     sizes = running_offsets(tiles.groupBy("tile").agg(F.count("*").alias("n")), "tile", "n").select("tile", "offset")
     fsizes = running_offsets(tile_faces.groupBy("tile").agg(F.count("*").alias("n")), "tile", "n").select("tile", F.col("offset").alias("f_offset"))
-    moved = tiles.join(F.broadcast(sizes), "tile").select((F.col("vid") + F.col("offset")).alias("vid"), "x", "y", "z", "tile")
-    faces = tile_faces.join(F.broadcast(sizes), "tile").join(F.broadcast(fsizes), "tile")
+    moved = tiles.join(sizes, "tile").select((F.col("vid") + F.col("offset")).alias("vid"), "x", "y", "z", "tile")
+    faces = tile_faces.join(sizes, "tile").join(fsizes, "tile")
     return moved, faces.select((F.col("fid") + F.col("f_offset")).alias("fid"), *[(F.col(f"v{k}") + F.col("offset")).alias(f"v{k}") for k in CORNERS], "tile")
 
 
@@ -121,13 +130,15 @@ def view_weights(tri: DataFrame, views: DataFrame, margin: float = 4.0) -> DataF
     """(fid, view, weight) of faces seen by pinhole views (view, r, t, f, cx, cy, width, height).
 
     A face counts for a view whose image holds its centroid inside the margin, at a cosine above
-    the least one. Views are a small table; depth tests follow as an equi-join on depth cells."""
+    the least one. Views meet only faces in the cells of their footprints; depth tests follow as
+    an equi-join on depth cells."""
+    from geokernel.operators.imagery import near_pairs
+
     a, b, c = map(corner, CORNERS)
     n = S.cross(S.minus(b, a), S.minus(c, a))
     size = F.nullif(F.sqrt(n[0] * n[0] + n[1] * n[1] + n[2] * n[2]), F.lit(0.0))
-    m = with_measures(tri).select("fid", *[(n[i] / size).alias(f"n{i}") for i in range(3)], "cx", "cy", "cz")
-    v = views.select("view", "r", "t", "f", F.col("cx").alias("px"), F.col("cy").alias("py"), "width", "height")
-    both = m.join(F.broadcast(v))
+    m = with_measures(tri).select("fid", *[(n[i] / size).alias(f"n{i}") for i in range(3)], F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("cz").alias("z"))
+    both = near_pairs(views, m).withColumnsRenamed({"cx": "px", "cy": "py", "x": "cx", "y": "cy", "z": "cz"})
     r, t = [F.col("r")[i] for i in range(9)], tuple(F.col("t")[i] for i in range(3))
     p = tuple(x + d for x, d in zip(S.rotate(r, (F.col("cx"), F.col("cy"), F.col("cz"))), t, strict=True))
     u, w = S.pinhole(p, F.col("f"), F.col("f"), F.col("px"), F.col("py"))

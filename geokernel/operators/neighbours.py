@@ -12,6 +12,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from geokernel.operators.quantiles import median, one_row, quantiles, values_of
 from geokernel.operators.tables import written
 
 AXES = ("x", "y", "z")
@@ -140,13 +141,14 @@ def within_radius(queries: DataFrame, points: DataFrame, radius: float, axes: tu
 def distance_summary(neighbours: DataFrame) -> DataFrame:
     """Mean, spread, root mean square, 95 % and largest of nearest distances."""
     d = F.sqrt("d2")
-    return neighbours.agg(F.count("*").alias("n"), F.avg(d).alias("mean"), F.stddev_pop(d).alias("std"), F.sqrt(F.avg("d2")).alias("rms"), F.percentile(d, F.lit(0.95)).alias("p95"), F.max(d).alias("max"))
+    p95 = quantiles(values_of(neighbours, d), [0.95])[0]
+    return neighbours.agg(F.count("*").alias("n"), F.avg(d).alias("mean"), F.stddev_pop(d).alias("std"), F.sqrt(F.avg("d2")).alias("rms"), F.lit(p95).cast("double").alias("p95"), F.max(d).alias("max"))
 
 
 def spacing(points: DataFrame, width: float | None = None, axes: tuple[str, ...] = AXES) -> DataFrame:
     """One row (spacing): median distance to the nearest other point, zeros left out."""
     d2 = nearest(points, points, width, axes=axes, exclude_self=True)
-    return d2.filter("d2 > 0").agg(F.median(F.sqrt("d2")).alias("spacing"))
+    return one_row(points, spacing=median(values_of(d2.filter("d2 > 0"), F.sqrt("d2"))))
 
 
 def roughness(points: DataFrame, width: float | None = None, k: int = 16) -> DataFrame:

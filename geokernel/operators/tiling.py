@@ -88,3 +88,25 @@ def pending(tiles: DataFrame, status: DataFrame) -> DataFrame:
     """Tiles whose status is not done; tiles without a status are pending."""
     done = status.filter("status = 'done'").select("id")
     return tiles.join(done, "id", "left_anti")
+
+
+def merged_clouds(clouds: DataFrame, bounds: DataFrame) -> DataFrame:
+    """The points (tile, x, y, ...) of tile clouds that lie in their own tile's core, as one
+    cloud. Tiles of the bounds (tile, x0, y0, x1, y1) without points are left out; with no
+    points in any tile it is an error when the result is first counted or written."""
+    kept = clouds.join(bounds, "tile").filter(F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1")))
+    return kept.drop("x0", "y0", "x1", "y1")
+
+
+def subset_model(images: DataFrame, cameras: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The images (tile, name, ...) of each tile's members (tile, name), and the cameras that
+    the images of a tile use. Members that are no image are found by unequal()."""
+    kept = members.select("tile", "name").distinct().join(images, "name")
+    return kept, cameras.join(kept.select("tile", "camera_id").distinct(), "camera_id")
+
+
+def unequal(got: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows that only one of two tables has, with side: missing or extra. Empty if they are
+    equal as sets."""
+    a, b = got.distinct(), wanted.select(*got.columns).distinct()
+    return b.exceptAll(a).withColumn("side", F.lit("missing")).union(a.exceptAll(b).withColumn("side", F.lit("extra")))

@@ -1,0 +1,5 @@
+"""Registered queries: importing the package fills catalogue.QUERIES and catalogue.ORACLES."""
+
+from geokernel.plans import catalogue, columns, control, imagery
+
+__all__ = ["catalogue", "columns", "control", "imagery"]

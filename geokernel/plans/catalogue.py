@@ -204,14 +204,6 @@ def similarity_fit_residuals(spark: SparkSession, d: str) -> DataFrame:
     return stats.residual_stats(fits.held_out_residuals(A.markings(spark, d)))
 
 
-@query()
-def held_out_marker_fits(spark: SparkSession, d: str) -> DataFrame:
-    """For each corner position the similarity fitted on the rows of all the other positions."""
-    rows = _marked(spark, d)
-    others = rows.select("m", "k", "lx", "ly", "lz", "wx", "wy", "wz").withColumn("left_out", F.explode(F.array(*map(F.lit, range(4))))).filter(F.col("left_out") != F.col("k"))
-    return fits.grouped_similarity(others, "left_out").select("left_out", F.round("s", 6).alias("s"))
-
-
 # -- masks, samples, crops ----------------------------------------------------------------
 
 
@@ -300,7 +292,17 @@ def pca_axis_order(spark: SparkSession, d: str) -> DataFrame:
     return stats.principal_projection(A.markings(spark, d), "wx", "wy").select("rid", F.round("proj", 6).alias("proj"))
 
 
-@query()
+@query(
+    with_views(
+        """m AS (SELECT avg(wx) AS mx, avg(wy) AS my, var_pop(wx) AS sxx, var_pop(wy) AS syy, covar_pop(wx, wy) AS sxy FROM gcp),
+v AS (SELECT *, (sxx + syy) / 2 + sqrt(greatest(((sxx + syy) / 2) ** 2 - (sxx * syy - sxy * sxy), 0)) AS lam FROM m),
+p AS (SELECT rid, row_number() OVER (ORDER BY ((wx - mx) * (lam - syy) + (wy - my) * sxy) / sqrt((lam - syy) ** 2 + sxy ** 2), rid) - 1 AS place FROM gcp, v),
+n AS (SELECT count(*) AS n, least(greatest(1, CAST(round_even(0.3::DOUBLE * count(*), 0) AS BIGINT)), count(*) - 4, count(*) - 2) AS wanted FROM p),
+i AS (SELECT CAST(floor(CAST(n - 2 AS DOUBLE) / wanted * (unnest(range(wanted)) + 0.5::DOUBLE)) AS BIGINT) + 1 AS place FROM n)
+SELECT rid, place IN (SELECT place FROM i) AS is_check FROM p""",
+        "gcp",
+    )
+)
 def check_selection(spark: SparkSession, d: str) -> DataFrame:
     rows = A.markings(spark, d).select("rid", F.col("wx").alias("x"), F.col("wy").alias("y"))
     return stats.choose_check(rows, 0.3, "rid").select("rid", "is_check")
@@ -557,7 +559,14 @@ def bilinear_resample_whole(spark: SparkSession, d: str) -> DataFrame:
     return grid.bilinear_resample(cells, 1.0, 0.75, grid.whole_target(cells, 1.0, 0.75)).withColumn("v", F.round("v", 6))
 
 
-@query()
+def lowpass_sql(cells: str, sigma: float, name: str = "smooth") -> str:
+    """A common table expression (r, c, v, low) over the cells (r, c, v) of another one."""
+    reach = int(4 * sigma + 0.5)
+    kernel = f"exp(-0.5::DOUBLE * ((b.r - a.r) ** 2 + (b.c - a.c) ** 2) / {D(sigma)} ** 2)"
+    return f"{name} AS (SELECT a.r AS r, a.c AS c, any_value(a.v) AS v, sum(b.v * {kernel}) / greatest(sum({kernel}), 1e-6) AS low FROM {cells} a JOIN {cells} b ON abs(a.r - b.r) <= {reach} AND abs(a.c - b.c) <= {reach} GROUP BY a.r, a.c)"
+
+
+@query(with_views(lowpass_sql("rast_a", 1.5) + " SELECT r, c, round(low, 6) AS low FROM smooth", "rast_a"))
 def raster_lowpass(spark: SparkSession, d: str) -> DataFrame:
     return grid.lowpass(A.raster(spark, d, 0), 1.5).select("r", "c", F.round("low", 6).alias("low"))
 
@@ -630,8 +639,18 @@ def icp_report(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([row], "stable_fraction double, registration_error double, tx double, ty double, tz double")
 
 
-@query()
+def _cylinder(name: str, cloud: str) -> str:
+    return f"""{name} AS (SELECT b.pid AS id, avg(p.z) AS mean, var_pop(p.z) AS var, count(*) AS n FROM cloud_b b JOIN {cloud} p ON abs(p.x - b.x) <= 2 AND abs(p.y - b.y) <= 2
+  WHERE (p.x - b.x) * (p.x - b.x) + (p.y - b.y) * (p.y - b.y) <= 4 AND abs(p.z - b.z) <= 60 GROUP BY b.pid)"""
+
+
+M3C2_SQL = f"""{_cylinder("c1", "cloud_a")}, {_cylinder("c2", "cloud_b")},
+m3c2 AS (SELECT b.pid AS id, c2.mean - c1.mean AS distance, 1.96::DOUBLE * sqrt(c1.var / c1.n + c2.var / c2.n) AS lod FROM cloud_b b LEFT JOIN c1 ON b.pid = c1.id LEFT JOIN c2 ON b.pid = c2.id)"""
+
+
+@query(with_views(M3C2_SQL + " SELECT id, round(distance, 6) + 0 AS distance, round(lod, 6) AS lod, coalesce(abs(distance) > lod, false) AS significant FROM m3c2", "cloud_a", "cloud_b"))
 def m3c2_vertical(spark: SparkSession, d: str) -> DataFrame:
     a, b = _points(A.cloud_a(spark, d)), _points(A.cloud_b(spark, d))
     radius = 2.0
-    return fits.m3c2(b, a, b, radius, max(30 * radius, 3.0))
+    found = fits.m3c2(b, a, b, radius, max(30 * radius, 3.0))
+    return found.select("id", (F.round("distance", 6) + 0.0).alias("distance"), F.round("lod", 6).alias("lod"), "significant")

@@ -80,6 +80,71 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select("l_orderkey", (F.floor("l_extendedprice") % 256).cast("long").alias("r"), (F.floor(F.col("l_quantity")) * 5 % 256).cast("long").alias("g"), (F.col("l_partkey") % 256).alias("b"))
 
 
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, camera_id): images of customers, every third in a folder."""
+    c = table(spark, sf_dir, "customer")
+    image = F.concat(F.when(F.col("c_custkey") % 3 == 0, "flight/img_").otherwise("img_"), F.col("c_custkey").cast("string"))
+    return c.select(image.alias("name"), F.col("c_nationkey").alias("camera_id"))
+
+
+def cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(camera_id, model, width, height, params) of nations, with one focal length."""
+    k = F.col("n_nationkey")
+    params = F.array((3000 + 10 * k).cast("double"), F.lit(2000.0), F.lit(1500.0), k / F.lit(1024.0))
+    return table(spark, sf_dir, "nation").select(k.alias("camera_id"), F.lit("SIMPLE_RADIAL").alias("model"), F.lit(4000).cast("long").alias("width"), F.lit(3000).cast("long").alias("height"), params.alias("params"))
+
+
+def marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rid, image, u, v): marked pixels of orders; some images are known by their last part
+    alone, some not at all."""
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    folder = F.get(F.array(F.lit("img_"), F.lit("other/img_"), F.lit("flight/img_"), F.lit("img-")), (k % 4).cast("int"))
+    return o.select(k.alias("rid"), F.concat(folder, F.col("o_custkey").cast("string")).alias("image"), (k * 7919 % 4000).cast("double").alias("u"), (k * 104729 % 3000).cast("double").alias("v"))
+
+
+def keypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image, ordinal, u, v, pid): observed points of line items, in the order of their number."""
+    li, k = table(spark, sf_dir, "lineitem"), F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    image = F.concat(F.when(F.col("l_suppkey") % 3 == 0, "flight/img_").otherwise("img_"), F.col("l_suppkey").cast("string"))
+    return li.select(image.alias("image"), k.alias("ordinal"), (k * 31 % 4000).cast("double").alias("u"), (k * 17 % 3000).cast("double").alias("v"), F.col("l_partkey").alias("pid"))
+
+
+def site(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Markings, images and cameras of a planted scene: each control point of markings() as
+    three cameras that look straight down from 40 see it, through a lens with distortion."""
+    from geokernel.functions import scalar as S
+
+    c = table(spark, sf_dir, "customer").filter("c_custkey <= 150")
+    x, y = hashed_xy(F.col("c_custkey"))
+    name = F.concat(F.lit("img_"), F.col("c_custkey").cast("string"))
+    # A half turn about x takes world to camera; t = -R C.
+    images = c.select(F.col("c_custkey").alias("k"), name.alias("name"), F.array(*map(F.lit, (0.0, 1.0, 0.0, 0.0))).alias("q"), F.array(-x, y, F.lit(40.0)).alias("t"), F.col("c_nationkey").alias("camera_id"))
+    lens = cameras(spark, sf_dir)
+    seen = markings(spark, sf_dir).withColumn("i", F.explode(F.array(*map(F.lit, (0, 1, 2))))).withColumn("k", (F.col("rid") * 3 + F.col("i")) % 150 + 1)
+    seen = seen.join(images, "k").join(lens, "camera_id")
+    z = 40.0 - F.col("lz")
+    px, py = (F.col("lx") + F.col("t")[0]) / z, (F.col("t")[1] - F.col("ly")) / z
+    k = S.intrinsics(F.col("model"), F.col("params"))
+    bent = S.distort(F.col("model"), k["dist"], px, py)
+    marked = seen.select((F.col("rid") * 4 + F.col("i")).alias("line"), "wx", "wy", "wz", (k["fx"] * bent["x"] + k["cx"]).alias("u"), (k["fy"] * bent["y"] + k["cy"]).alias("v"), F.concat(F.lit("raw/"), F.col("name")).alias("image"), "label")
+    return marked, images.drop("k"), lens
+
+
+def image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels (r, c, red, green, blue, alpha) over the cells of the raster of all events, every
+    ninth without data."""
+    v = raster(spark, sf_dir, 0).select("r", "c", (F.col("v") * 8).alias("v"))
+    band = lambda k: (F.floor(F.col("v") * k) % 256).cast("int")
+    return v.select("r", "c", band(1).alias("red"), band(2).alias("green"), band(3).alias("blue"), F.when((F.col("r") * 24 + F.col("c")) % 9 == 0, 0).otherwise(255).alias("alpha"))
+
+
+def fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, lat, lon, alt): position fixes of the customers whose number is no multiple of 4,
+    around 37 E 48 N."""
+    k = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").filter(k % 4 > 0)
+    return c.select(F.concat(F.lit("img_"), k.cast("string")).alias("name"), (48 + k * 7919 % 1000 / F.lit(1024.0)).alias("lat"), (37 + k * 104729 % 1000 / F.lit(1024.0)).alias("lon"), (k % 64 / F.lit(8.0)).alias("alt"))
+
 
 #: The same views for the SQL engine, as common table expressions.
 SQL = {
@@ -99,6 +164,16 @@ SQL = {
     "gcp": """gcp AS (SELECT rid, label, is_check, lx, ly, lz, -2 * ly + 100 + CAST(rid * 17 % 16 AS DOUBLE) / 1024 AS wx, 2 * lx + 200 - CAST(rid * 13 % 16 AS DOUBLE) / 1024 AS wy, 2 * lz + 30 + CAST(rid * 11 % 8 AS DOUBLE) / 1024 AS wz FROM (
   SELECT s_suppkey AS rid, 'm' || (s_suppkey - s_suppkey % 4) || '_c' || (s_suppkey % 4) AS label, s_suppkey % 5 = 0 AS is_check, CAST(s_suppkey * 7919 % 1024 AS DOUBLE) / 128 AS lx,
   CAST(s_suppkey * 104729 % 1024 AS DOUBLE) / 128 AS ly, CAST(s_suppkey * 31 % 64 AS DOUBLE) / 128 AS lz FROM supplier))""",
+    "names": "names AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 'flight/img_' ELSE 'img_' END || c_custkey AS name, c_nationkey AS camera_id FROM customer)",
+    "cameras": "cameras AS (SELECT n_nationkey AS camera_id, CAST(3000 + 10 * n_nationkey AS DOUBLE) AS f, CAST(n_nationkey AS DOUBLE) / 1024 AS k1 FROM nation)",
+    "marks": """marks AS (SELECT o_orderkey AS rid, CASE o_orderkey % 4 WHEN 0 THEN 'img_' WHEN 1 THEN 'other/img_' WHEN 2 THEN 'flight/img_' ELSE 'img-' END || o_custkey AS image,
+  CAST(o_orderkey * 7919 % 4000 AS DOUBLE) AS u, CAST(o_orderkey * 104729 % 3000 AS DOUBLE) AS v FROM orders)""",
+    "named": """named AS (SELECT rid, u, v, coalesce(a.name, b.name) AS name, a.name IS NOT NULL AS exact FROM marks LEFT JOIN names a ON image = a.name
+  LEFT JOIN names b ON regexp_extract(image, '([^/]*)$', 1) = b.name WHERE coalesce(a.name, b.name) IS NOT NULL)""",
+    "keypoints": """keypoints AS (SELECT CASE WHEN l_suppkey % 3 = 0 THEN 'flight/img_' ELSE 'img_' END || l_suppkey AS image, ordinal, CAST(ordinal * 31 % 4000 AS DOUBLE) AS u, CAST(ordinal * 17 % 3000 AS DOUBLE) AS v, pid
+  FROM (SELECT l_suppkey, l_orderkey * 8 + l_linenumber AS ordinal, l_partkey AS pid FROM lineitem))""",
+    "fixes": "fixes AS (SELECT 'img_' || c_custkey AS name, 48 + CAST(c_custkey * 7919 % 1000 AS DOUBLE) / 1024 AS lat, 37 + CAST(c_custkey * 104729 % 1000 AS DOUBLE) / 1024 AS lon, CAST(c_custkey % 64 AS DOUBLE) / 8 AS alt FROM customer WHERE c_custkey % 4 > 0)",
+    "image": """image AS (SELECT r, c, CAST(floor(v * 8) AS BIGINT) % 256 AS red, CAST(floor(v * 8 * 2) AS BIGINT) % 256 AS green, CAST(floor(v * 8 * 3) AS BIGINT) % 256 AS blue, CASE WHEN (r * 24 + c) % 9 = 0 THEN 0 ELSE 255 END AS alpha FROM rast_a)""",
     "pixels": "pixels AS (SELECT l_orderkey, CAST(floor(l_extendedprice) AS BIGINT) % 256 AS r, CAST(floor(l_quantity) AS BIGINT) * 5 % 256 AS g, l_partkey % 256 AS b FROM lineitem)",
 }
 

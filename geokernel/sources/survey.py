@@ -21,7 +21,7 @@ def control_points(spark: SparkSession, path: str) -> DataFrame:
     lines = _lines(spark, path)
     first = lines.agg(F.min("line").alias("line"))
     f = F.col("f")
-    rows = lines.join(F.broadcast(first), "line", "left_anti").filter(~F.col("value").startswith("#"))
+    rows = lines.join(first, "line", "left_anti").filter(~F.col("value").startswith("#"))
     rows = rows.select("line", F.split(F.trim("value"), r"\s+").alias("f")).filter(F.size("f") >= 6)
     extra = F.slice(f, 7, F.size(f))
     numbers = [f[i].try_cast("double").alias(n) for i, n in enumerate(("wx", "wy", "wz", "u", "v"))]
@@ -88,7 +88,7 @@ def _as_of(rows: DataFrame, marks: DataFrame, name: str, kind: str) -> DataFrame
     blocks = both.select(block.alias("block")).distinct().join(ends, "block", "left")
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("start", F.last("end", ignorenulls=True).over(before)).select("block", "start")
-    out = filled.filter("is_row").withColumn("block", block).join(F.broadcast(starts), "block").select("line", F.coalesce("own", "start").alias(name))
+    out = filled.filter("is_row").withColumn("block", block).join(starts, "block").select("line", F.coalesce("own", "start").alias(name))
     return rows.join(out, "line")
 
 

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from geokernel.operators import topk
+from geokernel.operators.tables import remove
 
 
 class TopKState:
     """The k heaviest rows of each group over all batches so far, as a versioned table.
 
     A batch is merged into the version before it and written as its own version, so a batch
-    that is delivered again writes the same version again."""
+    that is delivered again writes the same version again. Versions that no batch can be merged
+    into any more are removed; which one is newest is read off the folder, so a restarted driver
+    goes on where the one before it ended."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str, group: str, weight: str, tie: str, k: int = 4):
         self.spark, self.path, self.schema, self.spec = spark, path, schema, (group, weight, tie, k)
@@ -23,11 +26,26 @@ class TopKState:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={batch}")
 
+    def versions(self) -> list[int]:
+        """The finished versions, oldest first."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(place)] if fs.exists(place) else []
+        done = [n for n in names if n.startswith("batch=") and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
+        return sorted(int(n.removeprefix("batch=")) for n in done)
+
     def merge(self, rows: DataFrame, batch: int) -> None:
         group, weight, tie, k = self.spec
-        both = self._version(batch - 1).unionByName(rows.select(*self._version(-1).columns))
+        before = [v for v in self.versions() if v < batch]
+        both = self._version(before[-1] if before else -1).unionByName(rows.select(*self._version(-1).columns))
         topk.top_k(both, group, weight, tie, k).drop("rank").write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
-        self.last = batch
+        for old in before[:-1]:
+            remove(self.spark, f"{self.path}/batch={old}")
+
+    @property
+    def last(self) -> int:
+        """The newest finished version, -1 before the first."""
+        return (self.versions() or [-1])[-1]
 
     def current(self) -> DataFrame:
         return self._version(self.last)
