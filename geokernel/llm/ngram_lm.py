@@ -6,7 +6,7 @@ on held-out counts (Jelinek and Mercer, 1980): a tenth of the training documents
 the counts while the weights are learned, and put back for scoring.
 
 No count table ever meets the documents in one place. Documents are gathered into chunks of a
-bounded number of tokens, and each chunk asks once for every distinct word and every distinct
+bounded number of tokens, a long document into several, each part with the word before it; and each chunk asks once for every distinct word and every distinct
 bigram it holds: requests are shuffled by hashed key to buckets, each bucket adds up what all
 chunks have counted and answers every chunk in the order of its request. The volume is that of
 the distinct bigrams of the chunks, and a frequent word or bigram is one key in each chunk.
@@ -43,10 +43,10 @@ EM_ROUNDS = 200
 MAIN, DELETED, SCORED = 0, 1, 2
 
 _U = np.uint64(0x9E3779B97F4A7C15)
-CHUNK_SCHEMA = "chunk long, doc_ids array<long>, held_out array<boolean>, roles binary, lengths binary, words binary, tokens binary, n_main long, n_deleted long, n_pairs long"
+CHUNK_SCHEMA = "chunk long, rows array<long>, doc_ids array<long>, held_out array<boolean>, roles binary, firsts binary, lengths binary, words binary, tokens binary, n_main long, n_deleted long, n_pairs long"
 REQUEST_SCHEMA = "bucket long, chunk long, kind int, keys binary, main binary, deleted binary"
 ANSWER_SCHEMA = "bucket long, chunk long, kind int, main binary, deleted binary, distinct_main long, distinct_all long"
-SCORE_SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORE_SCHEMA = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 WORD, PAIR = 0, 1
 
 
@@ -92,10 +92,11 @@ class _Stream:
     role: np.ndarray
 
     @staticmethod
-    def of(tokens: np.ndarray, lengths: np.ndarray, roles: np.ndarray, begin: int) -> _Stream:
+    def of(tokens: np.ndarray, lengths: np.ndarray, roles: np.ndarray, firsts: np.ndarray) -> _Stream:
+        """firsts: what stands before each part, the begin of a text or the word before."""
         context = np.empty_like(tokens)
         context[1:] = tokens[:-1]
-        context[np.cumsum(lengths) - lengths] = begin
+        context[np.cumsum(lengths) - lengths] = firsts
         return _Stream(tokens, context, np.repeat(roles, lengths))
 
     def pairs(self, n_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,53 +104,62 @@ class _Stream:
         return np.unique(self.context * n_words + self.word, return_inverse=True)
 
 
-def _chunk_rows(docs: list, number: int) -> pa.RecordBatch:
-    ids, held, roles, hashes = zip(*docs, strict=True)
+def _chunk_rows(parts: list, number: int) -> pa.RecordBatch:
+    rows, ids, held, roles, firsts, hashes = zip(*parts, strict=True)
     lengths = np.array([len(h) for h in hashes], np.int64)
-    words, tokens = np.unique(np.concatenate([*hashes, np.array([BEGIN], np.uint64)]), return_inverse=True)
-    begin, tokens, roles = int(tokens[-1]), tokens[:-1].astype(np.int64), np.array(roles, np.int64)
-    stream = _Stream.of(tokens, lengths, roles, begin)
+    before = np.array([*firsts, BEGIN], np.uint64)
+    words, local = np.unique(np.concatenate([*hashes, before]), return_inverse=True)
+    local = local.astype(np.int64)
+    tokens, firsts, roles = local[: -len(before)], local[-len(before) : -1], np.array(roles, np.int64)
+    stream = _Stream.of(tokens, lengths, roles, firsts)
     n_pairs = len(stream.pairs(len(words))[0])
     row = {
-        "chunk": number, "doc_ids": list(ids), "held_out": list(held), "roles": _small(roles), "lengths": _small(lengths),
+        "chunk": number, "rows": list(rows), "doc_ids": list(ids), "held_out": list(held), "roles": _small(roles), "firsts": _small(firsts), "lengths": _small(lengths),
         "words": _pack_keys(words), "tokens": _small(tokens),
         "n_main": int((stream.role == MAIN).sum()), "n_deleted": int((stream.role == DELETED).sum()), "n_pairs": n_pairs,
     }
-    schema = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("roles", pa.binary()), ("lengths", pa.binary()), ("words", pa.binary()), ("tokens", pa.binary()), ("n_main", pa.int64()), ("n_deleted", pa.int64()), ("n_pairs", pa.int64())])
+    whole, bits = pa.int64(), pa.binary()
+    schema = pa.schema([("chunk", whole), ("rows", pa.list_(whole)), ("doc_ids", pa.list_(whole)), ("held_out", pa.list_(pa.bool_())), *((c, bits) for c in ("roles", "firsts", "lengths", "words", "tokens")), *((c, whole) for c in ("n_main", "n_deleted", "n_pairs"))])
     return pa.RecordBatch.from_pylist([row], schema)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Deleted documents have chunks of their own, whose numbers are odd."""
-    first = TaskContext.get().partitionId() << 32
-    numbers, held, sizes, hashes = [first, first + 1], ([], []), [0, 0], WordHashes()
-    for batch in batches:
-        for doc_id, is_held, role, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "held_out", "role", "text")), strict=True):
-            words = ascii_words(text)
-            h = np.empty(len(words) + 1, np.uint64)
-            h[:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-            h[-1] = END
-            k = int(role == DELETED)
-            held[k].append((doc_id, is_held, role, h))
-            sizes[k] += len(h)
-            if sizes[k] >= CHUNK_TOKENS:
+def _chunks(most: int):
+    """Cuts texts into chunks of about `most` tokens. Deleted documents have chunks of their
+    own, whose numbers are odd."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        numbers, held, sizes, hashes, row = [first, first + 1], ([], []), [0, 0], WordHashes(), first
+        for batch in batches:
+            for doc_id, is_held, role, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "held_out", "role", "text")), strict=True):
+                words = ascii_words(text)
+                h = np.empty(len(words) + 1, np.uint64)
+                h[:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+                h[-1] = END
+                k = int(role == DELETED)
+                for at in range(0, len(h), most):
+                    part = h[at : at + most]
+                    held[k].append((row, doc_id, is_held, role, h[at - 1] if at else BEGIN, part))
+                    sizes[k] += len(part)
+                    if sizes[k] >= most:
+                        yield _chunk_rows(held[k], numbers[k])
+                        numbers[k], sizes[k] = numbers[k] + 2, 0
+                        held[k].clear()
+                row += 1
+        for k in (0, 1):
+            if held[k]:
                 yield _chunk_rows(held[k], numbers[k])
-                numbers[k], sizes[k] = numbers[k] + 2, 0
-                held[k].clear()
-    for k in (0, 1):
-        if held[k]:
-            yield _chunk_rows(held[k], numbers[k])
+
+    return run
 
 
-def _opened(row: dict) -> tuple[np.ndarray, _Stream, int]:
-    words = _unpack_keys(row["words"])
-    begin = int(np.searchsorted(words, np.uint64(BEGIN)))
-    return words, _Stream.of(_wide(row["tokens"]), _wide(row["lengths"]), _wide(row["roles"]), begin), begin
+def _opened(row: dict) -> tuple[np.ndarray, _Stream]:
+    return _unpack_keys(row["words"]), _Stream.of(_wide(row["tokens"]), _wide(row["lengths"]), _wide(row["roles"]), _wide(row["firsts"]))
 
 
 def _requests(row: dict, kind: int, bits: int) -> Iterator[dict]:
     """What a chunk has counted, cut by bucket; keys in ascending order."""
-    words, stream, begin = _opened(row)
+    words, stream = _opened(row)
     if kind == WORD:
         keys, place, order = words, stream.word, np.arange(len(words))
     else:
@@ -159,7 +169,8 @@ def _requests(row: dict, kind: int, bits: int) -> Iterator[dict]:
     main = np.bincount(place[stream.role == MAIN], minlength=len(keys))
     deleted = np.bincount(place[stream.role == DELETED], minlength=len(keys))
     if kind == WORD:  # how often a text begins
-        roles = _wide(row["roles"])
+        begin = int(np.searchsorted(words, np.uint64(BEGIN)))
+        roles = _wide(row["roles"])[_wide(row["firsts"]) == begin]
         main[begin], deleted[begin] = (roles == MAIN).sum(), (roles == DELETED).sum()
     keys, main, deleted = keys[order], main[order], deleted[order]
     bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
@@ -217,7 +228,7 @@ class _Counted:
 
     @staticmethod
     def of(row: dict, answers: pa.Table) -> _Counted:
-        words, stream, _ = _opened(row)
+        words, stream = _opened(row)
         codes, place = stream.pairs(len(words))
         order = np.argsort(_pair_keys(words, codes // len(words), codes % len(words)), kind="stable")
         counts = []
@@ -295,16 +306,16 @@ def _scores(weights: np.ndarray, n_all: int, v_all: int):
         lengths = x.lengths
         starts = np.cumsum(lengths) - lengths
         columns = [
-            pa.array(row["doc_ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(lengths, pa.int64()),
+            pa.array(row["rows"], pa.int64()), pa.array(row["doc_ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(lengths, pa.int64()),
             pa.array(np.add.reduceat((v > 0).astype(np.int64), starts)), pa.array(np.full(len(lengths), n_all, np.int64)),
             pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(np.log10(p), starts)),
         ]
-        return pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return pa.Table.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return score
 
 
-def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """Scores every row of docs by the model of the rows that are not held out.
 
     held_out: boolean column; where it is null (no doc_id) the row is scored but not learned
@@ -315,7 +326,7 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     fold = F.crc32(F.col(id_col).cast("string"))
     role = F.when(held_out.isNull() | held_out, SCORED).when(F.pmod((fold / 5).cast("long"), F.lit(10)) == 0, DELETED).otherwise(MAIN)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), role.alias("role"), F.col(text_col).alias("text"))
-    chunks = as_table(rows.mapInArrow(_chunks, CHUNK_SCHEMA), "chunks")
+    chunks = as_table(rows.mapInArrow(_chunks(chunk_tokens), CHUNK_SCHEMA), "chunks")
     n_main, n_deleted, n_pairs = (x or 0 for x in chunks.agg(F.sum("n_main"), F.sum("n_deleted"), F.sum("n_pairs")).first())
     bits = max(0, (-(-n_pairs // KEYS_PER_BUCKET) - 1).bit_length())
 
@@ -330,4 +341,7 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
     cells = cells.groupBy("b", "q2", "q1").agg(F.sum("n").alias("n")).orderBy("b", "q2", "q1")
     cells = np.array([tuple(r) for r in cells.collect()], np.int64).reshape(-1, 4)
     weights = learn_weights(cells, 1 / (v_main + 1))
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scores(weights, n_main + n_deleted, v_all), SCORE_SCHEMA)
+    parts = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scores(weights, n_main + n_deleted, v_all), SCORE_SCHEMA)
+    same = [F.first(c).alias(c) for c in ("doc_id", "held_out", "train_tokens")]
+    scored = parts.groupBy("row").agg(*same, *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -48,7 +48,7 @@ def test_scores_match_brute_force(spark, monkeypatch, chunk, keys):
     learn = ngram_lm.learn_weights
     monkeypatch.setattr(ngram_lm, "learn_weights", lambda cells, floor: seen.setdefault("w", learn(cells, floor)))
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash")).repartition(3)
-    got = sorted(map(tuple, ngram_lm.score_documents(docs, held()).collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    got = sorted(map(tuple, ngram_lm.score_documents(docs, held(), chunk_tokens=chunk).collect()), key=lambda r: (r[0] is None, r[0] or 0))
     want = sorted(brute(rows, seen["w"]), key=lambda r: (r[0] is None, r[0] or 0))
     assert [g[:5] for g in got] == [w[:5] for w in want]
     assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
