@@ -17,15 +17,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def with_row_key(docs: DataFrame) -> DataFrame:
-    """docs with row_key, which tells every row from every other, equal ones included: its file
-    and its place there. Rows that come from no file are written to the shared folder first."""
-    place = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a column that tells every row from every other, equal ones included, and the
+    column's name, which none of docs has: a row's file and its place there. Rows that come from
+    no file are written to the shared folder first."""
+    name = "row_key"
+    while name in docs.columns:
+        name = f"_{name}"
+
+    def keyed(table: DataFrame) -> DataFrame:
+        place = table.metadataColumn("_metadata")
+        return table.select(*(F.col(f"`{c}`") for c in table.columns), F.concat_ws(":", place["file_name"], place["row_index"]).alias(name))
+
     try:
-        return docs.select(*docs.columns, F.concat_ws(":", *place).alias("row_key"))
+        return keyed(docs), name
     except AnalysisException:
-        docs = as_table(docs, "rows")
-        return docs.select(*docs.columns, F.concat_ws(":", *place).alias("row_key"))
+        return keyed(as_table(docs, "rows")), name
 
 
 def ascii_words(text: str | None) -> list[bytes]:

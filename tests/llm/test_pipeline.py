@@ -52,6 +52,38 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert {r.doc_id: r.n for r in got} == {i: len(tokenizer.encode(texts[i], add_special_tokens=False).ids) + 1 for i in near[2]}
 
 
+def test_rows_are_decided_one_by_one(spark, tmp_path):
+    """Rows that share a doc_id, or have none, and columns named like those of the operators."""
+    rng = random.Random(8)
+    text = lambda: sentence(rng, "aa", 60)
+    a, b, c, d = text(), text(), text(), text()
+    toxic = "grumfoz wixloder grumfazi wixlodu grumfas "
+    rows = [
+        (1, a), (1, a), (1, b), (2, b), (2, c), (3, toxic + d), (3, d), (None, a), (None, d), (None, text()), (None, c + " more"), (5, None), (5, ""), (5, " "),
+        (6, d + " extra words"), (7, " ".join(sentence(rng, "bb", 1) for _ in range(5000))),
+    ]
+    train = [(100 + i, (toxic if i % 3 == 0 else "") + sentence(rng, rng.choice(list(SYLLABLES)), 40)) for i in range(120)]
+    langs = {i: "aa" for i, _ in rows}
+    clash = [F.lit(i).alias(c) for i, c in enumerate(("rejected", "p_toxic", "score", "kept", "row_key", "group", "digest", "node", "row", "a.b"))]
+    docs = spark.createDataFrame([(i, t, langs.get(i, "aa"), "s", len(t or "")) for i, t in rows + train], DOCS)
+    docs.select("*", *clash).repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 3 == 1)) for i, _ in train], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    columns, seen = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = as_table(stage(spark, docs, str(tmp_path)), name)
+        assert docs.columns == columns and all(r["a.b"] == 9 and r.row_key == 4 for r in docs.collect())
+        seen.append([(r.doc_id, r.text) for r in docs.filter("doc_id < 100 OR doc_id IS NULL").collect()])
+    after_toxic, after_language, after_exact, after_near = seen
+    assert (3, toxic + d) not in after_toxic and (3, d) in after_toxic and len(after_toxic) == len(rows) - 1
+    assert len(after_language) == len(after_toxic) - 3
+    of = lambda found, t: sorted((i for i, x in found if x == t), key=repr)
+    assert [of(after_exact, t) for t in (a, b, c, d)] == [[1], [1], [2], [3]]
+    # c stays over its near copy without an id, d over the copy with a larger one.
+    assert [of(after_near, t) for t in (c, c + " more", d, d + " extra words")] == [[2], [], [3], []]
+    assert len([i for i, _ in after_near if i is None]) == 1
+
+
 def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
