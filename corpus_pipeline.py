@@ -14,18 +14,18 @@ from geokernel.llm import exact_dedup, language_id, near_dedup, packing, toxicit
 from geokernel.llm.shared import as_table, read_table, with_row_key
 
 
-def _only(keyed: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of keyed whose row_key is among rows, without the key."""
-    return keyed.join(rows.select("row_key"), "row_key", "left_semi").drop("row_key")
+def _only(keyed: DataFrame, name: str, rows: DataFrame) -> DataFrame:
+    """The rows of keyed whose column `name` is among the row_keys, without that column."""
+    return keyed.join(rows.select(F.col("row_key").alias(name)), name, "left_semi").drop(name)
 
 
 def _bare(docs: DataFrame) -> tuple[DataFrame, list]:
     """doc_id, text and the other columns in one struct, where no result's name can clash with
     theirs; and what selects the columns as they were."""
     other = [c for c in docs.columns if c not in ("doc_id", "text")]
-    packed = F.struct(*other) if other else F.struct(F.lit(0).alias("none"))
-    back = [F.col(c) if c in ("doc_id", "text") else F.col("row")[c].alias(c) for c in docs.columns]
-    return docs.select("doc_id", "text", packed.alias("row")), back
+    fields = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(other)] or [F.lit(0).alias("none")]
+    place = {c: F.col(f"row.c{i}").alias(c) for i, c in enumerate(other)}
+    return docs.select("doc_id", "text", F.struct(*fields).alias("row")), [place[c] if c in place else F.col(c) for c in docs.columns]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +56,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Of rows that repeat that doc_id, and where no row has one, a single row stays. Null texts
     count as empty ones. Decisions go by row, not by doc_id, so another text under the same
     doc_id is not touched."""
-    keyed = with_row_key(docs)
-    kept = exact_dedup.dedup_documents(keyed, row_col="row_key").filter("kept")
-    return _only(keyed, kept.groupBy("digest").agg(F.min("row_key").alias("row_key")))
+    keyed, name = with_row_key(docs)
+    kept = exact_dedup.dedup_documents(keyed, row_col=name).filter("kept")
+    return _only(keyed, name, kept.groupBy("digest").agg(F.min("row_key").alias("row_key")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,10 +66,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Of rows that repeat that doc_id within the component, and where no row has one, a single row
     stays. Texts without words are near to nothing and stay. Decisions go by row."""
-    keyed = with_row_key(docs)
-    kept = near_dedup.near_duplicates(keyed, row_col="row_key").filter("kept")
+    keyed, name = with_row_key(docs)
+    kept = near_dedup.near_duplicates(keyed, row_col=name).filter("kept")
     one = kept.filter("group IS NOT NULL").groupBy("group").agg(F.min("row_key").alias("row_key")).select("row_key")
-    return _only(keyed, one.union(kept.filter("group IS NULL").select("row_key")))
+    return _only(keyed, name, one.union(kept.filter("group IS NULL").select("row_key")))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
