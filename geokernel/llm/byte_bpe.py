@@ -41,6 +41,24 @@ _SPACE = "\t-\r \x85\xa0  -     　"
 _CHUNKS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 
 
+@lru_cache(1)
+def _stand_ins() -> tuple[frozenset[str], dict[int, str]]:
+    """Characters that the regex module and tiktoken class differently, since they know
+    different versions of Unicode, and for each a character of the class that tiktoken gives it:
+    a letter, a digit, or neither."""
+    import tiktoken
+
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    table: dict[int, str] = {}
+    for kind, stand_in in ((r"\p{L}", "z"), (r"\p{N}", "1")):
+        finder = tiktoken.Encoding("classes", pat_str=kind, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
+        ours, theirs = set(regex.findall(kind, every)), set(finder.decode(finder.encode_ordinary(every)))
+        for c in ours - theirs:
+            table.setdefault(ord(c), "\uffff")
+        table.update((ord(c), stand_in) for c in theirs - ours)
+    return frozenset(map(chr, table)), table
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -179,6 +197,7 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, held: int = CHUNKS_HELD):
         self.merges, self.pattern = Merges(ranks), regex.compile(pattern)
+        self.unlike, self.stand_ins = _stand_ins()
         self.decimal = [str(i).encode() for i in range(len(self.merges.tokens))]
         #: Ids as decimal numbers joined by commas, and packed, of pieces and of chunks.
         self.pieces, self.chunks = Held(held), Held(held)
@@ -199,8 +218,15 @@ class Encoder:
             found.update((p, ids[a:b]) for p, a, b in zip(some, [0, *ends], ends, strict=False))
         return found
 
+    def cut(self, chunk: str) -> list[str]:
+        """The matches of the pattern, by the classes that tiktoken knows."""
+        if chunk.isascii() or self.unlike.isdisjoint(chunk):
+            return self.pattern.findall(chunk)
+        ends = [m.end() for m in self.pattern.finditer(chunk.translate(self.stand_ins))]
+        return [chunk[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
     def _learn(self, chunks: set[str]) -> None:
-        cut = {c: [p.encode("utf-8", "surrogatepass") for p in self.pattern.findall(c)] for c in chunks}
+        cut = {c: [p.encode("utf-8", "surrogatepass") for p in self.cut(c)] for c in chunks}
         pieces, decimal = self.pieces, self.decimal
         new = self.encode_pieces(pieces.missing(set(chain.from_iterable(cut.values()))))
         pieces.young.update((p, (b",".join([decimal[i] for i in ids]), struct.pack(f"<{len(ids)}I", *ids))) for p, ids in new.items())

@@ -42,6 +42,15 @@ def test_chunks_encode_as_the_whole_text(text):
     assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_characters_of_other_unicode_versions():
+    """The regex module and tiktoken need not know the same letters."""
+    for text in ("\U0003f3dbi", "a\U0003f3db 1\U0003f3db\u0558", "\u0558's\U00011de01", " \u209d\u208f-"):
+        assert ENCODER.encode(text) == TIKTOKEN.encode_ordinary(text)
+    unlike, table = byte_bpe._stand_ins()
+    text = " ".join(f"x{chr(c)}y 1{chr(c)}2 -{chr(c)}!" for c in list(table)[::37])
+    assert ENCODER.encode(text) == TIKTOKEN.encode_ordinary(text)
+
+
 def test_special_tokens_are_the_librarys():
     library = Tokenizer.from_file(WORD_JSON)
     for text in ("a <|endoftext|> b", "A<|endoftext|>B. C", "a <|ENDOFTEXT|> b", "<|startoftext|>The end.<|endoftext|>", "x <| Y", "<|End<|endoftext|>., z"):
