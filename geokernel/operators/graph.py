@@ -13,7 +13,7 @@ def _stars(edges: DataFrame) -> DataFrame:
     both = edges.select("child", "parent").union(edges.select(F.col("parent"), F.col("child"))).toDF("node", "other")
     lowest = both.groupBy("node").agg(F.min("other").alias("low"))
     lowest = lowest.select("node", F.least("node", "low").alias("low"))
-    large = both.filter(F.col("other") > F.col("node")).join(lowest, "node").select(F.col("other").alias("node"), F.col("low").alias("other")).distinct()
+    large = both.filter(F.col("other") > F.col("node")).join(lowest, "node").select(F.col("other").alias("node"), F.col("low").alias("other"))
     lowest = large.groupBy("node").agg(F.min("other").alias("low"))
     ends = F.array(F.struct(F.col("node").alias("child"), F.col("low").alias("parent")), F.struct(F.col("other").alias("child"), F.col("low").alias("parent")))
     return large.join(lowest, "node").select(F.inline(ends)).filter("child > parent").distinct()
