@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from geokernel.operators.graph import linked_roots
 
-from .shared import as_table, mix64
+from .shared import as_table, mix64, pieces
 
 THRESHOLD = 0.98
 TABLES = 10
@@ -104,19 +104,6 @@ def _owners(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pieces(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest index of each one's connected piece."""
-    low = np.arange(n)
-    while True:
-        new = low.copy()
-        np.minimum.at(new, i, low[j])
-        np.minimum.at(new, j, low[i])
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
-
-
 def _compare(threshold: float):
     def unit(code: int, ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, codes: np.ndarray, side: np.ndarray, within: bool) -> tuple:
         unit_vectors = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
@@ -131,7 +118,7 @@ def _compare(threshold: float):
         links = np.zeros(len(ids), np.int64)
         np.add.at(links, i[own], copies[j[own]])
         np.add.at(links, j[own], copies[i[own]])
-        low = _pieces(len(ids), i, j)
+        low = pieces(len(ids), i, j)
         some = (links > 0) | (low != np.arange(len(ids)))
         return ids[some], links[some], ids[low[some]]
 

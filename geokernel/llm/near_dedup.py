@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from geokernel.operators.graph import linked_roots
 
-from .shared import WordHashes, ascii_words, as_table, mix64
+from .shared import WordHashes, ascii_words, as_table, mix64, pieces
 
 SHINGLE_WORDS = 5
 #: Linked where DEN * intersection >= NUM * union.
@@ -217,7 +217,8 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _linked_units(rows: pa.Table) -> pa.Table:
-    """(a, b): each member of a unit that links to others, and the smallest of those."""
+    """(a, b): a forest over the members of each unit that links to others of its unit hold
+    together; every pair of different components was compared."""
     rows = rows.sort_by([(c, "ascending") for c in ("band", "lo", "hi", "num")])
     keys = np.array([rows[c].to_numpy() for c in ("band", "lo", "hi")])
     cuts = np.flatnonzero((np.diff(keys, axis=1) != 0).any(axis=0)) + 1
@@ -229,17 +230,16 @@ def _linked_units(rows: pa.Table) -> pa.Table:
             continue
         both = _intersections([x.values.to_numpy() for x in part["shingles"]])
         linked = (DEN * both >= NUM * (n[:, None] + n[None, :] - both)) & (root[:, None] != root[None, :])
-        some = linked.any(axis=1)
+        low = pieces(len(num), *np.nonzero(linked))
+        some = low != np.arange(len(num))
         a.append(num[some])
-        b.append(num[linked.argmax(axis=1)[some]])
+        b.append(num[low[some]])
     return pa.Table.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (a, b)], ["a", "b"])
 
 
 def _cross_links(buckets: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between members of a bucket that lie in different components.
-
-    Compared inside the work units, on full sets; a member names only one of its links, and
-    repeating the step with the components then known names the rest."""
+    """Links between members of a bucket that lie in different components, as many as join what
+    belongs together; compared inside the work units, on full sets."""
     units = as_table(_open_units(buckets, roots), "open-units")
     load = units.agg(F.sum("n")).first()[0] or 0
     groups = max(1, -(-load // SHINGLES_PER_GROUP))
@@ -283,12 +283,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = as_table(_star_pairs(buckets), "star-pairs")
     links = as_table(_confirmed(stars, sets), "links")
     roots = as_table(linked_roots(links), "roots")
-    while not (cross := _cross_links(buckets, roots, sets)).isEmpty():
-        links = links.union(cross)
-        roots = as_table(linked_roots(links), "roots")
+    # Every pair of candidates now lies in one component or is compared here.
+    links = links.union(_cross_links(buckets, roots, sets))
+    roots = as_table(linked_roots(links), "roots")
 
     named = classes.select("node", "num", "doc_id").join(roots.withColumnRenamed("node", "num"), "num", "left").withColumn("root", F.coalesce("root", "num"))
-    named = named.join(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("node", "root", "component_id")
+    # Written first, so that a large component is a skewed side that adaptive execution can split.
+    named = as_table(named.select("node", "root", "doc_id"), "named")
+    component = as_table(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "components")
+    named = named.join(component, "root").select("node", "root", "component_id")
     placed = signed.drop("bands", "text_key").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     more = ["row_key", F.col("root").alias("group")] if row_col else []

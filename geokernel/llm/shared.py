@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -58,8 +59,19 @@ class WordHashes(dict):
 
 def mix64(x):
     """A bijective finisher over uint64 arrays."""
-    import numpy as np
-
     x = (x ^ (x >> np.uint64(30))) * np.uint64(_MIX[0])
     x = (x ^ (x >> np.uint64(27))) * np.uint64(_MIX[1])
     return x ^ (x >> np.uint64(31))
+
+
+def pieces(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest index of each one's connected piece."""
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
