@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Shards of a value's rows. Spark prunes each shard in every task before anything is shuffled.
-SHARDS = 16
+SHARDS = 64
 
 
 def lowest_draws(rows: DataFrame, by: str, per_value: int, draw: Column) -> DataFrame:
