@@ -57,7 +57,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     count as empty ones. Decisions go by row, not by doc_id, so another text under the same
     doc_id is not touched."""
     keyed, name = with_row_key(docs)
-    kept = exact_dedup.dedup_documents(keyed, row_col=name).filter("kept")
+    # Decisions are written first, so that a large group is combined before it is shuffled.
+    kept = as_table(exact_dedup.dedup_documents(keyed, row_col=name), "decisions").filter("kept")
     return _only(keyed, name, kept.groupBy("digest").agg(F.min("row_key").alias("row_key")))
 
 
