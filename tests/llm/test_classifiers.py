@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import textwrap
@@ -7,8 +8,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from geokernel.llm import language_id, licenses, toxicity
-from geokernel.llm.grams import hashed_grams
+from geokernel.llm.grams import gram_counts, hashed_grams
 from geokernel.llm.license_texts import KNOWN
+from geokernel.llm.samples import Bags, lowest_draws
 
 SYLLABLES = {"aa": ["ka", "to", "mi", "ru"], "bb": ["schl", "ung", "keit", "ber"], "cc": ["eau", "oi", "que", "ment"]}
 
@@ -98,6 +100,90 @@ def test_later_models_use_earlier_probabilities():
     assert chain.predict("yes indeed")[1] > 0.5 > chain.predict("never")[1]
 
 
+def test_scores_of_a_given_chain_against_plain_sums(spark):
+    """What score_documents gives for a fixed chain, by sums over the n-grams one by one."""
+    rng = np.random.default_rng(4)
+    place = np.full(1 << toxicity.BITS, -1, np.int32)
+    texts = ["Ka tomi ruka", "schlung! schlung\n42 berkeit", "katomi " * 5000, "é ß", "", None]
+    known = np.unique(np.concatenate([hashed_grams(t, toxicity.GRAMS, toxicity.BITS) for t in texts if t]))[::2]
+    place[known] = np.arange(len(known))
+    models = [toxicity.Linear(rng.normal(0, 1, len(known)).astype(np.float32), float(rng.normal()), rng.normal(0, 1, k)) for k in range(3)]
+    chain = toxicity.Chain(place, rng.uniform(0.5, 3, len(known)).astype(np.float32), models, threshold=0.5)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.score_documents(docs, chain).collect():
+        counts = {}
+        for g in hashed_grams(texts[r.doc_id] or "", toxicity.GRAMS, toxicity.BITS).tolist():
+            if place[g] >= 0:
+                counts[place[g]] = counts.get(place[g], 0) + 1
+        want = []
+        v = {k: math.log1p(n) * chain.idf[k] for k, n in counts.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()) + toxicity.DAMPING)
+        for m in models:
+            z = sum(toxicity.SCALE * x / norm * m.weights[k] for k, x in v.items()) + m.bias + sum(e * p for e, p in zip(m.extra, want, strict=True))
+            want.append(1 / (1 + math.exp(-z)) if counts else 0.0)
+        assert np.allclose([r.p_explicit, r.p_dense, r.p_toxic], want, atol=1e-5) and r.rejected == (r.p_toxic >= 0.5)
+
+
+def test_languages_of_a_given_model_against_plain_means(spark):
+    rng = np.random.default_rng(5)
+    model = language_id.LanguageModel(["aa", "bb", "cc"], rng.normal(0, 1, (1 << language_id.BITS, 3)).astype(np.float32), rng.normal(0, 1, 3), 0.7, 0.4)
+    texts = ["Ka tomi ruka", "schlung! schlung", "katomi " * 5000, "42", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in language_id.identify(docs, model).collect():
+        grams = hashed_grams(texts[r.doc_id] or "", language_id.GRAMS, language_id.BITS)
+        if not any(c.isalpha() for c in texts[r.doc_id] or ""):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        z = (model.bias + np.mean([model.table[g] for g in grams], axis=0, dtype=float)) / 0.7
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert r.lang_pred == model.languages[p.argmax()] and abs(r.score - p.max()) < 1e-5 and r.rejected == (r.score < 0.4)
+
+
+def test_long_texts_are_hashed_in_slices():
+    rng = random.Random(2)
+    text = "".join(rng.choice("ab Éß .9") for _ in range(30_000)) + "c" * 9000
+    whole = np.unique(hashed_grams(text, (2, 3, 4), 16), return_counts=True)
+    for size in (7, 100, 5000, 10**6):
+        u, c = gram_counts(text, (2, 3, 4), 16, size=size)
+        assert np.array_equal(u, whole[0]) and np.array_equal(c, whole[1])
+
+
+def test_chain_against_a_single_model(spark):
+    """On rows that no fit saw, the chain catches at least what one model of the label does."""
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(labels, "doc_id").select("doc_id", "text", "toxic").orderBy(F.xxhash64("doc_id")).limit(4000).collect()
+    bags = [gram_counts(r.text or "", toxicity.GRAMS, toxicity.BITS) for r in rows]
+    y = np.array([r.toxic for r in rows])
+    stems = Bags.of([toxicity.stems_of(r.text or "") for r in rows], "<u4", "<u4")
+    known = toxicity.Stems(stems, y)
+    cut = 3 * len(rows) // 4
+    fold = np.arange(cut) % toxicity.FOLDS
+    train = Bags.of(bags[:cut], "<u4", "<u4")
+    columns = known.categories(np.arange(cut))
+    found = {}
+    for name, picked in (("chain", [0, 1, 2]), ("single", [2])):
+        chain = toxicity.train_rows(train, lambda fit, picked=picked: columns[:cut][:, picked], tuple(toxicity.CATEGORIES[k] for k in picked), fold)
+        p = np.array([chain.predict(r.text)[-1] for r in rows[cut:]])
+        found[name] = (p[y[cut:] == 1] >= chain.threshold).mean(), (p[y[cut:] == 0] >= chain.threshold).mean()
+    (caught, lost), (caught_alone, lost_alone) = found["chain"], found["single"]
+    assert caught >= caught_alone - 0.02 and lost <= lost_alone + 0.002
+    assert caught > 0.75 and lost < 0.01
+
+
+def test_samples_are_bounded_whatever_repeats(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), (F.col("id") % 2).alias("by"))
+    for by in (0, 1):
+        got = [r.k for r in lowest_draws(rows, "by", 160, F.xxhash64("k")).filter(F.col("by") == by).collect()]
+        # Rows that repeat fill their own shard alone; a shard's share is rounded up.
+        assert len(got) <= 192 and len(set(got)) >= 140
+
+
+def test_tags_beyond_the_bound_are_not_learned(spark):
+    rows = [(i, sentence(random.Random(i), "aa", 20), f"tag{i:04d}") for i in range(400)] + [(1000 + i, sentence(random.Random(i), "bb", 20), "bb") for i in range(40)]
+    model = language_id.fit_from_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == language_id.LANGUAGES and "bb" in model.languages
+
+
 def test_licences_in_other_spellings(spark):
     mit = KNOWN["MIT"].replace("sublicense", "sub-licence").upper()
     rows = [
