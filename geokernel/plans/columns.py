@@ -116,14 +116,14 @@ def lens_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("k", x.alias("x"), y.alias("y"))
 
 
-@query("SELECT k, round(CASE WHEN z > 1e-6 THEN f * x / z + 640 END, 9) AS u, round(CASE WHEN z > 1e-6 THEN f * y / z + 480 END, 9) AS v, round(CASE WHEN c > 0.15::DOUBLE THEN c * c / (x * x + y * y + z * z) END, 9) AS weight FROM (SELECT c_custkey AS k, CAST(c_custkey % 33 - 16 AS DOUBLE) / 4 AS x, CAST(c_custkey % 29 - 14 AS DOUBLE) / 4 AS y, CAST(c_custkey % 13 - 4 AS DOUBLE) / 2 AS z, CAST(1000 + c_custkey % 100 AS DOUBLE) AS f, CAST(c_custkey % 64 AS DOUBLE) / 64 AS c FROM customer) WHERE x * x + y * y + z * z > 0")
+@query("SELECT k, round(CASE WHEN z > 1e-6 THEN f * x / z + 640 END, 9) AS u, round(CASE WHEN z > 1e-6 THEN f * y / z + 480 END, 9) AS v, CASE WHEN c > 0.15::DOUBLE THEN c * c / (x * x + y * y + z * z) END AS weight FROM (SELECT c_custkey AS k, CAST(c_custkey % 33 - 16 AS DOUBLE) / 4 AS x, CAST(c_custkey % 29 - 14 AS DOUBLE) / 4 AS y, CAST(c_custkey % 13 - 4 AS DOUBLE) / 2 AS z, CAST(1000 + c_custkey % 100 AS DOUBLE) AS f, CAST(c_custkey % 64 AS DOUBLE) / 64 AS c FROM customer) WHERE x * x + y * y + z * z > 0")
 def pinhole_views(spark: SparkSession, d: str) -> DataFrame:
     x, y, z = (_k() % 33 - 16) / F.lit(4.0), (_k() % 29 - 14) / F.lit(4.0), (_k() % 13 - 4) / F.lit(2.0)
     f = (1000 + _k() % 100).cast("double")
     u, v = S.pinhole((x, y, z), f, f, F.lit(640.0), F.lit(480.0))
     d2 = x * x + y * y + z * z
     rows = _customers(spark, d).filter(d2 > 0)
-    return rows.select(_k().alias("k"), F.round(u, 9).alias("u"), F.round(v, 9).alias("v"), F.round(S.view_weight(_k() % 64 / F.lit(64.0), d2), 9).alias("weight"))
+    return rows.select(_k().alias("k"), F.round(u, 9).alias("u"), F.round(v, 9).alias("v"), S.view_weight(_k() % 64 / F.lit(64.0), d2).alias("weight"))
 
 
 @query("SELECT c_custkey AS k, c_custkey % 7 > 0 AS whole, CASE WHEN c_custkey % 7 > 0 THEN round(list_sum(list_transform(range(1, 17), lambda i: CAST(c_custkey * i % 97 AS DOUBLE) / 4)), 9) END AS total, CASE WHEN c_custkey % 7 > 0 THEN CAST(c_custkey * 5 % 97 AS DOUBLE) / 4 END AS fifth FROM customer")

@@ -34,7 +34,7 @@ def image_cameras(spark: SparkSession, d: str) -> DataFrame:
 @query(
     with_views(
         """near AS (SELECT rid, ordinal, pid, x, y, z, (k.u - n.u) * (k.u - n.u) + (k.v - n.v) * (k.v - n.v) AS d2 FROM named n JOIN keypoints k ON n.name = k.image JOIN cloud_a USING (pid))
-SELECT rid, pid, d2, x, y, z FROM near QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d2, ordinal) = 1""",
+SELECT rid, pid, d2, x, y, z FROM near QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d2, ordinal, pid) = 1""",
         "names", "marks", "named", "keypoints", "cloud_a",
     )
 )
@@ -92,7 +92,7 @@ def georeferencing_mode(spark: SparkSession, d: str) -> DataFrame:
     return A.table(spark, d, "customer").select(k.alias("k"), georef.mode(asked, k * 7 % 5, k * 11 % 6).alias("mode"))
 
 
-@query(with_views("o AS (SELECT pid, image, row_number() OVER (PARTITION BY image ORDER BY ordinal) AS n FROM keypoints) SELECT image, count(*) AS n, sum(pid) AS pids FROM o WHERE n <= 5 GROUP BY image", "keypoints"))
+@query(with_views("o AS (SELECT pid, image, row_number() OVER (PARTITION BY image ORDER BY ordinal) AS n FROM keypoints) SELECT image, count(*) AS n, CAST(sum(pid) AS BIGINT) AS pids FROM o WHERE n <= 5 GROUP BY image", "keypoints"))
 def sampled_observations(spark: SparkSession, d: str) -> DataFrame:
     """The first observations of each image: how many an image brings to the exposure solve is
     a parameter of that solve."""
