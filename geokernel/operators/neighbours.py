@@ -43,7 +43,7 @@ def _pairs(queries: DataFrame, points: DataFrame, axes: tuple[str, ...], cell_ax
     return _probes(queries.select("id", *axes), cell_axes, width).join(held, keys).withColumn("d2", _distance2(axes))
 
 
-def _distinct_places(points: DataFrame, axes: tuple[str, ...], most: int) -> DataFrame:
+def distinct_places(points: DataFrame, axes: tuple[str, ...], most: int) -> DataFrame:
     """Of points in exactly one place those with the lowest ids, as many as an answer can name."""
     order = Window.partitionBy(*axes).orderBy("id")
     return points.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).drop("place")
@@ -66,6 +66,12 @@ def cell_width(points: DataFrame, axes: tuple[str, ...], span: float, n: int, oc
     return max(fit) if fit else span / 2 ** (WIDTH_LEVELS - 1)
 
 
+def first_width(points: DataFrame, k: int = 1, axes: tuple[str, ...] = AXES) -> float:
+    """The width that a nearest join over these points starts with, for joins that repeat."""
+    box = points.agg(F.count("*").alias("n"), *[(F.max(a) - F.min(a)).alias(a) for a in axes]).first()
+    return cell_width(points, axes, float(max((box[a] or 0.0) for a in axes)), box["n"], OCCUPANCY + k)
+
+
 def _beside(axes: tuple[str, ...], width: float) -> Column:
     """The two cells along each axis between whose centres a query lies."""
     low = {a: F.floor(F.col(a) / width - 0.5).cast("long") for a in axes}
@@ -96,17 +102,19 @@ def _candidates(queries: DataFrame, points: DataFrame, axes: tuple[str, ...], ce
     return asked.select("id", F.explode(F.slice(F.array_sort(seen), 1, k)).alias("near"))
 
 
-def nearest(queries: DataFrame, points: DataFrame, width: float | None = None, k: int = 1, axes: tuple[str, ...] = AXES, cell_axes: tuple[str, ...] | None = None, exclude_self: bool = False, payload: tuple[str, ...] = ()) -> DataFrame:
+def nearest(queries: DataFrame, points: DataFrame, width: float | None = None, k: int = 1, axes: tuple[str, ...] = AXES, cell_axes: tuple[str, ...] | None = None, exclude_self: bool = False, payload: tuple[str, ...] = (), distinct: bool = False) -> DataFrame:
     """(id, other, d2, rank) for the k nearest points of each query; ties go to the lower id.
 
     queries and points have id and the axes; cells may use fewer axes than the distance does.
     width: of the first cells, by default found from the points. With exclude_self a point is
-    not its own neighbour. Queries with fewer than k points at all get what there is."""
+    not its own neighbour. distinct: the points come from distinct_places() already, as a table
+    that may be read again. Queries with fewer than k points at all get what there is."""
     cell_axes = cell_axes or axes
     queries, points = queries.select("id", *axes), points.select("id", *axes, *payload)
     box = points.select(*axes).withColumn("point", F.lit(1)).union(queries.select(*axes, F.lit(0))).agg(F.sum("point").alias("n"), *[(F.max(a) - F.min(a)).alias(a) for a in cell_axes]).first()
     span = float(max((box[a] or 0.0) for a in cell_axes))
-    points = written(_distinct_places(points, axes, k + exclude_self), "places")
+    if not distinct:
+        points = written(distinct_places(points, axes, k + exclude_self), "places")
     width = width or cell_width(points, cell_axes, span, box["n"] or 0, OCCUPANCY + k)
     out = None
     while True:
