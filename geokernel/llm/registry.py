@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import byte_bpe, embedding_dedup, exact_dedup, language_id, licenses, near_dedup, ngram_lm, packing, token_counts, toxicity
+from . import byte_bpe, embedding_dedup, exact_dedup, language_id, licenses, near_dedup, ngram_lm, packing, spelling, token_counts, toxicity, whitening
 from .license_texts import KNOWN
 from .shared import as_table, read_table, shared_path
 
@@ -115,6 +115,18 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(read_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """deviation is null where it does not fit a long (beyond some 10^7 vectors like the tables');
+    whitening.whiten has it as decimal(38, 0)."""
+    table = read_table(spark, sf_dir, "embeddings")
+    found = whitening.whiten(table, whitening.fit_whitening(table))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_language_id": op2_language_id,
@@ -126,6 +138,8 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_whitening": op13_whitening,
 }
 ORACLES = {
     "op1_license_scan": _op1_sql(),
