@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import byte_bpe, embedding_dedup, exact_dedup, language_id, licenses, near_dedup, ngram_lm, packing, spelling, token_counts, toxicity, whitening
+from . import byte_bpe, embedding_dedup, exact_dedup, language_id, licenses, near_dedup, ngram_lm, packing, sharding, spelling, token_counts, toxicity, whitening
 from .license_texts import KNOWN
 from .shared import as_table, read_table, shared_path
 
@@ -115,6 +115,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of near equal bytes; tokens and rows are balanced with them as far as that allows."""
+    found = sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(read_table(spark, sf_dir, "documents"))
 
@@ -138,6 +144,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_sharding": op11_sharding,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_whitening": op13_whitening,
 }

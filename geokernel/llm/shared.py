@@ -20,15 +20,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs with a column that tells every row from every other, equal ones included, and the
-    column's name, which none of docs has: a row's file and its place there. Rows that come from
-    no file are written to the shared folder first."""
+    column's name, which none of docs has: the digest of its file's full path and its place there.
+    Rows that come from no file are written to the shared folder first."""
     name = "row_key"
     while name in docs.columns:
         name = f"_{name}"
 
     def keyed(table: DataFrame) -> DataFrame:
         place = table.metadataColumn("_metadata")
-        return table.select(*(F.col(f"`{c}`") for c in table.columns), F.concat_ws(":", place["file_name"], place["row_index"]).alias(name))
+        return table.select(*(F.col(f"`{c}`") for c in table.columns), F.concat_ws(":", F.md5(place["file_path"]), place["row_index"]).alias(name))
 
     try:
         return keyed(docs), name

@@ -88,3 +88,17 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_files_of_one_base_name(spark, tmp_path):
+    """Copies go wherever their files lie: partitions name their files alike."""
+    words = " ".join(f"w{i}" for i in range(80))
+    for folder, rows in (("a", [(1, words), (2, "one two three four five six")]), ("b", [(3, words), (4, "six five four three two one")])):
+        part = spark.createDataFrame([(i, t, "aa", "s", len(t)) for i, t in rows], DOCS).coalesce(1)
+        part.write.parquet(f"{tmp_path}/written/{folder}")
+        (tmp_path / f"documents/part={folder}").mkdir(parents=True)
+        (file,) = (tmp_path / f"written/{folder}").glob("*.parquet")
+        file.rename(tmp_path / f"documents/part={folder}/part-0.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    for stage in (corpus_pipeline.drop_exact_copies, corpus_pipeline.drop_near_copies):
+        assert sorted(r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()) == [1, 2, 4]
