@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geokernel.functions import scalar as S
-from geokernel.operators import graph, grid, mesh, neighbours, stats, tiling, topk
+from geokernel.operators import change, graph, grid, mesh, neighbours, stats, tiling, topk
 from geokernel.operators import fit as fits
 from geokernel.operators.tables import written
 from geokernel.sources import adapters as A
@@ -652,5 +652,5 @@ m3c2 AS (SELECT b.pid AS id, c2.mean - c1.mean AS distance, 1.96::DOUBLE * sqrt(
 def m3c2_vertical(spark: SparkSession, d: str) -> DataFrame:
     a, b = _points(A.cloud_a(spark, d)), _points(A.cloud_b(spark, d))
     radius = 2.0
-    found = fits.m3c2(b, a, b, radius, max(30 * radius, 3.0))
+    found = change.m3c2(b, a, b, radius, max(30 * radius, 3.0))
     return found.select("id", (F.round("distance", 6) + 0.0).alias("distance"), F.round("lod", 6).alias("lod"), "significant")

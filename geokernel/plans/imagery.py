@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geokernel.functions import scalar as S
-from geokernel.operators import fit as fits
-from geokernel.operators import imagery, stats, tiling
+from geokernel.operators import change, imagery, stats, tiling
 from geokernel.plans.catalogue import M3C2_SQL, D, L, lowpass_sql, query
 from geokernel.sources import adapters as A
 from geokernel.sources.adapters import with_views
@@ -104,7 +103,7 @@ def texel_colours(spark: SparkSession, d: str) -> DataFrame:
 def m3c2_summary(spark: SparkSession, d: str) -> DataFrame:
     points = lambda c: c.select(F.col("pid").alias("id"), "x", "y", "z")
     a, b = points(A.cloud_a(spark, d)), points(A.cloud_b(spark, d))
-    found = imagery.change_summary(fits.m3c2(b, a, b, 2.0, 60.0))
+    found = imagery.change_summary(change.m3c2(b, a, b, 2.0, 60.0))
     return found.select("core_points", (F.round("median_change", 6) + 0.0).alias("median_change"), F.round("median_lod", 6).alias("median_lod"), F.round("significant", 9).alias("significant"))
 
 

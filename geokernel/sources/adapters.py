@@ -146,6 +146,17 @@ def fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.concat(F.lit("img_"), k.cast("string")).alias("name"), (48 + k * 7919 % 1000 / F.lit(1024.0)).alias("lat"), (37 + k * 104729 % 1000 / F.lit(1024.0)).alias("lon"), (k % 64 / F.lit(8.0)).alias("alt"))
 
 
+def colours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(image, pt, red, green, blue, x, y): sampled colours of line items. Images of suppliers have
+    many, those of runs of orders some, those of single orders few."""
+    li, o = table(spark, sf_dir, "lineitem"), F.col("l_orderkey")
+    k = o * 8 + F.col("l_linenumber")
+    image = F.when(o % 8 == 0, -1 - F.floor(o / 128)).when(o % 64 == 1, -1_000_000_000 - o).otherwise(F.col("l_suppkey")).cast("long")
+    price = F.floor("l_extendedprice")
+    band = lambda n: (20 + price * n % 200).cast("double")
+    return li.select(image.alias("image"), F.col("l_partkey").alias("pt"), band(1).alias("red"), band(3).alias("green"), band(7).alias("blue"), ((k * 31 % 2048 - 1024) / F.lit(1024.0)).alias("x"), ((k * 17 % 2048 - 1024) / F.lit(1024.0)).alias("y"))
+
+
 #: The same views for the SQL engine, as common table expressions.
 SQL = {
     "cloud_a": """cloud_a AS (SELECT o_orderkey AS pid, CAST(o_orderkey * 7919 % 12800 AS DOUBLE) / 128 AS x, CAST(o_orderkey * 104729 % 12799 AS DOUBLE) / 128 AS y,
@@ -174,6 +185,9 @@ SQL = {
   FROM (SELECT l_suppkey, l_orderkey * 8 + l_linenumber AS ordinal, l_partkey AS pid FROM lineitem))""",
     "fixes": "fixes AS (SELECT 'img_' || c_custkey AS name, 48 + CAST(c_custkey * 7919 % 1000 AS DOUBLE) / 1024 AS lat, 37 + CAST(c_custkey * 104729 % 1000 AS DOUBLE) / 1024 AS lon, CAST(c_custkey % 64 AS DOUBLE) / 8 AS alt FROM customer WHERE c_custkey % 4 > 0)",
     "image": """image AS (SELECT r, c, CAST(floor(v * 8) AS BIGINT) % 256 AS red, CAST(floor(v * 8 * 2) AS BIGINT) % 256 AS green, CAST(floor(v * 8 * 3) AS BIGINT) % 256 AS blue, CASE WHEN (r * 24 + c) % 9 = 0 THEN 0 ELSE 255 END AS alpha FROM rast_a)""",
+    "colours": """colours AS (SELECT CASE WHEN o % 8 = 0 THEN -1 - o // 128 WHEN o % 64 = 1 THEN -1000000000 - o ELSE l_suppkey END AS image, pt, CAST(20 + price % 200 AS DOUBLE) AS red, CAST(20 + price * 3 % 200 AS DOUBLE) AS green,
+  CAST(20 + price * 7 % 200 AS DOUBLE) AS blue, CAST(k * 31 % 2048 - 1024 AS DOUBLE) / 1024 AS x, CAST(k * 17 % 2048 - 1024 AS DOUBLE) / 1024 AS y
+  FROM (SELECT l_orderkey AS o, l_suppkey, l_partkey AS pt, CAST(floor(l_extendedprice) AS BIGINT) AS price, l_orderkey * 8 + l_linenumber AS k FROM lineitem))""",
     "pixels": "pixels AS (SELECT l_orderkey, CAST(floor(l_extendedprice) AS BIGINT) % 256 AS r, CAST(floor(l_quantity) AS BIGINT) * 5 % 256 AS g, l_partkey % 256 AS b FROM lineitem)",
 }
 

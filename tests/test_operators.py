@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geokernel.functions import scalar as S
-from geokernel.operators import fit, graph, grid, mesh, neighbours, stats, tiling
+from geokernel.operators import change, fit, graph, grid, mesh, neighbours, stats, tiling
 from geokernel.plans import catalogue
 
 CELLS = "r long, c long, v double"
@@ -214,15 +214,6 @@ def test_exposure_gains(spark):
     assert got[99] == 1.0 and max(abs(got[i] - math.exp(gain[i])) for i in range(8)) < 0.03
 
 
-def test_seam_levelling_solves_the_system(spark):
-    nodes = [(0, 10.0), (1, None), (2, None), (3, -6.0)]
-    links = [(0, 1), (1, 2), (2, 3)]
-    got = dict(fit.screened_levelling(spark.createDataFrame(nodes, "node int, data double"), spark.createDataFrame(links, "a int, b int"), rounds=80).collect())
-    lap = np.array([[1, -1, 0, 0], [-1, 2, -1, 0], [0, -1, 2, -1], [0, 0, -1, 1]])
-    want = np.linalg.solve(np.diag([1, 0, 0, 1]) + 0.15 * lap, [10, 0, 0, -6])
-    assert np.allclose([got[i] for i in range(4)], want, atol=1e-3)
-
-
 def square(spark, z=0.0, first=0):
     v = [(first + i, x, y, z) for i, (x, y) in enumerate([(0.0, 0.0), (20.0, 0.0), (20.0, 15.0), (0.0, 15.0)])]
     return v, [(first, first, first + 1, first + 2), (first + 1, first, first + 2, first + 3)]
@@ -325,5 +316,5 @@ def test_core_points_without_an_epoch_are_kept(spark):
     core = cloud([(1, 0.0, 0.0, 0.0), (2, 50.0, 0.0, 0.0), (3, 90.0, 0.0, 0.0)])
     before = cloud([(1, 0.0, 0.0, 0.0), (2, 0.5, 0.0, 0.0), (3, 90.0, 0.0, 40.0)])
     after = cloud([(1, 0.0, 0.0, 2.0), (2, 0.5, 0.0, 2.0), (3, 50.0, 0.0, 0.0)])
-    got = {x.id: (x.distance, x.significant) for x in fit.m3c2(core, before, after, 2.0, 3.0).collect()}
+    got = {x.id: (x.distance, x.significant) for x in change.m3c2(core, before, after, 2.0, 3.0).collect()}
     assert got == {1: (2.0, True), 2: (None, False), 3: (None, False)}
