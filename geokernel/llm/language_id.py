@@ -144,7 +144,7 @@ def _features(docs: DataFrame, rows_per_language: int) -> DataFrame:
 
 
 def fit_from_documents(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel:
-    """Fit on at most about rows_per_language labelled rows a language and FIT_ROWS rows in all,
+    """Fit on at most rows_per_language labelled rows a language and FIT_ROWS rows in all,
     chosen by a hash of the row, outside fold 0. The LANGUAGES most frequent values of lang are
     learned, so neither rows nor tags that grow in number reach the driver."""
     bags, tags = Bags("<u2", "<f4"), []
@@ -161,8 +161,9 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep
     """docs with lang_pred, score and rejected, from the whole text alone.
 
     Only the text is an input. Null texts and texts without a letter are und with score 0 and
-    rejected. Columns of docs with the names of the results are replaced. An empty table gives
-    an empty result; without labelled rows every text is und."""
+    rejected. Columns of docs with the names of the results are replaced. Rows that repeat are
+    judged each and alike. An empty table gives an empty result; without labelled rows every text
+    is und."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ["lang_pred", "score", "rejected"]
     docs = docs.drop(*names) if keep_columns else docs.select("doc_id", text_col)

@@ -30,17 +30,16 @@ SPELLINGS = (
     ("copyright owner", "copyright holder"),
     ("https", "http"),
 )
-#: Every line that starts with the word; the SQL of the registry still drops these.
-COPYRIGHT_LINE = r"(^|\n)[ \t#*/;-]*(copyright|\(c\)|©)[^\n]*"
 #: Notices of holders, dropped in this order. By themselves, however the text is wrapped: that of
-#: the Free Software Foundation, the blanks of its appendices, and what stands between "copyright"
-#: and the opening of a licence.
+#: the Free Software Foundation and the blanks of its appendices.
 _YEAR = "(?:1[89]|20)[0-9]{2}"
 HOLDERS = (
     r"copyright\s+\(c\)\s+[0-9,\s-]+free\s+software\s+foundation,\s+inc\.(?:\s+51\s+franklin\s+st(?:reet)?,\s+fifth\s+floor,\s+boston,\s+ma\s+02110-1301,?\s+usa)?(?:\s+<https?://(?:www\.)?fsf\.org/>)?",
     r"copyright\s+\(c\)\s+(?:<year>|19[xy]{2}|year|_+)(?:\s+(?:<?name\s+of\s+author>?|your\s+name))?",
-    rf"(?<![\p{{L}}\p{{N}}])copyright[\s:]+(?:\(c\)|©|{_YEAR})(?:(?!copyright)[^\x00]){{1,200}}?(?=permission\s+is\s+hereby\s+granted|permission\s+to\s+use,|redistribution\s+and\s+use\s+in|this\s+software\s+is\s+provided\s+'as-is')",
 )
+#: What names a holder in running text, and the openings of the licences that follow such notices.
+MARK = r"[\s:]+(?:\(c\)|©|" + _YEAR + ")"
+OPENING = r"permission\s+is\s+hereby\s+granted|permission\s+to\s+use,|redistribution\s+and\s+use\s+in|this\s+software\s+is\s+provided\s+'as-is'"
 #: Lines that name a holder: a year or a sign, and not a word of the licences' own sentences.
 HOLDER_LINE = rf"(^|\n)[ \t#*/;-]*(?:(?:copyright|\(c\))(?![^\n]*(?:notice|holder|owner|treaty))(?:(?<=copyright)[^\n]*(?:{_YEAR}|\(c\)|©)|(?<=\))[^\n]*{_YEAR})|©(?![^\n]*(?:notice|holder|owner)))[^\n]*"
 #: The same without a year, by the capital letter of the name.
@@ -50,10 +49,23 @@ RIGHTS = r"all rights reserved\.?"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
+def _without_notices(x: Column) -> Column:
+    """Drops what stands between "copyright" with a year or sign and the opening of a licence,
+    however long it is, unless "copyright" stands there again."""
+    parts = F.split(x, r"(?<![\p{L}\p{N}])copyright(?=" + MARK + ")")
+
+    def after(part: Column) -> Column:
+        at = F.regexp_instr(F.substring_index(part, "copyright", 1), F.lit(OPENING))
+        return F.when(at > 0, F.concat(F.lit(" "), F.substring(part, at, F.length(part)))).otherwise(F.concat(F.lit("copyright"), part))
+
+    return F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), after), ""))
+
+
 def canonical(text: Column) -> Column:
     x = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), NAMED_LINE, "\n"))
     for notice in HOLDERS:
         x = F.regexp_replace(x, notice, " ")
+    x = _without_notices(x)
     x = F.regexp_replace(F.regexp_replace(x, HOLDER_LINE, "\n"), RIGHTS, " ")
     x = F.regexp_replace(x, OTHER, " ")
     for variant, kept in SPELLINGS:

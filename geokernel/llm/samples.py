@@ -13,11 +13,14 @@ SHARDS = 64
 
 
 def lowest_draws(rows: DataFrame, by: str, per_value: int, draw: Column) -> DataFrame:
-    """At most about per_value rows of each value of `by`: in each of SHARDS shards those whose
-    draw (a 64-bit hash) is lowest. Rows that repeat share a draw, so they fill one shard alone."""
-    rows = rows.withColumn("draw", draw)
-    order = Window.partitionBy(by, F.pmod("draw", F.lit(SHARDS))).orderBy("draw")
-    return rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max(1, -(-per_value // SHARDS))).drop("place", "draw")
+    """At most per_value rows of each value of `by`: those whose draw (a 64-bit hash) is lowest
+    among the lowest of each of SHARDS shards. Rows that repeat share a draw, so they fill one
+    shard alone; what the shards leave is little more than per_value rows."""
+    each = max(1, -(-per_value // SHARDS))
+    shard = Window.partitionBy(by, F.pmod("draw", F.lit(SHARDS))).orderBy("draw")
+    kept = rows.withColumn("draw", draw).withColumn("place", F.row_number().over(shard)).filter(F.col("place") <= each)
+    whole = Window.partitionBy(by).orderBy("draw")
+    return kept.withColumn("place", F.row_number().over(whole)).filter(F.col("place") <= per_value).drop("place", "draw")
 
 
 class Bags:

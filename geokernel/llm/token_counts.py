@@ -6,16 +6,19 @@ committed once under its batch id. Committing a batch again changes nothing, whe
 attempt ended or not: rows of an attempt count only if the commit log names that attempt.
 
 The log is a folder of numbered files. A driver takes the next number by creating its file where
-none may be yet, and looks for its batch again whenever another driver was faster, so a batch id
-has one entry and entries never change. fold() adds the amounts of all entries so far to stored
-totals; later reads take those and the amounts of newer entries only.
+none may be yet. A file that its driver did not live to fill is no entry and is passed over; its
+batch is not committed, and whoever sends the batch again takes a later number. Of several entries
+of one batch id, as two drivers may write at once, the lowest counts. fold() adds the amounts of all
+entries so far to stored totals; later reads take those and the amounts of newer entries only.
+
+Creating a file where none may be is exclusive on HDFS and local file systems. Object stores
+without conditional writes give no such promise: there, let one driver at a time commit.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-import time
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,8 +39,9 @@ def signed(changes: DataFrame) -> DataFrame:
 
     changes: op, source, lang, tokenizer, n_tokens, old_tokens. An insert adds n_tokens and a
     document, a delete takes them away, a revision adds n_tokens - old_tokens. Null keys are a
-    key like any other, null counts are 0, other operations are an error. Sums are built before
-    the shuffle, so a hot source costs one row for each task."""
+    key like any other, null counts are 0, other operations are an error. Rows that repeat are
+    changes of their own, an empty batch has no amounts, other columns are not read. Sums are
+    built before the shuffle, so a hot source costs one row for each task."""
     n, old = F.coalesce("n_tokens", F.lit(0)), F.coalesce("old_tokens", F.lit(0))
     unknown = F.raise_error(F.concat(F.lit("unknown change: "), F.coalesce("op", F.lit("null")))).cast("long")
     docs = F.when(F.col("op") == INSERT, 1).when(F.col("op") == DELETE, -1).when(F.col("op") == REVISE, 0).otherwise(unknown)
@@ -46,7 +50,8 @@ def signed(changes: DataFrame) -> DataFrame:
 
 
 class TokenRollup:
-    """A rollup in a folder that driver and executors share."""
+    """A rollup in a folder that driver and executors share. An empty batch is committed like any
+    other; without commits the totals are empty."""
 
     AMOUNTS = "source string, lang string, tokenizer string, docs long, tokens long"
     LOG = "n long, batch_id string, attempt string"
@@ -74,23 +79,42 @@ class TokenRollup:
         out.close()
         return True
 
+    def _names(self, folder: str) -> list[str]:
+        place, fs = self._at(folder)
+        return [s.getPath().getName() for s in fs.listStatus(place)]
+
     def _folded(self) -> list[tuple[int, str]]:
         """(last entry, folder) of every finished fold, newest first."""
-        place, fs = self._at(self.folds)
-        names = [s.getPath().getName() for s in fs.listStatus(place)]
-        done = [n for n in names if fs.exists(self._at(f"{self.folds}/{n}/batches/_SUCCESS")[0])]
+        _, fs = self._at(self.folds)
+        done = [n for n in self._names(self.folds) if fs.exists(self._at(f"{self.folds}/{n}/batches/_SUCCESS")[0])]
         return sorted(((int(n.split("-")[0]), f"{self.folds}/{n}") for n in done), reverse=True)
 
-    def _entries(self, after: int) -> list:
-        """Log entries above a number: as many as there were commits since the last fold."""
+    def _in_folds(self, folded: list[tuple[int, str]], batch_ids: list[str]) -> set[str]:
+        """Which of these batches the folds hold. Each fold lists the ids that it took in."""
+        if not folded or not batch_ids:
+            return set()
+        known = self.spark.read.schema("batch_id string").parquet(*(f"{path}/batches" for _, path in folded))
+        return {r["batch_id"] for r in known.filter(F.col("batch_id").isin(batch_ids)).distinct().collect()}
+
+    def _entries(self, folded: list[tuple[int, str]]) -> list:
+        """The entries that count and that no fold holds: as many as there were commits since."""
+        last = folded[0][0] if folded else 0
         log = self.spark.read.schema(self.LOG).json(self.commits)
-        return log.filter((F.col("n") > after) & F.col("attempt").isNotNull()).orderBy("n").collect()
+        found = log.filter((F.col("n") > last) & F.col("attempt").isNotNull()).orderBy("n").collect()
+        known = self._in_folds(folded, [e["batch_id"] for e in found])
+        first = {e["batch_id"]: e for e in reversed(found)}
+        return [e for e in found if e["batch_id"] not in known and first[e["batch_id"]] is e]
 
     def committed(self, batch_id: str) -> bool:
+        return self._attempt(batch_id) is not None
+
+    def _attempt(self, batch_id: str) -> str | None:
+        """The attempt that counts for a batch; "" where a fold holds it."""
         folded = self._folded()
-        if any(e["batch_id"] == batch_id for e in self._entries(folded[0][0] if folded else 0)):
-            return True
-        return bool(folded) and not self.spark.read.schema("batch_id string").parquet(f"{folded[0][1]}/batches").filter(F.col("batch_id") == batch_id).isEmpty()
+        for e in self._entries(folded):
+            if e["batch_id"] == batch_id:
+                return e["attempt"]
+        return "" if self._in_folds(folded, [batch_id]) else None
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Add a batch unless its id is known; whether it was added."""
@@ -98,52 +122,50 @@ class TokenRollup:
             return False
         attempt = uuid.uuid4().hex
         signed(changes).write.parquet(f"{self.deltas}/attempt={attempt}")
-        for wait in range(200):
+        while True:
             folded = self._folded()
-            last = folded[0][0] if folded else 0
-            n = max([last, *(e["n"] for e in self._entries(last))]) + 1
-            if self._created(f"{self.commits}/{n:012d}.json", json.dumps({"n": n, "batch_id": batch_id, "attempt": attempt})):
-                return True
-            # Another driver took the number; its entry may still be on its way.
-            time.sleep(0.01 * wait)
-            if self.committed(batch_id):
+            n = max([folded[0][0] if folded else 0, *(int(x.split(".")[0]) for x in self._names(self.commits) if x.endswith(".json"))]) + 1
+            if not self._created(f"{self.commits}/{n:012d}.json", json.dumps({"n": n, "batch_id": batch_id, "attempt": attempt})):
+                continue  # another driver was faster: there is one more number now
+            counted = self._attempt(batch_id)
+            if counted is None:
+                continue  # a fold went past the number before it was filled
+            # A fold that holds the batch took it from this entry or from another driver's.
+            if counted not in ("", attempt):
                 remove(self.spark, f"{self.deltas}/attempt={attempt}")
-                return False
-        raise RuntimeError(f"the log of {self.commits} has an unfinished entry after {n - 1}")
+            return counted in ("", attempt)
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, docs, tokens; keys whose amounts are all used up are gone."""
-        return self._sums(*self._state()).filter("docs <> 0 OR tokens <> 0")
-
-    def _state(self) -> tuple[str | None, list]:
         folded = self._folded()
-        return folded[0][1] if folded else None, self._entries(folded[0][0] if folded else 0)
+        return self._sums(folded, self._entries(folded)).filter("docs <> 0 OR tokens <> 0")
 
-    def _sums(self, fold: str | None, entries: list) -> DataFrame:
-        parts = ([f"{fold}/totals"] if fold else []) + [f"{self.deltas}/attempt={e['attempt']}" for e in entries]
+    def _sums(self, folded: list[tuple[int, str]], entries: list) -> DataFrame:
+        parts = ([f"{folded[0][1]}/totals"] if folded else []) + [f"{self.deltas}/attempt={e['attempt']}" for e in entries]
         if not parts:
             return self.spark.createDataFrame([], self.AMOUNTS)
         return self.spark.read.schema(self.AMOUNTS).parquet(*parts).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
 
     def fold(self) -> None:
-        """Store the totals of all entries so far. What the fold before this one had taken in
-        already is removed; readers of that fold can still finish."""
-        before, (fold, entries) = self._folded(), self._state()
+        """Store the totals of all entries so far, and the ids of those that are new. What the
+        fold before this one had taken in already is removed; readers of that fold can still
+        finish."""
+        folded = self._folded()
+        entries = self._entries(folded)
         if not entries:
             return
         path = f"{self.folds}/{entries[-1]['n']}-{uuid.uuid4().hex}"
-        self._sums(fold, entries).filter("docs <> 0 OR tokens <> 0").write.parquet(f"{path}/totals")
-        batches = self.spark.createDataFrame([(e["batch_id"],) for e in entries], "batch_id string")
-        if fold:
-            batches = batches.union(self.spark.read.schema("batch_id string").parquet(f"{fold}/batches"))
-        batches.write.parquet(f"{path}/batches")
-        if before:
+        self._sums(folded, entries).filter("docs <> 0 OR tokens <> 0").write.parquet(f"{path}/totals")
+        self.spark.createDataFrame([(e["batch_id"],) for e in entries], "batch_id string").write.parquet(f"{path}/batches")
+        if folded:
             log = self.spark.read.schema(self.LOG).json(self.commits)
-            for e in log.filter(F.col("n") <= before[0][0]).collect():
+            for e in log.filter((F.col("n") <= folded[0][0]) & F.col("attempt").isNotNull()).collect():
                 remove(self.spark, f"{self.deltas}/attempt={e['attempt']}")
-                remove(self.spark, f"{self.commits}/{e['n']:012d}.json")
-            for _, older in before[1:]:
-                remove(self.spark, older)
+            for name in self._names(self.commits):
+                if name.endswith(".json") and int(name.split(".")[0]) <= folded[0][0]:
+                    remove(self.spark, f"{self.commits}/{name}")
+            for _, older in folded[1:]:
+                remove(self.spark, f"{older}/totals")
 
 
 @lru_cache(1)
@@ -156,7 +178,9 @@ def _encoding(ranks: bytes, pattern: str):
 
 
 def count_tokens(docs: DataFrame, rank_path: str, pattern: str, columns: tuple[str, ...] = ("doc_id", "source", "lang", "n_chars")) -> DataFrame:
-    """The columns and, of every whole text, n_words and n_bpe (null and empty texts: 0)."""
+    """The columns and, of every whole text, n_words and n_bpe (null and empty texts: 0). Rows that
+    repeat are counted each; an empty table gives an empty result. Columns named n_words or n_bpe
+    may not be asked for; others of the input are not read."""
     with open(rank_path, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
 

@@ -252,8 +252,10 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, "<u4", n), np.frombuffer(raw, "<u8", n, 4 * n)
 
 
-def _features(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: int) -> DataFrame:
-    """(doc_id, toxic, bag, stems) of the sample, written to the shared folder."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> DataFrame:
+    """(doc_id, toxic, bag, stems) of a bounded sample of the labelled documents, chosen by a hash
+    of the id and written to the shared folder. A document whose label rows disagree is left
+    out; null ids, flags and texts are too."""
     flags = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("hi")).filter("toxic = hi").select(F.col("doc_id").alias("label_id"), "toxic")
     draw = F.xxhash64("label_id", F.lit(23))
     chosen = lowest_draws(flags.filter("toxic = 1"), "toxic", toxic_rows, draw).union(lowest_draws(flags.filter("toxic = 0"), "toxic", clean_rows, draw))
@@ -274,13 +276,16 @@ def _features(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: i
 
 
 def fit_from_labels(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Chain:
-    """Fit on a bounded sample of the labelled documents, chosen by a hash of the id.
+    """Fit on labelled_sample."""
+    return fit_from_sample(labelled_sample(docs, labels, toxic_rows, clean_rows))
 
-    A document whose label rows disagree is left out; null ids, flags and texts are too. The
-    sample is gone through twice, row by row: once for how many rows hold each n-gram, once for
-    the n-grams that some fit uses. Only the latter are held on the driver."""
+
+def fit_from_sample(sample: DataFrame) -> Chain:
+    """The chain of a labelled_sample, which is gone through twice, row by row: once for how many
+    rows hold each n-gram, once for the n-grams that some fit uses. Only the latter are held on
+    the driver."""
     # Steps are taken in the order of the ids, so the fit does not depend on files or tasks.
-    sample = _features(docs, labels, toxic_rows, clean_rows).orderBy("doc_id")
+    sample = sample.orderBy("doc_id")
     seen = np.zeros((FOLDS, 2, 1 << BITS), np.int32)
     rows, stems, bags = [], Bags("<u4", "<u4"), Bags("<u4", "<u4")
     for r in sample.toLocalIterator():
@@ -305,7 +310,8 @@ def score_documents(docs: DataFrame, chain: Chain, keep_columns: bool = False) -
     """docs with a probability p_<category> for each category and rejected.
 
     A text without any of the model's n-grams, so a null, empty or letterless one, has
-    probability 0 everywhere and is not rejected; without labelled toxic rows none is. Columns of docs with the names of the results are replaced.
+    probability 0 everywhere and is not rejected; without labelled toxic rows none is. Columns of
+    docs with the names of the results are replaced. Rows that repeat are judged each and alike.
     An empty table gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     names = [f"p_{c}" for c in chain.categories] + ["rejected"]

@@ -187,18 +187,56 @@ def test_rollup_ignores_uncommitted_attempts_and_later_ones(spark):
     assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "v1", 1, 10)]
 
     class Late(token_counts.TokenRollup):
-        """Looks twice at the log before the other driver's entry is there."""
+        """Looks for its batch before the other driver's entry is there, but not afterwards."""
 
-        blind = 2
+        blind = True
 
-        def _entries(self, after):
-            self.blind -= 1
-            return [] if self.blind >= 0 else super()._entries(after)
+        def committed(self, batch_id):
+            return not self.blind and super().committed(batch_id)
 
     assert not Late(spark, path).commit("1", batch)
     assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "v1", 1, 10)]
 
 
+def test_rollup_passes_over_entries_of_drivers_that_died(spark):
+    """An entry that was created and never filled: later commits go on; filled too late, after a
+    fold, it counts no more, and its driver commits again."""
+    path = shared_path(spark, "rollup-test")
+    rollup = token_counts.TokenRollup(spark, path)
+    one = changes(spark, [("insert", "a", "en", "v1", 1, None)])
+    assert rollup.commit("0", one)
+    place, fs = rollup._at(f"{rollup.commits}/{2:012d}.json")
+    fs.create(place, False).close()
+    assert rollup.commit("1", one) and not rollup.commit("1", one)
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "v1", 2, 2)]
+    rollup.fold()
+    assert rollup.commit("2", one)
+    rollup.fold()
+    assert [tuple(r) for r in token_counts.TokenRollup(spark, path).totals().collect()] == [("a", "en", "v1", 3, 3)]
+    assert [int(x.split(".")[0]) for x in rollup._names(rollup.commits) if x.endswith(".json")] == [4]
+
+    class Slow(token_counts.TokenRollup):
+        """Other drivers commit and fold between this one's creating its entry and filling it."""
+
+        slow = True
+
+        def _created(self, file, content):
+            if not self.slow:
+                return super()._created(file, content)
+            self.slow = False
+            place, fs = self._at(file)
+            out = fs.create(place, False)
+            other = token_counts.TokenRollup(self.spark, path)
+            other.commit("other", one)
+            other.fold()
+            out.write(bytearray(content.encode()))
+            out.close()
+            return True
+
+    assert Slow(spark, path).commit("slow", one) and not rollup.commit("slow", one) and not rollup.commit("other", one)
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "v1", 5, 5)]
+
+
 def test_rollup_folds(spark):
     path = shared_path(spark, "rollup-test")
     rollup = token_counts.TokenRollup(spark, path)
