@@ -213,8 +213,8 @@ def utm_text(epsg: Column) -> Column:
 
 def tile_divisions(area: Column) -> Column:
     """ceil(log4(area / 10^4)) within 1 and 4."""
-    n = F.ceil(F.ln(F.greatest(area, lit(1e-300)) / 1e4) / F.ln(lit(4))).cast("int")
-    return F.when(area <= 1e4, 1).otherwise(F.least(F.lit(4), F.greatest(F.lit(1), n)))
+    # By comparison with the powers themselves: quotients of logarithms round up at 64.
+    return F.when(area <= 4e4, 1).when(area <= 16e4, 2).when(area <= 64e4, 3).otherwise(4)
 
 
 def resolve_gsd(width: Column, height: Column, cm: Column | None = None) -> Column:

@@ -171,12 +171,13 @@ def roughness(points: DataFrame, width: float | None = None, k: int = 16) -> Dat
 
     def fit(batches):
         for pdf in batches:
-            out = []
-            for rows, q in zip(pdf["near"], pdf[["qx", "qy", "qz"]].to_numpy(), strict=True):
-                p = np.array([[r["x"], r["y"], r["z"]] for r in rows])
-                c = p.mean(axis=0)
-                normal = np.linalg.svd(p - c, full_matrices=False)[2][-1]
-                out.append(abs((q - c) @ normal))
-            yield pd.DataFrame({"id": pdf["id"], "residual": np.array(out, float)})
+            residual, sizes = np.zeros(len(pdf)), pdf["near"].map(len).to_numpy()
+            for n in np.unique(sizes):
+                rows = np.flatnonzero(sizes == n)
+                p = np.array([[(r["x"], r["y"], r["z"]) for r in pdf["near"].iloc[i]] for i in rows])
+                middle = p.mean(axis=1, keepdims=True)
+                normal = np.linalg.svd(p - middle, full_matrices=False)[2][:, -1]
+                residual[rows] = np.abs(((pdf[["qx", "qy", "qz"]].to_numpy()[rows] - middle[:, 0]) * normal).sum(axis=1))
+            yield pd.DataFrame({"id": pdf["id"], "residual": residual})
 
     return grouped.mapInPandas(fit, "id long, residual double")

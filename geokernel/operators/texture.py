@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geokernel.functions import scalar as S
@@ -179,6 +179,42 @@ def sampled(places: DataFrame, images: DataFrame, decode: Callable[[bytes], np.n
     return keyed.groupBy("view", "part").cogroup(held.groupBy("view", "part")).applyInArrow(sample, f"{schema}, red double, green double, blue double")
 
 
+#: Observations of an image that are sampled, and mean bands beyond which one counts as clipped.
+MOST_OBSERVED, DARKEST, BRIGHTEST = 1500, 8, 247
+
+
+def observed_colours(obs: DataFrame, images: DataFrame, most: int = MOST_OBSERVED, decode: Callable[[bytes], np.ndarray] = decode_pnm) -> DataFrame:
+    """(view, pid, ordinal, x, y, red, green, blue) of observations (view, ordinal, pid, u, v): the
+    means of the 3 x 3 pixels around them, and their place in the frame from -1 to 1.
+
+    Of an image at most so many observations are looked at: those whose digest of the point and
+    ordinal comes first, which is a permutation that does not change. Left out are then places
+    at the edge of the frame and clipped colours. Images are decoded one at a time, in the task
+    that samples them; views without an image are left out."""
+    order = Window.partitionBy("view").orderBy(F.md5(F.concat_ws(":", "pid", "ordinal")), "ordinal")
+    kept = obs.select("view", "ordinal", "pid", "u", "v").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).drop("place")
+
+    def sample(rows: pa.Table, image: pa.Table) -> pa.Table:
+        columns = [rows["view"], rows["pid"], rows["ordinal"]]
+        places, colours, inside = np.zeros((rows.num_rows, 2)), np.zeros((rows.num_rows, 3)), np.zeros(rows.num_rows, bool)
+        if rows.num_rows and image.num_rows:
+            pixels = decode(image["content"][0].as_py())
+            h, w = pixels.shape[:2]
+            u, v = rows["u"].to_numpy(), rows["v"].to_numpy()
+            c, r = np.rint(u).astype(int), np.rint(v).astype(int)
+            inside = (c >= 1) & (c < w - 1) & (r >= 1) & (r < h - 1)
+            places = np.stack([2 * u / w - 1, 2 * v / h - 1], axis=1)
+            at = np.flatnonzero(inside)
+            colours[at] = np.mean([pixels[r[at] + i, c[at] + j].astype(float) for i in (-1, 0, 1) for j in (-1, 0, 1)], axis=0)
+            inside &= (colours.min(axis=1) >= DARKEST) & (colours.max(axis=1) <= BRIGHTEST)
+        columns += [pa.array(places[:, 0]), pa.array(places[:, 1]), *[pa.array(colours[:, k]) for k in range(3)]]
+        return pa.Table.from_arrays(columns, ["view", "pid", "ordinal", "x", "y", *BANDS]).filter(pa.array(inside))
+
+    kinds = dict(obs.dtypes)
+    schema = f"view {kinds['view']}, pid {kinds['pid']}, ordinal {kinds['ordinal']}, x double, y double, red double, green double, blue double"
+    return kept.groupBy("view").cogroup(images.select("view", "content").groupBy("view")).applyInArrow(sample, schema)
+
+
 def baked(tri: DataFrame, uv: DataFrame, pages: DataFrame, views: DataFrame, images: DataFrame, decode: Callable[[bytes], np.ndarray] = decode_pnm) -> DataFrame:
     """(page, r, c, red, green, blue) of all texels that some view gives: samples of a face's
     views weighed by their shares, then the plain mean of the faces that have the texel.

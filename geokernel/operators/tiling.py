@@ -72,12 +72,18 @@ def halo(points: DataFrame, grid: Grid, radius: float) -> DataFrame:
     return hit.filter((F.col("i") != F.col("own_i")) | (F.col("j") != F.col("own_j"))).select("name", "i", "j")
 
 
+def members(points: DataFrame, grid: Grid, radius: float) -> DataFrame:
+    """(i, j, name, part) of every tile: its own points (core) and those around it (halo)."""
+    core = assigned(points, grid).select("i", "j", "name", F.lit("core").alias("part"))
+    return core.union(halo(points, grid, radius).select("i", "j", "name", F.lit("halo")))
+
+
 def partition(points: DataFrame, grid: Grid, radius: float) -> DataFrame:
-    """Non-empty tiles: id, counts and sorted names of core and halo."""
-    core = assigned(points, grid).groupBy("i", "j").agg(F.sort_array(F.collect_list("name")).alias("core"))
-    around = halo(points, grid, radius).groupBy("i", "j").agg(F.sort_array(F.collect_list("name")).alias("halo"))
-    tiles = core.join(around, ["i", "j"], "left").withColumn("halo", F.coalesce("halo", F.array().cast("array<string>")))
-    return tiles.select(F.format_string("tile_%02d_%02d", "i", "j").alias("id"), "i", "j", "core", "halo")
+    """Tiles with points of their own: id, i, j, how many points they and their halos have, and
+    the first name of their own. Who they are is told by members()."""
+    core = F.col("part") == "core"
+    counts = members(points, grid, radius).groupBy("i", "j").agg(F.count_if(core).alias("n_core"), F.count_if(~core).alias("n_halo"), F.min(F.when(core, F.col("name"))).alias("first_name"))
+    return counts.filter("n_core > 0").select(F.format_string("tile_%02d_%02d", "i", "j").alias("id"), "i", "j", "n_core", "n_halo", "first_name")
 
 
 def tile_count(n_sparse: Column, budget: float, factor: float) -> Column:

@@ -343,11 +343,10 @@ def arbitration(spark: SparkSession, d: str) -> DataFrame:
     return A.table(spark, d, "customer").select(k.alias("k"), stats.arbitration(F.when(k % 11 > 0, k % 64 / F.lit(1024.0)), k * 7919 % 64 / F.lit(1024.0), k % 5).alias("choice"))
 
 
-@query("SELECT c_custkey AS k, CASE WHEN a <= 10000 THEN 1 WHEN a <= 40000 THEN 1 WHEN a <= 160000 THEN 2 WHEN a <= 640000 THEN 3 ELSE 4 END AS divisions FROM (SELECT c_custkey, c_custkey * 7919 % 1000003 + 1 AS a FROM customer) WHERE a NOT IN (40000, 160000, 640000)")
+@query("SELECT c_custkey AS k, CASE WHEN a <= 10000 THEN 1 WHEN a <= 40000 THEN 1 WHEN a <= 160000 THEN 2 WHEN a <= 640000 THEN 3 ELSE 4 END AS divisions FROM (SELECT c_custkey, c_custkey * 7919 % 1000003 + 1 AS a FROM customer)")
 def tile_divisions(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
-    a = (k * 7919 % 1000003 + 1).alias("a")
-    return A.table(spark, d, "customer").select(k.alias("k"), a).filter(~F.col("a").isin(40000, 160000, 640000)).select("k", S.tile_divisions(F.col("a").cast("double")).alias("divisions"))
+    return A.table(spark, d, "customer").select(k.alias("k"), S.tile_divisions((k * 7919 % 1000003 + 1).cast("double")).alias("divisions"))
 
 
 # -- tiles --------------------------------------------------------------------------------
@@ -385,8 +384,7 @@ def halo_members(spark: SparkSession, d: str) -> DataFrame:
 
 @query(with_views(f"{_CELLS}, {_OWN}, {_RECT}, {_HALO}, h AS (SELECT i, j, count(*) AS n FROM halo GROUP BY i, j) SELECT 'tile_' || lpad(CAST(i AS VARCHAR), 2, '0') || '_' || lpad(CAST(j AS VARCHAR), 2, '0') AS id, count(*) AS n_core, any_value(coalesce(h.n, 0)) AS n_halo, min(name) AS first_name FROM own LEFT JOIN h USING (i, j) GROUP BY i, j", "centres"))
 def tile_partition(spark: SparkSession, d: str) -> DataFrame:
-    t = tiling.partition(*_grid(spark, d), 3.0)
-    return t.select("id", F.size("core").cast("long").alias("n_core"), F.size("halo").cast("long").alias("n_halo"), F.col("core")[0].alias("first_name"))
+    return tiling.partition(*_grid(spark, d), 3.0).select("id", "n_core", "n_halo", "first_name")
 
 
 @query(with_views(f"{_CELLS}, {_OWN} SELECT DISTINCT 'tile_' || lpad(CAST(i AS VARCHAR), 2, '0') || '_' || lpad(CAST(j AS VARCHAR), 2, '0') AS id FROM own WHERE (i + j) % 2 = 1", "centres"))

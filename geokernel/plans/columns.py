@@ -40,23 +40,26 @@ def quaternion_rotation(spark: SparkSession, d: str) -> DataFrame:
     return _customers(spark, d).select(_k().alias("k"), r.alias("r")).select("k", *[v.alias(f"r{i}") for i, v in enumerate(_rounded(F.col("r")[i] for i in range(9)))])
 
 
-@query(f"WITH {_R}, s AS (SELECT *, CASE WHEN r0 + r4 + r8 > 0 THEN sign(w) WHEN r0 > r4 AND r0 > r8 THEN sign(x) WHEN r4 > r8 THEN sign(y) ELSE sign(z) END AS s FROM r) SELECT k, " + ", ".join(f"round({c} * s, 9) + 0 AS {c}" for c in "wxyz") + " FROM s WHERE abs(r0 + r4 + r8) > 1e-9 AND abs(abs(x) - abs(y)) > 1e-9 AND abs(abs(y) - abs(z)) > 1e-9 AND abs(abs(x) - abs(z)) > 1e-9")
+_PRODUCTS = [(a, b) for i, a in enumerate("wxyz") for b in "wxyz"[i:]]
+
+
+@query(f"WITH {_R} SELECT k, " + ", ".join(f"round({a} * {b}, 9) + 0 AS {a}{b}" for a, b in _PRODUCTS) + " FROM r")
 def rotation_quaternion(spark: SparkSession, d: str) -> DataFrame:
-    """Rotations whose pivot is clear by more than rounding."""
-    q = _quaternion()
-    r = S.quat_to_rot(*q)
-    rows = _customers(spark, d).select(_k().alias("k"), r.alias("r"), *[F.abs(v / F.sqrt(sum((x * x for x in q), S.lit(0)))).alias(c) for v, c in zip(q, "wxyz", strict=True)])
-    apart = lambda a, b: F.abs(F.col(a) - F.col(b)) > 1e-9
-    rows = rows.filter((F.abs(F.col("r")[0] + F.col("r")[4] + F.col("r")[8]) > 1e-9) & apart("x", "y") & apart("y", "z") & apart("x", "z"))
-    found = rows.select("k", S.rot_to_quat([F.col("r")[i] for i in range(9)]).alias("q"))
-    return found.select("k", *[v.alias(c) for v, c in zip(_rounded(F.col("q")[i] for i in range(4)), "wxyz", strict=True)])
+    """Quaternions of all rotations, by the products of their parts: those do not depend on the
+    sign, which is free where two parts tie for the pivot."""
+    rows = _customers(spark, d).select(_k().alias("k"), S.quat_to_rot(*_quaternion()).alias("r"))
+    q = rows.select("k", S.rot_to_quat([F.col("r")[i] for i in range(9)]).alias("q"))
+    part = {c: F.col("q")[i] for i, c in enumerate("wxyz")}
+    products = _rounded(part[a] * part[b] for a, b in _PRODUCTS)
+    return q.select("k", *[v.alias(a + b) for v, (a, b) in zip(products, _PRODUCTS, strict=True)])
+
+
+_AXIS = ", ".join(f"round(CASE WHEN a < 1e-8 THEN 0 ELSE a / (2 * sin(a)) * ({x} - {y}) END, 7) + 0 AS {n}" for n, x, y in (("ax", "r7", "r5"), ("ay", "r2", "r6"), ("az", "r3", "r1")))
 
 
-@query(f"WITH {_R}, a AS (SELECT *, acos(greatest(-1, least(1, (r0 + r4 + r8 - 1) / 2))) AS a FROM r WHERE (r0 + r4 + r8 - 1) / 2 BETWEEN -0.999::DOUBLE AND 0.999::DOUBLE) SELECT k, round(a / (2 * sin(a)) * (r7 - r5), 7) + 0 AS ax, round(a / (2 * sin(a)) * (r2 - r6), 7) + 0 AS ay, round(a / (2 * sin(a)) * (r3 - r1), 7) + 0 AS az FROM a")
+@query(f"WITH {_R}, a AS (SELECT *, acos(greatest(-1, least(1, (r0 + r4 + r8 - 1) / 2))) AS a FROM r) SELECT k, {_AXIS} FROM a")
 def rotation_axis_angle(spark: SparkSession, d: str) -> DataFrame:
-    """Rotations clear of none and of half a turn."""
     rows = _customers(spark, d).select(_k().alias("k"), S.quat_to_rot(*_quaternion()).alias("r"))
-    rows = rows.filter(((F.col("r")[0] + F.col("r")[4] + F.col("r")[8] - 1.0) / 2.0).between(-0.999, 0.999))
     axis = S.rot_to_axis_angle([F.col("r")[i] for i in range(9)])
     return rows.select("k", *[v.alias(n) for v, n in zip(_rounded(axis, 7), ("ax", "ay", "az"), strict=True)])
 

@@ -90,13 +90,3 @@ def georeferencing_mode(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     asked = F.get(F.array(*map(F.lit, ("gcp", "exif", "local", "auto"))), (k % 4).cast("int"))
     return A.table(spark, d, "customer").select(k.alias("k"), georef.mode(asked, k * 7 % 5, k * 11 % 6).alias("mode"))
-
-
-@query(with_views("o AS (SELECT pid, image, row_number() OVER (PARTITION BY image ORDER BY ordinal) AS n FROM keypoints) SELECT image, count(*) AS n, CAST(sum(pid) AS BIGINT) AS pids FROM o WHERE n <= 5 GROUP BY image", "keypoints"))
-def sampled_observations(spark: SparkSession, d: str) -> DataFrame:
-    """The first observations of each image: how many an image brings to the exposure solve is
-    a parameter of that solve."""
-    from geokernel.operators import topk
-
-    kept = topk.top_k(A.keypoints(spark, d).withColumn("weight", -F.col("ordinal")), "image", "weight", "ordinal", 5)
-    return kept.groupBy("image").agg(F.count("*").alias("n"), F.sum("pid").alias("pids"))

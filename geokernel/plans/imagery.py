@@ -69,7 +69,7 @@ def _views(spark: SparkSession, d: str) -> DataFrame:
     return images.join(cameras, "camera_id").select(F.col("name").alias("view"), r.alias("r"), "t", F.col("params")[0].alias("f"), F.col("params")[1].alias("cx"), F.col("params")[2].alias("cy"), "width", "height")
 
 
-_SEEN = """v AS (SELECT 'img_' || c_custkey AS view, CAST(c_custkey * 7919 % 12800 AS DOUBLE) / 128 AS x0, CAST(c_custkey * 104729 % 12799 AS DOUBLE) / 128 AS y0, f FROM customer JOIN cameras ON camera_id = c_nationkey WHERE c_custkey <= 150),
+_SEEN = """v AS (SELECT 'img_' || c_custkey AS view, CAST(c_custkey * 7919 % 12800 AS DOUBLE) / 128 AS x0, CAST(c_custkey * 104729 % 12799 AS DOUBLE) / 128 AS y0, f FROM customer JOIN cameras ON camera_id = c_nationkey),
 p AS (SELECT view, f, pid, x - x0 AS px, y0 - y AS py, 40 - z AS pz FROM v, cloud_a),
 seen AS (SELECT view, f, pid, sqrt(px * px + py * py + pz * pz) AS distance FROM p WHERE pz > 1e-6 AND f * px / pz + 2000 >= 0 AND f * px / pz + 2000 < 4000 AND f * py / pz + 1500 >= 0 AND f * py / pz + 1500 < 3000)"""
 

@@ -98,3 +98,19 @@ def baked_texels(spark: SparkSession, d: str) -> DataFrame:
     uv = _uv(tri)
     pages = uv.select("page").distinct().select("page", F.lit(PAGE).cast("long").alias("width"), F.lit(PAGE).cast("long").alias("height"))
     return texture.baked(tri, uv, pages, _views(spark, d), _images(spark, d))
+
+
+_MEAN = "(" + " + ".join(f"(view * 7 + (sr + {i}) * 3 + (sc + {j}) * 5 + {{b}}) % 256" for i in (-1, 0, 1) for j in (-1, 0, 1)) + ") / 9::DOUBLE"
+
+
+@query(f"""WITH o AS (SELECT l_suppkey AS view, l_orderkey * 8 + l_linenumber AS ordinal, l_partkey AS pid, CAST((l_orderkey * 8 + l_linenumber) * 31 % 6400 AS DOUBLE) / 100 AS u, CAST((l_orderkey * 8 + l_linenumber) * 17 % 4800 AS DOUBLE) / 100 AS v FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier)),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY view ORDER BY md5(pid || ':' || ordinal), ordinal) AS n, CAST(round_even(u, 0) AS BIGINT) AS sc, CAST(round_even(v, 0) AS BIGINT) AS sr FROM o) WHERE n <= 1500 AND sc BETWEEN 1 AND {WIDTH - 2} AND sr BETWEEN 1 AND {HEIGHT - 2}),
+m AS (SELECT view, pid, ordinal, u, v, {_MEAN.format(b=0)} AS red, {_MEAN.format(b=11)} AS green, {_MEAN.format(b=22)} AS blue FROM k)
+SELECT view, pid, ordinal, round(2 * u / {WIDTH} - 1, 9) AS x, round(2 * v / {HEIGHT} - 1, 9) AS y, round(red, 9) AS red, round(green, 9) AS green, round(blue, 9) AS blue FROM m WHERE least(red, green, blue) >= 8 AND greatest(red, green, blue) <= 247""")
+def sampled_observations(spark: SparkSession, d: str) -> DataFrame:
+    """Colours at the observed points of line items in the suppliers' images: at most 1,500 of an
+    image, as the exposure solve takes them."""
+    k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    obs = A.table(spark, d, "lineitem").select(F.col("l_suppkey").alias("view"), k.alias("ordinal"), F.col("l_partkey").alias("pid"), (k * 31 % 6400 / F.lit(100.0)).alias("u"), (k * 17 % 4800 / F.lit(100.0)).alias("v"))
+    found = texture.observed_colours(obs, _images(spark, d))
+    return found.select("view", "pid", "ordinal", *[F.round(c, 9).alias(c) for c in ("x", "y", *texture.BANDS)])

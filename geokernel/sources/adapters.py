@@ -41,9 +41,10 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.col("user_id").alias("image"), (F.col("event_id") % 500).alias("pt"), (F.floor(F.col("value") * 4) % 1024 / F.lit(128.0)).alias("logc"))
 
 
-def raster(spark: SparkSession, sf_dir: str, odd: int) -> DataFrame:
-    """Cells (r, c, v) of the events of even or odd users: day by hour, largest value."""
-    e = table(spark, sf_dir, "events").filter(F.col("user_id") % 2 == odd)
+def raster(spark: SparkSession, sf_dir: str, odd: int | None = None) -> DataFrame:
+    """Cells (r, c, v) of all events, or those of even or odd users: day by hour, largest value."""
+    e = table(spark, sf_dir, "events")
+    e = e if odd is None else e.filter(F.col("user_id") % 2 == odd)
     return e.groupBy((F.dayofmonth("ts") - 1).cast("long").alias("r"), F.hour("ts").cast("long").alias("c")).agg(F.max(F.floor(F.col("value") * 128) / F.lit(128.0)).alias("v"))
 
 
@@ -114,13 +115,14 @@ def site(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFr
     three cameras that look straight down from 40 see it, through a lens with distortion."""
     from geokernel.functions import scalar as S
 
-    c = table(spark, sf_dir, "customer").filter("c_custkey <= 150")
+    c = table(spark, sf_dir, "customer")
+    first, n = c.agg(F.min("c_custkey"), F.count("*")).first()
     x, y = hashed_xy(F.col("c_custkey"))
     name = F.concat(F.lit("img_"), F.col("c_custkey").cast("string"))
     # A half turn about x takes world to camera; t = -R C.
     images = c.select(F.col("c_custkey").alias("k"), name.alias("name"), F.array(*map(F.lit, (0.0, 1.0, 0.0, 0.0))).alias("q"), F.array(-x, y, F.lit(40.0)).alias("t"), F.col("c_nationkey").alias("camera_id"))
     lens = cameras(spark, sf_dir)
-    seen = markings(spark, sf_dir).withColumn("i", F.explode(F.array(*map(F.lit, (0, 1, 2))))).withColumn("k", (F.col("rid") * 3 + F.col("i")) % 150 + 1)
+    seen = markings(spark, sf_dir).withColumn("i", F.explode(F.array(*map(F.lit, (0, 1, 2))))).withColumn("k", (F.col("rid") * 3 + F.col("i")) % n + first)
     seen = seen.join(images, "k").join(lens, "camera_id")
     z = 40.0 - F.col("lz")
     px, py = (F.col("lx") + F.col("t")[0]) / z, (F.col("t")[1] - F.col("ly")) / z
@@ -133,7 +135,7 @@ def site(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFr
 def image(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pixels (r, c, red, green, blue, alpha) over the cells of the raster of all events, every
     ninth without data."""
-    v = raster(spark, sf_dir, 0).select("r", "c", (F.col("v") * 8).alias("v"))
+    v = raster(spark, sf_dir).select("r", "c", (F.col("v") * 8).alias("v"))
     band = lambda k: (F.floor(F.col("v") * k) % 256).cast("int")
     return v.select("r", "c", band(1).alias("red"), band(2).alias("green"), band(3).alias("blue"), F.when((F.col("r") * 24 + F.col("c")) % 9 == 0, 0).otherwise(255).alias("alpha"))
 
@@ -184,7 +186,8 @@ SQL = {
     "keypoints": """keypoints AS (SELECT CASE WHEN l_suppkey % 3 = 0 THEN 'flight/img_' ELSE 'img_' END || l_suppkey AS image, ordinal, CAST(ordinal * 31 % 4000 AS DOUBLE) AS u, CAST(ordinal * 17 % 3000 AS DOUBLE) AS v, pid
   FROM (SELECT l_suppkey, l_orderkey * 8 + l_linenumber AS ordinal, l_partkey AS pid FROM lineitem))""",
     "fixes": "fixes AS (SELECT 'img_' || c_custkey AS name, 48 + CAST(c_custkey * 7919 % 1000 AS DOUBLE) / 1024 AS lat, 37 + CAST(c_custkey * 104729 % 1000 AS DOUBLE) / 1024 AS lon, CAST(c_custkey % 64 AS DOUBLE) / 8 AS alt FROM customer WHERE c_custkey % 4 > 0)",
-    "image": """image AS (SELECT r, c, CAST(floor(v * 8) AS BIGINT) % 256 AS red, CAST(floor(v * 8 * 2) AS BIGINT) % 256 AS green, CAST(floor(v * 8 * 3) AS BIGINT) % 256 AS blue, CASE WHEN (r * 24 + c) % 9 = 0 THEN 0 ELSE 255 END AS alpha FROM rast_a)""",
+    "image": """image AS (SELECT r, c, CAST(floor(v * 8) AS BIGINT) % 256 AS red, CAST(floor(v * 8 * 2) AS BIGINT) % 256 AS green, CAST(floor(v * 8 * 3) AS BIGINT) % 256 AS blue, CASE WHEN (r * 24 + c) % 9 = 0 THEN 0 ELSE 255 END AS alpha
+  FROM (SELECT CAST(day(ts) - 1 AS BIGINT) AS r, CAST(hour(ts) AS BIGINT) AS c, max(floor(value * 128) / CAST(128 AS DOUBLE)) AS v FROM events GROUP BY 1, 2))""",
     "colours": """colours AS (SELECT CASE WHEN o % 8 = 0 THEN -1 - o // 128 WHEN o % 64 = 1 THEN -1000000000 - o ELSE l_suppkey END AS image, pt, CAST(20 + price % 200 AS DOUBLE) AS red, CAST(20 + price * 3 % 200 AS DOUBLE) AS green,
   CAST(20 + price * 7 % 200 AS DOUBLE) AS blue, CAST(k * 31 % 2048 - 1024 AS DOUBLE) / 1024 AS x, CAST(k * 17 % 2048 - 1024 AS DOUBLE) / 1024 AS y
   FROM (SELECT l_orderkey AS o, l_suppkey, l_partkey AS pt, CAST(floor(l_extendedprice) AS BIGINT) AS price, l_orderkey * 8 + l_linenumber AS k FROM lineitem))""",

@@ -268,8 +268,12 @@ def test_tiles_cover_and_halo(spark):
     points = spark.createDataFrame([(f"p{i:02d}", 10.0 * (i % 4), 10.0 * (i // 4)) for i in range(16)], "name string, x double, y double")
     g = tiling.Grid.over(points, 4)
     tiles = tiling.partition(points, g, 5.0).collect()
-    assert len(tiles) == 4 and sorted(n for t in tiles for n in t.core) == sorted(f"p{i:02d}" for i in range(16))
-    assert all(len(t.core) == 4 and t.halo and not set(t.core) & set(t.halo) for t in tiles)
+    assert len(tiles) == 4 and all(t.n_core == 4 and t.n_halo > 0 for t in tiles)
+    core, around = ({(r.i, r.j, r.name) for r in tiling.members(points, g, 5.0).filter(F.col("part") == p).collect()} for p in ("core", "halo"))
+    assert sorted(n for _, _, n in core) == sorted(f"p{i:02d}" for i in range(16)) and not core & around
+    assert {t.first_name for t in tiles} == {min(n for i, j, n in core if (i, j) == (t.i, t.j)) for t in tiles}
+    areas = spark.createDataFrame([(a,) for a in (0.0, 1e4, 4e4, 4e4 + 1, 16e4, 64e4, 64e4 + 1, 1e12)], "a double")
+    assert [r[0] for r in areas.select(S.tile_divisions(F.col("a"))).collect()] == [1, 1, 1, 2, 2, 3, 4, 4]
     area = g.cells(spark).agg(F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")))).first()[0]
     assert abs(area - 900) < 1e-9
     assert spark.range(1).select(tiling.tile_count(F.lit(0), 1e6, 100), tiling.tile_count(F.lit(20000), 1e6, 100)).first()[:] == (1, 2)
