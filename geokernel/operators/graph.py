@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geokernel.operators.tables import Rounds
+from geokernel.operators.tables import Rounds, written
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -50,21 +50,88 @@ def components(nodes: DataFrame, edges: DataFrame, node: str = "id") -> DataFram
     return nodes.select(F.col(node).alias("id")).join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("component"))
 
 
-def raster_components(cells: DataFrame) -> DataFrame:
-    """cells (r, c) with component: joined over the four neighbours."""
-    keyed = cells.withColumn("id", F.col("r") * F.lit(1 << 31) + F.col("c"))
-    ends = keyed.select("r", "c", F.col("id").alias("b"))
-    edges = keyed.select(F.col("id").alias("a"), F.inline(F.array(F.struct((F.col("r") + 1).alias("r"), F.col("c").alias("c")), F.struct(F.col("r").alias("r"), (F.col("c") + 1).alias("c"))))).join(ends, ["r", "c"]).select("a", "b")
-    return keyed.join(components(keyed, edges), "id").drop("id")
+#: Cells along a side of the tiles that are labelled by themselves.
+TILE_CELLS = 512
+#: A cell's id is r * _STRIDE + c.
+_STRIDE = 1 << 31
+
+
+def _lowest(n: int, i, j):
+    """The smallest index of each one's connected piece, for links i - j."""
+    import numpy as np
+
+    low = np.arange(n)
+    while True:
+        new = low.copy()
+        np.minimum.at(new, i, low[j])
+        np.minimum.at(new, j, low[i])
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
+def _label_tile(rows):
+    import numpy as np
+    import pyarrow as pa
+
+    rows = rows.sort_by([("r", "ascending"), ("c", "ascending")])
+    r, c = rows["r"].to_numpy(), rows["c"].to_numpy()
+    ids = r * _STRIDE + c  # ascending
+    links = []
+    for step in (1, _STRIDE):
+        at = np.minimum(np.searchsorted(ids, ids + step), len(ids) - 1)
+        found = np.flatnonzero(ids[at] == ids + step)
+        links.append((found, at[found]))
+    low = _lowest(len(ids), *(np.concatenate([x[k] for x in links]) for k in (0, 1)))
+    return pa.table({"r": r, "c": c, "label": ids[low]})
+
+
+def raster_components(cells: DataFrame, tile: int = TILE_CELLS) -> DataFrame:
+    """cells (r, c) with component: joined over the four neighbours; component is the smallest
+    r * 2^31 + c of those that hang together.
+
+    Tiles are labelled by themselves, a task each; only labels that touch across the borders of
+    tiles are links between tasks, so a component of any size is a few links a tile."""
+    r, c = F.col("r").cast("long"), F.col("c").cast("long")
+    keyed = cells.select(r.alias("r"), c.alias("c")).distinct().withColumns({"ti": F.floor(F.col("r") / tile), "tj": F.floor(F.col("c") / tile)})
+    labelled = written(keyed.groupBy("ti", "tj").applyInArrow(_label_tile, "r long, c long, label long"), "labels")
+    links = None
+    for along, across in (("r", "c"), ("c", "r")):
+        last = labelled.filter(F.pmod(across, F.lit(tile)) == tile - 1).select(along, (F.col(across) + 1).alias(across), F.col("label").alias("a"))
+        first = labelled.filter(F.pmod(across, F.lit(tile)) == 0).select(along, across, F.col("label").alias("b"))
+        met = last.join(first, [along, across]).select("a", "b").distinct()
+        links = met if links is None else links.union(met)
+    roots = linked_roots(links).withColumnRenamed("node", "label")
+    named = labelled.join(roots, "label", "left").select("r", "c", F.coalesce("root", "label").alias("component"))
+    return cells.withColumns({"r": r, "c": c}).join(named, ["r", "c"])
+
+
+def empty_components(filled: DataFrame, rows: int, cols: int) -> DataFrame:
+    """(r, c, component) of the cells of a grid of rows x cols that are not filled."""
+    spark = filled.sparkSession
+    grid = spark.range(rows * cols).select(F.floor(F.col("id") / cols).cast("long").alias("r"), (F.col("id") % cols).alias("c"))
+    return raster_components(grid.join(filled.select(F.col("r").cast("long"), F.col("c").cast("long")), ["r", "c"], "left_anti"))
+
+
+def hole_sizes(empty: DataFrame, rows: int, cols: int) -> DataFrame:
+    """(component, cells, interior) of empty_components: interior ones touch no border of the grid."""
+    border = (F.col("r") == 0) | (F.col("c") == 0) | (F.col("r") == rows - 1) | (F.col("c") == cols - 1)
+    return empty.groupBy("component").agg(F.count("*").alias("cells"), (F.max(border.cast("int")) == 0).alias("interior"))
+
+
+def hole_report(filled: DataFrame, rows: int, cols: int) -> DataFrame:
+    """One row: empty cells, holes that touch no border, their cells, and their share of the grid."""
+    sizes = hole_sizes(empty_components(filled, rows, cols), rows, cols)
+    inside = F.sum(F.when(F.col("interior"), F.col("cells")).otherwise(0))
+    found = sizes.agg(F.coalesce(F.sum("cells"), F.lit(0)).alias("empty"), F.count_if("interior").alias("holes"), F.coalesce(inside, F.lit(0)).alias("inside"))
+    return found.withColumn("share", F.col("inside") / float(rows * cols))
 
 
 def interior_holes(filled: DataFrame, rows: int, cols: int, max_cells: int | None = None) -> DataFrame:
     """(r, c, component) of empty cells whose component touches no border and is small enough."""
-    spark = filled.sparkSession
-    grid = spark.range(rows * cols).select(F.floor(F.col("id") / cols).cast("long").alias("r"), (F.col("id") % cols).alias("c"))
-    empty = raster_components(grid.join(filled.select("r", "c"), ["r", "c"], "left_anti"))
-    border = (F.col("r") == 0) | (F.col("c") == 0) | (F.col("r") == rows - 1) | (F.col("c") == cols - 1)
-    inner = empty.groupBy("component").agg(F.max(border.cast("int")).alias("touches"), F.count("*").alias("cells")).filter("touches = 0")
+    empty = written(empty_components(filled, rows, cols), "empty")
+    inner = hole_sizes(empty, rows, cols).filter("interior")
     if max_cells is not None:
         inner = inner.filter(F.col("cells") <= max_cells)
     return empty.join(inner.select("component"), "component").select("r", "c", "component")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geokernel.operators.graph import linked_roots
 from geokernel.operators.quantiles import median_and_deviation, one_row, values_of
+from geokernel.operators.tables import Rounds, written
 
 #: Robust sigma of a normal distribution by its median absolute deviation; 95 % of it.
 MAD_SIGMA, Z95 = 1.4826, 1.96
@@ -168,8 +170,11 @@ def lowpass(cells: DataFrame, sigma: float, truncate: float = 4.0) -> DataFrame:
 
 
 def contour_segments(cells: DataFrame, interval: float) -> DataFrame:
-    """Marching squares on cell centres: (r, c, level, x0, y0, x1, y1), r and c of the square's
-    first corner. A corner at the level counts as above; saddles are cut by their mean."""
+    """Marching squares on cell centres: (r, c, level, x0, y0, x1, y1, e0, e1, up0), r and c of the
+    square's first corner. A corner at the level counts as above; saddles are cut by their mean.
+
+    e0 and e1 are the cell edges that the ends lie on; up0 tells that, going around the square,
+    the ground rises over the level at the first end, and so falls at the other."""
     corner = lambda name, dr, dc: cells.select((F.col("r") - dr).alias("r"), (F.col("c") - dc).alias("c"), F.col("v").alias(name))
     square = corner("a", 0, 0).join(corner("b", 0, 1), ["r", "c"]).join(corner("d", 1, 0), ["r", "c"]).join(corner("e", 1, 1), ["r", "c"])
     lo, hi = F.least("a", "b", "d", "e"), F.greatest("a", "b", "d", "e")
@@ -178,16 +183,50 @@ def contour_segments(cells: DataFrame, interval: float) -> DataFrame:
     level = F.col("level")
     t = lambda p, q: (level - F.col(p)) / F.nullif(F.col(q) - F.col(p), F.lit(0.0))
     cut = lambda p, q: (F.col(p) >= level) != (F.col(q) >= level)
-    point = lambda p, q, x, y: F.when(cut(p, q), F.struct(x.alias("x"), y.alias("y")))
+    edge = lambda dr, dc, down: F.struct((F.col("r") + dr).alias("r"), (F.col("c") + dc).alias("c"), F.lit(down).alias("down"))
+    point = lambda p, q, x, y, e, after: F.when(cut(p, q), F.struct(x.alias("x"), y.alias("y"), e.alias("e"), (F.col(after) >= level).alias("up")))
     c, r = F.col("c").cast("double"), F.col("r").cast("double")
-    top = point("a", "b", c + t("a", "b"), r)
-    right = point("b", "e", c + 1.0, r + t("b", "e"))
-    bottom = point("d", "e", c + t("d", "e"), r + 1.0)
-    left = point("a", "d", c, r + t("a", "d"))
+    top = point("a", "b", c + t("a", "b"), r, edge(0, 0, False), "b")
+    right = point("b", "e", c + 1.0, r + t("b", "e"), edge(0, 1, True), "e")
+    bottom = point("d", "e", c + t("d", "e"), r + 1.0, edge(1, 0, False), "d")
+    left = point("a", "d", c, r + t("a", "d"), edge(0, 0, True), "a")
     square = square.withColumns({"top": top, "right": right, "bottom": bottom, "left": left})
     pts = F.filter(F.array("top", "right", "bottom", "left"), lambda p: p.isNotNull())
     centre_above = (F.col("a") + F.col("b") + F.col("d") + F.col("e")) / 4.0 >= level
     first = F.when(centre_above == (F.col("a") >= level), F.array(F.array("top", "right"), F.array("bottom", "left"))).otherwise(F.array(F.array("top", "left"), F.array("bottom", "right")))
     lines = F.when(F.size(pts) == 4, first).otherwise(F.array(pts))
     out = square.select("r", "c", "level", F.explode(lines).alias("p"))
-    return out.select("r", "c", "level", F.col("p")[0]["x"].alias("x0"), F.col("p")[0]["y"].alias("y0"), F.col("p")[1]["x"].alias("x1"), F.col("p")[1]["y"].alias("y1"))
+    p, q = F.col("p")[0], F.col("p")[1]
+    return out.select("r", "c", "level", p["x"].alias("x0"), p["y"].alias("y0"), q["x"].alias("x1"), q["y"].alias("y1"), p["e"].alias("e0"), q["e"].alias("e1"), p["up"].alias("up0"))
+
+
+def contour_lines(segments: DataFrame) -> DataFrame:
+    """(line, level, closed, position, x, y): the points of each line in order, from segments of
+    contour_segments. line is the smallest number of its segments; a closed line ends where it
+    starts.
+
+    Segments run with higher ground on one side, so an edge is the end of one segment at most and
+    the start of one other. Lines are the chains of these; places in them come from pointers
+    that jump twice as far each round."""
+    spark = segments.sparkSession
+    ends = lambda name, i, j: F.when(F.col("up0"), F.col(f"{name}{i}")).otherwise(F.col(f"{name}{j}"))
+    directed = segments.select("level", ends("e", 0, 1).alias("start"), ends("e", 1, 0).alias("end"), *[ends(a, 0, 1).alias(f"{a}0") for a in "xy"], *[ends(a, 1, 0).alias(f"{a}1") for a in "xy"])
+    directed = written(directed.withColumn("id", F.monotonically_increasing_id()), "segments")
+    nexts = directed.select(F.col("level"), F.col("start").alias("end"), F.col("id").alias("next"))
+    chained = written(directed.select("id", "level", "end").join(nexts, ["level", "end"], "left").select("id", "next"), "chain")
+    roots = linked_roots(chained.filter("next IS NOT NULL").select(F.col("id").alias("a"), F.col("next").alias("b"))).withColumnsRenamed({"node": "id", "root": "line"})
+    named = chained.join(roots, "id", "left").withColumn("line", F.coalesce("line", "id"))
+    shape = named.groupBy("line").agg(F.count("*").alias("segments"), (F.count("*") == F.count("next")).alias("closed"))
+    named = written(named.join(shape, "line"), "lines")
+    # A closed line is opened before its first segment; then all lines end.
+    steps = Rounds(spark, "places")
+    onward = F.when(~(F.col("closed") & (F.col("next") == F.col("line"))), F.col("next"))
+    now = steps.write(named.select("id", onward.alias("next")).withColumn("left", F.col("next").isNotNull().cast("long")))
+    while not now.filter("next IS NOT NULL").isEmpty():
+        ahead = now.select(F.col("id").alias("next"), F.col("next").alias("further"), F.col("left").alias("more"))
+        now = steps.write(now.join(ahead, "next", "left").select("id", F.col("further").alias("next"), (F.col("left") + F.coalesce("more", F.lit(0))).alias("left")))
+    placed = named.select("id", "line", "closed", "segments").join(now.select("id", "left"), "id").join(directed.drop("start", "end"), "id")
+    first = F.struct(F.lit(0).alias("last"), F.col("x0").alias("x"), F.col("y0").alias("y"))
+    last = F.struct(F.lit(1).alias("last"), F.col("x1").alias("x"), F.col("y1").alias("y"))
+    points = placed.select("line", "level", "closed", (F.col("segments") - 1 - F.col("left")).alias("at"), F.inline(F.when(F.col("left") == 0, F.array(first, last)).otherwise(F.array(first))))
+    return points.select("line", "level", "closed", (F.col("at") + F.col("last")).alias("position"), "x", "y")

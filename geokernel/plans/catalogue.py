@@ -569,7 +569,20 @@ def raster_lowpass(spark: SparkSession, d: str) -> DataFrame:
     return grid.lowpass(A.raster(spark, d, 0), 1.5).select("r", "c", F.round("low", 6).alias("low"))
 
 
-@query()
+_POINTS = {
+    "top": ("a", "b", "c + (level - a) / (b - a)", "r + 0.0::DOUBLE", "b", "r", "c", 0),
+    "right": ("b", "e", "c + 1.0::DOUBLE", "r + (level - b) / (e - b)", "e", "r", "c + 1", 1),
+    "bottom": ("d", "e", "c + (level - d) / (e - d)", "r + 1.0::DOUBLE", "d", "r + 1", "c", 0),
+    "left": ("a", "d", "c + 0.0::DOUBLE", "r + (level - a) / (d - a)", "a", "r", "c", 1),
+}
+_CONTOURS = f"""sq AS (SELECT w.r, w.c, w.v AS a, x.v AS b, y.v AS d, z.v AS e FROM rast_a w JOIN rast_a x ON x.r = w.r AND x.c = w.c + 1 JOIN rast_a y ON y.r = w.r + 1 AND y.c = w.c JOIN rast_a z ON z.r = w.r + 1 AND z.c = w.c + 1),
+lv AS (SELECT * FROM (SELECT *, 20.0::DOUBLE * unnest(range(CAST(floor(least(a, b, d, e) / 20) AS BIGINT), CAST(floor(greatest(a, b, d, e) / 20) AS BIGINT) + 1)) AS level FROM sq) WHERE level > least(a, b, d, e) AND level <= greatest(a, b, d, e)),
+pt AS (SELECT *, {", ".join(f"CASE WHEN ({p} >= level) <> ({q} >= level) THEN {{'x': {x}, 'y': {y}, 'up': {up} >= level, 'e': ({er}) * 1000000 + ({ec}) * 2 + {down}}} END AS {n}" for n, (p, q, x, y, up, er, ec, down) in _POINTS.items())} FROM lv),
+pair AS (SELECT *, list_filter(["top", "right", bottom, "left"], lambda p: p IS NOT NULL) AS p, ((a + b + d + e) / 4 >= level) = (a >= level) AS joined FROM pt),
+seg AS (SELECT r, c, level, unnest(CASE WHEN len(p) < 4 THEN [p] WHEN joined THEN [["top", "right"], [bottom, "left"]] ELSE [["top", "left"], [bottom, "right"]] END) AS p FROM pair)"""
+
+
+@query(with_views(f"{_CONTOURS} SELECT r, c, level, round(p[1].x, 6) AS x0, round(p[1].y, 6) AS y0, round(p[2].x, 6) AS x1, round(p[2].y, 6) AS y1 FROM seg", "rast_a"))
 def contours(spark: SparkSession, d: str) -> DataFrame:
     out = grid.contour_segments(A.raster(spark, d, 0), 20.0)
     return out.select("r", "c", "level", *[F.round(c, 6).alias(c) for c in ("x0", "y0", "x1", "y1")])
