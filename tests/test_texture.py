@@ -133,6 +133,7 @@ def test_places_without_an_image_are_left_out(spark):
 def test_grouped_medians_equal_sorted_ones(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "FEW", 5)
     monkeypatch.setattr(quantiles, "BINS", 4)
+    monkeypatch.setattr(quantiles, "SORTED", 50)
     rng = np.random.default_rng(2)
     groups = {k: np.round(rng.gamma(0.4, 50, n), int(k % 3)) for k, n in enumerate((1, 2, 3, 40, 401, 1000))} | {9: np.full(50, 3.5)}
     rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [(3, None), (77, None), (4, float("nan"))]
