@@ -52,13 +52,17 @@ OTHER = r"[^\p{L}\p{N}]+"
 def _without_notices(x: Column) -> Column:
     """Drops what stands between "copyright" with a year or sign and the opening of a licence,
     however long it is, unless "copyright" stands there again."""
-    parts = F.split(x, r"(?<![\p{L}\p{N}])copyright(?=" + MARK + ")")
 
     def after(part: Column) -> Column:
         at = F.regexp_instr(F.substring_index(part, "copyright", 1), F.lit(OPENING))
         return F.when(at > 0, F.concat(F.lit(" "), F.substring(part, at, F.length(part)))).otherwise(F.concat(F.lit("copyright"), part))
 
-    return F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), after), ""))
+    def joined(parts: Column) -> Column:
+        return F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), after), ""))
+
+    # The pattern starts with letters, which are found fast; the text is split once for all its uses.
+    parts = F.split(x, r"copyright(?<![\p{L}\p{N}]copyright)(?=" + MARK + ")")
+    return F.get(F.transform(F.array(parts), joined), 0)
 
 
 def canonical(text: Column) -> Column:
