@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geokernel.operators import graph, grid, ground, merging
+from geokernel.operators.tables import shared_path
 from geokernel.plans.catalogue import _CONTOURS, _points, query
 from geokernel.sources import adapters as A
+from geokernel.sources import models
 from geokernel.sources.adapters import with_views
 
 #: Days and hours: the grid that rasters of events lie on.
@@ -138,3 +140,14 @@ def tile_merge_counts(spark: SparkSession, d: str) -> DataFrame:
     pages = tiles.select("tile", F.explode(F.array(*[F.lit(k).cast("long") for k in range(3)])).alias("slot")).withColumn("page", F.when(~((F.col("slot") == 2) & (F.col("tile") % 2 == 1)), F.lit("tex/page.ppm")))
     vertices, merged, materials = merging.merged_tiles(copies, faces, bounds, pages)
     return merged.agg(F.count("*").alias("faces")).join(F.broadcast(vertices.agg(F.count("*").alias("vertices")))).join(F.broadcast(materials.agg(F.count("*").alias("pages")))).select("vertices", "faces", "pages")
+
+
+@query(with_views("SELECT 'v ' || printf('%.6f', 2 * y * -1 + 100.015625::DOUBLE) || ' ' || printf('%.6f', 2 * x + 200 - 64) || ' ' || printf('%.6f', 2 * z + 30.5::DOUBLE) AS value, count(*) AS n FROM vertices GROUP BY 1 UNION ALL SELECT 'f ' || v0 || ' ' || v1 || ' ' || v2, 1 FROM faces", "vertices", "faces"))
+def rewritten_mesh(spark: SparkSession, d: str) -> DataFrame:
+    """The lattice mesh as text, moved by a scaled quarter turn and an offset."""
+    path = shared_path(spark, "mesh")
+    v = A.vertices(spark, d).select(F.concat_ws(" ", F.lit("v"), "x", "y", "z").alias("value"))
+    f = A.faces(spark, d).select(F.concat_ws(" ", F.lit("f"), "v0", "v1", "v2").alias("value"))
+    v.union(f).write.text(path)
+    lines = models.rewritten_lines(spark, path, 2.0, [[0, -1, 0], [1, 0, 0], [0, 0, 1]], [100.015625, 200.0, 30.5], [0.0, 64.0, 0.0])
+    return lines.groupBy("value").agg(F.count("*").alias("n"))

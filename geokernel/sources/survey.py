@@ -47,9 +47,10 @@ def check_pairs(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*[F.coalesce(bad, F.col("f")[i]).alias(n) for i, n in enumerate(("wx", "wy", "wz", "mx", "my", "mz"))])
 
 
-def textured_mesh(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(vertices, texture places, faces) of an OBJ file; polygons become fans of triangles,
-    negative indices count from the end of what stands before, materials carry forward."""
+def textured_mesh(spark: SparkSession, path: str, triangles_only: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(vertices, texture places, faces) of an OBJ file; polygons become fans of triangles (with
+    triangles_only they are left out), negative indices count from the end of what stands before,
+    materials carry forward."""
     from geokernel.operators.stats import numbered
 
     lines = _lines(spark, path).select("line", F.split(F.trim("value"), r"\s+").alias("f"))
@@ -60,7 +61,8 @@ def textured_mesh(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame,
         return numbered(rows, "line").select("line", F.col("ordinal").alias(number), *[f[i + 1].cast("double").alias(n) for i, n in enumerate(names)])
 
     vertices, places = listed("v", ("x", "y", "z"), "vid"), listed("vt", ("u", "v"), "tid")
-    faces = numbered(lines.filter(f[0] == "f"), "line")
+    wanted = (f[0] == "f") & (F.size(f) == 4) if triangles_only else f[0] == "f"
+    faces = numbered(lines.filter(wanted), "line")
     # What stands before a face: found by its line among the materials and, for negative
     # indices, the vertices; both are intervals of lines, joined as of the face's line.
     for name, other, value in (("material", lines.filter(f[0] == "usemtl").select("line", f[1].alias("value")), "string"), ("v_before", vertices.select("line", (F.col("vid") + 1).alias("value")), "bigint"), ("t_before", places.select("line", (F.col("tid") + 1).alias("value")), "bigint")):
