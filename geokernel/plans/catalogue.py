@@ -588,7 +588,20 @@ def contours(spark: SparkSession, d: str) -> DataFrame:
     return out.select("r", "c", "level", *[F.round(c, 6).alias(c) for c in ("x0", "y0", "x1", "y1")])
 
 
-@query()
+def _opened_sql() -> str:
+    """Openings of the lowest cells by windows of 1, 2 and 4, and which of them lower a cell too much."""
+    parts = [f"w0 AS MATERIALIZED (SELECT CAST(floor(y / {GSD}) AS BIGINT) AS r, CAST(floor(x / {GSD}) AS BIGINT) AS c, min(z) AS v, min(z) AS h, false AS object FROM cloud_a GROUP BY 1, 2)"]
+    for k, radius in enumerate((1, 2, 4)):
+        around = f"abs(a.r - b.r) <= {radius} AND abs(a.c - b.c) <= {radius}"
+        parts += [
+            f"low{k} AS (SELECT a.r, a.c, min(b.h) AS h FROM w{k} a JOIN w{k} b ON {around} GROUP BY a.r, a.c)",
+            f"open{k} AS (SELECT a.r, a.c, max(b.h) AS h FROM low{k} a JOIN low{k} b ON {around} GROUP BY a.r, a.c)",
+            f"w{k + 1} AS MATERIALIZED (SELECT r, c, w.v, o.h, w.object OR w.h - o.h > 0.15::DOUBLE * {radius} * {GSD} + 0.5 AS object FROM w{k} w JOIN open{k} o USING (r, c))",
+        ]
+    return ", ".join(parts)
+
+
+@query(with_views(_opened_sql() + " SELECT r, c, v FROM w3 WHERE NOT object", "cloud_a"))
 def ground_filter(spark: SparkSession, d: str) -> DataFrame:
     lowest = grid.binned(A.cloud_a(spark, d), GSD).groupBy("r", "c").agg(F.min("z").alias("v"))
     return grid.ground_cells(lowest, GSD)
