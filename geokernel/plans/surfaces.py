@@ -35,7 +35,7 @@ def hole_components(spark: SparkSession, d: str) -> DataFrame:
     return graph.hole_sizes(graph.empty_components(_filled(spark, d), ROWS, COLS), ROWS, COLS)
 
 
-@query(_RECURSIVE + f" SELECT sum(cells) AS empty, count(*) FILTER (interior) AS holes, coalesce(sum(cells) FILTER (interior), 0) AS inside, round(coalesce(sum(cells) FILTER (interior), 0) / {ROWS * COLS}::DOUBLE, 9) AS share FROM hole")
+@query(_RECURSIVE + f" SELECT CAST(coalesce(sum(cells), 0) AS BIGINT) AS empty, count(*) FILTER (interior) AS holes, CAST(coalesce(sum(cells) FILTER (interior), 0) AS BIGINT) AS inside, round(coalesce(sum(cells) FILTER (interior), 0) / {ROWS * COLS}::DOUBLE, 9) AS share FROM hole")
 def hole_report(spark: SparkSession, d: str) -> DataFrame:
     return graph.hole_report(_filled(spark, d), ROWS, COLS).withColumn("share", F.round("share", 9))
 
