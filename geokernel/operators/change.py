@@ -1,22 +1,26 @@
 """Change between two clouds along surveyed normals (Lague et al., 2013).
 
 Normals come from second moments of neighbours, summed by core point at several radii in one pass;
-their eigenvectors are closed forms of columns. A core point then looks at the cells that its
-cylinder crosses, both epochs at once, and what lies inside is summed on the spot."""
+their eigenvectors are closed forms of columns. A core point then looks at the points that its
+cylinder can hold, both epochs at once, and what lies inside is summed on the spot."""
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geokernel.operators.tables import written
+from geokernel.operators.tiles import blocks, tile_sums
 
 AXES = ("x", "y", "z")
 #: Sine under which a direction counts as level.
 LEVEL = 1e-9
 PAIRS = [(i, j) for i in range(3) for j in range(i, 3)]
+_SUMS = ["n", *[f"m{i}" for i in range(3)], *[f"c{i}{j}" for i, j in PAIRS]]
 
 
 def _dot(a: list[Column], b: list[Column]) -> Column:
@@ -48,14 +52,39 @@ def eigenvalues(df: DataFrame) -> DataFrame:
     return df.withColumns({"l0": low, "l1": 3 * F.col("q") - high - low, "l2": high}).drop("q", "p", "phi")
 
 
-def _near(core: DataFrame, cloud: DataFrame, radius: float) -> DataFrame:
-    """(id, d0, d1, d2): offsets of the points within the radius of a core point."""
-    cell = lambda a: F.floor(F.col(a) / radius).cast("long")
-    keys = [f"cell_{a}" for a in AXES]
-    held = cloud.select(*[F.col(a).alias(f"p{a}") for a in AXES], *[cell(a).alias(k) for a, k in zip(AXES, keys, strict=True)])
-    around = F.array(*[F.struct(*[(cell(a) + s).alias(k) for a, s, k in zip(AXES, (i, j, l), keys, strict=True)]) for i in (-1, 0, 1) for j in (-1, 0, 1) for l in (-1, 0, 1)])
-    both = core.select("id", *AXES, F.inline(around)).join(held, keys)
-    return both.select("id", *[(F.col(f"p{a}") - F.col(a)).alias(f"d{i}") for i, a in enumerate(AXES)]).filter(_dot(*[[F.col(f"d{i}") for i in range(3)]] * 2) <= radius * radius)
+def _places(rows, extra: tuple[str, ...] = ()):
+    """The rows whose coordinates (and extra columns) are finite, and those as arrays."""
+    values = rows[[*AXES, *extra]].to_numpy(float)
+    good = np.isfinite(values).all(axis=1)
+    return rows[good], values[good]
+
+
+def _moments(radii: tuple[float, ...]):
+    """A kernel of tile_sums: for each radius the count, sums and sums of products of the offsets
+    of the points within it."""
+
+    def kernel(queries, points):
+        queries, q = _places(queries)
+        p = _places(points)[1]
+        if len(q):
+            origin = np.floor(q.min(axis=0))
+            q, p = q - origin, p - origin
+        x = np.column_stack([np.ones(len(p)), p, *[p[:, i] * p[:, j] for i, j in PAIRS]])
+        sums = np.zeros((len(radii), len(q), 10))
+        r = max(radii)
+        for rows, near in blocks(q[:, :2], q[:, :2] - r, q[:, :2] + r, p, r / 4):
+            d2 = sum((p[near, k] - q[rows, k, None]) ** 2 for k in range(3))
+            for s, radius in enumerate(radii):
+                sums[s, rows] += (d2 <= radius * radius).astype(float) @ x[near]
+        out = {"id": queries["id"]}
+        for s in range(len(radii)):
+            n, t = sums[s, :, 0], sums[s, :, 1:4]
+            own = [t[:, i] - n * q[:, i] for i in range(3)]
+            own += [sums[s, :, 4 + k] - q[:, i] * t[:, j] - q[:, j] * t[:, i] + n * q[:, i] * q[:, j] for k, (i, j) in enumerate(PAIRS)]
+            out |= {f"{c}_{s}": v for c, v in zip(_SUMS, [n, *own], strict=True)}
+        return pd.DataFrame(out)
+
+    return kernel
 
 
 def normals(core: DataFrame, cloud: DataFrame, radii: tuple[float, ...]) -> DataFrame:
@@ -66,10 +95,10 @@ def normals(core: DataFrame, cloud: DataFrame, radii: tuple[float, ...]) -> Data
     by (l1 - l0) / l2, gives the normal, its eigenvector of l0, turned upwards (a level one towards
     y, else x). Ties go to the smaller radius, points whose neighbours lie on a line or in one place
     have no normal."""
-    d = [F.col(f"d{i}") for i in range(3)]
-    near = _near(core, cloud, max(radii)).withColumn("dd", _dot(d, d))
-    near = near.withColumn("radius", F.explode(F.filter(F.array(*[F.lit(float(r)) for r in radii]), lambda r: F.col("dd") <= r * r)))
-    sums = near.groupBy("id", "radius").agg(F.count("*").alias("n"), *[F.avg(d[i]).alias(f"m{i}") for i in range(3)], *[F.avg(d[i] * d[j]).alias(f"c{i}{j}") for i, j in PAIRS]).filter("n >= 3")
+    schema = ", ".join([f"id {dict(core.dtypes)['id']}", *[f"{c}_{s} double" for s in range(len(radii)) for c in _SUMS]])
+    wide = tile_sums(core, cloud, max(radii), _moments(radii), schema)
+    each = F.array(*[F.struct(F.lit(float(r)).alias("radius"), *[F.col(f"{c}_{s}").alias(c) for c in _SUMS]) for s, r in enumerate(radii)])
+    sums = wide.select("id", F.inline(each)).filter("n >= 3").select("id", "radius", *[(F.col(c) / F.col("n")).alias(c) for c in _SUMS[1:]])
     # Written, since filters that are pushed through closed forms would repeat them many times over.
     scales = written(eigenvalues(sums.select("id", "radius", *[(F.col(f"c{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")).alias(f"c{i}{j}") for i, j in PAIRS])), "scales")
     plane = F.when((F.col("l2") > 0) & (F.col("l1") > 1e-12 * F.col("l2")), (F.col("l1") - F.col("l0")) / F.col("l2"))
@@ -86,22 +115,38 @@ def normals(core: DataFrame, cloud: DataFrame, radii: tuple[float, ...]) -> Data
     return v.select("id", *[(F.col(f"v.{a}") * up).alias(f"n{a}") for a in AXES], "radius")
 
 
-def _crossed(radius: float, depth: float, width: float) -> Column:
-    """The columns of cells (cell_x, cell_y) that a cylinder around a core point's normal can
-    reach: those within reach of points that follow each other along its axis."""
-    nx, ny = F.col("nx"), F.col("ny")
-    length = 2 * depth * F.sqrt(nx * nx + ny * ny)
-    count = F.ceil(length / width).cast("int")
-    reach = radius + length / F.greatest(count, F.lit(1)) / 2
-    at = lambda k: [F.col(a) + n * depth * F.when(count > 0, (2 * k - count) / F.greatest(count, F.lit(1))).otherwise(0.0) for a, n in (("x", nx), ("y", ny))]
-    low = lambda c: F.floor((c - reach) / width).cast("long")
-    high = lambda c: F.floor((c + reach) / width).cast("long")
+def _cylinders(radius: float, depth: float):
+    """A kernel of tile_sums: of each epoch the points inside a cylinder around a core point's
+    normal, the sums of their offsets along it, of the squares of those, and of their places."""
 
-    def cells(k: Column) -> Column:
-        x, y = at(k)
-        return F.flatten(F.transform(F.sequence(low(x), high(x)), lambda i: F.transform(F.sequence(low(y), high(y)), lambda j: F.struct(i.alias("cell_x"), j.alias("cell_y")))))
+    def kernel(queries, points):
+        queries, q = _places(queries, ("nx", "ny", "nz"))
+        points, p = _places(points)
+        late = points["late"].to_numpy(bool)
+        x = np.column_stack([~late, late]).astype(float)
+        side = depth * np.abs(q[:, 3:5]) + radius
+        sums = np.zeros((len(q), 6))
+        for rows, near in blocks(q[:, :2], q[:, :2] - side, q[:, :2] + side, p, radius / 2):
+            d = [p[near, k] - q[rows, k, None] for k in range(3)]
+            along = sum(d[k] * q[rows, 3 + k, None] for k in range(3))
+            off = sum(v * v for v in d) - along * along
+            inside = ((np.abs(along) <= depth) & (off <= radius * radius)).astype(float)
+            for k in range(3):
+                sums[rows, 2 * k : 2 * k + 2] += inside @ x[near]
+                inside *= along
+        home = (q[:, :3] * q[:, 3:]).sum(axis=1)[:, None]
+        sums = np.hstack([sums, sums[:, 2:4] + sums[:, :2] * home])
+        return pd.DataFrame({"id": queries["id"]} | {c: sums[:, k] for k, c in enumerate(_ALONG)})
 
-    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), count), cells)))
+    return kernel
+
+
+_ALONG = [f"{c}{late}" for c in ("n", "s", "ss", "h") for late in (0, 1)]
+
+
+def _steepest(aimed: DataFrame) -> float:
+    """The largest part of a normal along x or y."""
+    return aimed.agg(F.max(F.greatest(F.abs("nx"), F.abs("ny")))).first()[0] or 0.0
 
 
 def cylinder_change(core: DataFrame, before: DataFrame, after: DataFrame, radius: float, depth: float, registration_error: float = 0.0, z: float = 1.96) -> DataFrame:
@@ -110,19 +155,17 @@ def cylinder_change(core: DataFrame, before: DataFrame, after: DataFrame, radius
 
     Every core point is kept. Without a normal, or without points of an epoch, its distance and
     level are null and it is not significant."""
-    width = 2.0 * radius
-    cell = lambda a: F.floor(F.col(a) / width).cast("long")
-    clouds = [c.select(*[F.col(a).alias(f"p{a}") for a in AXES], cell("x").alias("cell_x"), cell("y").alias("cell_y"), F.lit(late).alias("late")) for c, late in ((before, False), (after, True))]
-    aimed = core.filter("nx IS NOT NULL").select("id", *AXES, "nx", "ny", "nz", F.inline(_crossed(radius, depth, width)))
-    d, n = [F.col(f"p{a}") - F.col(a) for a in AXES], [F.col(f"n{a}") for a in AXES]
-    place = _dot([F.col(f"p{a}") for a in AXES], n)
-    both = aimed.join(clouds[0].union(clouds[1]), ["cell_x", "cell_y"]).select("id", "late", place.alias("h"), _dot(d, n).alias("along"), _dot(d, d).alias("dd"))
-    inside = both.filter((F.abs("along") <= depth) & (F.col("dd") - F.col("along") * F.col("along") <= radius * radius))
-    of = lambda late: F.when(F.col("late") == late, F.col("h"))
-    sums = inside.groupBy("id").agg(*[f(of(late)).alias(f"{n}{int(late)}") for late in (False, True) for n, f in (("mean", F.avg), ("var", F.var_pop), ("n", F.count))])
+    clouds = [c.select(*AXES, F.lit(late).alias("late")) for c, late in ((before, False), (after, True))]
+    aimed = core.filter("nx IS NOT NULL").select("id", *AXES, "nx", "ny", "nz")
+    schema = ", ".join([f"id {dict(core.dtypes)['id']}", *[f"{c} double" for c in _ALONG]])
+    sums = tile_sums(aimed, clouds[0].union(clouds[1]), radius + depth * _steepest(aimed), _cylinders(radius, depth), schema, ("nx", "ny", "nz"), ("late",))
+    n = [F.nullif(f"n{late}", F.lit(0.0)) for late in (0, 1)]
+    s, ss, h = ([F.col(f"{c}{late}") for late in (0, 1)] for c in ("s", "ss", "h"))
+    spread = [F.greatest(n[k] * ss[k] - s[k] * s[k], F.lit(0.0)) / (n[k] * n[k]) for k in (0, 1)]
+    sums = sums.select("id", *[v.alias(f"{c}{k}") for k in (0, 1) for c, v in (("mean", h[k] / n[k]), ("var", spread[k]), ("n", n[k]))])
     out = core.select("id").join(sums, "id", "left")
     d = F.col("mean1") - F.col("mean0")
-    lod = F.when(d.isNotNull(), z * (F.sqrt(F.col("var0") / F.nullif("n0", F.lit(0)) + F.col("var1") / F.nullif("n1", F.lit(0))) + registration_error))
+    lod = F.when(d.isNotNull(), z * (F.sqrt(F.col("var0") / F.col("n0") + F.col("var1") / F.col("n1")) + registration_error))
     return out.select("id", d.alias("distance"), lod.alias("lod"), F.coalesce(F.abs(d) > lod, F.lit(False)).alias("significant"))
 
 
