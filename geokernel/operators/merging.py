@@ -11,7 +11,7 @@ from geokernel.operators import stats
 from geokernel.operators.graph import linked_roots
 from geokernel.operators.mesh import CORNERS
 from geokernel.operators.neighbours import within_radius
-from geokernel.operators.tables import written
+from geokernel.operators.tables import dealt, written
 
 
 def kept_faces(vertices: DataFrame, faces: DataFrame, bounds: DataFrame, pages: DataFrame, half_open: bool = False) -> DataFrame:
@@ -19,12 +19,12 @@ def kept_faces(vertices: DataFrame, faces: DataFrame, bounds: DataFrame, pages:
     centroid lies in the core (x0, y0, x1, y1) of their tile, edges included (with half_open, high
     edges are not), and whose slot has a page."""
     ends = faces.select("tile", "fid", F.posexplode(F.array(*[f"v{k}" for k in CORNERS])).alias("k", "vid"))
-    placed = ends.join(vertices.select("tile", "vid", "x", "y"), ["tile", "vid"]).groupBy("tile", "fid").agg(*[F.max(F.when(F.col("k") == k, F.col(a))).alias(f"{a}{k}") for k in CORNERS for a in "xy"])
+    placed = ends.join(dealt(vertices.select("tile", "vid", "x", "y")), ["tile", "vid"]).groupBy("tile", "fid").agg(*[F.max(F.when(F.col("k") == k, F.col(a))).alias(f"{a}{k}") for k in CORNERS for a in "xy"])
     cx, cy, _ = S.centroid(*[(F.col(f"x{k}"), F.col(f"y{k}"), F.lit(0.0)) for k in CORNERS])
     core = bounds.select("tile", *[F.col(n).alias(f"b{n}") for n in ("x0", "y0", "x1", "y1")])
     below = (lambda a, b: a < b) if half_open else (lambda a, b: a <= b)
     inside = placed.join(core, "tile").filter((cx >= F.col("bx0")) & below(cx, F.col("bx1")) & (cy >= F.col("by0")) & below(cy, F.col("by1")))
-    return faces.join(inside.select("tile", "fid"), ["tile", "fid"]).join(pages.filter("page IS NOT NULL"), ["tile", "slot"])
+    return faces.join(dealt(inside.select("tile", "fid")), ["tile", "fid"]).join(pages.filter("page IS NOT NULL"), ["tile", "slot"])
 
 
 def merged_tiles(vertices: DataFrame, faces: DataFrame, bounds: DataFrame, pages: DataFrame, tolerance: float = 1e-3, half_open: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -40,16 +40,16 @@ def merged_tiles(vertices: DataFrame, faces: DataFrame, bounds: DataFrame, pages
     kept = written(kept_faces(vertices, faces, bounds, pages, half_open), "kept-faces")
     if kept.isEmpty():
         raise ValueError("no face of any tile lies in its core")
-    used = kept.select("tile", F.explode(F.array(*[f"v{k}" for k in CORNERS])).alias("vid")).distinct().join(vertices, ["tile", "vid"])
+    used = kept.select("tile", F.explode(F.array(*[f"v{k}" for k in CORNERS])).alias("vid")).distinct().join(dealt(vertices), ["tile", "vid"])
     used = written(stats.numbered(used.select(F.struct("tile", "vid").alias("at"), "tile", "vid", "x", "y", "z"), "at").withColumnRenamed("ordinal", "id"), "used")
     of = used.select(F.col("id").alias("other"), F.col("tile").alias("other_tile"))
-    near = within_radius(used, used, tolerance).filter("id < other").join(used.select("id", "tile"), "id").join(of, "other").filter("tile <> other_tile")
+    near = within_radius(used, used, tolerance).filter("id < other").join(dealt(used.select("id", "tile")), "id").join(dealt(of), "other").filter("tile <> other_tile")
     roots = linked_roots(near.select(F.col("id").alias("a"), F.col("other").alias("b"))).withColumnsRenamed({"node": "id"})
-    welded = written(used.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "welded")
+    welded = written(used.join(dealt(roots), "id", "left").withColumn("root", F.coalesce("root", "id")), "welded")
     out = stats.numbered(welded.filter("id = root").select("root", "x", "y", "z"), "root").withColumnRenamed("ordinal", "new")
     out = written(out, "merged-vertices")
-    names = written(welded.join(out.select("root", "new"), "root").select("tile", "vid", "new"), "names")
-    ends = kept.select("tile", "fid", "slot", F.posexplode(F.array(*[f"v{k}" for k in CORNERS])).alias("k", "vid")).join(names, ["tile", "vid"])
+    names = written(welded.join(dealt(out.select("root", "new")), "root").select("tile", "vid", "new"), "names")
+    ends = kept.select("tile", "fid", "slot", F.posexplode(F.array(*[f"v{k}" for k in CORNERS])).alias("k", "vid")).join(dealt(names), ["tile", "vid"])
     flat = ends.groupBy("tile", "fid", "slot").agg(*[F.max(F.when(F.col("k") == k, F.col("new"))).alias(f"v{k}") for k in CORNERS])
     flat = flat.filter("v0 <> v1 AND v1 <> v2 AND v2 <> v0").withColumn("at", F.struct("tile", "fid"))
     material = F.concat(F.col("tile").cast("string"), F.lit("_mat"), F.col("slot").cast("string")).alias("material")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geokernel.functions import scalar as S
+from geokernel.operators.tables import dealt
 
 CORNERS = (0, 1, 2)
 #: Pixels along the side of a block of a triangle's bounding box.
@@ -16,7 +17,7 @@ def triangles(vertices: DataFrame, faces: DataFrame) -> DataFrame:
     """faces with the coordinates of their corners: the gather is done once."""
     out = faces
     for k in CORNERS:
-        out = out.join(vertices.select(F.col("vid").alias(f"v{k}"), *[F.col(a).alias(f"{a}{k}") for a in "xyz"]), f"v{k}")
+        out = out.join(dealt(vertices.select(F.col("vid").alias(f"v{k}"), *[F.col(a).alias(f"{a}{k}") for a in "xyz"])), f"v{k}")
     return out
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geokernel.operators.quantiles import median, one_row, quantiles, values_of
-from geokernel.operators.tables import written
+from geokernel.operators.tables import dealt, written
 
 AXES = ("x", "y", "z")
 #: Points that the cell of an average point may hold, besides the k asked for.
@@ -40,7 +40,7 @@ def _distance2(axes: tuple[str, ...]) -> Column:
 def _pairs(queries: DataFrame, points: DataFrame, axes: tuple[str, ...], cell_axes: tuple[str, ...], width: float) -> DataFrame:
     keys = [f"cell_{a}" for a in cell_axes]
     held = points.select("*", *_cells(cell_axes, width)).select(*keys, F.col("id").alias("other"), *[F.col(a).alias(f"other_{a}") for a in axes], *[c for c in points.columns if c not in ("id", *axes)])
-    return _probes(queries.select("id", *axes), cell_axes, width).join(held, keys).withColumn("d2", _distance2(axes))
+    return _probes(queries.select("id", *axes), cell_axes, width).join(dealt(held), keys).withColumn("d2", _distance2(axes))
 
 
 def distinct_places(points: DataFrame, axes: tuple[str, ...], most: int) -> DataFrame:
@@ -86,10 +86,10 @@ def _candidates(queries: DataFrame, points: DataFrame, axes: tuple[str, ...], ce
     keys = [f"cell_{a}" for a in cell_axes]
     held = points.select(F.col("id").alias("other"), *axes, *payload, *_cells(cell_axes, width))
     if few:
-        held = held.join(queries.select(F.inline(_beside(cell_axes, width))).distinct(), keys, "left_semi")
+        held = held.join(dealt(queries.select(F.inline(_beside(cell_axes, width))).distinct()), keys, "left_semi")
     piece = F.floor((F.row_number().over(Window.partitionBy(*keys).orderBy("other")) - 1) / PIECE)
     pieces = held.withColumn("piece", piece).groupBy(*keys, "piece").agg(F.collect_list(F.struct("other", *axes, *payload)).alias("points"))
-    asked = queries.select("id", *axes, F.inline(_beside(cell_axes, width))).join(pieces.drop("piece"), keys)
+    asked = queries.select("id", *axes, F.inline(_beside(cell_axes, width))).join(dealt(pieces.drop("piece")), keys)
 
     def measured(p: Column) -> Column:
         d2 = sum(((F.col(a) - p[a]) * (F.col(a) - p[a]) for a in axes), F.lit(0.0))
@@ -131,11 +131,11 @@ def nearest(queries: DataFrame, points: DataFrame, width: float | None = None, k
         ranked = written(ranked, "near")
         if not last:
             sure = ranked.groupBy("id").agg(F.max("rank").alias("n"), F.max("d2").alias("worst")).filter((F.col("n") == k) & (F.col("worst") <= width * width / 4)).select("id")
-            ranked = ranked.join(sure, "id", "left_semi")
+            ranked = ranked.join(dealt(sure), "id", "left_semi")
         out = ranked if out is None else out.union(ranked)
         if last:
             return out
-        queries = written(queries.join(sure, "id", "left_anti"), "queries")
+        queries = written(queries.join(dealt(sure), "id", "left_anti"), "queries")
         if queries.isEmpty():
             return out
         width *= 2
@@ -165,9 +165,9 @@ def roughness(points: DataFrame, width: float | None = None, k: int = 16) -> Dat
     import pandas as pd
 
     near = nearest(points, points, width, k=k + 1)
-    gathered = near.join(points.select(F.col("id").alias("other"), *AXES), "other")
+    gathered = near.join(dealt(points.select(F.col("id").alias("other"), *AXES)), "other")
     query = points.select("id", *[F.col(a).alias(f"q{a}") for a in AXES])
-    grouped = gathered.groupBy("id").agg(F.collect_list(F.struct(*AXES)).alias("near")).join(query, "id")
+    grouped = gathered.groupBy("id").agg(F.collect_list(F.struct(*AXES)).alias("near")).join(dealt(query), "id")
 
     def fit(batches):
         for pdf in batches:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geokernel.operators import graph, grid, ground, merging
-from geokernel.operators.tables import shared_path
+from geokernel.operators.tables import dealt, shared_path
 from geokernel.plans.catalogue import _CONTOURS, _points, query
 from geokernel.sources import adapters as A
 from geokernel.sources import models
@@ -135,7 +135,7 @@ def tile_merge_counts(spark: SparkSession, d: str) -> DataFrame:
     copies = v.withColumn("tile", reach).filter(F.col("y").between(4 * F.col("tile") - 2, 4 * F.col("tile") + 6)).join(tiles, "tile")
     copies = copies.withColumn("x", F.col("x") + F.col("tile") % 2 / F.lit(4096.0))
     held = [copies.select("tile", F.col("vid").alias(f"v{k}")) for k in (0, 1, 2)]
-    faces = f.join(held[0], "v0").join(held[1], ["tile", "v1"]).join(held[2], ["tile", "v2"]).withColumn("slot", F.col("v0") % 3)
+    faces = f.join(dealt(held[0]), "v0").join(dealt(held[1]), ["tile", "v1"]).join(dealt(held[2]), ["tile", "v2"]).withColumn("slot", F.col("v0") % 3)
     bounds = tiles.select("tile", F.lit(-1.0).alias("x0"), (4 * F.col("tile")).cast("double").alias("y0"), F.lit(100.0).alias("x1"), (4 * F.col("tile") + 4).cast("double").alias("y1"))
     pages = tiles.select("tile", F.explode(F.array(*[F.lit(k).cast("long") for k in range(3)])).alias("slot")).withColumn("page", F.when(~((F.col("slot") == 2) & (F.col("tile") % 2 == 1)), F.lit("tex/page.ppm")))
     vertices, merged, materials = merging.merged_tiles(copies, faces, bounds, pages)

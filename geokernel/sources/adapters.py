@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geokernel.operators.tables import dealt
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,7 +60,7 @@ def faces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(fid, v0, v1, v2): two triangles for each cell of the lattice whose corners exist."""
     v = vertices(spark, sf_dir).select("vid")
     cells = v.filter(F.col("vid") % 20 < 19)
-    cells = cells.join(v.select((F.col("vid") - 21).alias("vid")), "vid", "left_semi")
+    cells = cells.join(dealt(v.select((F.col("vid") - 21).alias("vid"))), "vid", "left_semi")
     a = F.struct((2 * F.col("vid")).alias("fid"), F.col("vid").alias("v0"), (F.col("vid") + 1).alias("v1"), (F.col("vid") + 20).alias("v2"))
     b = F.struct((2 * F.col("vid") + 1).alias("fid"), (F.col("vid") + 1).alias("v0"), (F.col("vid") + 21).alias("v1"), (F.col("vid") + 20).alias("v2"))
     return cells.select(F.inline(F.array(a, b)))
