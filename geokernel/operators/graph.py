@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geokernel.operators.tables import Rounds, written
+from geokernel.operators.tables import Rounds, dealt, written
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -150,9 +152,46 @@ def fill_holes(filled: DataFrame, rows: int, cols: int, max_cells: int) -> DataF
     return filled.select("r", "c", "v").union(new)
 
 
+#: Points of a cell that travel together when cells are compared.
+CELL_PIECE = 256
+
+
+def proximity_components(points: DataFrame, radius: float) -> DataFrame:
+    """(id, component) of points (id, x, y): joined by links up to the radius; component is the
+    smallest id reachable.
+
+    Cells are so narrow that the points of one hang together, so only cells are linked. Two cells
+    are linked if some pair of their points is: points that are too far from the box around the
+    other ones are left out first, and the first pair found ends the search."""
+    width = radius / math.sqrt(2) * (1 - 1e-9)
+    far2 = radius * radius
+    keys = ["i", "j"]
+    placed = " AND ".join(f"abs({a}) < double('infinity')" for a in "xy")
+    keyed = points.select("id", "x", "y", *[F.when(F.expr(placed), F.floor(F.col(a) / width).cast("long")).alias(k) for a, k in zip("xy", keys, strict=True)])
+    keyed = written(keyed, "keyed")
+    held = keyed.filter("i IS NOT NULL")
+    cells = written(held.groupBy(*keys).agg(F.min("id").alias("low"), F.count("*").alias("n")), "cells")
+    dealt_out = held.join(cells, keys).withColumn("piece", F.pmod(F.xxhash64("x", "y"), F.ceil(F.col("n") / CELL_PIECE)))
+    box = [f(a).alias(f"{n}{a}") for a in "xy" for n, f in (("lo", F.min), ("hi", F.max))]
+    pieces = written(dealt_out.groupBy(*keys, "low", "piece").agg(F.collect_set(F.struct("x", "y")).alias("at"), *box).drop("piece"), "pieces")
+    steps = [(i, j) for i in range(3) for j in range(-2, 3) if i > 0 or j > 0]
+    beside = F.array(*[F.struct((F.col("i") + i).alias("i"), (F.col("j") + j).alias("j")) for i, j in steps])
+    names = ["low", "at", "lox", "hix", "loy", "hiy"]
+    one = pieces.select(*[F.col(c).alias(f"a_{c}") for c in names], F.inline(beside))
+    both = one.join(dealt(pieces), keys)
+
+    def reached(side: str, other: str):
+        gap = lambda v, a: F.greatest(F.col(f"{other}lo{a}") - v, v - F.col(f"{other}hi{a}"), F.lit(0.0))
+        return F.filter(f"{side}at", lambda p: gap(p["x"], "x") * gap(p["x"], "x") + gap(p["y"], "y") * gap(p["y"], "y") <= far2 * (1 + 1e-9))
+
+    both = both.select("a_low", "low", reached("a_", "").alias("p"), reached("", "a_").alias("q"))
+    d2 = lambda p, q: (p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"])
+    linked = both.filter(F.exists("p", lambda p: F.exists("q", lambda q: d2(p, q) <= far2)))
+    roots = linked_roots(linked.select(F.col("a_low").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "low")
+    found = cells.join(roots, "low", "left").select(*keys, F.coalesce("root", "low").alias("component"))
+    return keyed.join(found, keys, "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
 def is_connected(points: DataFrame, radius: float) -> bool:
     """Whether points (id, x, y) hang together over links up to the radius."""
-    from geokernel.operators.neighbours import within_radius
-
-    links = within_radius(points, points, radius, axes=("x", "y")).select(F.col("id").alias("a"), F.col("other").alias("b"))
-    return components(points, links).select("component").distinct().count() <= 1
+    return proximity_components(points, radius).select("component").distinct().count() <= 1

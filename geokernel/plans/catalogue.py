@@ -635,8 +635,7 @@ _LINKS = "links AS (SELECT a.name AS a, b.name AS b FROM centres a JOIN centres
 )
 def proximity_components(spark: SparkSession, d: str) -> DataFrame:
     points = A.centres(spark, d).select(F.col("name").alias("id"), "x", "y")
-    links = neighbours.within_radius(points, points, 1.5, axes=("x", "y")).select(F.col("id").alias("a"), F.col("other").alias("b"))
-    return graph.components(points, links)
+    return graph.proximity_components(points, 1.5)
 
 
 # -- exposure -----------------------------------------------------------------------------
