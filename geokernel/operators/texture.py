@@ -10,14 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geokernel.functions import scalar as S
 from geokernel.operators import topk
 from geokernel.operators.imagery import near_pairs
-from geokernel.operators.mesh import CORNERS, corner, with_measures
+from geokernel.operators.mesh import CORNERS, with_measures
 from geokernel.operators.tables import written
 
 #: Views blended for a face, the least cosine of a view, share of the best weight that counts.
@@ -32,11 +33,28 @@ BANDS = ("red", "green", "blue")
 POSE = ("r", "t", "f", "cx", "cy", "width", "height")
 
 
-def _seen_at(p: S.Vec) -> tuple[Column, Column, Column]:
-    """(u, v, depth) of a world point in the view of a row; u and v are null behind it."""
-    r, t = [F.col("r")[i] for i in range(9)], tuple(F.col("t")[i] for i in range(3))
-    at = tuple(a + b for a, b in zip(S.rotate(r, p), t, strict=True))
-    return *S.pinhole(at, F.col("f"), F.col("f"), F.col("px"), F.col("py")), at[2]
+def _seen_at(rows: pd.DataFrame, p: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(u, v, depth) of world points in the views of rows; u and v are not-a-number behind them."""
+    at = [rows[f"r{3 * i}"] * p[0] + rows[f"r{3 * i + 1}"] * p[1] + rows[f"r{3 * i + 2}"] * p[2] + rows[f"t{i}"] for i in range(3)]
+    x, y, depth = (v.to_numpy() for v in at)
+    z = np.where(depth > 1e-6, depth, np.nan)
+    f = rows["f"].to_numpy()
+    return f * x / z + rows["px"].to_numpy(), f * y / z + rows["py"].to_numpy(), depth
+
+
+def _each_pair(both: DataFrame, measure: Callable[[pd.DataFrame], pd.DataFrame], schema: str, *columns: str) -> DataFrame:
+    """What measure yields of batches of faces beside views: as arrays, since the expressions of a
+    pair are too long to be compiled by row."""
+    number = lambda c: F.col(c).cast("double").alias(c)
+    pose = [F.col("r")[i].cast("double").alias(f"r{i}") for i in range(9)] + [F.col("t")[i].cast("double").alias(f"t{i}") for i in range(3)]
+    rows = both.select("fid", "view", *pose, *map(number, ("f", "px", "py", "width", "height", *columns)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with np.errstate(all="ignore"):
+            for batch in batches:
+                yield measure(batch)
+
+    return rows.mapInPandas(run, schema)
 
 
 def _beside(views: DataFrame, tri: DataFrame, reach: float) -> DataFrame:
@@ -54,20 +72,34 @@ def depth_cells(tri: DataFrame, views: DataFrame) -> DataFrame:
     m = with_measures(tri)
     far = F.greatest(*[(F.col(f"x{k}") - F.col("cx")) ** 2 + (F.col(f"y{k}") - F.col("cy")) ** 2 for k in CORNERS])
     reach = float(m.agg(F.sqrt(F.max(far))).first()[0] or 0.0)
-    both = _beside(views, tri, reach)
-    for k in CORNERS:
-        u, v, z = _seen_at(corner(k))
-        both = both.withColumns({f"u{k}": u / DEPTH_PIXELS, f"v{k}": v / DEPTH_PIXELS, f"d{k}": z})
-    places = both.select("fid", "view", F.floor(F.col("width") / DEPTH_PIXELS).alias("w"), F.floor(F.col("height") / DEPTH_PIXELS).alias("h"), *[f"{n}{k}" for k in CORNERS for n in "uvd"])
-    places = places.filter(" AND ".join(f"d{k} > 1e-6" for k in CORNERS))
-    side = lambda n, f: f(*[F.col(f"{n}{k}") for k in CORNERS])
-    zero = F.lit(0).cast("long")
-    boxed = places.withColumns({"c0": F.greatest(F.floor(side("u", F.least)), zero), "c1": F.least(F.ceil(side("u", F.greatest)) + 1, F.col("w")), "r0": F.greatest(F.floor(side("v", F.least)), zero), "r1": F.least(F.ceil(side("v", F.greatest)) + 1, F.col("h"))})
-    boxed = boxed.filter(f"c1 > c0 AND r1 > r0 AND c1 - c0 <= {DEPTH_CELLS} AND r1 - r0 <= {DEPTH_CELLS}")
-    cells = boxed.withColumn("r", F.explode(F.sequence(F.col("r0"), F.col("r1") - 1))).withColumn("c", F.explode(F.sequence(F.col("c0"), F.col("c1") - 1)))
-    w = S.barycentric(F.col("c") + 0.5, F.col("r") + 0.5, *[(F.col(f"u{k}"), F.col(f"v{k}")) for k in CORNERS])
-    drawn = cells.select("view", "r", "c", *[w[k].alias(f"w{k}") for k in CORNERS], *[f"d{k}" for k in CORNERS]).filter("w0 >= 0 AND w1 >= 0 AND w2 >= 0")
-    return drawn.groupBy("view", "r", "c").agg(F.min(sum((F.col(f"w{k}") * F.col(f"d{k}") for k in CORNERS), F.lit(0.0))).alias("depth"))
+    corners = [f"{a}{k}" for k in CORNERS for a in "xyz"]
+
+    def draw(rows: pd.DataFrame) -> pd.DataFrame:
+        u, v, d = (np.stack(x) for x in zip(*[_seen_at(rows, [rows[f"{a}{k}"] for a in "xyz"]) for k in CORNERS], strict=True))
+        u, v = u / DEPTH_PIXELS, v / DEPTH_PIXELS
+        ahead = np.flatnonzero((d > 1e-6).all(axis=0) & np.isfinite(u).all(axis=0) & np.isfinite(v).all(axis=0))
+        u, v, d, view = u[:, ahead], v[:, ahead], d[:, ahead], rows["view"].to_numpy()[ahead]
+        w, h = (np.floor(rows[n].to_numpy()[ahead] / DEPTH_PIXELS) for n in ("width", "height"))
+        c0, c1 = np.maximum(np.floor(u.min(axis=0)), 0), np.minimum(np.ceil(u.max(axis=0)) + 1, w)
+        r0, r1 = np.maximum(np.floor(v.min(axis=0)), 0), np.minimum(np.ceil(v.max(axis=0)) + 1, h)
+        at = np.flatnonzero((c1 > c0) & (r1 > r0) & (c1 - c0 <= DEPTH_CELLS) & (r1 - r0 <= DEPTH_CELLS))
+        wide = (c1 - c0)[at].astype(np.int64)
+        n = wide * (r1 - r0)[at].astype(np.int64)
+        i, wide = np.repeat(at, n), np.repeat(wide, n)
+        k = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        r, c = r0[i].astype(np.int64) + k // wide, c0[i].astype(np.int64) + k % wide
+        (ua, ub, uc), (va, vb, vc), x, y = u[:, i], v[:, i], c + 0.5, r + 0.5
+        area = (ub - ua) * (vc - va) - (vb - va) * (uc - ua)
+        det = np.where(np.abs(area) > 1e-12, area, np.nan)
+        w1 = ((x - ua) * (vc - va) - (y - va) * (uc - ua)) / det
+        w2 = ((ub - ua) * (y - va) - (vb - va) * (x - ua)) / det
+        w0 = 1.0 - w1 - w2
+        held = (w0 >= 0) & (w1 >= 0) & (w2 >= 0)
+        drawn = pd.DataFrame({"view": view[i], "r": r, "c": c, "depth": w0 * d[0, i] + w1 * d[1, i] + w2 * d[2, i]})[held]
+        return drawn.groupby(["view", "r", "c"], as_index=False, sort=False)["depth"].min()
+
+    drawn = _each_pair(_beside(views, tri, reach), draw, f"view {dict(views.dtypes)['view']}, r long, c long, depth double", *corners)
+    return drawn.groupBy("view", "r", "c").agg(F.min("depth").alias("depth"))
 
 
 def face_views(tri: DataFrame, views: DataFrame, margin: float = MARGIN, depth_test: bool = True) -> DataFrame:
@@ -75,18 +107,23 @@ def face_views(tri: DataFrame, views: DataFrame, margin: float = MARGIN, depth_t
 
     A view counts whose frame, less the margin, holds the face's centroid, at a cosine above the
     least one, and in whose depth map nothing is nearer. The weight is cosine^2 / distance^2."""
-    a, b, c = map(corner, CORNERS)
-    n = S.cross(S.minus(b, a), S.minus(c, a))
-    size = F.greatest(F.sqrt(n[0] * n[0] + n[1] * n[1] + n[2] * n[2]), F.lit(1e-12))
-    both = _beside(views, tri, 0.0)
-    r, t = [F.col("r")[i] for i in range(9)], tuple(F.col("t")[i] for i in range(3))
-    middle = tuple(F.col(x) for x in "xyz")
-    u, v, z = _seen_at(middle)
-    ray = S.minus(S.camera_centre(r, t), middle)
-    d2 = ray[0] * ray[0] + ray[1] * ray[1] + ray[2] * ray[2]
-    cosine = (ray[0] * n[0] + ray[1] * n[1] + ray[2] * n[2]) / size / F.greatest(F.sqrt(d2), F.lit(1e-12))
-    found = both.select("fid", "view", "width", "height", u.alias("u"), v.alias("v"), z.alias("z"), S.view_weight(cosine, d2, LEAST_COSINE).alias("weight"))
-    found = found.filter((F.col("weight") > 0) & (F.col("u") >= margin) & (F.col("u") < F.col("width") - margin) & (F.col("v") >= margin) & (F.col("v") < F.col("height") - margin))
+    def weigh(rows: pd.DataFrame) -> pd.DataFrame:
+        a, b, c = ([rows[f"{x}{k}"].to_numpy() for x in "xyz"] for k in CORNERS)
+        n = np.cross(np.stack([q - p for p, q in zip(a, b, strict=True)], 1), np.stack([q - p for p, q in zip(a, c, strict=True)], 1)).T
+        size = np.maximum(np.sqrt(n[0] * n[0] + n[1] * n[1] + n[2] * n[2]), 1e-12)
+        middle = [rows[x].to_numpy() for x in "xyz"]
+        u, v, z = _seen_at(rows, middle)
+        r, t = [rows[f"r{i}"].to_numpy() for i in range(9)], [rows[f"t{i}"].to_numpy() for i in range(3)]
+        ray = [-(r[i] * t[0] + r[3 + i] * t[1] + r[6 + i] * t[2]) - middle[i] for i in range(3)]
+        d2 = ray[0] * ray[0] + ray[1] * ray[1] + ray[2] * ray[2]
+        cosine = (ray[0] * n[0] + ray[1] * n[1] + ray[2] * n[2]) / size / np.maximum(np.sqrt(d2), 1e-12)
+        width, height = rows["width"].to_numpy(), rows["height"].to_numpy()
+        weight = np.where(cosine > LEAST_COSINE, cosine * cosine / np.where(d2 == 0, np.nan, d2), np.nan)
+        kept = (weight > 0) & (u >= margin) & (u < width - margin) & (v >= margin) & (v < height - margin)
+        return pd.DataFrame({"fid": rows["fid"], "view": rows["view"], "width": width, "height": height, "u": u, "v": v, "z": z, "weight": weight})[kept]
+
+    schema = f"fid {dict(tri.dtypes)['fid']}, view {dict(views.dtypes)['view']}, width double, height double, u double, v double, z double, weight double"
+    found = _each_pair(_beside(views, tri, 0.0), weigh, schema, *[f"{x}{k}" for k in CORNERS for x in "xyz"], "x", "y", "z")
     if not depth_test:
         return found.select("fid", "view", "weight")
     at = lambda x, size: F.least(F.floor(F.col(x) / DEPTH_PIXELS), F.floor(F.col(size) / DEPTH_PIXELS) - 1)
