@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geokernel.operators.tables import dealt
+
 HALO_SPACINGS = 1.5
 #: Dense points for each sparse one by density level.
 DENSITY_FACTORS = (400, 100, 25, 8)
@@ -107,12 +109,29 @@ def merged_clouds(clouds: DataFrame, bounds: DataFrame) -> DataFrame:
 def subset_model(images: DataFrame, cameras: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The images (tile, name, ...) of each tile's members (tile, name), and the cameras that
     the images of a tile use. Members that are no image are found by unequal()."""
-    kept = members.select("tile", "name").distinct().join(images, "name")
+    kept = members.select("tile", "name").distinct().join(dealt(images), "name")
     return kept, cameras.join(kept.select("tile", "camera_id").distinct(), "camera_id")
 
 
 def unequal(got: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows that only one of two tables has, with side: missing or extra. Empty if they are
     equal as sets."""
-    a, b = got.distinct(), wanted.select(*got.columns).distinct()
-    return b.exceptAll(a).withColumn("side", F.lit("missing")).union(a.exceptAll(b).withColumn("side", F.lit("extra")))
+    # Both at once, in one grouping that combines equal rows before they are shuffled.
+    both = got.withColumns({"in_got": F.lit(1), "in_wanted": F.lit(0)}).unionByName(wanted.select(*got.columns, F.lit(0).alias("in_got"), F.lit(1).alias("in_wanted")))
+    found = both.groupBy(*got.columns).agg(F.max("in_got").alias("in_got"), F.max("in_wanted").alias("in_wanted")).filter("in_got <> in_wanted")
+    return found.select(*got.columns, F.when(F.col("in_got") == 1, "extra").otherwise("missing").alias("side"))
+
+
+#: Rows of a block when all pairs of a table are wanted.
+BLOCK_ROWS = 1024
+
+
+def block_pairs(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(left, right, places): a table twice, dealt so that a join on the places meets every pair of
+    its rows once in either order, block by block. A task holds few blocks, however many rows."""
+    n = max(1, -(-rows.count() // BLOCK_ROWS))
+    block, others = F.pmod(F.xxhash64(key), F.lit(n)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    parts = min(4096, 1 + n * n // 4)
+    left = rows.withColumn("i", block).withColumn("j", others).repartition(parts, "i", "j")
+    right = rows.withColumn("j", block).withColumn("i", others).repartition(parts, "i", "j")
+    return dealt(left), dealt(right), ["i", "j"]

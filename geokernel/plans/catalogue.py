@@ -183,11 +183,12 @@ def _marked(spark: SparkSession, d: str) -> DataFrame:
 
 @query(with_views(_MARKERS + " SELECT a.m AS a, b.m AS b, round(2 * sqrt((a.lx - b.lx) ** 2 + (a.ly - b.ly) ** 2 + (a.lz - b.lz) ** 2), 6) AS estimated, round(sqrt((a.wx - b.wx) ** 2 + (a.wy - b.wy) ** 2 + (a.wz - b.wz) ** 2), 6) AS expected FROM cen a JOIN cen b ON a.m < b.m", "gcp"))
 def marker_pair_distances(spark: SparkSession, d: str) -> DataFrame:
-    """All pairs of markers: a report over the markers of a site, which are few by nature."""
-    centres = _marked(spark, d).groupBy("m").agg(*[F.avg(c).alias(c) for c in ("lx", "ly", "lz", "wx", "wy", "wz")])
-    a, b = centres.alias("a"), centres.alias("b")
+    """All pairs of markers: a report over the markers of a site, as many as their number squared."""
+    centres = written(_marked(spark, d).groupBy("m").agg(*[F.avg(c).alias(c) for c in ("lx", "ly", "lz", "wx", "wy", "wz")]), "centres")
+    left, right, places = tiling.block_pairs(centres, "m")
+    a, b = left.alias("a"), right.alias("b")
     far = lambda p: F.sqrt(sum(((F.col(f"a.{p}{c}") - F.col(f"b.{p}{c}")) ** 2 for c in "xyz"), F.lit(0.0)))
-    return a.join(b, F.col("a.m") < F.col("b.m")).select(F.col("a.m").alias("a"), F.col("b.m").alias("b"), F.round(2.0 * far("l"), 6).alias("estimated"), F.round(far("w"), 6).alias("expected"))
+    return a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in places] + [F.col("a.m") < F.col("b.m")]).select(F.col("a.m").alias("a"), F.col("b.m").alias("b"), F.round(2.0 * far("l"), 6).alias("estimated"), F.round(far("w"), 6).alias("expected"))
 
 
 @query(with_views(_MARKERS + " SELECT a.m AS m, count(*) AS edges, round(avg(sqrt((a.wx - b.wx) ** 2 + (a.wy - b.wy) ** 2 + (a.wz - b.wz) ** 2)), 6) AS edge FROM marks a JOIN marks b ON a.m = b.m AND b.k = (a.k + 1) % 4 GROUP BY a.m", "gcp"))
