@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +30,16 @@ def _views(spark: SparkSession, d: str) -> DataFrame:
 
 def _images(spark: SparkSession, d: str) -> DataFrame:
     """(view, content): pixmaps whose bands are sums of the view's number, row and column."""
-    value = lambda i: (F.col("s_suppkey") * 7 + F.floor(i / (3 * WIDTH)) * 3 + F.floor(i / 3) % WIDTH * 5 + i % 3 * 11) % 256
-    body = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3 * WIDTH * HEIGHT - 1)), lambda i: F.lpad(F.hex(value(i)), 2, "0")), "")
-    return A.table(spark, d, "supplier").select(F.col("s_suppkey").alias("view"), F.unhex(F.concat(F.lit(_HEADER.encode().hex()), body)).alias("content"))
+    at = np.arange(3 * WIDTH * HEIGHT)
+    steps = at // (3 * WIDTH) * 3 + at // 3 % WIDTH * 5 + at % 3 * 11
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for view in batch["view"].to_pylist():
+                content = _HEADER.encode() + ((view * 7 + steps) % 256).astype(np.uint8).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([view], pa.int64()), pa.array([content], pa.binary())], ["view", "content"])
+
+    return A.table(spark, d, "supplier").select(F.col("s_suppkey").cast("long").alias("view")).mapInArrow(draw, "view long, content binary")
 
 
 def _uv(tri: DataFrame) -> DataFrame:
