@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geokernel.functions import scalar as S
 from geokernel.operators.fit import triangulated
-from geokernel.operators.tables import written
+from geokernel.operators.tables import dealt, written
 
 
 def base_name(path: Column) -> Column:
@@ -45,11 +47,66 @@ def nearest_observed(marked: DataFrame, observations: DataFrame, points: DataFra
     is nearest, the first observation on a tie. Observations of unknown points do not count.
 
     marked: (key, name, u, v); observations: (image, ordinal, u, v, pid); points: (pid, x, y, z)."""
-    seen = observations.select(F.col("image").alias("name"), "ordinal", F.col("u").alias("seen_u"), F.col("v").alias("seen_v"), "pid").join(points.select("pid", "x", "y", "z"), "pid")
-    du, dv = F.col("seen_u") - F.col("u"), F.col("seen_v") - F.col("v")
-    both = marked.select(key, "name", "u", "v").join(seen, "name").withColumn("d2", du * du + dv * dv)
-    best = both.groupBy(key).agg(F.min(F.struct("d2", "ordinal", "pid", "x", "y", "z")).alias("best"))
-    return best.select(key, "best.pid", "best.d2", "best.x", "best.y", "best.z")
+    marked = marked.select(key, "name", F.col("u").cast("double").alias("u"), F.col("v").cast("double").alias("v")).filter("name IS NOT NULL")
+    seen = observations.select(F.col("image").alias("name"), "ordinal", F.col("u").cast("double").alias("u"), F.col("v").cast("double").alias("v"), "pid")
+    seen = seen.join(dealt(points.select("pid").distinct()), "pid", "left_semi")
+    found = _nearest_pixels(marked, seen, key)
+    best = found.groupBy(key).agg(F.min(F.struct(F.col("d2").isNull().alias("none"), "d2", "ordinal", "pid")).alias("best"))
+    best = best.select(key, "best.pid", "best.d2").join(dealt(points.select("pid", "x", "y", "z")), "pid")
+    place = best.groupBy(key, "pid", "d2").agg(F.min(F.struct("x", "y", "z")).alias("place"))
+    return place.select(key, "pid", "d2", "place.x", "place.y", "place.z")
+
+
+#: Observations that make a partition, and most that one piece of a bucket of images holds.
+PARTITION_SEEN, MOST_SEEN, MOST_PAIRS = 250_000, 1_000_000, 4_000_000
+
+
+def _nearest_pixels(marked: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """(key, d2, ordinal, pid): of each marking the nearest observation in each piece of its image.
+
+    Images are dealt to buckets; what is marked in a bucket meets the observations of it inside a
+    task, as arrays, so pairs are never rows. Buckets of very many observations, such as that of an
+    image which has most of them, are cut into pieces that the markings go to."""
+    seen = written(seen, "observations")
+    buckets = int(min(8192, 1 + seen.count() // PARTITION_SEEN))
+    bucket = F.pmod(F.xxhash64("name"), F.lit(buckets)).cast("int").alias("bucket")
+    full = seen.select(bucket).groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_SEEN).select("bucket", F.ceil(F.col("n") / MOST_SEEN).cast("int").alias("pieces"))
+    pieces = written(full, "pieces")  # at most a row a bucket
+    parts = int(buckets + (pieces.agg(F.sum("pieces")).first()[0] or 0))
+    with_pieces = lambda rows: rows.select("*", bucket).join(F.broadcast(pieces), "bucket", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    held = with_pieces(seen).withColumn("piece", F.pmod(F.xxhash64("ordinal", "pid"), F.col("pieces")).cast("int")).drop("pieces")
+    asked = with_pieces(marked).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("pieces")
+
+    def nearest(m: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
+        s = s.sort_values(["name", "ordinal", "pid"], kind="stable")
+        rows, at, d2 = [np.zeros(0, int)], [np.zeros(0, int)], [np.zeros(0)]
+        names, starts = np.unique(s["name"].to_numpy().astype(str), return_index=True)
+        ends = np.append(starts[1:], len(s))
+        places = np.searchsorted(names, wanted := m["name"].to_numpy().astype(str))
+        known = np.flatnonzero(places < len(names))
+        known = known[names[places[known]] == wanted[known]] if len(known) else known
+        known = known[np.argsort(places[known], kind="stable")]
+        u, v = (s[c].to_numpy(float) for c in "uv")
+        x, y = (m[c].to_numpy(float) for c in "uv")
+        for of in np.split(known, np.flatnonzero(np.diff(places[known])) + 1) if len(known) else ():
+            a, z = starts[places[of[0]]], ends[places[of[0]]]
+            step = max(1, MOST_PAIRS // (z - a))
+            for some in (of[i : i + step] for i in range(0, len(of), step)):
+                du, dv = u[a:z] - x[some, None], v[a:z] - y[some, None]
+                d = du * du + dv * dv
+                # The first of the nearest: observations are in order. No number comes last.
+                i = np.where(np.isnan(d), np.inf, d).argmin(axis=1)
+                rows.append(some)
+                at.append(a + i)
+                d2.append(d[np.arange(len(some)), i])
+        rows, at, d2 = map(np.concatenate, (rows, at, d2))
+        distance = pd.Series(d2, dtype=object).where(~np.isnan(d2), None) if np.isnan(d2).any() else d2
+        return pd.DataFrame({key: m[key].take(rows).array, "d2": distance, "ordinal": s["ordinal"].take(at).array, "pid": s["pid"].take(at).array})
+
+    kinds = dict(seen.dtypes)
+    schema = f"`{key}` {dict(marked.dtypes)[key]}, d2 double, ordinal {kinds['ordinal']}, pid {kinds['pid']}"
+    asked, held = (rows.repartition(parts, "bucket", "piece").groupBy("bucket", "piece") for rows in (asked, held))
+    return asked.cogroup(held).applyInPandas(nearest, schema)
 
 
 def control_points(markings: DataFrame, images: DataFrame, cameras: DataFrame, observations: DataFrame, points: DataFrame, least: int = 3) -> DataFrame:
