@@ -11,13 +11,18 @@ from geokernel.operators.tables import dealt
 CORNERS = (0, 1, 2)
 #: Pixels along the side of a block of a triangle's bounding box.
 BLOCK_PIXELS = 512
+#: Faces that make a partition worthwhile.
+PARTITION_FACES = 50_000
 
 
 def triangles(vertices: DataFrame, faces: DataFrame) -> DataFrame:
-    """faces with the coordinates of their corners: the gather is done once."""
-    out = faces
+    """faces with the coordinates of their corners: the gather is done once.
+
+    How many tasks share it goes by the number of faces, so that one holds no more of a larger mesh."""
+    parts, out = min(8192, 1 + faces.count() // PARTITION_FACES), faces
     for k in CORNERS:
-        out = out.join(dealt(vertices.select(F.col("vid").alias(f"v{k}"), *[F.col(a).alias(f"{a}{k}") for a in "xyz"])), f"v{k}")
+        ends = vertices.select(F.col("vid").alias(f"v{k}"), *[F.col(a).alias(f"{a}{k}") for a in "xyz"])
+        out = out.repartition(parts, f"v{k}").join(dealt(ends.repartition(parts, f"v{k}")), f"v{k}")
     return out
 
 
