@@ -12,12 +12,21 @@ from geokernel.sources.adapters import with_views
 from geokernel.streaming import keyed
 
 
-def _arriving(parts: list[DataFrame]) -> DataFrame:
+#: Rows of a file that arrives.
+FILE_ROWS = 2_000_000
+
+
+def _arriving(parts: list[DataFrame], key: str | None = None) -> DataFrame:
     """The parts as a stream of the shared folder, one after the other: each is a file, or several
-    in the order they were written, and so come in this order."""
+    in the order they were written, and so come in this order.
+
+    The rows of a part that share the key come in one file, so a part reads and writes the state of
+    a key once, however many batches its files make."""
     spark, path = parts[0].sparkSession, shared_path(parts[0].sparkSession, "arriving")
     keyed.use_keyed_state(spark)
     for part in parts:
+        if key is not None:
+            part = part.repartition(1 + part.count() // FILE_ROWS, key)
         part.write.mode("append").parquet(path)
     return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 4).parquet(path)
 
@@ -27,7 +36,7 @@ SELECT pt, image, weight FROM (SELECT *, row_number() OVER (PARTITION BY pt ORDE
 def streamed_top_views(spark: SparkSession, d: str) -> DataFrame:
     """The four heaviest views of each part, kept by key as line items arrive."""
     rows = A.table(spark, d, "lineitem").select(F.col("l_partkey").alias("pt"), F.col("l_suppkey").alias("image"), (F.floor("l_extendedprice") / F.lit(8.0)).alias("weight"))
-    states = keyed.run_to_table(keyed.running_top_k(_arriving([rows.filter(F.col("image") % 3 == k) for k in range(3)]), "pt", "image", "weight"), "update")
+    states = keyed.run_to_table(keyed.running_top_k(_arriving([rows.filter(F.col("image") % 3 == k) for k in range(3)], "pt"), "pt", "image", "weight"), "update")
     last = states.groupBy("pt").agg(F.max_by(F.struct("members", "weights"), "batch").alias("s"))
     return last.select("pt", F.inline(F.arrays_zip(F.col("s.members").alias("image"), F.col("s.weights").alias("weight"))))
 
