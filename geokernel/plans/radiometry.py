@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geokernel.operators import change, mesh, radiometry
 from geokernel.operators import fit as fits
+from geokernel.operators.tables import dealt
 from geokernel.plans.catalogue import D, _points, query
 from geokernel.sources import adapters as A
 from geokernel.sources.adapters import with_views
@@ -90,7 +91,7 @@ def _patch_colours(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     gives a vertex."""
     faces = A.faces(spark, d)
     patch = faces.select("fid", F.floor(F.col("v0") / 64).cast("long").alias("patch"))
-    corners = faces.join(patch, "fid").select("patch", F.explode(F.array("v0", "v1", "v2")).alias("vid")).distinct()
+    corners = faces.join(dealt(patch), "fid").select("patch", F.explode(F.array("v0", "v1", "v2")).alias("vid")).distinct()
     band = lambda n: ((F.col("vid") * n + F.col("patch") * 37) % 256).cast("double")
     return patch, corners.select("vid", "patch", band(5).alias("red"), band(11).alias("green"), band(3).alias("blue"))
 
@@ -125,7 +126,7 @@ def seam_levelling(spark: SparkSession, d: str) -> DataFrame:
     """Offsets that close the steps of colour between patches, to a residual of a thousandth."""
     patch, colours = _patch_colours(spark, d)
     nodes = radiometry.seam_data(colours)
-    found, _ = radiometry.levelled(nodes, radiometry.seam_links(A.faces(spark, d), patch))
+    found, _ = radiometry.levelled(nodes, radiometry.seam_links(A.faces(spark, d), patch), near=radiometry.seam_runs)
     return found.select("node.vid", "node.patch", *[(F.round(b, 3) + 0.0).alias(b) for b in _BANDS])
 
 
