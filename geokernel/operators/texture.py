@@ -19,7 +19,7 @@ from geokernel.functions import scalar as S
 from geokernel.operators import topk
 from geokernel.operators.imagery import near_pairs
 from geokernel.operators.mesh import CORNERS, with_measures
-from geokernel.operators.tables import written
+from geokernel.operators.tables import dealt, written
 
 #: Views blended for a face, the least cosine of a view, share of the best weight that counts.
 VIEWS, LEAST_COSINE, WEIGHT_FLOOR = 4, 0.15, 0.15
@@ -143,7 +143,7 @@ def texels(tri: DataFrame, uv: DataFrame, pages: DataFrame) -> DataFrame:
 
     uv: (fid, page, u0, v0 .. u2, v2), v upwards; pages: (page, width, height)."""
     corners = tri.select("fid", *[f"{a}{k}" for k in CORNERS for a in "xyz"])
-    both = corners.join(uv.select("fid", "page", *[f"{n}{k}" for k in CORNERS for n in "uv"]), "fid").join(pages.select("page", F.col("width").alias("pw"), F.col("height").alias("ph")), "page")
+    both = corners.join(dealt(uv.select("fid", "page", *[f"{n}{k}" for k in CORNERS for n in "uv"])), "fid").join(pages.select("page", F.col("width").alias("pw"), F.col("height").alias("ph")), "page")
     both = both.withColumns({f"px{k}": F.col(f"u{k}") * (F.col("pw") - 1) for k in CORNERS} | {f"py{k}": (1.0 - F.col(f"v{k}")) * (F.col("ph") - 1) for k in CORNERS})
     side = lambda n, f: f(*[F.col(f"{n}{k}") for k in CORNERS])
     zero = F.lit(0).cast("long")
@@ -199,8 +199,9 @@ def sampled(places: DataFrame, images: DataFrame, decode: Callable[[bytes], np.n
     columns = [c for c in places.columns if c not in ("u", "v")]
     places = written(places, "places")
     parts = places.groupBy("view").agg(F.ceil(F.count("*") / SAMPLES_PER_PART).cast("int").alias("parts"))
-    keyed = places.join(parts, "view").withColumn("part", F.pmod(F.xxhash64(*[F.col(c) for c in ("view", "u", "v")]), F.col("parts")).cast("int")).drop("parts")
-    held = images.join(parts, "view").select("view", "content", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    keyed = places.join(dealt(parts), "view").withColumn("part", F.pmod(F.xxhash64(*[F.col(c) for c in ("view", "u", "v")]), F.col("parts")).cast("int")).drop("parts")
+    # Images are never broadcast: the size of their table says nothing of what decodes from it.
+    held = images.join(dealt(parts), "view").select("view", "content", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     schema = ", ".join(f"`{c}` {places.schema[c].dataType.simpleString()}" for c in columns)
 
     def sample(rows: pa.Table, image: pa.Table) -> pa.Table:
@@ -259,7 +260,7 @@ def baked(tri: DataFrame, uv: DataFrame, pages: DataFrame, views: DataFrame, ima
     Bands are clipped to 0..255 and cut to whole numbers. Texels without a view are left out."""
     chosen = written(blended_views(face_views(tri, views)), "views")
     named = views.select("view", *POSE).withColumnsRenamed({"cx": "px", "cy": "py"})
-    rows = texels(tri, uv, pages).join(chosen, "fid").join(named, "view")
+    rows = texels(tri, uv, pages).join(dealt(chosen), "fid").join(dealt(named), "view")
     r, t = [F.col("r")[i] for i in range(9)], tuple(F.col("t")[i] for i in range(3))
     p = tuple(a + b for a, b in zip(S.rotate(r, tuple(F.col(x) for x in "xyz")), t, strict=True))
     z = F.greatest(p[2], F.lit(1e-6))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geokernel.operators import mesh, texture
+from geokernel.operators.tables import written
 from geokernel.plans.catalogue import query
 from geokernel.sources import adapters as A
 from geokernel.sources.adapters import with_views
@@ -77,7 +78,7 @@ chosen AS MATERIALIZED (SELECT fid, view, weight / sum(weight) OVER (PARTITION B
 
 @query(with_views(_SEEN + " SELECT fid, view, round(weight, 12) AS weight FROM seen", "vertices", "faces", "triangles"))
 def visible_faces(spark: SparkSession, d: str) -> DataFrame:
-    tri = mesh.triangles(A.vertices(spark, d), A.faces(spark, d))
+    tri = written(mesh.triangles(A.vertices(spark, d), A.faces(spark, d)), "triangles")
     return texture.face_views(tri, _views(spark, d)).withColumn("weight", F.round("weight", 12))
 
 
@@ -105,7 +106,7 @@ mixed AS (SELECT page, tr, tc, fid, {", ".join(f"sum(share * {b}) / sum(share) A
 @query(with_views(f"{_BAKED} SELECT page, tr AS r, tc AS c, {', '.join(f'CAST(floor(avg({b})) AS INT) AS {b}' for b in texture.BANDS)} FROM mixed GROUP BY page, tr, tc", "vertices", "faces", "triangles"))
 def baked_texels(spark: SparkSession, d: str) -> DataFrame:
     """Every texel of the lattice's pages, mixed from the images of the views that see its faces."""
-    tri = mesh.triangles(A.vertices(spark, d), A.faces(spark, d))
+    tri = written(mesh.triangles(A.vertices(spark, d), A.faces(spark, d)), "triangles")
     uv = _uv(tri)
     pages = uv.select("page").distinct().select("page", F.lit(PAGE).cast("long").alias("width"), F.lit(PAGE).cast("long").alias("height"))
     return texture.baked(tri, uv, pages, _views(spark, d), _images(spark, d))
