@@ -14,12 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geokernel.operators.tables import written
-from geokernel.operators.tiles import blocks, tile_sums
+from geokernel.operators.tiles import CLEAR, PAIRS, Boxes, add_sums, between, squares, tile_sums, within
 
 AXES = ("x", "y", "z")
 #: Sine under which a direction counts as level.
 LEVEL = 1e-9
-PAIRS = [(i, j) for i in range(3) for j in range(i, 3)]
 _SUMS = ["n", *[f"m{i}" for i in range(3)], *[f"c{i}{j}" for i, j in PAIRS]]
 
 
@@ -66,16 +65,12 @@ def _moments(radii: tuple[float, ...]):
     def kernel(queries, points):
         queries, q = _places(queries)
         p = _places(points)[1]
-        if len(q):
-            origin = np.floor(q.min(axis=0))
-            q, p = q - origin, p - origin
-        x = np.column_stack([np.ones(len(p)), p, *[p[:, i] * p[:, j] for i, j in PAIRS]])
         sums = np.zeros((len(radii), len(q), 10))
-        r = max(radii)
-        for rows, near in blocks(q[:, :2], q[:, :2] - r, q[:, :2] + r, p, r / 4):
-            d2 = sum((p[near, k] - q[rows, k, None]) ** 2 for k in range(3))
+        if len(q) and len(p):
+            origin = np.floor(q.min(axis=0))
+            q, boxes = q - origin, Boxes(p - origin)
             for s, radius in enumerate(radii):
-                sums[s, rows] += (d2 <= radius * radius).astype(float) @ x[near]
+                _ball_sums(q, boxes, radius, sums[s])
         out = {"id": queries["id"]}
         for s in range(len(radii)):
             n, t = sums[s, :, 0], sums[s, :, 1:4]
@@ -87,6 +82,21 @@ def _moments(radii: tuple[float, ...]):
     return kernel
 
 
+def _ball_sums(q: np.ndarray, boxes: Boxes, radius: float, sums: np.ndarray) -> None:
+    """Adds to sums what the products of the points within a radius of each query sum up to."""
+    left, most = squares(q), radius * radius
+
+    def decide(rows, low, high):
+        nearest, farthest = between(q[rows], low, high)
+        whole = farthest <= most * (1 - CLEAR)
+        return whole, ~whole & (nearest <= most * (1 + CLEAR))
+
+    def inside(rows, x):
+        return within(left[rows] @ x.T, most, q[rows], x)
+
+    add_sums(q, boxes, np.full((len(q), 2), radius), decide, inside, sums)
+
+
 def normals(core: DataFrame, cloud: DataFrame, radii: tuple[float, ...]) -> DataFrame:
     """(id, nx, ny, nz, radius) of the core points (id, x, y, z) that have three neighbours in the
     cloud at one of the radii.
@@ -122,25 +132,80 @@ def _cylinders(radius: float, depth: float):
     def kernel(queries, points):
         queries, q = _places(queries, ("nx", "ny", "nz"))
         points, p = _places(points)
-        late = points["late"].to_numpy(bool)
-        x = np.column_stack([~late, late]).astype(float)
-        side = depth * np.abs(q[:, 3:5]) + radius
-        sums = np.zeros((len(q), 6))
-        for rows, near in blocks(q[:, :2], q[:, :2] - side, q[:, :2] + side, p, radius / 2):
-            d = [p[near, k] - q[rows, k, None] for k in range(3)]
-            along = sum(d[k] * q[rows, 3 + k, None] for k in range(3))
-            off = sum(v * v for v in d) - along * along
-            inside = ((np.abs(along) <= depth) & (off <= radius * radius)).astype(float)
-            for k in range(3):
-                sums[rows, 2 * k : 2 * k + 2] += inside @ x[near]
-                inside *= along
-        home = (q[:, :3] * q[:, 3:]).sum(axis=1)[:, None]
-        sums = np.hstack([sums, sums[:, 2:4] + sums[:, :2] * home])
-        return pd.DataFrame({"id": queries["id"]} | {c: sums[:, k] for k, c in enumerate(_ALONG)})
+        late, place, n = points["late"].to_numpy(bool), q[:, :3], q[:, 3:]
+        origin = np.floor(place.min(axis=0)) if len(q) else np.zeros(3)
+        flat = bool((n[:, :2] == 0).all() and (n[:, 2] == 1).all())
+        home, out = (place * n).sum(axis=1), {"id": queries["id"]}
+        for epoch, held in enumerate((~late, late)):
+            sums = np.zeros((len(q), 10))
+            if len(q) and held.any():
+                (_upright_sums if flat else _cylinder_sums)(place - origin, n, Boxes(p[held] - origin, flat), radius, depth, sums)
+            m, own = sums[:, 0], ((place - origin) * n).sum(axis=1)
+            t = (sums[:, 1:4] * n).sum(axis=1)
+            tt = sum((2 - (i == j)) * n[:, i] * n[:, j] * sums[:, 4 + k] for k, (i, j) in enumerate(PAIRS))
+            s = t - m * own
+            out |= {f"n{epoch}": m, f"s{epoch}": s, f"ss{epoch}": tt - 2 * own * t + m * own * own, f"h{epoch}": s + m * home}
+        return pd.DataFrame(out)[["id", *_ALONG]]
 
     return kernel
 
 
+def _upright_sums(q: np.ndarray, _: np.ndarray, boxes: Boxes, radius: float, depth: float, sums: np.ndarray) -> None:
+    """Adds to sums what the products of the points in each query's upright cylinder sum up to."""
+    left, most = squares(q, 2), radius * radius
+
+    def decide(rows, low, high):
+        nearest, farthest = between(q[rows, :2], low[:, :2], high[:, :2])
+        above, below = high[:, 2] - q[rows, 2].min(), q[rows, 2].max() - low[:, 2]
+        whole = (farthest <= most * (1 - CLEAR)) & (above <= depth) & (below <= depth)
+        return whole, ~whole & (nearest <= most * (1 + CLEAR))
+
+    def inside(rows, x):
+        found = within(left[rows] @ x.T, most, q[rows], x, 2)
+        z = x[:, 3]
+        if z.max() - q[rows, 2].min() > depth or q[rows, 2].max() - z.min() > depth:
+            found &= np.abs(z - q[rows, 2, None]) <= depth
+        return found
+
+    add_sums(q, boxes, np.full((len(q), 2), radius), decide, inside, sums, True)
+
+
+def _cylinder_sums(q: np.ndarray, n: np.ndarray, boxes: Boxes, radius: float, depth: float, sums: np.ndarray) -> None:
+    """Adds to sums what the products of the points in the cylinder around each query's normal sum up to."""
+    left, along_, own, slope = squares(q), np.zeros((len(q), 10)), (q * n).sum(axis=1), np.sqrt((n[:, :2] ** 2).sum(axis=1))
+    along_[:, 0], along_[:, 1:4] = -own, n
+
+    def decide(rows, low, high):
+        half = (high - low) / 2
+        middle = low + half
+        # How far a box reaches along a normal, and away from it at most.
+        long = np.abs(n[rows]) @ half.T
+        across = np.sqrt((half[:, :2] ** 2).sum(axis=1))
+        wide = np.minimum(across + half[:, 2] * slope[rows].max(), np.sqrt((half * half).sum(axis=1)))
+        d = [middle[:, k] - q[rows, k, None] for k in range(3)]
+        along = sum(d[k] * n[rows, k, None] for k in range(3))
+        off = np.sqrt(np.maximum(sum(v * v for v in d) - along * along, 0.0))
+        along = np.abs(along)
+        slack = CLEAR ** 0.5 * (radius + depth)
+        whole = (off.max(axis=0) <= radius - wide - slack) & ((along + long).max(axis=0) <= depth - slack)
+        return whole, ~whole & (off.min(axis=0) <= radius + wide + slack) & ((along - long).min(axis=0) <= depth + slack)
+
+    def inside(rows, x):
+        p, at = x[:, 1:4], q[rows]
+        along, d2 = along_[rows] @ x.T, left[rows] @ x.T
+        off, most = d2 - along * along, radius * radius
+        found = (np.abs(along) <= depth * (1 + CLEAR)) & (off <= most * (1 + CLEAR))
+        sure = (np.abs(along) <= depth * (1 - CLEAR)) & (off <= most * (1 - CLEAR))
+        if np.count_nonzero(sure) != np.count_nonzero(found):
+            i, j = np.nonzero(sure ^ found)
+            d = [p[j, k] - at[i, k] for k in range(3)]
+            t = sum(d[k] * n[rows[i], k] for k in range(3))
+            found[i, j] = (np.abs(t) <= depth) & (sum(v * v for v in d) - t * t <= most)
+        return found
+
+    add_sums(q, boxes, depth * np.abs(n[:, :2]) + radius, decide, inside, sums)
+
+
 _ALONG = [f"{c}{late}" for c in ("n", "s", "ss", "h") for late in (0, 1)]
 
 
